@@ -147,11 +147,21 @@ def _balanced(piece: Column, name: Column) -> Column:
     """
     segments = F.split(piece, F.concat(F.lit("(?i)(?=</?"), name, F.lit(r"[\s>/])")))
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("taken"))
+
+    def change(segment: Column) -> Column:
+        opens = F.lower(F.substring(segment, F.lit(2), F.length(name))) == name
+        closes = F.lower(F.substring(segment, F.lit(3), F.length(name))) == name
+        return (
+            F.when(F.startswith(segment, F.lit("</")) & closes, -1)
+            .when(F.startswith(segment, F.lit("<")) & opens, 1)
+            .otherwise(0)
+        )
+
     end = F.aggregate(
         segments,
         start,
         lambda at, s: let(
-            at["depth"] + F.when(F.startswith(s, F.lit("</")), -1).when(F.rlike(s, F.lit(r"^<")), 1).otherwise(0),
+            at["depth"] + change(s),
             lambda depth: F.when(
                 (at["depth"] > 0) & ((depth > 0) | (at["taken"] == 0)),
                 F.struct(depth.alias("depth"), (at["taken"] + 1).alias("taken")),
