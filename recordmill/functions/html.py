@@ -8,12 +8,12 @@ decoded after the tags are gone.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordmill.functions.staging import let
 from recordmill.functions.text import norm_ws, text_or_empty
 
 _HIDDEN = (
@@ -27,16 +27,12 @@ _TAG = rf"(?s)</?[A-Za-z]{_TAG_REST}|<![A-Za-z][^>]*>|<\?[^>]*>"
 _HREF = r"""(?is)(?:^|[\s"'])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _CLASS = r"""(?is)<([a-z][a-z0-9]*)(?=\s)[^>]*?\sclass\s*=\s*(?:"[^"]*|'[^']*|)(?<![\w-])(?:%s)(?![\w-])"""
 
+_ALL = 1 << 30
 # Names first looked up come first: element access walks the map from the start.
 _COMMON = ("amp", "nbsp", "lt", "gt", "quot", "copy", "middot")
 _ENTITIES = {n: chr(name2codepoint[n]) for n in (*_COMMON, *name2codepoint)} | {"apos": "'"}
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``use``."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles."""
     return F.regexp_replace(text_or_empty(html), _HIDDEN, " ")
@@ -78,7 +74,7 @@ def text_of(html: Column) -> Column:
 def pieces_from(html: Column, names: str) -> Column:
     """One piece per opening tag in ``names`` (``a`` or ``h[1-4]``), from behind its name."""
     pieces = F.split(html, rf"(?i)<(?:{names})(?=[\s>/])")
-    return F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return F.slice(pieces, 2, _ALL)
 
 
 def _until_close(piece: Column, names: str) -> Column:
@@ -99,11 +95,8 @@ def _unquoted(value: Column) -> Column:
     return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
-def anchors(html: Column) -> Column:
-    """Links of a ``visible`` fragment, in order: array of (href, text).
-
-    Anchors without an ``href`` are left out; an empty ``href`` is a link.
-    """
+def _linked(html: Column) -> Column:
+    """Anchors with an ``href``, in order, as written: array of (href, inner)."""
     raw = F.transform(
         pieces_from(html, "a"),
         lambda piece: F.struct(
@@ -111,14 +104,24 @@ def anchors(html: Column) -> Column:
             inner_html(piece, "a").alias("inner"),
         ),
     )
-    linked = F.filter(raw, lambda a: a["href"] != "")
-    return F.transform(
-        linked,
-        lambda a: F.struct(
-            decode_entities(_unquoted(a["href"])).alias("href"),
-            text_of(a["inner"]).alias("text"),
-        ),
-    )
+    return F.filter(raw, lambda a: a["href"] != "")
+
+
+def _read_link(a: Column) -> Column:
+    return F.struct(decode_entities(_unquoted(a["href"])).alias("href"), text_of(a["inner"]).alias("text"))
+
+
+def anchors(html: Column) -> Column:
+    """Links of a ``visible`` fragment, in order: array of (href, text).
+
+    Anchors without an ``href`` are left out; an empty ``href`` is a link.
+    """
+    return F.transform(_linked(html), _read_link)
+
+
+def first_anchor(html: Column) -> Column:
+    """The first link of a fragment as (href, text); null where it has none."""
+    return F.get(F.transform(F.slice(_linked(html), 1, 1), _read_link), F.lit(0))
 
 
 def blocks(html: Column, names: str) -> Column:
@@ -126,6 +129,11 @@ def blocks(html: Column, names: str) -> Column:
     return F.transform(pieces_from(html, names), lambda piece: inner_html(piece, names))
 
 
+def first_block(html: Column, names: str) -> Column:
+    """Content of the first element in ``names``; null where there is none."""
+    return inner_html(F.get(pieces_from(html, names), F.lit(0)), names)
+
+
 def heading_sections(html: Column) -> Column:
     """Per ``h2``-``h4``: (heading, section), the section reaching to the next heading."""
     own = F.transform(
@@ -181,17 +189,12 @@ def main_content(html: Column, classes: tuple[str, ...] = ("entry-content", "pos
 
     def marked(page: Column) -> Column:
         name = F.lower(F.regexp_extract(page, opening, 1))
-        rest = F.element_at(F.split(page, opening, 2), -1)
-        content = _balanced(F.regexp_replace(rest, r"^[^>]*>", ""), name)
-        article = pieces_from(page, "article")
-        return (
-            F.when(name != "", content)
-            .when(F.size(article) > 0, inner_html(_joined_from_first(page, "article"), "article"))
-            .otherwise(page)
-        )
+        rest = F.regexp_replace(F.get(F.split(page, opening, 2), F.lit(1)), r"^[^>]*>", "")
+        content = let(F.struct(name.alias("name"), rest.alias("rest")), lambda at: _balanced(at["rest"], at["name"]))
+        article = F.get(F.split(page, r"(?i)<article(?=[\s>/])", 2), F.lit(1))
+        named = F.lit(False)
+        for word in classes:
+            named = named | F.contains(page, F.lit(word))
+        return F.coalesce(F.when(named, content), inner_html(article, "article"), page)
 
     return let(html, marked)
-
-
-def _joined_from_first(page: Column, names: str) -> Column:
-    return F.element_at(F.split(page, rf"(?i)<(?:{names})(?=[\s>/])", 2), -1)

@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters that count as white space. Java's \s is ASCII
-# only, so the others are listed; U+200B is not white space.
-WHITESPACE = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# White space is the Unicode property plus the four ASCII separators. Java's \s
+# is ASCII only, and U+200B is not white space.
+WHITESPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+# What normalising changes: runs of two or more, and single ones that are not a
+# plain space. Text that is tidy already is not rewritten.
+_UNTIDY = rf"{WHITESPACE}(?:{WHITESPACE}+|(?<! ))"
 
 # Month names as written in article headers.
 MONTHS = (
@@ -26,12 +30,12 @@ def text_or_empty(c: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Remove white space at both ends and leave the inside alone."""
-    return F.regexp_replace(text_or_empty(c), rf"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(text_or_empty(c), F.lit(WHITESPACE_CHARS))
 
 
 def norm_ws(c: Column) -> Column:
     """Null becomes ''; runs of Unicode white space become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(text_or_empty(c), WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(text_or_empty(c), _UNTIDY, " "))
 
 
 def or_default(c: Column, default: str) -> Column:
@@ -72,25 +76,30 @@ def canonical_if_mentions(c: Column, token: str, canonical: str) -> Column:
 
 def first_year(c: Column) -> Column:
     """First 19xx or 20xx anywhere, also inside a longer run of digits."""
-    return F.regexp_extract(norm_ws(c), r"((?:19|20)[0-9]{2})", 1)
+    return F.regexp_extract(text_or_empty(c), r"(?:19|20)[0-9]{2}", 0)
 
 
 def bounded_year(c: Column) -> Column:
     """First 20xx that stands alone between non-word characters."""
-    edge = r"[^\p{L}\p{N}_]"
-    return F.regexp_extract(text_or_empty(c), rf"(?:^|{edge})(20[0-9]{{2}})(?:$|{edge})", 1)
+    word = r"[\p{L}\p{N}_]"
+    return F.regexp_extract(text_or_empty(c), rf"20(?<!{word}20)[0-9]{{2}}(?!{word})", 0)
 
 
 def published_date(c: Column) -> Column:
-    """First ``Month d, 20yy`` of a text; a leading ``Published`` is dropped."""
-    found = F.regexp_extract(text_or_empty(c), _PUBLISHED, 0)
-    return strip_ws(F.replace(found, F.lit("Published"), F.lit("")))
+    """First ``Month d, 20yy`` of a text; a leading ``Published`` is dropped.
+
+    The month names are only searched in texts that hold ``d, 20yy`` at all.
+    """
+    text = text_or_empty(c)
+    found = F.replace(F.regexp_extract(text, _PUBLISHED, 0), F.lit("Published"), F.lit(""))
+    return F.when(F.rlike(text, F.lit(r"[0-9],\s+20[0-9]{2}")), strip_ws(found)).otherwise(F.lit(""))
 
 
 def without_leading(c: Column, title: Column) -> Column:
     """Drop ``title`` from the start of the text, compared without case."""
     rest = norm_ws(F.substring(c, F.length(title) + F.lit(1), F.length(c)))
-    return F.when(F.startswith(F.lower(c), F.lower(title)), rest).otherwise(c)
+    leads = F.lower(F.substring(c, F.lit(1), F.length(title))) == F.lower(title)
+    return F.when(leads, rest).otherwise(c)
 
 
 def head_chars(c: Column, n: int) -> Column:

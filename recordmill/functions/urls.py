@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordmill.functions.staging import let
 from recordmill.functions.text import head_chars, norm_ws, text_or_empty
 
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -109,7 +110,10 @@ def _without_dots(path: Column) -> Column:
 def url_join(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` found on a page; ``base`` is ``url_parts`` of the page."""
     link = F.translate(F.regexp_replace(text_or_empty(href), r"^[\x00-\x20]+", ""), "\t\r\n", "")
-    to = url_parts(link)
+    return let(F.struct(link.alias("text"), url_parts(link).alias("to")), lambda at: _joined(base, at["text"], at["to"]))
+
+
+def _joined(base: Column, link: Column, to: Column) -> Column:
     scheme, host, path = to["scheme"], to["host"], to["path"]
     query, fragment = _prefixed("?", to["query"]), _prefixed("#", to["fragment"])
     origin = F.concat(
@@ -120,7 +124,7 @@ def url_join(base: Column, href: Column) -> Column:
     merged = F.when(F.startswith(path, F.lit("/")), path).otherwise(
         F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), r"/{2,}", "/")
     )
-    resolved = F.when(F.rlike(merged, F.lit(r"/\.\.?(?:/|$)")), _without_dots(merged)).otherwise(merged)
+    resolved = let(merged, lambda m: F.when(F.rlike(m, F.lit(r"/\.\.?(?:/|$)")), _without_dots(m)).otherwise(m))
     own_query = F.when(query == "", _prefixed("?", base["query"])).otherwise(query)
     page = F.concat(origin, base["path"], _prefixed("?", base["query"]), _prefixed("#", base["fragment"]))
     return (
@@ -130,5 +134,3 @@ def url_join(base: Column, href: Column) -> Column:
         .when(path == "", F.concat(origin, base["path"], own_query, fragment))
         .otherwise(F.concat(origin, resolved, query, fragment))
     )
-
-

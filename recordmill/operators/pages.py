@@ -9,6 +9,7 @@ from recordmill.functions import html as H
 from recordmill.functions import text as T
 from recordmill.functions import urls as U
 from recordmill.functions.dates import retrieval_stamp
+from recordmill.functions.staging import let
 from recordmill.operators.dedupe import first_by_key
 from recordmill.operators.joins import enrich, lookup_join
 
@@ -80,39 +81,46 @@ def document_index(
     return first.withColumn("retrieved_at_utc", stamp).select(*RESOURCE_COLUMNS)
 
 
-def _article(page: Column, heading_link: Column, body: Column, domain: str) -> Column:
-    """Record of one article from its title link and its HTML; null where it is none."""
-    return H.let(
-        F.struct(
-            heading_link["text"].alias("title"),
-            U.url_join(page, heading_link["href"]).alias("url"),
-            H.text_of(body).alias("text"),
-        ),
-        lambda a: F.when(
-            heading_link.isNotNull() & (a["title"] != "") & U.in_domain(a["url"], domain),
-            F.struct(
-                a["title"].alias("title_raw"),
-                T.published_date(a["text"]).alias("published_date_raw"),
-                T.head_chars(T.without_leading(a["text"], a["title"]), 2000).alias("excerpt_raw"),
-                a["url"].alias("article_url"),
+def _article(page: Column, link: Column, body: Column, domain: str) -> Column:
+    """Record of one article from its title link and its HTML; null where it is none.
+
+    The text is only read where the link names an article of the domain.
+    """
+
+    def record(named: Column) -> Column:
+        return let(
+            H.text_of(body),
+            lambda text: F.struct(
+                named["title"].alias("title_raw"),
+                T.published_date(text).alias("published_date_raw"),
+                T.head_chars(T.without_leading(text, named["title"]), 2000).alias("excerpt_raw"),
+                named["url"].alias("article_url"),
             ),
-        ),
+        )
+
+    named = F.struct(link["text"].alias("title"), U.url_join(page, link["href"]).alias("url"))
+    return F.when(
+        link.isNotNull() & (link["text"] != ""),
+        let(named, lambda n: F.when(U.in_domain(n["url"], domain), record(n))),
     )
 
 
 def _marked_articles(page: Column, html: Column, domain: str) -> Column:
+    """Articles by their blocks: the first heading's link, or the block's where it has no heading."""
+
     def one(block: Column) -> Column:
-        headings = H.blocks(block, "h[1-4]")
-        titled = F.when(F.size(headings) > 0, F.element_at(headings, 1)).otherwise(block)
-        return H.let(F.get(H.anchors(titled), 0), lambda link: _article(page, link, block, domain))
+        titled = F.coalesce(H.first_block(block, "h[1-4]"), block)
+        return let(H.first_anchor(titled), lambda link: _article(page, link, block, domain))
 
     return F.filter(F.transform(H.blocks(html, "article"), one), lambda a: a.isNotNull())
 
 
 def _headed_articles(page: Column, html: Column, domain: str) -> Column:
+    """Articles by their headings, where a theme has no article blocks."""
+
     def one(section: Column) -> Column:
-        link = F.get(H.anchors(section["heading"]), 0)
-        return H.let(link, lambda found: _article(page, found, section["section"], domain))
+        link = H.first_anchor(section["heading"])
+        return let(link, lambda found: _article(page, found, section["section"], domain))
 
     return F.filter(F.transform(H.heading_sections(html), one), lambda a: a.isNotNull())
 
@@ -135,13 +143,11 @@ def article_listing(
     prepared = pages.select(
         *keep, F.col("url").alias("source_listing_page"), page.alias("_page"), H.visible(F.col("html")).alias("_html")
     )
-    listed = prepared.withColumn("_articles", _marked_articles(F.col("_page"), F.col("_html"), domain))
+    found = _marked_articles(F.col("_page"), F.col("_html"), domain)
     if fallback:
-        empty = F.size("_articles") == 0
-        listed = listed.withColumn(
-            "_articles",
-            F.when(empty, _headed_articles(F.col("_page"), F.col("_html"), domain)).otherwise(F.col("_articles")),
-        )
+        headed = _headed_articles(F.col("_page"), F.col("_html"), domain)
+        found = let(found, lambda marked: F.when(F.size(marked) == 0, headed).otherwise(marked))
+    listed = prepared.withColumn("_articles", found)
     rows = listed.select(*keep, "source_listing_page", F.posexplode("_articles").alias("_at", "_article"))
     stamp = retrieval_stamp() if retrieved_at is None else retrieved_at
     wide = rows.select(

@@ -1,6 +1,10 @@
 """The curation job shared by all published tables.
 
-normalise → derive → drop unusable → distinct → order columns → number
+normalise → drop unusable → distinct → number → derive → order columns
+
+Clean columns depend on the raw columns of their row only, so equal raw rows
+give equal clean rows. They are derived last: both shuffles and the settled
+table carry the raw columns alone.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 
 from recordmill.operators.columns import leading, merge_by_name, normalise_strings
 from recordmill.operators.dedupe import distinct_rows
-from recordmill.operators.filters import drop_unusable, identified
+from recordmill.operators.filters import identified
 from recordmill.operators.numbering import add_record_id
 
 ORDER = "_input_order"
@@ -41,24 +45,20 @@ def collected(df: DataFrame, order: Column, rank: int = 0, **tags: str) -> DataF
     return tidy.withColumns({name: F.lit(value) for name, value in tags.items()}) if tags else tidy
 
 
-def derived(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
-    merged = merge_by_name(sources)
-    return merged.withColumns(spec.derive(merged))
-
-
 def curate(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
     """The published table: record id, clean columns, then all raw columns."""
-    usable = drop_unusable(derived(sources, spec), spec.name_column, spec.url_column)
+    merged = merge_by_name(sources)
+    clean = spec.derive(merged)
+    usable = merged.filter(identified(clean[spec.name_column], clean[spec.url_column]))
     rows = distinct_rows(usable, ORDER)
-    ordered = leading(rows, list(spec.preferred))
-    return add_record_id(ordered, spec.prefix, [ORDER]).drop(ORDER)
+    numbered = add_record_id(rows, spec.prefix, [ORDER]).drop(ORDER)
+    return leading(numbered.withColumns(clean), ["record_id", *spec.preferred])
 
 
 def curation_log(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
     """Run log ``(seq, dataset, metric, value)`` of a curation: loaded, dropped, removed, written.
 
-    Derived columns depend only on the raw ones, so duplicates are counted over
-    the raw columns and two, the tests for use, of the derived.
+    One combined count per different raw row gives all four numbers.
     """
     merged = merge_by_name(sources)
     clean = spec.derive(merged)

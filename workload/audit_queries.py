@@ -14,7 +14,7 @@ from workload import data as D
 def collected(spark: SparkSession, folder: str) -> list[Collected]:
     """Six tables under audit: links, an empty seed, news, projects, a short one, and two that fail."""
     pages = D.table(spark, folder, "pages")
-    docs = D.table(spark, folder, "documents")
+    docs = D.table(spark, folder, "documents", heavy=True)
     customer = D.table(spark, folder, "customer")
     orders = D.table(spark, folder, "orders")
     supplier = D.table(spark, folder, "supplier")

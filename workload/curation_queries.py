@@ -76,13 +76,13 @@ def project_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def resource_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
-    orders = D.table(spark, folder, "orders").withColumn("_id", F.col("o_orderkey"))
+    orders = D.table(spark, folder, "orders", heavy=True).withColumn("_id", F.col("o_orderkey"))
     raw = _raw(orders, RESOURCES, F.col("_id"), k=F.col("o_custkey"), m=F.col("o_orderpriority"), n=F.col("o_orderstatus"))
     return [collected(raw, F.col("_id")).drop("_id")]
 
 
 def news_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
-    docs = D.table(spark, folder, "documents").withColumn("_id", F.col("doc_id"))
+    docs = D.table(spark, folder, "documents", heavy=True).withColumn("_id", F.col("doc_id"))
     key = F.floor(F.col("_id") / 2)
     raw = _raw(docs, NEWS, key, k=key, n=F.col("source"), m=F.col("lang"), t=F.col("text"))
     return [collected(raw, F.col("_id")).drop("_id")]

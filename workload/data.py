@@ -11,9 +11,13 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordmill.sources.catalog import spread
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """A driver table; ``heavy`` for long per-row work on tables that may come in one split."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if heavy else df
 
 
 def _parts(template: str) -> list[str]:

@@ -25,7 +25,7 @@ _PAGES = """page_text AS (SELECT CAST(doc_id AS VARCHAR) || '.html' AS source_fi
 
 
 def page_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents")
+    docs = D.table(spark, folder, "documents", heavy=True)
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text"))
     file = F.concat(F.col("doc_id").cast("string"), F.lit(".html"))
     return lines.select(file.alias("source_file"), (F.col("at") + 1).alias("page"), "text")
@@ -53,7 +53,7 @@ def evidence_index(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(f"SELECT doc_id, {_HIT} AS cdf_related FROM documents")
 def evidence_flag(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents")
+    docs = D.table(spark, folder, "documents", heavy=True)
     return docs.select("doc_id", mentions_any(F.col("text"), TERMS).alias("cdf_related"))
 
 
@@ -77,7 +77,7 @@ _TABLE_FILE = "CAST(doc_id AS VARCHAR) || '_p' || lpad(CAST(1 + doc_id % 3 AS VA
 
 
 def document_tables(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents")
+    docs = D.table(spark, folder, "documents", heavy=True)
     lines = F.split("text", "\n")
     words = F.transform(lines, lambda x: F.split(x, " "))
     sentences = F.transform(lines, lambda x: F.when(F.contains(x, F.lit(" ")), F.split(x, r"\. ")))

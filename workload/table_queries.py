@@ -45,7 +45,7 @@ _LINK = D.norm_sql(D.pick_sql("doc_id // 2", BLANKS, v="source"))
     WHERE title_clean <> '' OR source_url_clean <> ''"""
 )
 def drop_unusable(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents")
+    docs = D.table(spark, folder, "documents", heavy=True)
     key = F.col("doc_id")
     records = docs.select(
         key,
@@ -231,7 +231,7 @@ _FIGURE = D.amount_sql(D.pick_sql("o_orderkey", FIGURES, k="o_custkey"))
 )
 def numeric_summary(spark: SparkSession, folder: str) -> DataFrame:
     raw = D.pick(F.col("o_orderkey"), FIGURES, k=F.col("o_custkey"))
-    parsed = D.table(spark, folder, "orders").select(text.plain_number(amounts.parse_amount(raw)).alias("amount_zmw"))
+    parsed = D.table(spark, folder, "orders", heavy=True).select(text.plain_number(amounts.parse_amount(raw)).alias("amount_zmw"))
     return summary.numeric_summary(parsed, F.col("amount_zmw"))
 
 
