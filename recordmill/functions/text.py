@@ -117,7 +117,7 @@ def mentions_any(c: Column, terms: tuple[str, ...]) -> Column:
 
 def safe_stem(c: Column) -> Column:
     """File stem made of ASCII letters, digits, ``_`` and ``-``; at most 100 long."""
-    joined = F.regexp_replace(text_or_empty(c), r"[^A-Za-z0-9_-]+", "_")
+    joined = F.regexp_replace(text_or_empty(c), r"[^\w-]+", "_")
     return head_chars(F.btrim(joined, F.lit("_")), 100)
 
 

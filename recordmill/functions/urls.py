@@ -86,7 +86,7 @@ def safe_filename(url: Column, title: Column) -> Column:
     name = file_name(url)
     made = F.concat(head_chars(title, 60), F.lit("-"), head_chars(F.sha1(url), 10), F.lit(".bin"))
     chosen = F.when(F.contains(name, F.lit(".")), name).otherwise(made)
-    return F.regexp_replace(chosen, r"[^A-Za-z0-9._-]+", "_")
+    return F.regexp_replace(chosen, r"[^\w.-]+", "_")
 
 
 def _prefixed(mark: str, value: Column) -> Column:

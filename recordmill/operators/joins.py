@@ -5,43 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.session import settle
+
 # A key above this many rows is spread over several tasks.
 HOT_ROWS = 1_000_000
 SPREAD = 64
 
 
+def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most ``count(facts) / hot_rows`` of them.
+
+    The count reads the key column only and is combined before its shuffle. It
+    is settled, because both sides of a join use it.
+    """
+    counted = facts.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return settle(counted.filter(F.col("count") > hot_rows).select(key))
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
     how: str = "left",
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     spread: int = SPREAD,
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that has at most one row per ``key``.
 
-    A hot key (one file holding a third of all pages) would put all its rows
-    into one task. Keys with more than ``hot_rows`` rows are found by a count
-    that is combined before its shuffle and reads only the key column. Their
-    rows get a salt from their own content and their lookup row is repeated
-    once per salt; every other row keeps salt 0. The hot list holds at most
-    ``count(facts) / hot_rows`` keys, so it is safe to broadcast. The lookup
-    itself is never forced: Spark broadcasts it when its measured size allows.
+    ``hot`` lists the keys with too many rows for one task, such as a file that
+    holds a third of all pages; it is counted where not given. Without any, this
+    is a plain join, which Spark turns into a broadcast when the measured size
+    of the lookup allows. Else the rows of a hot key get a salt from their own
+    content and its lookup row is repeated once per salt; all other rows keep
+    salt 0. The hot list is short by its definition, so it is broadcast.
     """
-    hot = (
-        facts.groupBy(key).count().filter((F.col("count") > hot_rows) & F.col(key).isNotNull())
-        .select(F.col(key), F.lit(True).alias("_hot"))
-    )
-    salt = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.lit(spread)).cast("int")
-    salted = facts.join(F.broadcast(hot), key, "left").select(
-        *facts.columns, F.when(F.col("_hot"), salt).otherwise(F.lit(0)).alias("_salt")
+    hot = hot_keys(facts, key, hot_rows) if hot is None else hot
+    added = [] if how in ("left_anti", "left_semi") else [name for name in lookup.columns if name != key]
+    if hot.isEmpty():
+        return facts.join(lookup, key, how).select(*facts.columns, *added)
+    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
+    own_salt = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.lit(spread)).cast("int")
+    all_salts = F.sequence(F.lit(0), F.lit(spread - 1))
+    salted = facts.join(marked, key, "left").select(
+        *facts.columns, F.when(F.col("_hot"), own_salt).otherwise(F.lit(0)).alias("_salt")
     )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(F.broadcast(hot), key, "left").select(*lookup.columns, F.explode(salts).alias("_salt"))
-    return salted.join(repeated, [key, "_salt"], how).select(
-        *facts.columns,
-        *([] if how in ("left_anti", "left_semi") else [name for name in lookup.columns if name != key]),
+    repeated = lookup.join(marked, key, "left").select(
+        *lookup.columns, F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))).alias("_salt")
     )
+    return salted.join(repeated, [key, "_salt"], how).select(*facts.columns, *added)
 
 
 def enrich(records: DataFrame, details: DataFrame, key: str) -> DataFrame:

@@ -6,19 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.operators.filters import up_to_page
-from recordmill.operators.joins import lookup_join
-
-
-def take_while(df: DataFrame, listing: str, page: str, stops: Column, max_pages: int | None = None) -> DataFrame:
+from recordmill.operators.joins import HOT_ROWS, lookup_join
+from recordmill.session import settle
+
+
+def take_while(
+    df: DataFrame,
+    listing: str,
+    page: str,
+    stops: Column,
+    max_pages: int | None = None,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
     """Rows of each listing before its first page where ``stops`` holds.
 
-    The first stop per listing is a small combined aggregate. Joining it back
-    keeps a listing with very many pages spread over tasks, which a running
-    window over the listing would not.
+    First stop and size per listing come from one combined aggregate. Joining
+    the stop back keeps a listing with very many pages spread over tasks, which
+    a running window over the listing would not.
     """
     bounded = df if max_pages is None else up_to_page(df, page, max_pages)
-    first_stop = bounded.filter(stops).groupBy(listing).agg(F.min(page).alias("_stop"))
-    joined = lookup_join(bounded, first_stop, listing)
+    first_stop = F.min(F.when(stops, F.col(page)))
+    listings = settle(bounded.groupBy(listing).agg(first_stop.alias("_stop"), F.count("*").alias("_rows")))
+    stopped = listings.filter(F.col("_stop").isNotNull()).select(listing, "_stop")
+    hot = listings.filter((F.col("_rows") > hot_rows) & F.col(listing).isNotNull()).select(listing)
+    joined = lookup_join(bounded, stopped, listing, hot=hot)
     return joined.filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
 
 

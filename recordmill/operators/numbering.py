@@ -13,30 +13,29 @@ _POSITION_BITS = 33
 def number_rows(df: DataFrame, order: list[str | Column], name: str = "row_number") -> DataFrame:
     """Add ``name``: 1, 2, 3, … over the whole table in ``order``.
 
-    One range shuffle sorts the table over many tasks; rows that tie are parted
-    by their content, so equal order values do not pile up in one range. The
-    sorted table is then settled, which freezes each row's range and position
-    (``monotonically_increasing_id`` holds both). Rows per range are counted,
-    and their running sum, one row per range, is broadcast as the offset.
+    Rows must differ (see ``distinct_rows``). Those that tie in ``order`` are
+    parted by their content, so a value shared by many rows does not pile up in
+    one range. One range shuffle sorts the table over many tasks; the sorted
+    table is settled, which fixes each row's range and its position there
+    (``monotonically_increasing_id`` holds both). Rows per range are counted
+    from that one column, and their running sum, a row per range, is broadcast
+    as the offset.
     """
     tie = F.xxhash64(*[F.col(c) for c in df.columns])
     keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    sorted_rows = df.repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
+    in_order = df.repartitionByRange(*keys, tie).sortWithinPartitions(*keys, tie)
     placed = settle(
-        sorted_rows.withColumn("_place", F.monotonically_increasing_id())
+        in_order.withColumn("_place", F.monotonically_increasing_id()).select(
+            *df.columns,
+            F.shiftright("_place", _POSITION_BITS).alias("_range"),
+            F.col("_place").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_position"),
+        )
     )
-    ranged = placed.select(
-        "*",
-        F.shiftright("_place", _POSITION_BITS).alias("_range"),
-        F.expr(f"_place & ((1L << {_POSITION_BITS}) - 1)").alias("_position"),
-    ).drop("_place")
-    sizes = ranged.groupBy("_range").count()
+    sizes = placed.groupBy("_range").count()
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
-    return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_offset") + F.col("_position") + 1)
-        .drop("_range", "_position", "_offset")
+    return placed.join(F.broadcast(offsets), "_range").select(
+        *df.columns, (F.col("_offset") + F.col("_position") + 1).alias(name)
     )
 
 

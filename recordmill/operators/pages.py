@@ -11,7 +11,8 @@ from recordmill.functions import urls as U
 from recordmill.functions.dates import retrieval_stamp
 from recordmill.functions.staging import let
 from recordmill.operators.dedupe import first_by_key
-from recordmill.operators.joins import enrich, lookup_join
+from recordmill.operators.joins import HOT_ROWS, enrich, lookup_join
+from recordmill.session import settle
 
 RESOURCE_COLUMNS = [
     "council", "category", "year_raw", "document_title_raw",
@@ -197,14 +198,17 @@ def articles_with_details(listed: DataFrame, details: DataFrame, order: list[str
     return enrich(first, details, "article_url").select(*order, "position", *NEWS_COLUMNS)
 
 
-def download_manifest(documents: DataFrame, url: str, title: str) -> DataFrame:
-    """Target file name per document, and whether another document has the same one."""
+def download_manifest(documents: DataFrame, url: str, title: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Target file name per document, and whether another document has the same one.
+
+    Names are counted with a combined aggregate and the shared ones joined back,
+    so a name that very many documents share is not gathered in one window.
+    """
     named = documents.withColumn("target_name", U.safe_filename(F.col(url), F.col(title)))
-    shared = (
-        named.groupBy("target_name").count().filter(F.col("count") > 1)
-        .select("target_name", F.lit(True).alias("duplicate_target"))
-    )
-    joined = lookup_join(named, shared, "target_name")
+    repeated = settle(named.groupBy("target_name").count().filter(F.col("count") > 1))
+    shared = repeated.select("target_name", F.lit(True).alias("duplicate_target"))
+    hot = repeated.filter(F.col("count") > hot_rows).select("target_name")
+    joined = lookup_join(named, shared, "target_name", hot=hot)
     return joined.withColumn("duplicate_target", F.coalesce("duplicate_target", F.lit(False)))
 
 

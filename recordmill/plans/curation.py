@@ -55,21 +55,19 @@ def curate(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
     return leading(numbered.withColumns(clean), ["record_id", *spec.preferred])
 
 
-def curation_log(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
-    """Run log ``(seq, dataset, metric, value)`` of a curation: loaded, dropped, removed, written.
+def curation_log(sources: list[DataFrame], spec: CurationSpec, published: DataFrame) -> DataFrame:
+    """Run log ``(seq, dataset, metric, value)``: loaded, dropped, removed, written.
 
-    One combined count per different raw row gives all four numbers.
+    One pass over the sources without a shuffle, and the row count of the
+    published table; what lies between the two are the duplicates.
     """
     merged = merge_by_name(sources)
     clean = spec.derive(merged)
     usable = identified(clean[spec.name_column], clean[spec.url_column])
-    flagged = merged.drop(ORDER).withColumn("_usable", usable)
-    groups = flagged.groupBy(*flagged.columns).agg(F.count("*").alias("n"))
-    totals = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("loaded"),
-        F.coalesce(F.sum(F.when(~F.col("_usable"), F.col("n"))), F.lit(0)).alias("unusable"),
-        F.count_if("_usable").alias("written"),
-    )
+    read = merged.agg(F.count("*").alias("loaded"), F.count_if(~usable).alias("unusable"))
+    written = published.agg(F.count("*").alias("written"))
+    both = read.unionByName(written, allowMissingColumns=True)
+    totals = both.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in both.columns])
     metric = lambda seq, name, value: F.struct(
         F.lit(seq).alias("seq"), F.lit(spec.label).alias("dataset"), F.lit(name).alias("metric"), value.alias("value")
     )
@@ -83,5 +81,3 @@ def curation_log(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
             )
         )
     )
-
-

@@ -66,6 +66,7 @@ def publish(
     for name, sources in default_sources(place).items():
         frames = raw_frames(spark, raw_folder, sources)
         if frames:
-            write_unless_empty(curate(frames, sources.spec), f"{out_folder}/{name}", mode=mode)
-            logs.append(curation_log(frames, sources.spec))
+            published = curate(frames, sources.spec)
+            write_unless_empty(published, f"{out_folder}/{name}", mode=mode)
+            logs.append(curation_log(frames, sources.spec, published))
     return merge_by_name(logs) if logs else None

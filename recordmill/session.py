@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,19 +27,29 @@ def build_session(master: str | None = None, app_name: str = "recordmill", **con
     return builder.getOrCreate()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="recordmill-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="recordmill-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and continue from there.
+
+    This cuts the lineage, so a lost executor costs no more than reading again,
+    and what depended on partitioning is fixed. Unlike a checkpoint the table is
+    columnar: a later pass over one column reads that column only.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

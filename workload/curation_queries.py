@@ -162,17 +162,20 @@ def _log_sql(clean: str, raw: list[str], label: str, name: str, url: str) -> str
 
 @registered(_log_sql(_PROJECT_CLEAN, _PROJECT_COLUMNS, "CDF projects", "project_name_clean", "source_url_clean"))
 def run_log_projects(spark: SparkSession, folder: str) -> DataFrame:
-    return curation_log(project_sources(spark, folder), projects_spec(PLACE))
+    sources = project_sources(spark, folder)
+    return curation_log(sources, projects_spec(PLACE), curate(sources, projects_spec(PLACE)))
 
 
 @registered(_log_sql(_RESOURCE_CLEAN, list(RESOURCES), "Council resources", "document_title_clean", "document_url_clean"))
 def run_log_resources(spark: SparkSession, folder: str) -> DataFrame:
-    return curation_log(resource_sources(spark, folder), resources_spec(PLACE))
+    sources = resource_sources(spark, folder)
+    return curation_log(sources, resources_spec(PLACE), curate(sources, resources_spec(PLACE)))
 
 
 @registered(_log_sql(_NEWS_CLEAN, list(NEWS), "News", "title_clean", "article_url_clean"))
 def run_log_news(spark: SparkSession, folder: str) -> DataFrame:
-    return curation_log(news_sources(spark, folder), news_spec(PLACE))
+    sources = news_sources(spark, folder)
+    return curation_log(sources, news_spec(PLACE), curate(sources, news_spec(PLACE)))
 
 
 PREVIEW = ["record_id", "record_kind", "ward_clean", "project_name_clean", "status_clean", "year_clean", "amount_zmw"]

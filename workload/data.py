@@ -25,15 +25,11 @@ def _parts(template: str) -> list[str]:
 
 
 def pick(key: Column, templates: list[str], **values: Column) -> Column:
-    """The template at ``key mod n``, filled with the values of the row."""
-
-    def fill(template: str) -> Column:
-        parts = [values[p[1:-1]].cast("string") if p.startswith("{") else F.lit(p) for p in _parts(template)]
-        return F.concat(*parts) if parts else F.lit("")
-
-    out = fill(templates[-1])
-    for i, template in reversed(list(enumerate(templates[:-1]))):
-        out = F.when(key % len(templates) == i, fill(template)).otherwise(out)
+    """The template at ``key mod n``, filled with the values of the row, free text last."""
+    out = F.get(F.array(*[F.lit(template) for template in templates]), (key % len(templates)).cast("int"))
+    for name, value in values.items():
+        if any(f"{{{name}}}" in template for template in templates):
+            out = F.replace(out, F.lit(f"{{{name}}}"), value.cast("string"))
     return out
 
 
