@@ -33,7 +33,7 @@ def _month_numbers() -> Column:
 
 
 def _at_midnight(year: Column, month: Column, day: Column) -> Column:
-    return F.concat_ws("-", year, month, day).try_cast("timestamp_ntz")
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("timestamp_ntz")
 
 
 def _iso_utc(s: Column) -> Column:
