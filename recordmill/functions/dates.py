@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordmill.functions.staging import literal_map
 from recordmill.functions.text import MONTHS, norm_ws
 
 _ISO = (
@@ -23,13 +24,11 @@ _DAY_FIRST = r"^([0-9]{1,2}) ([A-Za-z]+)\.?,? ([0-9]{4})$"
 _NUMERIC = r"^([0-9]{1,2})([/-])([0-9]{1,2})\2([0-9]{4})$"
 
 
-def _month_numbers() -> Column:
-    pairs: list[Column] = []
-    for number, name in enumerate(MONTHS, start=1):
-        spellings = {name.lower(), name[:3].lower()} | ({"sept"} if name == "September" else set())
-        for spelling in sorted(spellings):
-            pairs += [F.lit(spelling), F.lit(str(number))]
-    return F.create_map(*pairs)
+_MONTH_NUMBERS = {
+    **{name.lower(): str(number) for number, name in enumerate(MONTHS, start=1)},
+    **{name[:3].lower(): str(number) for number, name in enumerate(MONTHS, start=1)},
+    "sept": "9",
+}
 
 
 def _at_midnight(year: Column, month: Column, day: Column) -> Column:
@@ -47,7 +46,7 @@ def _iso_utc(s: Column) -> Column:
 
 
 def _named(s: Column, pattern: str, month: int, day: int) -> Column:
-    number = F.try_element_at(_month_numbers(), F.lower(F.regexp_extract(s, pattern, month)))
+    number = F.try_element_at(literal_map(_MONTH_NUMBERS), F.lower(F.regexp_extract(s, pattern, month)))
     return _at_midnight(F.regexp_extract(s, pattern, 3), number, F.regexp_extract(s, pattern, day))
 
 

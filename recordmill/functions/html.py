@@ -13,7 +13,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from recordmill.functions.staging import let
+from recordmill.functions.staging import let, literal_map
 from recordmill.functions.text import norm_ws, text_or_empty
 
 _HIDDEN = (
@@ -50,7 +50,7 @@ def _code_point(name: Column) -> Column:
 
 def decode_entities(c: Column) -> Column:
     """Replace each ``&name;`` and ``&#n;`` once; unknown names stay as written."""
-    table = F.create_map(*[F.lit(text) for pair in _ENTITIES.items() for text in pair])
+    table = literal_map(_ENTITIES)
 
     def after_mark(piece: Column) -> Column:
         name = F.substring_index(piece, ";", 1)

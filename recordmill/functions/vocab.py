@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recordmill.functions.staging import literal_map
 from recordmill.functions.text import lower_tidy, norm_ws, title_case
 
 # Project status words and the status they stand for.
@@ -59,8 +60,7 @@ def ward_words(town: str) -> dict[str, str]:
 
 
 def _found(c: Column, words: dict[str, str]) -> Column:
-    pairs = [F.lit(text) for pair in words.items() for text in pair]
-    return F.try_element_at(F.create_map(*pairs), lower_tidy(c))
+    return F.try_element_at(literal_map(words), lower_tidy(c))
 
 
 def from_words(c: Column, words: dict[str, str], default: str) -> Column:

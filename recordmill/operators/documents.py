@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordmill.functions.staging import let
 from recordmill.functions.text import mentions_any, norm_ws, safe_stem
 from recordmill.functions.urls import extension, last_segment
 from recordmill.operators.dedupe import first_by_key
 from recordmill.operators.joins import lookup_join
+from recordmill.operators.reshape import numbered_items
 
 # Phrases that mark a page as evidence.
 EVIDENCE_TERMS = ("cdf", "constituency development fund", "community project", "ward development")
@@ -53,12 +55,13 @@ def padded(cells: Column) -> Column:
     """Every row filled up with nulls to the width of its table."""
     nothing = F.array().cast("array<string>")
 
-    def fill(row: Column) -> Column:
-        have = F.coalesce(row, nothing)
-        gap = table_width(cells) - F.size(have)
-        return F.concat(have, F.array_repeat(F.lit(None).cast("string"), gap))
+    def fill(row: Column, width: Column) -> Column:
+        return let(
+            F.coalesce(row, nothing),
+            lambda have: F.concat(have, F.array_repeat(F.lit(None).cast("string"), width - F.size(have))),
+        )
 
-    return F.transform(cells, fill)
+    return let(table_width(cells), lambda width: F.transform(cells, lambda row: fill(row, width)))
 
 
 def table_file(source_file: Column, page: Column, table_number: Column) -> Column:
@@ -69,9 +72,8 @@ def table_file(source_file: Column, page: Column, table_number: Column) -> Colum
 
 def page_tables(pages: DataFrame, tables: str = "tables") -> DataFrame:
     """One row per table of a page, numbered from 1; empty tables keep their number but no row."""
-    return pages.select(
-        *[c for c in pages.columns if c != tables], F.posexplode(tables).alias("_at", "cells")
-    ).withColumn("table_number", F.col("_at") + 1).drop("_at").filter(F.size("cells") > 0)
+    keep = [c for c in pages.columns if c != tables]
+    return numbered_items(pages, F.col(tables), "table_number", "cells", keep).filter(F.size("cells") > 0)
 
 
 def table_manifest(pages: DataFrame, files: DataFrame, terms: tuple[str, ...] = EVIDENCE_TERMS) -> DataFrame:
@@ -95,9 +97,7 @@ def table_cells(pages: DataFrame) -> DataFrame:
         table_file(F.col("source_file"), F.col("page"), F.col("table_number")).alias("table_file"),
         padded(F.col("cells")).alias("_rows"),
     )
-    return tables.select("source_file", "table_file", F.posexplode("_rows").alias("_at", "cells")).select(
-        "source_file", "table_file", (F.col("_at") + 1).alias("row_number"), "cells"
-    )
+    return numbered_items(tables, F.col("_rows"), "row_number", "cells", ["source_file", "table_file"])
 
 
 def document_totals(page_text: DataFrame, terms: tuple[str, ...] = EVIDENCE_TERMS) -> DataFrame:

@@ -12,6 +12,7 @@ from recordmill.functions.dates import retrieval_stamp
 from recordmill.functions.staging import let
 from recordmill.operators.dedupe import first_by_key
 from recordmill.operators.joins import HOT_ROWS, enrich, lookup_join
+from recordmill.operators.reshape import numbered_items
 from recordmill.session import settle
 
 RESOURCE_COLUMNS = [
@@ -27,14 +28,11 @@ NEWS_COLUMNS = [
 
 def page_links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
     """One row per link of a page: ``keep``, position, href, title and absolute URL."""
-    found = pages.select(
-        *keep,
-        U.url_parts(F.col(url)).alias("_page"),
-        F.posexplode(H.anchors(H.visible(F.col(html)))).alias("_at", "_link"),
-    )
+    links = H.anchors(H.visible(F.col(html)))
+    found = numbered_items(pages, links, "position", "_link", [*keep, U.url_parts(F.col(url)).alias("_page")])
     return found.select(
         *keep,
-        (F.col("_at") + 1).alias("position"),
+        "position",
         F.col("_link.href").alias("href"),
         F.col("_link.text").alias("link_title"),
         U.url_join(F.col("_page"), F.col("_link.href")).alias("link_url"),
@@ -148,12 +146,11 @@ def article_listing(
     if fallback:
         headed = _headed_articles(F.col("_page"), F.col("_html"), domain)
         found = let(found, lambda marked: F.when(F.size(marked) == 0, headed).otherwise(marked))
-    listed = prepared.withColumn("_articles", found)
-    rows = listed.select(*keep, "source_listing_page", F.posexplode("_articles").alias("_at", "_article"))
+    rows = numbered_items(prepared, found, "position", "_article", [*keep, "source_listing_page"])
     stamp = retrieval_stamp() if retrieved_at is None else retrieved_at
     wide = rows.select(
         *keep,
-        (F.col("_at") + 1).alias("position"),
+        "position",
         council.alias("council"),
         "_article.*",
         "source_listing_page",

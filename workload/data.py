@@ -129,7 +129,9 @@ def date_sql(e: str) -> str:
     v = norm_sql(e)
     forms = ["%Y-%m-%d", "%B %d, %Y", "%b %d, %Y", "%d %B %Y", "%d %b %Y", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y"]
     tries = ", ".join(f"strftime(try_strptime({v}, '{form}'), '%Y-%m-%d')" for form in forms)
-    stamped = f"strftime(try_cast({v} AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%d')"
+    stamped = f"""CASE WHEN regexp_matches({v}, '[+-][0-9:]+$')
+      THEN strftime(try_cast({v} AS TIMESTAMPTZ) AT TIME ZONE 'UTC', '%Y-%m-%d')
+      ELSE strftime(try_cast({v} AS TIMESTAMP), '%Y-%m-%d') END"""
     return f"coalesce(CASE WHEN contains({v}, ':') THEN {stamped} END, {tries}, '')"
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.text import mentions_any
 from recordmill.operators import documents as O
+from recordmill.operators.reshape import numbered_items
 from workload import registered
 from workload import data as D
 
@@ -26,9 +27,8 @@ _PAGES = """page_text AS (SELECT CAST(doc_id AS VARCHAR) || '.html' AS source_fi
 
 def page_text(spark: SparkSession, folder: str) -> DataFrame:
     docs = D.table(spark, folder, "documents", heavy=True)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text"))
     file = F.concat(F.col("doc_id").cast("string"), F.lit(".html"))
-    return lines.select(file.alias("source_file"), (F.col("at") + 1).alias("page"), "text")
+    return numbered_items(docs, F.split("text", "\n"), "page", "text", [file.alias("source_file")])
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:

@@ -101,16 +101,16 @@ def repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered(
     """SELECT 'ORD' || CASE WHEN n < 10000 THEN lpad(CAST(n AS VARCHAR), 4, '0') ELSE CAST(n AS VARCHAR) END AS record_id,
-      o_orderkey, o_orderdate FROM
+      o_orderkey FROM
       (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS n FROM orders)"""
 )
 def record_id(spark: SparkSession, folder: str) -> DataFrame:
     orders = D.table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    return numbering.add_record_id(orders, "ORD", ["o_orderdate", "o_orderkey"])
+    return numbering.add_record_id(orders, "ORD", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @registered(
-    """SELECT l_orderkey, l_linenumber, l_shipdate,
+    """SELECT l_orderkey, l_linenumber,
       row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS n
     FROM lineitem"""
 )
@@ -119,7 +119,7 @@ def line_numbers(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"
     )
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return numbering.number_rows(lines, order, "n").drop("l_partkey", "l_suppkey")
+    return numbering.number_rows(lines, order, "n").drop("l_shipdate", "l_partkey", "l_suppkey")
 
 
 _STOP = "strpos(text, '###') > 0"
