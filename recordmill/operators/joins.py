@@ -7,19 +7,18 @@ from pyspark.sql import functions as F
 
 from recordmill.session import settle
 
-# A key above this many rows is spread over several tasks.
+# A key with more rows than this is spread over several tasks.
 HOT_ROWS = 1_000_000
-SPREAD = 64
 
 
 def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``count(facts) / hot_rows`` of them.
+    """Keys with more than ``hot_rows`` rows, and their ``rows``: at most ``count(facts) / hot_rows`` of them.
 
     The count reads the key column only and is combined before its shuffle. It
     is settled, because both sides of a join use it.
     """
-    counted = facts.filter(F.col(key).isNotNull()).groupBy(key).count()
-    return settle(counted.filter(F.col("count") > hot_rows).select(key))
+    counted = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    return settle(counted.filter(F.col("rows") > hot_rows))
 
 
 def lookup_join(
@@ -29,30 +28,28 @@ def lookup_join(
     how: str = "left",
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Join ``facts`` to a ``lookup`` that has at most one row per ``key``.
 
     ``hot`` lists the keys with too many rows for one task, such as a file that
-    holds a third of all pages; it is counted where not given. Without any, this
-    is a plain join, which Spark turns into a broadcast when the measured size
-    of the lookup allows. Else the rows of a hot key get a salt from their own
-    content and its lookup row is repeated once per salt; all other rows keep
-    salt 0. The hot list is short by its definition, so it is broadcast.
+    holds a third of all pages, with their ``rows``; it is counted where not
+    given. Without any, this is a plain join, which Spark turns into a broadcast
+    when the measured size of the lookup allows. Else the rows of a hot key get
+    a salt from their content, one salt per ``hot_rows`` rows, and its lookup
+    row is repeated once per salt; all other rows have salt 0. Both the hot list
+    and the repeated rows stay below ``count(facts) / hot_rows``, which bounds
+    the broadcast.
     """
     hot = hot_keys(facts, key, hot_rows) if hot is None else hot
     added = [] if how in ("left_anti", "left_semi") else [name for name in lookup.columns if name != key]
     if hot.isEmpty():
         return facts.join(lookup, key, how).select(*facts.columns, *added)
-    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    own_salt = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.lit(spread)).cast("int")
-    all_salts = F.sequence(F.lit(0), F.lit(spread - 1))
-    salted = facts.join(marked, key, "left").select(
-        *facts.columns, F.when(F.col("_hot"), own_salt).otherwise(F.lit(0)).alias("_salt")
-    )
-    repeated = lookup.join(marked, key, "left").select(
-        *lookup.columns, F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))).alias("_salt")
-    )
+    salts = F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int")
+    marked = F.broadcast(hot.select(key, salts.alias("_salts")))
+    own_salt = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.col("_salts")).cast("int")
+    salted = facts.join(marked, key, "left").select(*facts.columns, F.coalesce(own_salt, F.lit(0)).alias("_salt"))
+    all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    repeated = lookup.join(marked, key, "left").select(*lookup.columns, F.explode(all_salts).alias("_salt"))
     return salted.join(repeated, [key, "_salt"], how).select(*facts.columns, *added)
 
 

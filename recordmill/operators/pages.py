@@ -27,15 +27,23 @@ NEWS_COLUMNS = [
 
 
 def page_links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
-    """One row per link of a page: ``keep``, position, href, title and absolute URL."""
-    links = H.anchors(H.visible(F.col(html)))
-    found = numbered_items(pages, links, "position", "_link", [*keep, U.url_parts(F.col(url)).alias("_page")])
-    return found.select(
+    """One row per link of a page: ``keep``, position, href, title and absolute URL.
+
+    The URL is made inside the array, so that filters on it, which the optimizer
+    moves down to the exploded rows, do not join it again.
+    """
+    prepared = pages.select(
+        *keep, U.url_parts(F.col(url)).alias("_page"), H.anchors(H.visible(F.col(html))).alias("_anchors")
+    )
+    links = F.transform(
+        "_anchors", lambda a: F.struct(a["href"].alias("href"), a["text"].alias("text"), U.url_join(F.col("_page"), a["href"]).alias("url"))
+    )
+    return numbered_items(prepared, links, "position", "_link", keep).select(
         *keep,
         "position",
         F.col("_link.href").alias("href"),
         F.col("_link.text").alias("link_title"),
-        U.url_join(F.col("_page"), F.col("_link.href")).alias("link_url"),
+        F.col("_link.url").alias("link_url"),
     )
 
 
@@ -124,15 +132,8 @@ def _headed_articles(page: Column, html: Column, domain: str) -> Column:
     return F.filter(F.transform(H.heading_sections(html), one), lambda a: a.isNotNull())
 
 
-def article_listing(
-    pages: DataFrame,
-    council: Column,
-    domain: str,
-    keep: list[str],
-    fallback: bool = True,
-    retrieved_at: Column | None = None,
-) -> DataFrame:
-    """One row per article block of a listing page; its first heading's link names it.
+def listed_articles(pages: DataFrame, domain: str, keep: list[str], fallback: bool = True) -> DataFrame:
+    """Each listing page with the array of its ``articles``, one per article block.
 
     A page without any such article falls back to its ``h2``-``h4`` headings
     with a link. Both lists stay inside the page's own row, so no join and no
@@ -146,8 +147,15 @@ def article_listing(
     if fallback:
         headed = _headed_articles(F.col("_page"), F.col("_html"), domain)
         found = let(found, lambda marked: F.when(F.size(marked) == 0, headed).otherwise(marked))
-    rows = numbered_items(prepared, found, "position", "_article", [*keep, "source_listing_page"])
+    return prepared.select(*keep, "source_listing_page", found.alias("articles"))
+
+
+def article_rows(
+    listed: DataFrame, council: Column, keep: list[str], retrieved_at: Column | None = None
+) -> DataFrame:
+    """One news row per listed article; text and documents are still empty."""
     stamp = retrieval_stamp() if retrieved_at is None else retrieved_at
+    rows = numbered_items(listed, F.col("articles"), "position", "_article", [*keep, "source_listing_page"])
     wide = rows.select(
         *keep,
         "position",
@@ -161,6 +169,18 @@ def article_listing(
     return wide.select(*keep, "position", *NEWS_COLUMNS)
 
 
+def article_listing(
+    pages: DataFrame,
+    council: Column,
+    domain: str,
+    keep: list[str],
+    fallback: bool = True,
+    retrieved_at: Column | None = None,
+) -> DataFrame:
+    """News rows of listing pages: the title link, date and excerpt of each article."""
+    return article_rows(listed_articles(pages, domain, keep, fallback), council, keep, retrieved_at)
+
+
 def article_details(
     pages: DataFrame,
     domain: str,
@@ -202,10 +222,10 @@ def download_manifest(documents: DataFrame, url: str, title: str, hot_rows: int
     so a name that very many documents share is not gathered in one window.
     """
     named = documents.withColumn("target_name", U.safe_filename(F.col(url), F.col(title)))
-    repeated = settle(named.groupBy("target_name").count().filter(F.col("count") > 1))
+    repeated = settle(named.groupBy("target_name").agg(F.count("*").alias("rows")).filter(F.col("rows") > 1))
     shared = repeated.select("target_name", F.lit(True).alias("duplicate_target"))
-    hot = repeated.filter(F.col("count") > hot_rows).select("target_name")
-    joined = lookup_join(named, shared, "target_name", hot=hot)
+    hot = repeated.filter(F.col("rows") > hot_rows)
+    joined = lookup_join(named, shared, "target_name", hot=hot, hot_rows=hot_rows)
     return joined.withColumn("duplicate_target", F.coalesce("duplicate_target", F.lit(False)))
 
 

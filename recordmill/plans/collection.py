@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from recordmill.functions.urls import DOCUMENT_EXTENSIONS, DOCUMENT_PATHS
-from recordmill.operators.pages import article_details, article_listing, articles_with_details
+from recordmill.operators.listing import take_while
+from recordmill.operators.pages import article_details, article_rows, articles_with_details, listed_articles
+from recordmill.session import settle
 
 
 def collect_news(
@@ -13,13 +16,22 @@ def collect_news(
     articles: DataFrame,
     council: Column,
     domain: str,
-    order: list[str],
+    max_pages: int = 10,
     fetch_details: bool = True,
     extensions: tuple[str, ...] = DOCUMENT_EXTENSIONS,
     paths: tuple[str, ...] = DOCUMENT_PATHS,
     retrieved_at: Column | None = None,
 ) -> DataFrame:
-    """News rows of listing pages, each article once, with its own page's text if wanted."""
-    listed = article_listing(listings, council, domain, order, retrieved_at=retrieved_at)
-    details = article_details(articles, domain, order, extensions, paths)
-    return articles_with_details(listed, details if fetch_details else details.limit(0), order)
+    """News rows of the listing pages, each article once, with its own page's text if wanted.
+
+    ``listings`` has ``(listing, page, url, html)``; a page without HTML failed.
+    Each listing is read up to its first page that failed or has no article, and
+    no further than ``max_pages``. Pages are parsed once: what was found in them
+    is settled before the stops are known. ``articles`` has ``(page_id, url, html)``.
+    """
+    order = ["listing", "page"]
+    found = settle(listed_articles(listings.filter(F.col("page") <= max_pages), domain, order))
+    counted = take_while(found, "listing", "page", F.size("articles") == 0, max_pages)
+    rows = article_rows(counted, council, order, retrieved_at)
+    details = article_details(articles, domain, ["page_id"], extensions, paths)
+    return articles_with_details(rows, details if fetch_details else details.limit(0), order)

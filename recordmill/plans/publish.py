@@ -37,34 +37,38 @@ def default_sources(place: Place) -> dict[str, Sources]:
     }
 
 
-def audit_folder(spark: SparkSession, folder: str) -> DataFrame:
+def audit_folder(spark: SparkSession, folder: str, **read_options) -> DataFrame:
     """Issue table over every expected file of a raw folder."""
     return audit(
         spark,
         [
-            Collected(f"{name}.csv", try_read_pipe_csv(spark, f"{folder}/{name}.csv"), required)
+            Collected(f"{name}.csv", try_read_pipe_csv(spark, f"{folder}/{name}.csv", **read_options), required)
             for name, required in REQUIRED_COLUMNS.items()
         ],
     )
 
 
-def raw_frames(spark: SparkSession, folder: str, sources: Sources) -> list[DataFrame]:
+def raw_frames(spark: SparkSession, folder: str, sources: Sources, **read_options) -> list[DataFrame]:
     """The raw tables that exist, in their order; a missing file is left out."""
     frames = []
     for rank, (dataset, tags) in enumerate(sources.inputs):
-        raw = try_read_pipe_csv(spark, f"{folder}/{dataset}.csv", file_order=True)
+        raw = try_read_pipe_csv(spark, f"{folder}/{dataset}.csv", file_order=True, **read_options)
         if raw is not None:
             frames.append(collected(raw, F.col(FILE_ORDER), rank, **tags).drop(FILE_ORDER))
     return frames
 
 
 def publish(
-    spark: SparkSession, raw_folder: str, out_folder: str, place: Place, mode: str = "errorifexists"
+    spark: SparkSession, raw_folder: str, out_folder: str, place: Place, mode: str = "errorifexists", **read_options
 ) -> DataFrame | None:
-    """Curate each table whose raw files exist, write the non-empty ones, return the run log."""
+    """Curate each table whose raw files exist, write the non-empty ones, return the run log.
+
+    ``read_options`` go to ``try_read_pipe_csv``: ``multi_line=False`` lets large
+    files without quoted line breaks be split over tasks.
+    """
     logs = []
     for name, sources in default_sources(place).items():
-        frames = raw_frames(spark, raw_folder, sources)
+        frames = raw_frames(spark, raw_folder, sources, **read_options)
         if frames:
             published = curate(frames, sources.spec)
             write_unless_empty(published, f"{out_folder}/{name}", mode=mode)

@@ -82,14 +82,18 @@ def test_long_article_text_is_bounded(spark):
 
 def test_collect_news(spark):
     pages = table(spark)
-    listings, articles = pages.filter("page_id in (3, 4)"), pages.filter("page_id >= 10")
-    news = collect_news(listings, articles, F.lit("River Council"), "river.example", ["page_id"], retrieved_at=F.lit("t"))
+    articles = pages.filter("page_id >= 10")
+    numbers = {3: ("a", 1), 4: ("a", 2), 1: ("a", 3), 10: ("a", 4), 12: ("b", 1), 2: ("b", 12)}
+    placed = spark.createDataFrame([(k, *v) for k, v in numbers.items()], "page_id long, listing string, page int")
+    listings = pages.join(placed, "page_id")
+    news = collect_news(listings, articles, F.lit("River Council"), "river.example", retrieved_at=F.lit("t"))
     got = {r.article_url.removeprefix(SITE): (r.title_raw, r.article_text_raw) for r in news.collect()}
     assert got == {
         "/?p=10": ("Bridge opened", "Full text b a b c"), "/?p=12": ("School built", "Second"), "/?p=20": ("Road report", ""),
     }
-    bare = collect_news(listings, articles, F.lit("C"), "river.example", ["page_id"], fetch_details=False)
-    assert {r.article_text_raw for r in bare.collect()} == {""}
+    failed = listings.withColumn("html", F.when(F.col("page") < 2, F.col("html")))
+    bare = collect_news(failed, articles, F.lit("C"), "river.example", fetch_details=False)
+    assert {(r.page, r.article_url.removeprefix(SITE), r.article_text_raw) for r in bare.collect()} == {(1, "/?p=10", ""), (1, "/?p=12", "")}
 
 
 def test_download_manifest(spark):

@@ -196,7 +196,7 @@ def skewed_lookup(spark: SparkSession, folder: str) -> DataFrame:
     orders = D.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     placed = joins.lookup_join(orders, customer, "o_custkey")
     nations = D.table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-    named = joins.lookup_join(placed, nations, "n_nationkey", hot_rows=100, spread=8)
+    named = joins.lookup_join(placed, nations, "n_nationkey", hot_rows=100)
     return named.select("o_orderkey", "nation", "o_orderpriority")
 
 
