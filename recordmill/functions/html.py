@@ -24,7 +24,10 @@ _HIDDEN = (
 # The rest of an opening tag; a quote only counts after an equals sign.
 _TAG_REST = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+>"""
 _TAG = rf"(?s)</?[A-Za-z]{_TAG_REST}|<![A-Za-z][^>]*>|<\?[^>]*>"
-_HREF = r"""(?is)(?:^|[\s"'])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+_QUOTED = r"""(?:"[^"]*"|'[^']*')"""
+# Quoted attributes of a tag; group 1 is the one that is an href.
+_ATTRIBUTE = rf"""(?is)(?<![\w-])(?:(href\s*=\s*{_QUOTED})|[\w:.-]+\s*=\s*{_QUOTED})"""
+_HREF = r"""(?is)(?:^|\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _CLASS = r"""(?is)<([a-z][a-z0-9]*)(?=\s)[^>]*?\sclass\s*=\s*(?:"[^"]*|'[^']*|)(?<![\w-])(?:%s)(?![\w-])"""
 
 _ALL = 1 << 30
@@ -95,12 +98,17 @@ def _unquoted(value: Column) -> Column:
     return F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
+def _href(attributes: Column) -> Column:
+    """The ``href`` as written; other quoted values are dropped first, since they may hold the word."""
+    return F.regexp_extract(F.regexp_replace(attributes, _ATTRIBUTE, " $1"), _HREF, 1)
+
+
 def _linked(html: Column) -> Column:
     """Anchors with an ``href``, in order, as written: array of (href, inner)."""
     raw = F.transform(
         pieces_from(html, "a"),
         lambda piece: F.struct(
-            F.regexp_extract(tag_attributes(piece), _HREF, 1).alias("href"),
+            _href(tag_attributes(piece)).alias("href"),
             inner_html(piece, "a").alias("inner"),
         ),
     )

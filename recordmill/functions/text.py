@@ -16,7 +16,7 @@ WHITESPACE_CHARS = (
 # plain space. Text that is tidy already is not rewritten.
 _UNTIDY = rf"{WHITESPACE}(?:{WHITESPACE}+|(?<! ))"
 
-# Month names as written in article headers.
+# Month names, and the date of an article header made of them.
 MONTHS = (
     "January", "February", "March", "April", "May", "June", "July",
     "August", "September", "October", "November", "December",

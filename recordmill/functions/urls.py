@@ -42,7 +42,7 @@ def url_path(url: Column) -> Column:
 
 def last_segment(path: Column) -> Column:
     """Name after the last slash; slashes and ``/.`` at the end do not count."""
-    return F.regexp_extract(F.regexp_replace(path, r"(?:/\.?)+$", ""), r"([^/]*)$", 1)
+    return F.substring_index(F.regexp_replace(path, r"(?:/\.?)+$", ""), "/", -1)
 
 
 def file_name(url: Column) -> Column:
@@ -120,7 +120,8 @@ def _joined(base: Column, link: Column, to: Column) -> Column:
         F.when(base["scheme"] == "", F.lit("")).otherwise(F.concat(base["scheme"], F.lit(":"))),
         _prefixed("//", base["host"]),
     )
-    folder = F.regexp_replace(base["path"], r"[^/]*$", "")
+    name = F.substring_index(base["path"], "/", -1)
+    folder = F.substring(base["path"], F.lit(1), F.length(base["path"]) - F.length(name))
     merged = F.when(F.startswith(path, F.lit("/")), path).otherwise(
         F.regexp_replace(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), path), r"/{2,}", "/")
     )

@@ -58,16 +58,33 @@ def raw_frames(spark: SparkSession, folder: str, sources: Sources, **read_option
     return frames
 
 
+def failed_files(issues: DataFrame) -> set[str]:
+    """Names of the audited files with an error: at most one per expected file."""
+    errors = issues.filter(F.col("severity") == "error").select("file_name").distinct()
+    return {row.file_name for row in errors.collect()}
+
+
 def publish(
-    spark: SparkSession, raw_folder: str, out_folder: str, place: Place, mode: str = "errorifexists", **read_options
+    spark: SparkSession,
+    raw_folder: str,
+    out_folder: str,
+    place: Place,
+    issues: DataFrame | None = None,
+    mode: str = "errorifexists",
+    **read_options,
 ) -> DataFrame | None:
     """Curate each table whose raw files exist, write the non-empty ones, return the run log.
 
-    ``read_options`` go to ``try_read_pipe_csv``: ``multi_line=False`` lets large
-    files without quoted line breaks be split over tasks.
+    With the ``issues`` of an audit, tables with an error in one of their raw
+    files are left out. ``read_options`` go to ``try_read_pipe_csv``:
+    ``multi_line=False`` lets large files without quoted line breaks be split
+    over tasks.
     """
+    failed = set() if issues is None else failed_files(issues)
     logs = []
     for name, sources in default_sources(place).items():
+        if failed & {f"{dataset}.csv" for dataset, _ in sources.inputs}:
+            continue
         frames = raw_frames(spark, raw_folder, sources, **read_options)
         if frames:
             published = curate(frames, sources.spec)

@@ -102,6 +102,14 @@ def test_missing_and_empty_inputs(spark, tmp_path):
     assert publish(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"), PLACE) is None
 
 
+def test_tables_with_an_error_are_not_published(spark, raw, tmp_path):
+    (tmp_path / "news.csv").write_text(NEWS.splitlines()[0] + "\n", encoding="utf-8")
+    (tmp_path / "resource_index.csv").write_text(RESOURCES, encoding="utf-8")
+    log = publish(spark, str(tmp_path), str(tmp_path / "out"), PLACE, issues=audit_folder(spark, str(tmp_path)))
+    assert {r.dataset for r in log.collect()} == {"Council resources"}
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["council_resources"]
+
+
 def test_audit_of_a_folder(spark, raw):
     found = {(r.file_name, r.severity, r.check): r.details for r in audit_folder(spark, raw).collect()}
     assert found[("resource_index.csv", "warning", "duplicate_url")] == "1 repeated document_url value(s)"

@@ -52,6 +52,15 @@ def test_anchors(apply):
     assert apply(H.first_anchor, ["<p>none</p>"]) == [None]
 
 
+def test_href_is_an_attribute_of_its_own(apply):
+    values = [
+        """<a title="x href=/no" href="/y?q='1'&z='2'">t</a>""", "<a data-href='/no' rel=x>t</a>", "<a rel='x'href=/z>t</a>",
+        "<a HREF = /w class='href=/no'>t</a>",
+    ]
+    got = apply(H.anchors, values)
+    assert [[a.href for a in links] for links in got] == [["/y?q='1'&z='2'"], [], ["/z"], ["/w"]]
+
+
 def test_anchors_of_collected_pages_against_a_parser(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r.page_id: [tuple(a) for a in r.links] for r in
@@ -97,6 +106,8 @@ def test_long_pages_stay_linear(apply):
     page = "<a href=/x>" * 20000 + "<!--" * 20000
     (found,) = apply(lambda c: F.size(H.anchors(H.visible(c))), [page])
     assert found == 20000
+    (sections,) = apply(lambda c: F.size(H.heading_sections(c)), ["<h2>a</h2>" + "x < y " * 200000 + "<h3>b</h3>"])
+    assert sections == 2
     quotes = '<p title="' + "x'" * 50000 + '">end</p>'
     assert apply(H.text_of, [quotes]) == ["end"]
     assert re.sub("x", "", apply(H.text_of, ["<" * 50000])[0]) == "<" * 50000

@@ -118,6 +118,7 @@ def amount_sql(e: str) -> str:
 
 
 def mention_sql(e: str) -> str:
+    # Fixed value: the pattern of a mentioned amount.
     pattern = r"([0-9]+(?:[.,][0-9]+)?)\s*[-\s]*(million|billion)?\s*[-\s]*kwacha"
     return f"""(try_cast(replace(regexp_extract({e}, '{pattern}', 1, 'i'), ',', '') AS DOUBLE)
       * (CASE lower(regexp_extract({e}, '{pattern}', 2, 'i'))
