@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from recordmill.operators.columns import leading, merge_by_name, normalise_strings
 from recordmill.operators.dedupe import distinct_rows
@@ -35,12 +37,24 @@ class CurationSpec:
     url_column: str
 
 
+def _input_order(df: DataFrame, order: Column, rank: int) -> Column:
+    """One sortable value for source and place.
+
+    Whole numbers become one decimal, whose smallest value a hash aggregate can
+    keep; any other order is a struct, for which Spark sorts the rows instead.
+    """
+    if isinstance(df.select(order.alias("o")).schema["o"].dataType, IntegralType):
+        return (F.lit(Decimal(rank * 10**20)) + order.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return F.struct(F.lit(rank).alias("source"), order.alias("place"))
+
+
 def collected(df: DataFrame, order: Column, rank: int = 0, **tags: str) -> DataFrame:
     """A raw table ready for curation: tidy strings, constant tags, its input order.
 
-    ``rank`` puts the rows of one source before those of the next.
+    ``rank`` puts the rows of one source before those of the next. The sources
+    of one table need orders of one kind, all whole numbers or all file orders.
     """
-    tagged = df.select("*", F.struct(F.lit(rank).alias("source"), order.alias("place")).alias(ORDER))
+    tagged = df.select("*", _input_order(df, order, rank).alias(ORDER))
     tidy = normalise_strings(tagged)
     return tidy.withColumns({name: F.lit(value) for name, value in tags.items()}) if tags else tidy
 
