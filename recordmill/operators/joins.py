@@ -15,9 +15,9 @@ def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, and their ``rows``: at most ``count(facts) / hot_rows`` of them.
 
     The count reads the key column only and is combined before its shuffle. It
-    is settled, because both sides of a join use it.
+    is settled, because both sides of a join use it. Null counts as a key here.
     """
-    counted = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    counted = facts.groupBy(key).agg(F.count("*").alias("rows"))
     return settle(counted.filter(F.col("rows") > hot_rows))
 
 
@@ -36,7 +36,8 @@ def lookup_join(
     given. Without any, this is a plain join, which Spark turns into a broadcast
     when the measured size of the lookup allows. Else the rows of a hot key get
     a salt from their content, one salt per ``hot_rows`` rows, and its lookup
-    row is repeated once per salt; all other rows have salt 0. Both the hot list
+    row is repeated once per salt; all other rows have salt 0. Null keys match
+    nothing and are spread by their content. Both the hot list
     and the repeated rows stay below ``count(facts) / hot_rows``, which bounds
     the broadcast.
     """
@@ -46,8 +47,11 @@ def lookup_join(
         return facts.join(lookup, key, how).select(*facts.columns, *added)
     salts = F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int")
     marked = F.broadcast(hot.select(key, salts.alias("_salts")))
-    own_salt = F.pmod(F.xxhash64(*[F.col(name) for name in facts.columns]), F.col("_salts")).cast("int")
-    salted = facts.join(marked, key, "left").select(*facts.columns, F.coalesce(own_salt, F.lit(0)).alias("_salt"))
+    content = F.xxhash64(*[F.col(name) for name in facts.columns])
+    own_salt = F.coalesce(F.pmod(content, F.col("_salts")).cast("int"), F.lit(0))
+    any_salt = F.pmod(content, F.lit(2**31 - 1)).cast("int")
+    salt = F.when(F.col(key).isNull(), any_salt).otherwise(own_salt)
+    salted = facts.join(marked, key, "left").select(*facts.columns, salt.alias("_salt"))
     all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     repeated = lookup.join(marked, key, "left").select(*lookup.columns, F.explode(all_salts).alias("_salt"))
     return salted.join(repeated, [key, "_salt"], how).select(*facts.columns, *added)

@@ -28,7 +28,7 @@ def take_while(
     first_stop = F.min(F.when(stops, F.col(page)))
     listings = settle(bounded.groupBy(listing).agg(first_stop.alias("_stop"), F.count("*").alias("rows")))
     stopped = listings.filter(F.col("_stop").isNotNull()).select(listing, "_stop")
-    hot = listings.filter((F.col("rows") > hot_rows) & F.col(listing).isNotNull()).select(listing, "rows")
+    hot = listings.filter(F.col("rows") > hot_rows).select(listing, "rows")
     joined = lookup_join(bounded, stopped, listing, hot=hot, hot_rows=hot_rows)
     return joined.filter(F.col("_stop").isNull() | (F.col(page) < F.col("_stop"))).drop("_stop")
 

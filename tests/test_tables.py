@@ -91,15 +91,16 @@ def test_lookup_join_with_a_hot_key(spark, how):
     assert salted.count() == plain.count() and salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """With broadcasts off, no task of the join holds more than a small part of the hot key."""
+@pytest.mark.parametrize("value", ["hot", None])
+def test_hot_key_is_spread_over_tasks(spark, value):
+    """With broadcasts off, no task of the join holds more than a small part of the hot key, or of the null keys."""
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k) for k in settings}
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
         n = 30_000
-        facts = spark.range(n).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+        facts = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(value)).otherwise(F.col("id").cast("string")).alias("k"), "id")
         lookup = facts.select("k").distinct().withColumn("v", F.lit(1))
         joined = joins.lookup_join(facts, lookup, "k", hot_rows=200)
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
