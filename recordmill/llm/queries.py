@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordmill.llm import token_counts, token_records
+from recordmill.llm import near_duplicates, token_counts, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return token_records.token_records(table(spark, folder, "documents"), word_vocabulary())
 
 
+@query
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), word_vocabulary())

@@ -61,6 +61,14 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hinted(settled: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """The settled table of a few numbers a row, with a broadcast hint if it has at most ``rows`` rows.
+
+    The count comes from the files' footers. Beyond it the join shuffles.
+    """
+    return F.broadcast(settled) if settled.count() <= rows else settled
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut into pieces of about ``limit`` bytes of text, a row at least; nulls read as ''."""
     for batch in batches:
@@ -121,3 +129,50 @@ def gather(values: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.nd
         return values[:0]
     shift = np.repeat(begins - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
     return values[np.arange(len(shift)) + shift]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (the splitmix64 finaliser)."""
+    x = x.astype(np.uint64, copy=True)
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def word_hashes(words: Words) -> np.ndarray:
+    """A 64-bit hash per word of the texts."""
+    import xxhash
+
+    strings = words.strings()
+    each = np.fromiter(map(xxhash.xxh64_intdigest, strings), np.uint64, len(strings))
+    return each[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
+
+
+def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of ``size`` consecutive words within a text, with the boundaries of the texts.
+
+    With ``whole`` a text of fewer words has its whole sequence as the one shingle.
+    """
+    counts = np.diff(starts)
+    number = np.maximum(counts - size + 1, 0)
+    total = int(number.sum())
+    ends = np.concatenate([[0], np.cumsum(number)])
+    first = np.arange(total) + np.repeat(starts[:-1] - ends[:-1], number)
+    found = np.zeros(total, np.uint64)
+    base = np.uint64(0x9E3779B97F4A7C15)
+    for k in range(size):
+        found = found * base + words[first + k]
+    found = mixed(found)
+    short = np.flatnonzero((counts > 0) & (counts < size))
+    if not whole or not len(short):
+        return found, ends
+    extra = np.zeros(len(short), np.uint64)
+    for k in range(size - 1):
+        has = counts[short] > k
+        extra[has] = extra[has] * base + words[starts[short[has]] + k]
+    extra = mixed(extra + counts[short].astype(np.uint64))
+    number[short] = 1
+    return np.insert(found, ends[short], extra), np.concatenate([[0], np.cumsum(number)])
