@@ -30,12 +30,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.components import components
-from recordmill.llm.shared import hinted, mixed, pick, settle, shingle_hashes, slices, word_hashes, words_of
+from recordmill.llm.shared import hashed_words, hinted, mixed, pick, settle, shingle_hashes, slices
 
 #: Minwise tokens per document: 64 of 32 bits; the sketch holds 4 bits of each.
 TOKENS = 64
@@ -50,8 +49,8 @@ def _factors() -> np.ndarray:
 
 def shingled(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of texts lower-cased in A-Z, with boundaries."""
-    words = words_of(pc.ascii_lower(pc.fill_null(texts, "")))
-    return shingle_hashes(word_hashes(words), words.starts, size)
+    words, starts = hashed_words(texts, lower=True)
+    return shingle_hashes(words, starts, size)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -59,7 +58,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, limit=4 << 20):
         hashes, starts = shingled(batch.column(1), size)
         n = batch.num_rows
         counts, f1, f2 = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)

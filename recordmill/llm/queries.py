@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordmill.llm import near_duplicates, token_counts, token_records
+from recordmill.llm import near_duplicates, substring_dedup, token_counts, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,12 @@ def op1_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return token_records.token_records(table(spark, folder, "documents"), word_vocabulary())
 
 
+@query
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(table(spark, folder, "documents"))
+    return found.drop("kept_text", "factors")
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)

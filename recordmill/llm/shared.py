@@ -142,15 +142,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash per word of the texts."""
-    import xxhash
-
-    strings = words.strings()
-    each = np.fromiter(map(xxhash.xxh64_intdigest, strings), np.uint64, len(strings))
-    return each[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
-
-
 def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int, whole: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of ``size`` consecutive words within a text, with the boundaries of the texts.
 
@@ -176,3 +167,69 @@ def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int, whole: bool
     extra = mixed(extra + counts[short].astype(np.uint64))
     number[short] = 1
     return np.insert(found, ends[short], extra), np.concatenate([[0], np.cumsum(number)])
+
+
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_BLOCK = 4 << 20
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64; at least ``n`` of each."""
+    if len(_POWERS["up"]) < n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            row = np.full(n, base, np.uint64)
+            row[0] = 1
+            _POWERS[name] = np.cumprod(row, dtype=np.uint64)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    plain = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+    lower = plain.copy()
+    lower[65:91] = plain[97:123]
+    return plain, lower
+
+
+_PLAIN, _LOWER = _tables()
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text and the boundaries of the texts.
+
+    Runs on the bytes of the whole column: a running sum of byte values times
+    powers of a base, of which a word takes the difference. ``lower`` folds A-Z.
+    """
+    texts = pc.fill_null(texts, "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    if offsets[0] == offsets[-1]:
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    word = ~_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    begins = np.flatnonzero(word & (edge[:-1] | np.append(True, ~word[:-1])))
+    ends = np.flatnonzero(word & (edge[1:] | np.append(~word[1:], True))) + 1
+    values, found = _LOWER if lower else _PLAIN, np.zeros(len(begins), np.uint64)
+    at = 0
+    while at < len(begins):
+        stop = max(at + 1, int(np.searchsorted(ends, begins[at] + _BLOCK, side="right")))
+        low, high = begins[at], ends[stop - 1]
+        up, down = powers(int(high - low))
+        total = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(values[data[low:high]] * up[: high - low], out=total[1:])
+        b, e = begins[at:stop] - low, ends[at:stop] - low
+        found[at:stop] = (total[e] - total[b]) * down[b] + (e - b).astype(np.uint64)
+        at = stop
+    return mixed(found), np.searchsorted(begins, offsets)
+
+
+def range_hashes(words: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of words[b:b + n] for each pair."""
+    up, down = powers(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * up[: len(words)], out=total[1:])
+    return mixed((total[begins + lengths] - total[begins]) * down[begins] + lengths.astype(np.uint64))
