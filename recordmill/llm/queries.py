@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordmill.llm import near_duplicates, substring_dedup, token_counts, token_records
+from recordmill.llm import near_duplicates, quality_rules, secret_scan, substring_dedup, token_counts, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,17 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("kept_text", "factors")
 
 
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1")
+    return quality_rules.quality_rules(table(spark, folder, "documents"), trusted)
+
+
+@query
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secret_scan(table(spark, folder, "documents"))
+
+
 @query
 def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
