@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordmill.llm import near_duplicates, quality_rules, secret_scan, substring_dedup, token_counts, token_records
+from recordmill.llm import decontaminate, near_duplicates, quality_rules, secret_scan, substring_dedup, token_counts, token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +57,8 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), word_vocabulary())
+
+
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -194,13 +194,16 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _PLAIN, _LOWER = _tables()
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_MARKS = np.zeros(256, bool)
+_MARKS[[c for c in range(128) if not chr(c).isalnum()]] = True
 
 
-def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: pa.Array, lower: bool = False, bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each text and the boundaries of the texts.
 
     Runs on the bytes of the whole column: a running sum of byte values times
-    powers of a base, of which a word takes the difference. ``lower`` folds A-Z.
+    powers of a base, of which a word takes the difference. ``lower`` folds A-Z,
+    ``bare`` parts words at every ASCII character but letters and digits.
     """
     texts = pc.fill_null(texts, "")
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
@@ -208,7 +211,7 @@ def hashed_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.n
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
     data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
-    word = ~_SPACE[data]
+    word = ~(_MARKS if bare else _SPACE)[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     begins = np.flatnonzero(word & (edge[:-1] | np.append(True, ~word[:-1])))
