@@ -5,8 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from recordmill.llm import decontaminate, near_duplicates, quality_rules, secret_scan, substring_dedup, token_counts, token_records
+from pyspark.sql import functions as F
+
+from recordmill.llm import (
+    decontaminate,
+    near_duplicates,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+    token_counts,
+    token_records,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +73,90 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with a day of fetch. The table has none, so it follows from the page number: two years, all days."""
+    return pages.select(
+        "page_id", "url", F.expr("date_add(DATE'2024-01-01', cast(page_id * 37 % 730 as int))").alias("fetched_on")
+    )
+
+
+def list_entries(found: DataFrame) -> DataFrame:
+    """Dated block and allow entries derived from all captures: by host, by the domain above it, by page.
+
+    What a month of a host's captures adds or removes follows from its smallest page number.
+    """
+    rows = found.select(
+        "page_id",
+        "fetched_on",
+        url_filter.host_of(F.col("url")).alias("host"),
+        url_filter.page_of(F.col("url")).alias("page"),
+        F.trunc("fetched_on", "month").alias("month"),
+    ).where("host <> ''")
+    rows = rows.withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1))
+    kinds = (("block", "host", "host", 3, 0), ("block", "host", "domain", 5, 1), ("allow", "host", "host", 7, 2))
+    parts = None
+    for name, kind, pattern, turn, shift in kinds:
+        first = rows.where(F.col(pattern) != "").groupBy(F.col(pattern).alias("pattern"), "month").agg(
+            F.min("page_id").alias("low")
+        )
+        part = first.select(
+            F.lit(name).alias("list"),
+            F.lit(kind).alias("kind"),
+            "pattern",
+            F.when((F.col("low") + shift) % turn == 0, "add").otherwise("remove").alias("action"),
+            F.expr("date_add(month, cast(low % 28 as int))").alias("dated"),
+        )
+        parts = part if parts is None else parts.union(part)
+    pages = rows.groupBy("page").agg(F.min("page_id").alias("low"), F.min("fetched_on").alias("day"))
+    day = F.expr("date_add(day, cast(low % 9 as int) - 4)")
+    return parts.union(pages.select(F.lit("block"), F.lit("url"), "page", F.lit("add"), day))
+
+
+@query
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    found = captures(table(spark, folder, "pages"))
+    return url_filter.url_filter(found, list_entries(found))
+
+
+_HOST = "coalesce(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '')"
+_PATH = "regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '')"
+ORACLES["op8_url_filter"] = f"""
+WITH c AS (
+  SELECT page_id, {_HOST} AS host, coalesce({_HOST} || {_PATH}, '') AS page,
+         DATE '2024-01-01' + CAST(page_id * 37 % 730 AS INTEGER) AS fetched_on
+  FROM pages
+), r AS (
+  SELECT *, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) AS domain,
+         CAST(date_trunc('month', fetched_on) AS DATE) AS month
+  FROM c WHERE host <> ''
+), f AS (
+  SELECT 'block' AS list, host AS pattern, month, min(page_id) AS low, 3 AS turn, 0 AS shift FROM r GROUP BY host, month
+  UNION ALL SELECT 'block', domain, month, min(page_id), 5, 1 FROM r WHERE domain <> '' GROUP BY domain, month
+  UNION ALL SELECT 'allow', host, month, min(page_id), 7, 2 FROM r GROUP BY host, month
+), e AS (
+  SELECT list, 'host' AS kind, pattern, (low + shift) % turn = 0 AS adds, month + CAST(low % 28 AS INTEGER) AS dated
+  FROM f
+  UNION ALL
+  SELECT 'block', 'url', page, true, min(fetched_on) + (CAST(min(page_id) % 9 AS INTEGER) - 4) FROM r GROUP BY page
+), d AS (
+  SELECT list, kind, pattern, dated, bool_or(adds) AS listed FROM e GROUP BY ALL
+), n AS (
+  SELECT *, lead(dated) OVER (PARTITION BY list, kind, pattern ORDER BY dated) AS until FROM d
+), h AS (
+  SELECT c.page_id, c.host, c.fetched_on, n.list
+  FROM c LEFT JOIN n ON n.listed AND c.fetched_on >= n.dated AND (n.until IS NULL OR c.fetched_on < n.until)
+   AND CASE n.kind WHEN 'url' THEN c.page = n.pattern
+       ELSE c.host = n.pattern OR ends_with(c.host, '.' || n.pattern) END
+)
+SELECT page_id, host, fetched_on, count(*) FILTER (list = 'block') AS n_block,
+       count(*) FILTER (list = 'allow') AS n_allow,
+       count(*) FILTER (list = 'block') > 0 AND count(*) FILTER (list = 'allow') = 0 AS blocked
+FROM h GROUP BY page_id, host, fetched_on
+"""
