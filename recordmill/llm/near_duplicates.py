@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.components import components
-from recordmill.llm.shared import hashed_words, hinted, mixed, pick, settle, shingle_hashes, slices
+from recordmill.llm.shared import DOCUMENT, hashed_words, hinted, mixed, pick, settle, shingle_hashes, slices
 
 #: Minwise tokens per document: 64 of 32 bits; the sketch holds 4 bits of each.
 TOKENS = 64
@@ -241,6 +241,27 @@ def near_duplicates(
     )
 
 
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """The documents that stay, in the columns of documents: of a group the one of the smallest id.
+
+    An id goes if none of its rows stays. Of rows that repeat a staying id, the
+    one with the smallest text stays. Rows with a null id stay.
+    """
+    found = near_duplicates(docs, **options).where("doc_id is not null")
+    ids = settle(found.groupBy("doc_id").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")))
+    gone = settle(ids.where("not stays").select("doc_id"))
+    again = settle(ids.where("stays and rows > 1").select("doc_id"))
+    rows = pick(docs, *DOCUMENT)
+    kept = rows.join(hinted(gone), "doc_id", "left_anti")
+    if again.isEmpty():
+        return kept
+    rest = [c for c in DOCUMENT if c != "doc_id"]
+    rest.sort(key=lambda c: c != "text")
+    one = kept.join(hinted(again), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
+    once = one.select("doc_id", "row.*").select(*DOCUMENT)
+    return kept.join(hinted(again), "doc_id", "left_anti").select(*DOCUMENT).union(once)
+
+
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """Rows of the nodes that more than one component shares, with their component."""
     found = rows.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(

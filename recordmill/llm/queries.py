@@ -13,6 +13,7 @@ from recordmill.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    source_mix,
     substring_dedup,
     token_counts,
     token_records,
@@ -160,3 +161,8 @@ SELECT page_id, host, fetched_on, count(*) FILTER (list = 'block') AS n_block,
        count(*) FILTER (list = 'block') > 0 AND count(*) FILTER (list = 'allow') = 0 AS blocked
 FROM h GROUP BY page_id, host, fetched_on
 """
+
+
+@query
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.source_mix(table(spark, folder, "documents"))
