@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 #: Columns of the documents table.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Set while a table is settled: shuffle files go with the query, Python gets small batches of long texts.
+_WHILE_SETTLING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
@@ -52,12 +56,14 @@ def settle(df: DataFrame) -> DataFrame:
     behind the table are removed as soon as it is written.
     """
     spark = df.sparkSession
-    path, before = new_folder(spark), spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
+    path, before = new_folder(spark), {key: spark.conf.get(key) for key in _WHILE_SETTLING}
+    for key, value in _WHILE_SETTLING.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

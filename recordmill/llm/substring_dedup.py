@@ -11,9 +11,10 @@ asking all of them; no document meets a block that can't match.
   whether all entries of the seed are the same text. It is combined before its
   shuffle, so a seed that fills a third of the table costs a row per task.
 * Entries of shared seeds come back to their documents with that reference place.
-  Where all entries of a seed agree, each later one is a match as it stands. Where
-  they don't, at the boundaries of factors, every window is looked up by itself
-  (128-bit hash, first document and place, the same way).
+  An entry that equals one of an earlier document is a match as it stands. Where
+  the entries of a seed differ, at the boundaries of factors, the windows of the
+  first entry of each text are looked up one by one (128-bit hash, first document
+  and place, the same way).
 * A document joins its matches of one reference document and one offset to longest
   matches and is parsed greedily from left to right: at each position the factor
   that reaches furthest. Every word of a factor is duplicated.
@@ -134,15 +135,26 @@ def matches(docs: DataFrame, window: int) -> DataFrame:
     ``ref_start`` on. Every window of which a smaller id holds a copy is in one of them."""
     entries = docs.where("doc_id is not null").mapInArrow(lambda batches: _entries(batches, window), _ENTRIES)
     shared = _firsts(entries, "seed")
-    found = entries.drop("entry").join(hinted(shared).hint("shuffle_hash"), "seed").where("open or ref < doc_id")
-    found = settle(found.drop("seed"))
-    unsure = found.where("open").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("open"))
-    texts = docs.join(unsure, "doc_id").select("doc_id", "text", "open")
+    found = entries.join(hinted(shared).hint("shuffle_hash"), "seed").where("open or ref < doc_id")
+    found = settle(found)
+    columns = ["doc_id", "start", "n", "ref", "ref_start"]
+    # of equal entries the first one is looked up, window by window; the others are copies of it
+    unsure = found.where("open").select("seed", "entry", "doc_id", "start", "n")
+    once = unsure.groupBy("seed", "entry").agg(
+        F.min("doc_id").alias("ref"), F.expr("min_by(start, doc_id)").alias("ref_start")
+    )
+    opened = settle(unsure.join(settle(once), ["seed", "entry"]).select(*columns))
+    leading = opened.where("ref = doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("open"))
+    texts = docs.join(leading, "doc_id").select("doc_id", "text", "open")
     windows = settle(texts.mapInArrow(lambda batches: _windows(batches, window), _WINDOWS))
     known = _firsts(windows, "w1", "w2").drop("open")
     alone = windows.join(hinted(known).hint("shuffle_hash"), ["w1", "w2"]).where("ref < doc_id")
-    columns = ["doc_id", "start", "n", "ref", "ref_start"]
-    return found.where("not open").select(*columns).union(alone.withColumn("n", F.lit(1)).select(*columns))
+    return (
+        found.where("not open")
+        .select(*columns)
+        .union(opened.where("ref < doc_id"))
+        .union(alone.withColumn("n", F.lit(1)).select(*columns))
+    )
 
 
 def parse(begin: np.ndarray, n: np.ndarray, ref: np.ndarray, ref_begin: np.ndarray, window: int, length: int) -> list:
