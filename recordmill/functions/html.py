@@ -30,7 +30,6 @@ _ATTRIBUTE = rf"""(?is)(?<![\w-])(?:(href\s*=\s*{_QUOTED})|[\w:.-]+\s*=\s*{_QUOT
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _CLASS = r"""(?is)<([a-z][a-z0-9]*)(?=\s)[^>]*?\sclass\s*=\s*(?:"[^"]*|'[^']*|)(?<![\w-])(?:%s)(?![\w-])"""
 
-_ALL = 1 << 30
 # Names first looked up come first: element access walks the map from the start.
 _COMMON = ("amp", "nbsp", "lt", "gt", "quot", "copy", "middot")
 _ENTITIES = {n: chr(name2codepoint[n]) for n in (*_COMMON, *name2codepoint)} | {"apos": "'"}
@@ -43,8 +42,8 @@ def visible(html: Column) -> Column:
 
 def _code_point(name: Column) -> Column:
     """Character of ``#233`` or ``#xE9``; null where the number is no character."""
-    hexadecimal = F.regexp_extract(name, r"^#[xX]([0-9A-Fa-f]{1,6})$", 1)
-    decimal = F.regexp_extract(name, r"^#([0-9]{1,7})$", 1)
+    hexadecimal = F.regexp_extract(name, r"^#[xX]0*+([0-9A-Fa-f]{1,6})$", 1)
+    decimal = F.regexp_extract(name, r"^#0*+([0-9]{1,7})$", 1)
     number = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).when(decimal != "", decimal).try_cast("int")
     valid = ((number > 0) & (number < 0xD800)) | ((number > 0xDFFF) & (number <= 0x10FFFF))
     utf32 = F.unhex(F.lpad(F.hex(number), 8, "0"))
@@ -64,7 +63,7 @@ def decode_entities(c: Column) -> Column:
         )
         return F.concat(char, F.substring(piece, F.length(name) + 2, F.length(piece)))
 
-    pieces = F.split(c, r"&(?=#?[A-Za-z0-9]{1,32};)")
+    pieces = F.split(c, r"&(?=#?[A-Za-z0-9]++;)")
     decoded = F.transform(pieces, lambda piece, i: F.when(i == 0, piece).otherwise(after_mark(piece)))
     return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
@@ -77,7 +76,7 @@ def text_of(html: Column) -> Column:
 def pieces_from(html: Column, names: str) -> Column:
     """One piece per opening tag in ``names`` (``a`` or ``h[1-4]``), from behind its name."""
     pieces = F.split(html, rf"(?i)<(?:{names})(?=[\s>/])")
-    return F.slice(pieces, 2, _ALL)
+    return let(pieces, lambda all_: F.slice(all_, F.lit(2), F.size(all_)))
 
 
 def _until_close(piece: Column, names: str) -> Column:
@@ -132,27 +131,129 @@ def first_anchor(html: Column) -> Column:
     return F.get(F.transform(F.slice(_linked(html), 1, 1), _read_link), F.lit(0))
 
 
-def blocks(html: Column, names: str) -> Column:
-    """Contents of the elements in ``names``, in order; nested ones end the outer one."""
-    return F.transform(pieces_from(html, names), lambda piece: inner_html(piece, names))
-
-
 def first_block(html: Column, names: str) -> Column:
     """Content of the first element in ``names``; null where there is none."""
     return inner_html(F.get(pieces_from(html, names), F.lit(0)), names)
 
 
-def heading_sections(html: Column) -> Column:
-    """Per ``h2``-``h4``: (heading, section), the section reaching to the next heading."""
-    own = F.transform(
-        F.regexp_extract_all(html, F.lit(r"(?is)(<h[1-4](?=[\s>/]).*?)(?=<h[1-4][\s>/]|\z)"), F.lit(1)),
-        lambda section: F.struct(
-            F.substring(section, 3, 1).alias("level"),
-            inner_html(F.substring(section, F.lit(4), F.length(section)), "h[1-4]").alias("heading"),
-            section.alias("section"),
+# Elements that have no content and no closing tag.
+_VOID = (
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+)
+_OPEN = "array<struct<name:string,at:int>>"
+_FOUND = "array<struct<heading:boolean,at:int,node:int,own_end:int,node_end:int>>"
+_STATE = f"struct<at:int,open:{_OPEN},found:{_FOUND}>"
+
+
+def _segments(html: Column) -> Column:
+    """The page cut before every opening and closing tag."""
+    return F.split(html, "(?=</?[A-Za-z])")
+
+
+def _nodes(segments: Column) -> Column:
+    """Every ``article``, and every ``h2``-``h4`` with the element around it, by segment.
+
+    ``node`` is the article, or what encloses the heading (-1: the page);
+    ``node_end`` and ``own_end`` are the segments behind the two, null where they
+    are never closed. The open elements are kept on a stack; a closing tag ends
+    what was opened since its own opening tag, and nothing if it has none.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(_OPEN).alias("open"), F.array().cast(_FOUND).alias("found"))
+
+    def closed(state: Column, name: Column) -> Column:
+        same = F.transform(state["open"], lambda e: e["name"] == name)
+        place = F.size(same) - F.array_position(F.reverse(same), True).cast("int") + 1
+
+        def end(at: Column) -> Column:
+            gone = F.transform(F.slice(state["open"], at, F.size(state["open"])), lambda e: e["at"])
+            found = F.transform(
+                state["found"],
+                lambda f: F.struct(
+                    f["heading"].alias("heading"),
+                    f["at"].alias("at"),
+                    f["node"].alias("node"),
+                    F.coalesce(f["own_end"], F.when(F.array_contains(gone, f["at"]), state["at"])).alias("own_end"),
+                    F.coalesce(f["node_end"], F.when(F.array_contains(gone, f["node"]), state["at"])).alias("node_end"),
+                ),
+            )
+            left = F.slice(state["open"], F.lit(1), at - 1)
+            return F.struct((state["at"] + 1).alias("at"), left.alias("open"), found.alias("found")).cast(_STATE)
+
+        return F.when(F.exists(same, lambda x: x), let(place, end)).otherwise(passed(state))
+
+    def passed(state: Column) -> Column:
+        return F.struct((state["at"] + 1).alias("at"), state["open"].alias("open"), state["found"].alias("found")).cast(_STATE)
+
+    def opened(state: Column, name: Column) -> Column:
+        heading = name.isin("h2", "h3", "h4")
+        around = F.coalesce(F.get(state["open"], F.size(state["open"]) - 1)["at"], F.lit(-1))
+        unknown = F.lit(None).cast("int")
+        one = F.struct(
+            heading.alias("heading"),
+            state["at"].alias("at"),
+            F.when(heading, around).otherwise(state["at"]).alias("node"),
+            unknown.alias("own_end"),
+            unknown.alias("node_end"),
+        )
+        found = F.when(heading | (name == "article"), F.concat(state["found"], F.array(one).cast(_FOUND))).otherwise(state["found"])
+        entry = F.array(F.struct(name.alias("name"), state["at"].alias("at"))).cast(_OPEN)
+        return F.struct(
+            (state["at"] + 1).alias("at"), F.concat(state["open"], entry).alias("open"), found.alias("found")
+        ).cast(_STATE)
+
+    def step(state: Column, segment: Column) -> Column:
+        tag = F.lower(F.regexp_extract(segment, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
+        alone = F.rlike(segment, F.lit(rf"(?s)^<[A-Za-z](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+(?<=/)>"))
+        return let(
+            tag,
+            lambda name: F.when((name == "") | name.isin(*_VOID), passed(state))
+            .when(F.startswith(segment, F.lit("</")), closed(state, name))
+            .when(alone, passed(state))
+            .otherwise(opened(state, name)),
+        )
+
+    return F.aggregate(segments, start.cast(_STATE), step)["found"]
+
+
+def _joined(segments: Column, begin: Column, end: Column) -> Column:
+    """Segments ``begin`` to ``end``, without the latter; to the page's end where it is null."""
+    first = F.greatest(begin, F.lit(0))
+    return F.array_join(F.slice(segments, first + 1, F.coalesce(end, F.size(segments)) - first), "")
+
+
+def _with_nodes(html: Column, use) -> Column:
+    return let(
+        _segments(html),
+        lambda segments: let(
+            F.struct(segments.alias("segments"), _nodes(segments).alias("nodes")),
+            lambda page: use(page["segments"], page["nodes"]),
+        ),
+    )
+
+
+def articles(html: Column) -> Column:
+    """Every ``article`` element, nested ones inside the outer one and again by themselves."""
+    found = _with_nodes(
+        html,
+        lambda segments, nodes: F.transform(
+            F.filter(nodes, lambda n: ~n["heading"]), lambda n: _joined(segments, n["node"], n["node_end"])
         ),
     )
-    return F.filter(own, lambda s: s["level"] != "1")
+    return F.when(F.rlike(html, F.lit("(?i)<article")), found).otherwise(F.array().cast("array<string>"))
+
+
+def around_linked_headings(html: Column) -> Column:
+    """The elements around ``h2``-``h4`` headings that hold a link, each once."""
+
+    def use(segments: Column, nodes: Column) -> Column:
+        linked = F.filter(
+            nodes, lambda n: n["heading"] & first_anchor(_joined(segments, n["at"], n["own_end"])).isNotNull()
+        )
+        around = F.array_distinct(F.transform(linked, lambda n: F.struct(n["node"], n["node_end"])))
+        return F.transform(around, lambda n: _joined(segments, n["node"], n["node_end"]))
+
+    found = _with_nodes(html, use)
+    return F.when(F.rlike(html, F.lit("(?i)<h[2-4]")), found).otherwise(F.array().cast("array<string>"))
 
 
 def _balanced(piece: Column, name: Column) -> Column:
@@ -199,10 +300,11 @@ def main_content(html: Column, classes: tuple[str, ...] = ("entry-content", "pos
         name = F.lower(F.regexp_extract(page, opening, 1))
         rest = F.regexp_replace(F.get(F.split(page, opening, 2), F.lit(1)), r"^[^>]*>", "")
         content = let(F.struct(name.alias("name"), rest.alias("rest")), lambda at: _balanced(at["rest"], at["name"]))
-        article = F.get(F.split(page, r"(?i)<article(?=[\s>/])", 2), F.lit(1))
+        opened = F.get(F.split(page, r"(?i)<article(?=[\s>/])", 2), F.lit(1))
+        article = _balanced(F.regexp_replace(opened, rf"(?s)^{_TAG_REST}", ""), F.lit("article"))
         named = F.lit(False)
         for word in classes:
             named = named | F.contains(page, F.lit(word))
-        return F.coalesce(F.when(named, content), inner_html(article, "article"), page)
+        return F.coalesce(F.when(named, content), article, page)
 
     return let(html, marked)

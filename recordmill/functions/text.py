@@ -102,8 +102,9 @@ def without_leading(c: Column, title: Column) -> Column:
     return F.when(leads, rest).otherwise(c)
 
 
-def head_chars(c: Column, n: int) -> Column:
-    return F.substring(c, 1, n)
+def head_chars(c: Column, n: int | None) -> Column:
+    """The first ``n`` characters; the whole text where ``n`` is None."""
+    return c if n is None else F.substring(c, 1, n)
 
 
 def mentions_any(c: Column, terms: tuple[str, ...]) -> Column:
@@ -115,10 +116,10 @@ def mentions_any(c: Column, terms: tuple[str, ...]) -> Column:
     return hit
 
 
-def safe_stem(c: Column) -> Column:
-    """File stem made of ASCII letters, digits, ``_`` and ``-``; at most 100 long."""
+def safe_stem(c: Column, length: int | None = None) -> Column:
+    """File stem made of ASCII letters, digits, ``_`` and ``-``; at most ``length`` long if given."""
     joined = F.regexp_replace(text_or_empty(c), r"[^\w-]+", "_")
-    return head_chars(F.btrim(joined, F.lit("_")), 100)
+    return head_chars(F.btrim(joined, F.lit("_")), length)
 
 
 def plain_number(c: Column) -> Column:

@@ -81,10 +81,10 @@ def title_or_file_name(title: Column, url: Column) -> Column:
     return F.when(F.length(title) < 3, words).otherwise(title)
 
 
-def safe_filename(url: Column, title: Column) -> Column:
-    """Name to store a document under: its own, or one made of title and URL digest."""
+def safe_filename(url: Column, title: Column, title_length: int | None = None, digest_length: int | None = None) -> Column:
+    """Name to store a document under: its own, or one made of title and URL digest, whole or cut."""
     name = file_name(url)
-    made = F.concat(head_chars(title, 60), F.lit("-"), head_chars(F.sha1(url), 10), F.lit(".bin"))
+    made = F.concat(head_chars(title, title_length), F.lit("-"), head_chars(F.sha1(url), digest_length), F.lit(".bin"))
     chosen = F.when(F.contains(name, F.lit(".")), name).otherwise(made)
     return F.regexp_replace(chosen, r"[^\w.-]+", "_")
 

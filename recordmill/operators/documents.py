@@ -64,10 +64,10 @@ def padded(cells: Column) -> Column:
     return let(table_width(cells), lambda width: F.transform(cells, lambda row: fill(row, width)))
 
 
-def table_file(source_file: Column, page: Column, table_number: Column) -> Column:
-    """``<stem>_p001_t01.csv``."""
+def table_file(source_file: Column, page: Column, table_number: Column, length: int | None = None) -> Column:
+    """``<stem>_p001_t01.csv``, the stem cut to ``length`` characters if given."""
     stem = F.regexp_replace(source_file, r"(?s)^(.+)\.[^.]+$", "$1")
-    return F.format_string("%s_p%03d_t%02d.csv", safe_stem(stem), page, table_number)
+    return F.format_string("%s_p%03d_t%02d.csv", safe_stem(stem, length), page, table_number)
 
 
 def page_tables(pages: DataFrame, tables: str = "tables") -> DataFrame:

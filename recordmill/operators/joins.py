@@ -2,68 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.session import settle
+from recordmill.operators.dedupe import first_by_key
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 1_000_000
 
+def matching_key(df: DataFrame, key: str) -> Column:
+    """The key, or for a blank one a text of the row's own that no key equals.
 
-def hot_keys(facts: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and their ``rows``: at most ``count(facts) / hot_rows`` of them.
-
-    The count reads the key column only and is combined before its shuffle. It
-    is settled, because both sides of a join use it. Null counts as a key here.
+    Blank keys match nothing, so they need not meet in one task.
     """
-    counted = facts.groupBy(key).agg(F.count("*").alias("rows"))
-    return settle(counted.filter(F.col("rows") > hot_rows))
+    if dict(df.dtypes)[key] != "string":
+        return F.col(key)
+    own = F.concat(F.lit("\x00"), F.xxhash64(*[F.col(name) for name in df.columns]).cast("string"))
+    return F.when(F.coalesce(F.col(key), F.lit("")) == "", own).otherwise(F.col(key))
 
 
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "left",
-    hot: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join ``facts`` to a ``lookup`` that has at most one row per ``key``.
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join ``facts`` to a ``lookup`` that has at most one row per ``key``; blank keys match nothing.
 
-    ``hot`` lists the keys with too many rows for one task, such as a file that
-    holds a third of all pages, with their ``rows``; it is counted where not
-    given. Without any, this is a plain join, which Spark turns into a broadcast
-    when the measured size of the lookup allows. Else the rows of a hot key get
-    a salt from their content, one salt per ``hot_rows`` rows, and its lookup
-    row is repeated once per salt; all other rows have salt 0. Null keys match
-    nothing and are spread by their content. Both the hot list
-    and the repeated rows stay below ``count(facts) / hot_rows``, which bounds
-    the broadcast.
+    A plain join: the facts are read once, Spark broadcasts a lookup of small
+    measured size and splits skewed keys at run time.
     """
-    hot = hot_keys(facts, key, hot_rows) if hot is None else hot
     added = [] if how in ("left_anti", "left_semi") else [name for name in lookup.columns if name != key]
-    if hot.isEmpty():
-        return facts.join(lookup, key, how).select(*facts.columns, *added)
-    salts = F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int")
-    marked = F.broadcast(hot.select(key, salts.alias("_salts")))
-    content = F.xxhash64(*[F.col(name) for name in facts.columns])
-    own_salt = F.coalesce(F.pmod(content, F.col("_salts")).cast("int"), F.lit(0))
-    any_salt = F.pmod(content, F.lit(2**31 - 1)).cast("int")
-    salt = F.when(F.col(key).isNull(), any_salt).otherwise(own_salt)
-    salted = facts.join(marked, key, "left").select(*facts.columns, salt.alias("_salt"))
-    all_salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    repeated = lookup.join(marked, key, "left").select(*lookup.columns, F.explode(all_salts).alias("_salt"))
-    return salted.join(repeated, [key, "_salt"], how).select(*facts.columns, *added)
+    keyed = facts.withColumn("_key", matching_key(facts, key))
+    other = lookup.select(F.col(key).alias("_key"), *added)
+    return keyed.join(other, "_key", how).select(*facts.columns, *added)
 
 
 def enrich(records: DataFrame, details: DataFrame, key: str) -> DataFrame:
     """Add the columns of ``details`` to ``records``; '' where a record has none.
 
-    Both sides have one row per key, so no key can be hot and a plain join does.
+    Of several details of one key the first counts, by the order of their columns.
     """
     added = [name for name in details.columns if name != key]
-    joined = records.drop(*added).join(details, key, "left")
+    once = first_by_key(details, key, added or [key])
+    joined = lookup_join(records.drop(*added), once, key)
     filled = [F.coalesce(F.col(name), F.lit("")).alias(name) if name in added else F.col(name) for name in joined.columns]
     order = [name for name in records.columns if name not in added] + added
     return joined.select(*filled).select(*order)

@@ -11,10 +11,11 @@ from recordmill.functions import urls as U
 from recordmill.functions.dates import retrieval_stamp
 from recordmill.functions.staging import let
 from recordmill.operators.dedupe import first_by_key
-from recordmill.operators.joins import HOT_ROWS, enrich, lookup_join
+from recordmill.operators.joins import enrich, lookup_join
 from recordmill.operators.reshape import numbered_items
 from recordmill.session import settle
 
+# Columns of the collected tables, in their order.
 RESOURCE_COLUMNS = [
     "council", "category", "year_raw", "document_title_raw",
     "document_url", "file_type", "source_page", "retrieved_at_utc",
@@ -88,7 +89,7 @@ def document_index(
     return first.withColumn("retrieved_at_utc", stamp).select(*RESOURCE_COLUMNS)
 
 
-def _article(page: Column, link: Column, body: Column, domain: str) -> Column:
+def _article(page: Column, link: Column, body: Column, domain: str, length: int | None) -> Column:
     """Record of one article from its title link and its HTML; null where it is none.
 
     The text is only read where the link names an article of the domain.
@@ -100,7 +101,7 @@ def _article(page: Column, link: Column, body: Column, domain: str) -> Column:
             lambda text: F.struct(
                 named["title"].alias("title_raw"),
                 T.published_date(text).alias("published_date_raw"),
-                T.head_chars(T.without_leading(text, named["title"]), 2000).alias("excerpt_raw"),
+                T.head_chars(T.without_leading(text, named["title"]), length).alias("excerpt_raw"),
                 named["url"].alias("article_url"),
             ),
         )
@@ -112,41 +113,34 @@ def _article(page: Column, link: Column, body: Column, domain: str) -> Column:
     )
 
 
-def _marked_articles(page: Column, html: Column, domain: str) -> Column:
-    """Articles by their blocks: the first heading's link, or the block's where it has no heading."""
+def _records(page: Column, bodies: Column, domain: str, length: int | None) -> Column:
+    """Articles of elements: the first heading's link, or the element's where it has no heading."""
 
-    def one(block: Column) -> Column:
-        titled = F.coalesce(H.first_block(block, "h[1-4]"), block)
-        return let(H.first_anchor(titled), lambda link: _article(page, link, block, domain))
+    def one(body: Column) -> Column:
+        titled = F.coalesce(H.first_block(body, "h[1-4]"), body)
+        return let(H.first_anchor(titled), lambda link: _article(page, link, body, domain, length))
 
-    return F.filter(F.transform(H.blocks(html, "article"), one), lambda a: a.isNotNull())
+    return F.filter(F.transform(bodies, one), lambda a: a.isNotNull())
 
 
-def _headed_articles(page: Column, html: Column, domain: str) -> Column:
-    """Articles by their headings, where a theme has no article blocks."""
-
-    def one(section: Column) -> Column:
-        link = H.first_anchor(section["heading"])
-        return let(link, lambda found: _article(page, found, section["section"], domain))
-
-    return F.filter(F.transform(H.heading_sections(html), one), lambda a: a.isNotNull())
-
-
-def listed_articles(pages: DataFrame, domain: str, keep: list[str], fallback: bool = True) -> DataFrame:
-    """Each listing page with the array of its ``articles``, one per article block.
+def listed_articles(
+    pages: DataFrame, domain: str, keep: list[str], fallback: bool = True, excerpt_length: int | None = None
+) -> DataFrame:
+    """Each listing page with the array of its ``articles``, one per article element.
 
-    A page without any such article falls back to its ``h2``-``h4`` headings
-    with a link. Both lists stay inside the page's own row, so no join and no
-    shuffle is needed to know whether the first came out empty.
+    A page without any such article falls back to the elements around its
+    ``h2``-``h4`` headings with a link. Both lists stay inside the page's own row,
+    so no join and no shuffle is needed to know whether the first came out empty.
+    ``excerpt_length`` cuts the excerpts.
     """
     page = U.url_parts(F.col("url"))
     prepared = pages.select(
         *keep, F.col("url").alias("source_listing_page"), page.alias("_page"), H.visible(F.col("html")).alias("_html")
     )
-    found = _marked_articles(F.col("_page"), F.col("_html"), domain)
+    found = _records(F.col("_page"), H.articles(F.col("_html")), domain, excerpt_length)
     if fallback:
-        headed = _headed_articles(F.col("_page"), F.col("_html"), domain)
-        found = let(found, lambda marked: F.when(F.size(marked) == 0, headed).otherwise(marked))
+        around = _records(F.col("_page"), H.around_linked_headings(F.col("_html")), domain, excerpt_length)
+        found = let(found, lambda marked: F.when(F.size(marked) == 0, around).otherwise(marked))
     return prepared.select(*keep, "source_listing_page", found.alias("articles"))
 
 
@@ -176,9 +170,11 @@ def article_listing(
     keep: list[str],
     fallback: bool = True,
     retrieved_at: Column | None = None,
+    excerpt_length: int | None = None,
 ) -> DataFrame:
     """News rows of listing pages: the title link, date and excerpt of each article."""
-    return article_rows(listed_articles(pages, domain, keep, fallback), council, keep, retrieved_at)
+    listed = listed_articles(pages, domain, keep, fallback, excerpt_length)
+    return article_rows(listed, council, keep, retrieved_at)
 
 
 def article_details(
@@ -187,8 +183,9 @@ def article_details(
     order: list[str],
     extensions: tuple[str, ...] = U.DOCUMENT_EXTENSIONS,
     paths: tuple[str, ...] = U.DOCUMENT_PATHS,
+    text_length: int | None = None,
 ) -> DataFrame:
-    """Per page: main text (20,000 characters at most) and its linked documents."""
+    """Per page: main text, cut to ``text_length`` characters if given, and its linked documents."""
     content = pages.select(
         *order,
         F.col("url").alias("article_url"),
@@ -203,7 +200,7 @@ def article_details(
     detailed = content.select(
         *order,
         "article_url",
-        T.head_chars(H.text_of(F.col("_content")), 20000).alias("article_text_raw"),
+        T.head_chars(H.text_of(F.col("_content")), text_length).alias("article_text_raw"),
         F.array_join(F.array_sort(documents), ";").alias("linked_document_urls"),
     )
     return first_by_key(detailed, "article_url", list(order)).drop(*order)
@@ -215,18 +212,26 @@ def articles_with_details(listed: DataFrame, details: DataFrame, order: list[str
     return enrich(first, details, "article_url").select(*order, "position", *NEWS_COLUMNS)
 
 
-def download_manifest(documents: DataFrame, url: str, title: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Target file name per document, and whether another document has the same one.
+def with_clash(rows: DataFrame, name: str, clash: str) -> DataFrame:
+    """Add ``clash``: does another row have the same ``name``?
 
     Names are counted with a combined aggregate and the shared ones joined back,
-    so a name that very many documents share is not gathered in one window.
+    so a name that very many rows share is not gathered in one window. The rows
+    are settled, so what made them runs once.
     """
-    named = documents.withColumn("target_name", U.safe_filename(F.col(url), F.col(title)))
-    repeated = settle(named.groupBy("target_name").agg(F.count("*").alias("rows")).filter(F.col("rows") > 1))
-    shared = repeated.select("target_name", F.lit(True).alias("duplicate_target"))
-    hot = repeated.filter(F.col("rows") > hot_rows)
-    joined = lookup_join(named, shared, "target_name", hot=hot, hot_rows=hot_rows)
-    return joined.withColumn("duplicate_target", F.coalesce("duplicate_target", F.lit(False)))
+    named = settle(rows)
+    shared = named.groupBy(name).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1)
+    joined = lookup_join(named, shared.select(name, F.lit(True).alias(clash)), name)
+    return joined.withColumn(clash, F.coalesce(clash, F.lit(False)))
+
+
+def download_manifest(
+    documents: DataFrame, url: str, title: str, title_length: int | None = None, digest_length: int | None = None
+) -> DataFrame:
+    """Target file name per document, and whether another document has the same one."""
+    target = U.safe_filename(F.col(url), F.col(title), title_length, digest_length)
+    return with_clash(documents.withColumn("target_name", target), "target_name", "duplicate_target")
+
 
 
 def with_downloads(resources: DataFrame, downloads: DataFrame) -> DataFrame:

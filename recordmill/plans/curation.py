@@ -13,9 +13,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from recordmill.operators.columns import leading, merge_by_name, normalise_strings
 from recordmill.operators.dedupe import distinct_rows
@@ -35,26 +34,23 @@ class CurationSpec:
     preferred: tuple[str, ...]
     name_column: str
     url_column: str
+    table: str
+    absent: str
+    several: bool = False
 
 
-def _input_order(df: DataFrame, order: Column, rank: int) -> Column:
-    """One sortable value for source and place.
-
-    Whole numbers become one decimal, whose smallest value a hash aggregate can
-    keep; any other order is a struct, for which Spark sorts the rows instead.
-    """
-    if isinstance(df.select(order.alias("o")).schema["o"].dataType, IntegralType):
-        return (F.lit(Decimal(rank * 10**20)) + order.cast("decimal(19,0)")).cast("decimal(38,0)")
-    return F.struct(F.lit(rank).alias("source"), order.alias("place"))
+def _input_order(order: Column, rank: int) -> Column:
+    """One number for source and place, whose smallest value a hash aggregate can keep."""
+    return (F.lit(Decimal(rank * 10**35)) + order.cast("decimal(35,0)")).cast("decimal(38,0)")
 
 
 def collected(df: DataFrame, order: Column, rank: int = 0, **tags: str) -> DataFrame:
     """A raw table ready for curation: tidy strings, constant tags, its input order.
 
-    ``rank`` puts the rows of one source before those of the next. The sources
-    of one table need orders of one kind, all whole numbers or all file orders.
+    ``order`` is a whole number; ``rank`` (up to 99) puts the rows of one source
+    before those of the next.
     """
-    tagged = df.select("*", _input_order(df, order, rank).alias(ORDER))
+    tagged = df.select("*", _input_order(order, rank).alias(ORDER))
     tidy = normalise_strings(tagged)
     return tidy.withColumns({name: F.lit(value) for name, value in tags.items()}) if tags else tidy
 
@@ -69,29 +65,40 @@ def curate(sources: list[DataFrame], spec: CurationSpec) -> DataFrame:
     return leading(numbered.withColumns(clean), ["record_id", *spec.preferred])
 
 
-def curation_log(sources: list[DataFrame], spec: CurationSpec, published: DataFrame) -> DataFrame:
-    """Run log ``(seq, dataset, metric, value)``: loaded, dropped, removed, written.
+def log_lines(sources: dict[str, DataFrame], spec: CurationSpec) -> DataFrame:
+    """Run log ``(seq, line)`` of one table: loaded by source, dropped, removed, written or skipped.
 
-    One pass over the sources without a shuffle, and the row count of the
-    published table; what lies between the two are the duplicates.
+    ``sources`` are the raw tables that exist, by name. Equal raw rows are counted
+    once by a combined aggregate, without numbering or cleaning the table.
     """
-    merged = merge_by_name(sources)
+    line = lambda seq, text: F.struct(F.lit(seq).alias("seq"), text.alias("line"))
+    if not sources:
+        session = SparkSession.getActiveSession()
+        return session.range(1).select(F.inline(F.array(line(0, F.lit(spec.absent)))))
+    loaded = []
+    for seq, (name, rows) in enumerate(sources.items()):
+        form = f"{spec.label}: loaded {name} (%d rows)" if spec.several else f"{spec.label}: loaded %d rows."
+        counted = rows.agg(F.count("*").alias("n")).filter("n > 0" if spec.several else "true")
+        loaded.append(counted.select(F.lit(seq).alias("seq"), F.format_string(form, "n").alias("line")))
+    merged = merge_by_name(list(sources.values()))
     clean = spec.derive(merged)
     usable = identified(clean[spec.name_column], clean[spec.url_column])
-    read = merged.agg(F.count("*").alias("loaded"), F.count_if(~usable).alias("unusable"))
-    written = published.agg(F.count("*").alias("written"))
-    both = read.unionByName(written, allowMissingColumns=True)
-    totals = both.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in both.columns])
-    metric = lambda seq, name, value: F.struct(
-        F.lit(seq).alias("seq"), F.lit(spec.label).alias("dataset"), F.lit(name).alias("metric"), value.alias("value")
+    raw = [name for name in merged.columns if name != ORDER]
+    groups = merged.groupBy(*raw).agg(F.count("*").alias("_n")).withColumn("_usable", usable)
+    totals = groups.agg(
+        F.coalesce(F.sum(F.when(~F.col("_usable"), F.col("_n"))), F.lit(0)).alias("dropped"),
+        F.coalesce(F.sum(F.when(F.col("_usable"), F.col("_n") - 1)), F.lit(0)).alias("removed"),
+        F.count_if("_usable").alias("rows"),
     )
-    return totals.select(
+    width = len({"record_id", *raw, *clean})
+    written = F.format_string(f"WROTE {spec.table} (%d rows x {width} cols)", "rows")
+    ends = totals.select(
         F.inline(
             F.array(
-                metric(1, "rows loaded", F.col("loaded")),
-                metric(2, "unusable rows dropped", F.col("unusable")),
-                metric(3, "exact duplicates removed", F.col("loaded") - F.col("unusable") - F.col("written")),
-                metric(4, "rows written", F.col("written")),
+                line(100, F.format_string(f"{spec.label}: dropped %d unusable row(s).", "dropped")),
+                line(101, F.format_string(f"{spec.label}: removed %d exact duplicate row(s).", "removed")),
+                line(102, F.when(F.col("rows") == 0, f"SKIP {spec.table}: no rows.").otherwise(written)),
             )
         )
     )
+    return merge_by_name([*loaded, ends])

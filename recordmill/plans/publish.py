@@ -7,20 +7,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.operators.audit import REQUIRED_COLUMNS, Collected, audit
+from recordmill.operators.audit import (
+    ISSUE_COLUMNS,
+    REQUIRED_COLUMNS,
+    Collected,
+    Published,
+    audit,
+    audit_exit,
+    publication_gate,
+)
 from recordmill.operators.columns import merge_by_name
-from recordmill.plans.curation import CurationSpec, collected, curate, curation_log
+from recordmill.plans.curation import CurationSpec, collected, curate, log_lines
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
-from recordmill.sources.pipe_csv import FILE_ORDER, try_read_pipe_csv
-from recordmill.sources.sinks import write_unless_empty
+from recordmill.session import release, settled_tables
+from recordmill.sources.catalog import read_catalog
+from recordmill.sources.pipe_csv import FILE_ORDER, header_line, read_pipe_csv, try_read_pipe_csv
+from recordmill.sources.sinks import write_pipe_csv, write_unless_empty
 
 
 @dataclass(frozen=True)
 class Sources:
-    """Raw tables of one published table: dataset name and constant tags, in order."""
+    """Raw tables of one published table: dataset name, its name in the log, constant tags, in order."""
 
     spec: CurationSpec
-    inputs: tuple[tuple[str, dict[str, str]], ...]
+    inputs: tuple[tuple[str, str, dict[str, str]], ...]
 
 
 def default_sources(place: Place) -> dict[str, Sources]:
@@ -28,33 +38,41 @@ def default_sources(place: Place) -> dict[str, Sources]:
         "cdf_projects": Sources(
             projects_spec(place),
             (
-                ("cdf_projects_seed", {"record_kind": "project"}),
-                ("cdf_activities_seed", {"record_kind": "activity"}),
+                ("cdf_projects_seed", "projects seed", {"record_kind": "project"}),
+                ("cdf_activities_seed", "activities seed", {"record_kind": "activity"}),
             ),
         ),
-        "council_resources": Sources(resources_spec(place), (("resource_index", {}),)),
-        "news": Sources(news_spec(place), (("news", {}),)),
+        "council_resources": Sources(resources_spec(place), (("resource_index", "resources", {}),)),
+        "news": Sources(news_spec(place), (("news", "news", {}),)),
     }
 
 
-def audit_folder(spark: SparkSession, folder: str, **read_options) -> DataFrame:
-    """Issue table over every expected file of a raw folder."""
+def audit_folder(spark: SparkSession, folder: str, prefix: str = "", **read_options) -> DataFrame:
+    """Issue table over every expected file of a raw folder; file names begin with ``prefix``."""
     return audit(
         spark,
         [
-            Collected(f"{name}.csv", try_read_pipe_csv(spark, f"{folder}/{name}.csv", **read_options), required)
+            Collected(f"{prefix}{name}.csv", try_read_pipe_csv(spark, f"{folder}/{prefix}{name}.csv", **read_options), required)
             for name, required in REQUIRED_COLUMNS.items()
         ],
     )
 
 
-def raw_frames(spark: SparkSession, folder: str, sources: Sources, **read_options) -> list[DataFrame]:
-    """The raw tables that exist, in their order; a missing file is left out."""
-    frames = []
-    for rank, (dataset, tags) in enumerate(sources.inputs):
-        raw = try_read_pipe_csv(spark, f"{folder}/{dataset}.csv", file_order=True, **read_options)
+def audit_report(spark: SparkSession, folder: str, report: str, prefix: str = "", **read_options) -> int:
+    """Audit a raw folder, write the issues as pipe text to ``report``, return the exit flag."""
+    write_pipe_csv(audit_folder(spark, folder, prefix, **read_options).coalesce(1), report, ISSUE_COLUMNS)
+    return audit_exit(read_pipe_csv(spark, report, ISSUE_COLUMNS)).first()["exit_flag"]
+
+
+def raw_frames(
+    spark: SparkSession, folder: str, sources: Sources, prefix: str = "", **read_options
+) -> dict[str, DataFrame]:
+    """The raw tables that exist by their name in the log, in their order; a missing file is left out."""
+    frames = {}
+    for rank, (dataset, name, tags) in enumerate(sources.inputs):
+        raw = try_read_pipe_csv(spark, f"{folder}/{prefix}{dataset}.csv", file_order=True, **read_options)
         if raw is not None:
-            frames.append(collected(raw, F.col(FILE_ORDER), rank, **tags).drop(FILE_ORDER))
+            frames[name] = collected(raw, F.col(FILE_ORDER), rank, **tags).drop(FILE_ORDER)
     return frames
 
 
@@ -71,23 +89,46 @@ def publish(
     place: Place,
     issues: DataFrame | None = None,
     mode: str = "errorifexists",
+    prefix: str = "",
     **read_options,
-) -> DataFrame | None:
-    """Curate each table whose raw files exist, write the non-empty ones, return the run log.
+) -> DataFrame:
+    """Curate each table whose raw files exist, write the non-empty ones and the run log, return the log.
 
     With the ``issues`` of an audit, tables with an error in one of their raw
-    files are left out. ``read_options`` go to ``try_read_pipe_csv``:
-    ``multi_line=False`` lets large files without quoted line breaks be split
-    over tasks.
+    files are left out. Raw files and published tables are named with ``prefix``.
+    ``read_options`` go to ``try_read_pipe_csv``. The log is ``(seq, line)``, also
+    written as text to ``cleaning_log`` in ``out_folder``. Tables settled on the
+    way are deleted.
     """
-    failed = set() if issues is None else failed_files(issues)
-    logs = []
-    for name, sources in default_sources(place).items():
-        if failed & {f"{dataset}.csv" for dataset, _ in sources.inputs}:
+    failed, logs, begun = set() if issues is None else failed_files(issues), [], settled_tables()
+    for rank, (name, sources) in enumerate(default_sources(place).items()):
+        if failed & {f"{prefix}{dataset}.csv" for dataset, _, _ in sources.inputs}:
             continue
-        frames = raw_frames(spark, raw_folder, sources, **read_options)
+        frames = raw_frames(spark, raw_folder, sources, prefix, **read_options)
         if frames:
-            published = curate(frames, sources.spec)
-            write_unless_empty(published, f"{out_folder}/{name}", mode=mode)
-            logs.append(curation_log(frames, sources.spec, published))
-    return merge_by_name(logs) if logs else None
+            write_unless_empty(curate(list(frames.values()), sources.spec), f"{out_folder}/{prefix}{name}", mode=mode)
+        logs.append(log_lines(frames, sources.spec).withColumn("seq", F.col("seq") + 1000 * rank))
+    if not logs:
+        return spark.createDataFrame([], "seq int, line string")
+    lines = merge_by_name(logs).orderBy("seq").collect()  # a few lines per table
+    log = spark.createDataFrame([tuple(r) for r in lines], "seq int, line string").coalesce(1)
+    log.sortWithinPartitions("seq").select("line").write.mode(mode).text(f"{out_folder}/{prefix}cleaning_log")
+    release(spark, begun)
+    return log
+
+
+def gate_folder(
+    spark: SparkSession, folder: str, expected: dict[str, tuple[str, int, int]], prefix: str = ""
+) -> DataFrame:
+    """``publication_gate`` over a published folder: tables are read back, their first line is probed.
+
+    ``expected``: per table its source column, rows and columns.
+    """
+    paths = {label: f"{folder}/{prefix}{label}" for label in expected}
+    tables = read_catalog(spark, paths)
+    return publication_gate(
+        [
+            Published(label, rows, *expected[label], header=header_line(spark, paths[label]))
+            for label, rows in tables.items()
+        ]
+    )

@@ -57,7 +57,11 @@ def projects_spec(place: Place) -> CurationSpec:
     return CurationSpec(
         label="CDF projects",
         prefix="CDF",
+        table="cdf_projects",
+        absent="No CDF source files found - skipping.",
+        several=True,
         derive=derive,
+        # Published columns, in their order.
         preferred=(
             "record_kind", "council_clean", "constituency_clean", "ward_clean", "project_name_clean",
             "project_type_clean", "status_clean", "year_clean", "amount_zmw_raw_kept", "amount_zmw",
@@ -85,7 +89,10 @@ def resources_spec(place: Place) -> CurationSpec:
     return CurationSpec(
         label="Council resources",
         prefix="RES",
+        table="council_resources",
+        absent="Council resources: no live file found.",
         derive=derive,
+        # Published columns, in their order.
         preferred=(
             "council_clean", "category_clean", "year_clean", "document_title_clean", "file_type_clean",
             "document_url_clean", "source_page_clean", "retrieved_at_utc_clean",
@@ -114,7 +121,10 @@ def news_spec(place: Place) -> CurationSpec:
     return CurationSpec(
         label="News",
         prefix="NEWS",
+        table="news",
+        absent="News: no live file found.",
         derive=derive,
+        # Published columns, in their order.
         preferred=(
             "council_clean", "title_clean", "published_date_clean", "excerpt_clean", "article_text_clean",
             "mentioned_amount_zmw", "article_url_clean", "source_listing_page_clean",

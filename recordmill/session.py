@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,19 +27,14 @@ def build_session(master: str | None = None, app_name: str = "recordmill", **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder that ``spark.checkpoint.dir`` names; every executor has to reach it."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return folder
 
-    Only a local session without that setting gets a folder of its own.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            folder = tempfile.mkdtemp(prefix="recordmill-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+
+_settled: list[str] = []
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -48,8 +42,23 @@ def settle(df: DataFrame) -> DataFrame:
 
     This cuts the lineage, so a lost executor costs no more than reading again,
     and what depended on partitioning is fixed. Unlike a checkpoint the table is
-    columnar: a later pass over one column reads that column only.
+    columnar: a later pass over one column reads that column only. The tables
+    stay until ``release``.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _settled.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled_tables() -> int:
+    """How many settled tables there are, for ``release`` to delete only later ones."""
+    return len(_settled)
+
+
+def release(spark: SparkSession, begun: int = 0) -> None:
+    """Delete the tables that ``settle`` has written; call it when the outputs made of them are written."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    while len(_settled) > begun:
+        path = hadoop(_settled.pop())
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -14,20 +14,10 @@ def read_catalog(spark: SparkSession, paths: dict[str, str], **options) -> dict[
     return {label: df for label, df in found.items() if df is not None}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give heavy row-local work at least one task per core.
-
-    A table in one small file, or one row group, is read by one task. Inputs
-    that already come in more splits than there are cores are left as they are,
-    so at scale nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """Files of a folder that match a pattern, by path; their content is not read."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf", recursive: bool = False) -> DataFrame:
+    """Files of a folder (and of those in it) that match a pattern, by path; their content is not read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    listed = reader.option("recursiveFileLookup", recursive).load(folder)
     return listed.select(
         "path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "modificationTime"
     ).orderBy("path")
@@ -35,7 +25,7 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> Data
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Collected pages ``(page_id, url, html)``."""
-    return spread(spark.read.parquet(path).select("page_id", "url", "html"))
+    return spark.read.parquet(path).select("page_id", "url", "html")
 
 
 def read_page_text(spark: SparkSession, path: str) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from decimal import Decimal
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -24,15 +27,16 @@ def _path_missing(error: AnalysisException) -> bool:
 def try_read_pipe_csv(
     spark: SparkSession,
     path: str | list[str],
-    multi_line: bool = True,
+    multi_line: bool = False,
     missing_texts: tuple[str, ...] = (),
     file_order: bool = False,
 ) -> DataFrame | None:
     """All columns as strings, named by the header, missing as ''; None without a file.
 
-    ``multi_line`` reads quoted line breaks and one file per task; without it
-    large files are split. ``missing_texts`` also become ''. ``file_order`` adds
-    a sortable column for the place of each row in the input.
+    Large files are split over tasks; ``multi_line`` reads quoted line breaks, for
+    which a file has to stay in one task. ``missing_texts`` also become ''.
+    ``file_order`` adds a number that grows with the place of each row in the
+    input: the file in the sorted listing, the split in it, the row.
     """
     reader = spark.read.options(
         sep="|", header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line,
@@ -44,16 +48,24 @@ def try_read_pipe_csv(
         if _path_missing(error):
             return None
         raise
-    order = F.struct(
-        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row")
-    )
     cells = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in raw.columns]
     if missing_texts:
         cells = [
             F.when(cell.isin(*missing_texts), F.lit("")).otherwise(cell).alias(name)
             for name, cell in zip(raw.columns, cells)
         ]
-    return raw.select(*cells, *([order.alias(FILE_ORDER)] if file_order else []))
+    return raw.select(*cells, *([_file_order(raw).alias(FILE_ORDER)] if file_order else []))
+
+
+def _file_order(raw: DataFrame) -> Column:
+    """One whole number per row: 10 digits of file, 14 of split, 10 of the row in its task."""
+    # both sides without the optional slashes of an empty host
+    files = [re.sub("^([a-z0-9+.-]+):/+", r"\1:/", name) for name in sorted(raw.inputFiles())]
+    path = F.regexp_replace("_metadata.file_path", "^([a-z0-9+.-]+):/+", "$1:/")
+    file = F.array_position(F.array(*[F.lit(name) for name in files]), path)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    parts = (file * F.lit(Decimal(10**24)), F.col("_metadata.file_block_start") * F.lit(Decimal(10**10)), row)
+    return sum((part.cast("decimal(35,0)") for part in parts[1:]), parts[0].cast("decimal(35,0)")).cast("decimal(35,0)")
 
 
 def empty_table(spark: SparkSession, columns: list[str]) -> DataFrame:

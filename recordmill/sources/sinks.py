@@ -52,11 +52,24 @@ def write_index(df: DataFrame, path: str, columns: list[str], mode: str = "error
     df.select(*columns).write.mode(mode).parquet(path)
 
 
-def write_table_cells(cells: DataFrame, path: str, by_file: bool = False, mode: str = "errorifexists") -> None:
-    """Cells of all extracted tables in long form, without a header row.
+def write_table_cells(cells: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Extracted tables as pipe text without a header row, a folder per table file.
 
-    ``by_file`` gives each source file its own folder; with very many files the
-    plain form keeps the number of output files to that of the tasks.
+    ``cells`` has ``(source_file, table_file, row_number, cells)``; the rows of a
+    table are of one width and keep their order. Tables of all widths go into one
+    text column, already delimited and quoted as ``write_pipe_csv`` does.
     """
-    writer = cells.write.mode(mode)
-    (writer.partitionBy("source_file") if by_file else writer).parquet(path)
+    quote = lambda c: F.when(
+        F.rlike(c, F.lit(r'[|"\r\n]')), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    ).otherwise(c)
+    text = F.array_join(F.transform("cells", lambda c: quote(F.coalesce(c, F.lit("")))), "|")
+    rows = cells.select("table_file", "row_number", text.alias("value"))
+    dealt = rows.repartitionByRange("table_file", "row_number").sortWithinPartitions("table_file", "row_number")
+    dealt.drop("row_number").write.mode(mode).partitionBy("table_file").text(path)
+
+
+def resave(df: DataFrame, folder: str, name: str, version: str, columns: list[str] | None = None) -> str:
+    """Write a table again under a version of its own, so that readers of the old one are not disturbed."""
+    path = f"{folder}/{name}/{version}"
+    write_pipe_csv(df, path, columns)
+    return path

@@ -11,10 +11,10 @@ from recordmill.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": tmp_path_factory.mktemp("shared").as_uri(), "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

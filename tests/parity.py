@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -65,7 +66,7 @@ def main(folder: str, only: list[str]) -> int:
 
     from recordmill.session import build_session
 
-    spark = build_session("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session("local[8]", **{"spark.checkpoint.dir": Path(tempfile.mkdtemp(prefix="parity-")).as_uri(), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

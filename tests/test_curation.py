@@ -4,27 +4,29 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from recordmill.plans.curation import collected, curate, curation_log
-from recordmill.plans.publish import audit_folder, default_sources, publish, raw_frames
+from recordmill.plans.curation import ORDER, collected, curate, log_lines
+from recordmill.operators.columns import merge_by_name
+from recordmill.operators.dedupe import distinct_rows
+from recordmill.plans.publish import audit_folder, audit_report, default_sources, gate_folder, publish, raw_frames
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
 from recordmill.sources.pipe_csv import read_pipe_csv
 
 PLACE = Place(town="Rivertown", council="Rivertown Town Council", constituency="Lake Constituency")
 PROJECTS = """council|constituency|serial_number_raw|ward_raw|project_name_raw|status_raw|year_raw|funding_source_raw|amount_zmw_raw|source_title|source_url|extraction_note
-Rivertown TC||1|kasaba|Build   1×3 block|Completed / ready|FY2025|||MINUTES 2025|https://r.example/m.pdf|table
-Rivertown TC||1|kasaba|Build 1×3 block|Completed / ready|FY2025|||MINUTES 2025|https://r.example/m.pdf|table
+Rivertown TC||1|kasaba|Paint   2×2 hall|Completed / ready|FY2025|||MINUTES 2025|https://r.example/m.pdf|table
+Rivertown TC||1|kasaba|Paint 2×2 hall|Completed / ready|FY2025|||MINUTES 2025|https://r.example/m.pdf|table
 Other Council|Hill|2|all wards|Road|ONGOING|1998/99|World fund|K2,800,000|||table
 ||3||||||||||
 """
 ACTIVITIES = """council|activity_type_raw|year_raw|description_raw|amount_zmw_raw|quantity_raw|ward_raw|source_type|source_url
-|road works / district-wide|2026|Roads opened|>3000000|26 km|A; B; other areas|Council news|https://r.example/?p=1
+|road works / district-wide|2026|Roads opened|>3000000|4 bridges|A; B; hill side|Council news|https://r.example/?p=1
 """
 RESOURCES = """council|category|year_raw|document_title_raw|document_url|file_type|source_page|retrieved_at_utc
 x rivertown|community_projects|2025|List 2025|https://r.example/l.pdf|PDF|https://r.example/?page_id=1|2026-09-11T15:58:03+00:00
 x rivertown|community_projects|2025|List 2025|https://r.example/l.pdf|PDF|https://r.example/?page_id=1|2026-09-11T15:58:11+00:00
 """
 NEWS = """council|title_raw|published_date_raw|excerpt_raw|article_url|source_listing_page|article_text_raw|linked_document_urls|retrieved_at_utc
-|Grants|September 3, 2026|short|https://r.example/?p=9|https://r.example/?cat=1|A 2.8-million-kwacha fund|a;b|2026-09-11T23:30:00-02:00
+|Grants|September 3, 2026|short|https://r.example/?p=9|https://r.example/?cat=1|A 7.5-million-kwacha prize|a;b|2026-09-11T23:30:00-02:00
 """
 
 
@@ -39,7 +41,7 @@ def raw(tmp_path_factory):
 def test_projects_golden(spark, raw):
     sources = default_sources(PLACE)["cdf_projects"]
     frames = raw_frames(spark, raw, sources)
-    out = curate(frames, sources.spec)
+    out = curate(list(frames.values()), sources.spec)
     assert len(out.columns) == 30 and out.columns[:2] == ["record_id", "record_kind"]
     got = [r.asDict() for r in out.orderBy("record_id").collect()]
     clean = [
@@ -48,21 +50,33 @@ def test_projects_golden(spark, raw):
     ]
     fund = "Constituency Development Fund (CDF)"
     assert [tuple(r[c] for c in clean) for r in got] == [
-        ("CDF0001", "project", PLACE.council, PLACE.constituency, "Kasaba", "Build 1×3 block", "", "Unknown", "2025", "", None, fund,
+        ("CDF0001", "project", PLACE.council, PLACE.constituency, "Kasaba", "Paint 2×2 hall", "", "Unknown", "2025", "", None, fund,
          "MINUTES 2025", "https://r.example/m.pdf"),
         ("CDF0002", "project", "Other Council", "Hill", "All Wards", "Road", "", "In progress", "1998", "K2,800,000", 2800000.0,
          "World fund", "", ""),
-        ("CDF0003", "activity", PLACE.council, PLACE.constituency, "A; B; Other Areas", "Roads opened", "Road Works / District-Wide",
+        ("CDF0003", "activity", PLACE.council, PLACE.constituency, "A; B; Hill Side", "Roads opened", "Road Works / District-Wide",
          "Unknown", "2026", ">3000000", 3000000.0, fund, "Council news", "https://r.example/?p=1"),
     ]
-    assert got[0]["project_name_raw"] == "Build 1×3 block" and got[0]["quantity_raw"] is None and got[2]["extraction_note"] is None
-    log = [(r.metric, r.value) for r in curation_log(frames, sources.spec, out).orderBy("seq").collect()]
-    assert log == [("rows loaded", 5), ("unusable rows dropped", 1), ("exact duplicates removed", 1), ("rows written", 3)]
+    assert got[0]["project_name_raw"] == "Paint 2×2 hall" and got[0]["quantity_raw"] is None and got[2]["extraction_note"] is None
+    log = [r.line for r in log_lines(frames, sources.spec).orderBy("seq").collect()]
+    assert log == [
+        "CDF projects: loaded projects seed (4 rows)", "CDF projects: loaded activities seed (1 rows)",
+        "CDF projects: dropped 1 unusable row(s).", "CDF projects: removed 1 exact duplicate row(s).",
+        "WROTE cdf_projects (3 rows x 30 cols)",
+    ]
+
+
+def test_distinct_rows_of_files_are_hash_aggregated(spark, raw):
+    """The order of rows in files is a number, so no wide row is sorted for it."""
+    sources = default_sources(PLACE)["cdf_projects"]
+    merged = merge_by_name(list(raw_frames(spark, raw, sources).values()))
+    plan = distinct_rows(merged, ORDER)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_a_new_fetch_is_no_duplicate(spark, raw):
     sources = default_sources(PLACE)["council_resources"]
-    out = curate(raw_frames(spark, raw, sources), sources.spec).orderBy("record_id").collect()
+    out = curate(list(raw_frames(spark, raw, sources).values()), sources.spec).orderBy("record_id").collect()
     assert len(out[0]) == 17 and [r.record_id for r in out] == ["RES0001", "RES0002"]
     assert out[0].retrieved_at_utc_clean == "2026-09-11T15:58:03Z" and out[0].category_clean == "Community Projects"
     assert (out[0].file_type_clean, out[0].council_clean) == ("pdf", PLACE.council)
@@ -70,16 +84,18 @@ def test_a_new_fetch_is_no_duplicate(spark, raw):
 
 def test_news_golden(spark, raw):
     sources = default_sources(PLACE)["news"]
-    (row,) = curate(raw_frames(spark, raw, sources), sources.spec).collect()
+    (row,) = curate(list(raw_frames(spark, raw, sources).values()), sources.spec).collect()
     assert len(row) == 20
     assert (row.record_id, row.published_date_clean, row.mentioned_amount_zmw, row.retrieved_at_utc_clean) == (
-        "NEWS0001", "2026-09-03", 2800000.0, "2026-09-12T01:30:00Z",
+        "NEWS0001", "2026-09-03", 7500000.0, "2026-09-12T01:30:00Z",
     )
 
 
 def test_publish_writes_plain_files_and_is_repeatable(spark, raw, tmp_path):
     logs = [publish(spark, raw, str(tmp_path / f"out{i}"), PLACE).collect() for i in range(2)]
-    assert logs[0] == logs[1] and {r.dataset for r in logs[0]} == {"CDF projects", "Council resources", "News"}
+    assert logs[0] == logs[1] and [r.line for r in logs[0]][-1] == "WROTE news (1 rows x 20 cols)"
+    written = [p for p in (tmp_path / "out0" / "cleaning_log").glob("part-*") if p.stat().st_size]
+    assert "".join(p.read_text() for p in written).splitlines() == [r.line for r in logs[0]]
 
     def read(i):
         lines = []
@@ -97,17 +113,30 @@ def test_publish_writes_plain_files_and_is_repeatable(spark, raw, tmp_path):
 def test_missing_and_empty_inputs(spark, tmp_path):
     (tmp_path / "news.csv").write_text(NEWS.splitlines()[0] + "\n", encoding="utf-8")
     log = publish(spark, str(tmp_path), str(tmp_path / "out"), PLACE)
-    assert [(r.metric, r.value) for r in log.filter("dataset = 'News'").collect()][0] == ("rows loaded", 0)
-    assert not (tmp_path / "out").exists()
-    assert publish(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"), PLACE) is None
+    assert [r.line for r in log.orderBy("seq").collect()] == [
+        "No CDF source files found - skipping.", "Council resources: no live file found.", "News: loaded 0 rows.",
+        "News: dropped 0 unusable row(s).", "News: removed 0 exact duplicate row(s).", "SKIP news: no rows.",
+    ]
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["cleaning_log"]
+    assert publish(spark, str(tmp_path / "nowhere"), str(tmp_path / "out2"), PLACE).count() == 3
+
+
+def test_files_may_have_a_prefix(spark, tmp_path):
+    (tmp_path / "p-news.csv").write_text(NEWS, encoding="utf-8")
+    log = publish(spark, str(tmp_path), str(tmp_path / "out"), PLACE, prefix="p-")
+    assert "WROTE news (1 rows x 20 cols)" in [r.line for r in log.collect()]
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"p-news", "p-cleaning_log"}
+    assert audit_report(spark, str(tmp_path), str(tmp_path / "report"), prefix="p-") == 1
+    gate = gate_folder(spark, str(tmp_path / "out"), {"news": ("article_url_clean", 1, 20)}, prefix="p-").first()
+    assert gate.shape_correct and gate.pipe_delimiter and gate.no_exported_index and gate.missing_urls == 0
 
 
 def test_tables_with_an_error_are_not_published(spark, raw, tmp_path):
     (tmp_path / "news.csv").write_text(NEWS.splitlines()[0] + "\n", encoding="utf-8")
     (tmp_path / "resource_index.csv").write_text(RESOURCES, encoding="utf-8")
     log = publish(spark, str(tmp_path), str(tmp_path / "out"), PLACE, issues=audit_folder(spark, str(tmp_path)))
-    assert {r.dataset for r in log.collect()} == {"Council resources"}
-    assert [p.name for p in (tmp_path / "out").iterdir()] == ["council_resources"]
+    assert all(r.line.startswith(("Council resources", "WROTE council_resources")) for r in log.collect())
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"council_resources", "cleaning_log"}
 
 
 def test_audit_of_a_folder(spark, raw):

@@ -83,11 +83,28 @@ def test_decode_entities_on_many_marks(apply):
     assert apply(H.decode_entities, ["&amp;" * 5000 + "&", "&#128512;&#xD800;"]) == ["&" * 5001, "😀&#xD800;"]
 
 
-def test_blocks_and_sections(apply):
-    page = "<article id=1>a</article><article>b<i>c</i></article><articles>no</articles>"
-    assert apply(lambda c: H.blocks(c, "article"), [page]) == [["a", "b<i>c</i>"]]
-    (sections,) = apply(H.heading_sections, ["<h1>t</h1>0<h2 class=x>A</h2>x<H3>B</H3>y<h5>z</h5>"])
-    assert [(s.heading, s.section) for s in sections] == [("A", "<h2 class=x>A</h2>x"), ("B", "<H3>B</H3>y<h5>z</h5>")]
+def test_articles_are_whole_elements(apply):
+    pages = {
+        "<article id=1>a</article><article>b<i>c</i></article><articles>no</articles>": ["<article id=1>a", "<article>b<i>c</i>"],
+        "<article>a<article>in</article>tail</article>out": ["<article>a<article>in</article>tail", "<article>in"],
+        "<div><article>a<p>b</div>out": ["<article>a<p>b"],
+        "<ARTICLE>a</p>b<br></Article>c": ["<ARTICLE>a</p>b<br>"],
+        "<article>never": ["<article>never"],
+        "none": [],
+    }
+    assert apply(H.articles, list(pages)) == list(pages.values())
+
+
+def test_elements_around_linked_headings(apply):
+    pages = {
+        "<div><h2><a href=/1>One</a></h2><p>alpha</p></div><footer>FOOT</footer>": ["<div><h2><a href=/1>One</a></h2><p>alpha</p>"],
+        "<p>x</p><div>May <h3><a href=/1>A</a></h3><h3><a href=/2>B</a></h3></div>z": ["<div>May <h3><a href=/1>A</a></h3><h3><a href=/2>B</a></h3>"],
+        "<h2><a href=/1>A</a></h2>text<h4>no link</h4>": ["<h2><a href=/1>A</a></h2>text<h4>no link</h4>"],
+        "<section><h2>no</h2><a href=/1>behind</a></section>": [],
+        "<div><img src='a>b'><input/><h2><a href=/1>A</a></h2></div>x": ["<div><img src='a>b'><input/><h2><a href=/1>A</a></h2>"],
+        "<h1><a href=/1>A</a></h1>": [],
+    }
+    assert apply(H.around_linked_headings, list(pages)) == list(pages.values())
 
 
 def test_main_content(apply):
@@ -95,6 +112,7 @@ def test_main_content(apply):
         '<div><div class="a entry-content b"><div>one</div><p>two</p></div>after</div>': "<div>one</div><p>two</p>",
         "<section class='post-content'>in<div>x</div></section><article>no</article>": "in<div>x</div>",
         '<p class="entry-contents">q</p><article id=1>in<div>x</div></article>out': "in<div>x</div>",
+        "<article>a<article>b</article>c</article>d": "a<article>b</article>c",
         "<p>entry-content is only text</p>": "<p>entry-content is only text</p>",
         '<div class="entry-content">never <div>closed': "never <div>closed",
         '<div class=entry-content><p>x</p><div><div>y</div></div></div><div>z</div>': "<p>x</p><div><div>y</div></div>",
@@ -106,8 +124,9 @@ def test_long_pages_stay_linear(apply):
     page = "<a href=/x>" * 20000 + "<!--" * 20000
     (found,) = apply(lambda c: F.size(H.anchors(H.visible(c))), [page])
     assert found == 20000
-    (sections,) = apply(lambda c: F.size(H.heading_sections(c)), ["<h2>a</h2>" + "x < y " * 200000 + "<h3>b</h3>"])
-    assert sections == 2
+    listing = "<article>" + "<p>x < y </p><br>" * 2000 + "</article>"
+    (found,) = apply(lambda c: F.size(H.articles(c)), [listing])
+    assert found == 1
     quotes = '<p title="' + "x'" * 50000 + '">end</p>'
     assert apply(H.text_of, [quotes]) == ["end"]
     assert re.sub("x", "", apply(H.text_of, ["<" * 50000])[0]) == "<" * 50000

@@ -76,7 +76,9 @@ def test_article_details(spark):
 
 def test_long_article_text_is_bounded(spark):
     page = [(1, SITE, "<article>" + "word " * 9000 + "</article>")]
-    (row,) = P.article_details(table(spark, page), "river.example", ["page_id"]).collect()
+    (whole,) = P.article_details(table(spark, page), "river.example", ["page_id"]).collect()
+    assert whole.article_text_raw == ("word " * 9000).strip()
+    (row,) = P.article_details(table(spark, page), "river.example", ["page_id"], text_length=20000).collect()
     assert row.article_text_raw == ("word " * 9000)[:20000]
 
 
@@ -101,12 +103,13 @@ def test_download_manifest(spark):
         [(f"{SITE}/a/x.pdf", "t"), (f"{SITE}/b/x.pdf", "t"), (f"{SITE}/y z.pdf", "t"), (f"{SITE}/?p=1", "T")],
         "url string, title string",
     )
-    for hot_rows in (1_000_000, 1):
+    for lengths, size in (((None, None), 46), ((60, 10), 16)):
         got = {r.url.removeprefix(SITE): (r.target_name, r.duplicate_target)
-               for r in P.download_manifest(links, "url", "title", hot_rows).collect()}
+               for r in P.download_manifest(links, "url", "title", *lengths).collect()}
         assert got["/a/x.pdf"] == got["/b/x.pdf"] == ("x.pdf", True)
         assert got["/y z.pdf"] == ("y_z.pdf", False)
-        assert got["/?p=1"][0].startswith("T-") and got["/?p=1"][0].endswith(".bin")
+        name = got["/?p=1"][0]
+        assert name.startswith("T-") and name.endswith(".bin") and len(name) == size
 
 
 def test_page_indexes(spark):

@@ -13,10 +13,10 @@ def write_raw(path, text, bom=True):
 
 def test_scan_is_string_safe(spark, tmp_path):
     raw = 'id|name|amount\n007|" a ""q"" "|\n||NA\n8|"two\nlines"|"x|y"\n'
-    df = pipe_csv.read_pipe_csv(spark, write_raw(tmp_path / "t.csv", raw), ["id"])
+    df = pipe_csv.read_pipe_csv(spark, write_raw(tmp_path / "t.csv", raw), ["id"], multi_line=True)
     assert df.columns == ["id", "name", "amount"] and set(dict(df.dtypes).values()) == {"string"}
     assert [tuple(r) for r in df.collect()] == [("007", ' a "q" ', ""), ("", "", "NA"), ("8", "two\nlines", "x|y")]
-    filled = pipe_csv.read_pipe_csv(spark, str(tmp_path / "t.csv"), [], missing_texts=pipe_csv.MISSING_TEXTS)
+    filled = pipe_csv.read_pipe_csv(spark, str(tmp_path / "t.csv"), [], multi_line=True, missing_texts=pipe_csv.MISSING_TEXTS)
     assert [r.amount for r in filled.collect()] == ["", "", "x|y"]
 
 
@@ -62,7 +62,7 @@ def test_sink_round_trip(spark, tmp_path):
         plain = list(csv.reader(stream, delimiter="|"))
     expected = [["s", "t", "d", "b"], ["a|b", 'q"r', "12800000.0", "True"], [" lead ", "", "", ""], ["line\nbreak", "", "2.5", "False"]]
     assert plain == expected
-    again = pipe_csv.read_pipe_csv(spark, out, [])
+    again = pipe_csv.read_pipe_csv(spark, out, [], multi_line=True)
     assert [list(r) for r in again.collect()] == expected[1:]
 
 
@@ -78,10 +78,25 @@ def test_index_keeps_columns_without_rows(spark, tmp_path):
     assert spark.read.parquet(path).dtypes == [("a", "string"), ("n", "int")]
 
 
-def test_table_cells_by_file(spark, tmp_path):
-    cells = spark.createDataFrame([("a.pdf", "a_t1.csv", 1, ["x", None])], "source_file string, table_file string, row_number int, cells array<string>")
-    sinks.write_table_cells(cells, str(tmp_path / "c"), by_file=True)
-    assert (tmp_path / "c" / "source_file=a.pdf").exists()
+def test_table_cells_are_headerless_text(spark, tmp_path):
+    cells = spark.createDataFrame(
+        [("a.pdf", "a_t1.csv", 2, ["x", None]), ("a.pdf", "a_t1.csv", 1, ['q"r', "a|b"]), ("a.pdf", "a_t2.csv", 1, [None])],
+        "source_file string, table_file string, row_number int, cells array<string>",
+    )
+    sinks.write_table_cells(cells, str(tmp_path / "c"))
+    (part,) = (tmp_path / "c" / "table_file=a_t1.csv").glob("part-*")
+    with part.open(encoding="utf-8", newline="") as stream:
+        assert list(csv.reader(stream, delimiter="|")) == [['q"r', "a|b"], ["x", ""]]
+
+
+def test_large_files_are_split(spark, tmp_path):
+    path = write_raw(tmp_path / "big.csv", "k|v\n" + "".join(f"{i}|y\n" for i in range(5000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert pipe_csv.try_read_pipe_csv(spark, path).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_list_files(spark, tmp_path):
@@ -92,13 +107,6 @@ def test_list_files(spark, tmp_path):
     assert "content" not in listed.columns
 
 
-def test_spread_only_small_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert catalog.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores + 3)
-    assert catalog.spread(many) is many
-
-
 def test_page_sources(spark, tmp_path):
     spark.createDataFrame([("f", 1, None)], "source_file string, page int, text string").write.parquet(str(tmp_path / "t"))
     assert [tuple(r) for r in catalog.read_page_text(spark, str(tmp_path / "t")).collect()] == [("f", 1, "")]

@@ -1,8 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from recordmill.operators import columns, dedupe, filters, joins, listing, numbering, summary
-from recordmill.session import settle
+from recordmill.session import release, settle, settled_tables
 
 
 def rows(df):
@@ -80,20 +82,20 @@ def test_settled_table_is_columnar_and_equal(spark):
 
 @pytest.mark.parametrize("how", ["left", "left_anti", "left_semi", "inner"])
 def test_lookup_join_with_a_hot_key(spark, how):
-    """One key holds a third of the rows: the salted join gives the rows of the plain one."""
+    """One key holds a third of the rows, and blank keys match nothing."""
     n = 6000
-    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(
+    key = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None)).when(F.col("id") % 5 == 0, F.lit("")).otherwise(
         F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
     facts = spark.range(n).select(key.alias("k"), "id")
     lookup = spark.createDataFrame([("hot", "H"), ("k1", "one"), ("k2", None), ("unused", "x")], "k string, v string")
-    salted = joins.lookup_join(facts, lookup, "k", how, hot_rows=300)
-    plain = facts.join(lookup, "k", how).select(*salted.columns)
-    assert salted.count() == plain.count() and salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+    found = joins.lookup_join(facts, lookup, "k", how)
+    plain = facts.join(lookup, "k", how).select(*found.columns)
+    assert found.count() == plain.count() and found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
 
 
-@pytest.mark.parametrize("value", ["hot", None])
-def test_hot_key_is_spread_over_tasks(spark, value):
-    """With broadcasts off, no task of the join holds more than a small part of the hot key, or of the null keys."""
+@pytest.mark.parametrize("value", ["", None])
+def test_blank_keys_are_spread_over_tasks(spark, value):
+    """Without broadcasts and run-time splitting no task of the join holds more than a small part of them."""
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     before = {k: spark.conf.get(k) for k in settings}
     try:
@@ -102,7 +104,7 @@ def test_hot_key_is_spread_over_tasks(spark, value):
         n = 30_000
         facts = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(value)).otherwise(F.col("id").cast("string")).alias("k"), "id")
         lookup = facts.select("k").distinct().withColumn("v", F.lit(1))
-        joined = joins.lookup_join(facts, lookup, "k", hot_rows=200)
+        joined = joins.lookup_join(facts, lookup, "k")
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
         assert sum(sizes) == n and max(sizes) < n / 5
     finally:
@@ -110,10 +112,25 @@ def test_hot_key_is_spread_over_tasks(spark, value):
             spark.conf.set(k, v)
 
 
-def test_hot_keys_are_few_by_definition(spark):
-    facts = spark.range(1000).select((F.col("id") % 4).alias("k"))
-    assert rows(joins.hot_keys(facts, "k", 249)) == [(k, 250) for k in range(4)]
-    assert joins.hot_keys(facts, "k", 250).isEmpty()
+def test_lookup_join_reads_the_facts_once(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) as k", "id").write.parquet(str(tmp_path / "facts"))
+    lookup = spark.createDataFrame([("1", "one")], "k string, v string")
+    joined = joins.lookup_join(spark.read.parquet(str(tmp_path / "facts")), lookup, "k")
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_enrich_keeps_one_row_per_record(spark):
+    records = spark.createDataFrame([("a", "x"), ("", "y"), ("", "y")], "url string, t string")
+    details = spark.createDataFrame([("a", "2"), ("a", "1"), ("", "none")], "url string, body string")
+    assert rows(joins.enrich(records, details, "url")) == [("", "y", ""), ("", "y", ""), ("a", "x", "1")]
+
+
+def test_settled_tables_are_deleted(spark):
+    begun = settled_tables()
+    path = settle(spark.range(3)).inputFiles()[0]
+    assert Path(path.removeprefix("file://")).exists() and settled_tables() == begun + 1
+    release(spark, begun)
+    assert not Path(path.removeprefix("file://")).exists() and settled_tables() == begun
 
 
 def test_enrich_leaves_blanks(spark):
@@ -135,11 +152,10 @@ def test_take_while_stops_before_the_first_hit(spark):
          ("c", 2, 2, True), ("d", 1, 1, False), ("d", 2, 1, False), ("d", 11, 1, False), ("e", 1, 1, False), ("e", 11, 0, True)],
         "listing string, page int, n_records int, failed boolean",
     )
-    expected = [("a", 1), ("c", 1), ("d", 1), ("d", 2), ("e", 1)]
+    expected = [("a", 1), ("c", 1), ("d", 1), ("d", 2), ("d", 11), ("e", 1)]
     assert rows(listing.listing_pages(log).select("listing", "page")) == expected
-    stops = (F.col("n_records") == 0) | F.col("failed")
-    hot = listing.take_while(log, "listing", "page", stops, 10, hot_rows=1)
-    assert rows(hot.select("listing", "page")) == expected
+    bounded = listing.listing_pages(log, 10).select("listing", "page")
+    assert rows(bounded) == [r for r in expected if r[1] <= 10]
 
 
 def test_summaries(spark):

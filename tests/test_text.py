@@ -79,7 +79,9 @@ def test_without_leading(apply):
 
 
 def test_safe_stem(apply):
-    assert apply(T.safe_stem, ["__a b/c__", "é-x", "a" * 120, "___"]) == ["a_b_c", "-x", "a" * 100, ""]
+    names = ["__a b/c__", "é-x", "a" * 120, "___"]
+    assert apply(T.safe_stem, names) == ["a_b_c", "-x", "a" * 120, ""]
+    assert apply(lambda c: T.safe_stem(c, 100), names) == ["a_b_c", "-x", "a" * 100, ""]
 
 
 def test_mentions_any(apply):

@@ -46,7 +46,9 @@ def test_safe_filename(apply):
     pairs = [("http://x/a b.pdf", "t"), ("http://x/?p=2", "Plan é 2025 " + "x" * 80)]
     digest = hashlib.sha1(b"http://x/?p=2").hexdigest()[:10]
     made = re.sub(r"[^A-Za-z0-9._-]+", "_", f"{pairs[1][1][:60]}-{digest}.bin")
-    assert apply(U.safe_filename, pairs) == ["a_b.pdf", made]
+    assert apply(lambda url, title: U.safe_filename(url, title, 60, 10), pairs) == ["a_b.pdf", made]
+    whole = re.sub(r"[^A-Za-z0-9._-]+", "_", f"{pairs[1][1]}-{hashlib.sha1(b'http://x/?p=2').hexdigest()}.bin")
+    assert apply(U.safe_filename, pairs) == ["a_b.pdf", whole]
 
 
 def test_weak_titles(apply):

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.operators import summary
-from recordmill.plans.curation import collected, curate, curation_log
+from recordmill.plans.curation import collected, curate, log_lines
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
 from workload import registered
 from workload import data as D
@@ -48,6 +48,12 @@ NEWS = {
 }
 
 
+def raw_resources(spark: SparkSession, folder: str) -> DataFrame:
+    """The resource table as it is collected, with its order in ``_id``."""
+    orders = D.table(spark, folder, "orders").withColumn("_id", F.col("o_orderkey"))
+    return _raw(orders, RESOURCES, F.col("_id"), k=F.col("o_custkey"), m=F.col("o_orderpriority"), n=F.col("o_orderstatus"))
+
+
 def _raw(df: DataFrame, shape: dict[str, list[str]], key, **values) -> DataFrame:
     """Collected rows made from a driver table; ``key`` numbers them and repeats where it is coarser."""
     cells = [D.pick(key + at, templates, **values).alias(name) for at, (name, templates) in enumerate(shape.items())]
@@ -76,13 +82,11 @@ def project_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def resource_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
-    orders = D.table(spark, folder, "orders", heavy=True).withColumn("_id", F.col("o_orderkey"))
-    raw = _raw(orders, RESOURCES, F.col("_id"), k=F.col("o_custkey"), m=F.col("o_orderpriority"), n=F.col("o_orderstatus"))
-    return [collected(raw, F.col("_id")).drop("_id")]
+    return [collected(raw_resources(spark, folder), F.col("_id")).drop("_id")]
 
 
 def news_sources(spark: SparkSession, folder: str) -> list[DataFrame]:
-    docs = D.table(spark, folder, "documents", heavy=True).withColumn("_id", F.col("doc_id"))
+    docs = D.table(spark, folder, "documents").withColumn("_id", F.col("doc_id"))
     key = F.floor(F.col("_id") / 2)
     raw = _raw(docs, NEWS, key, k=key, n=F.col("source"), m=F.col("lang"), t=F.col("text"))
     return [collected(raw, F.col("_id")).drop("_id")]
@@ -150,32 +154,45 @@ def curated_news(spark: SparkSession, folder: str) -> DataFrame:
     return curate(news_sources(spark, folder), news_spec(PLACE))
 
 
-def _log_sql(clean: str, raw: list[str], label: str, name: str, url: str) -> str:
+def _log_sql(clean: str, raw: list[str], label: str, table: str, name: str, url: str, loaded: str, width: int) -> str:
     kept = ", ".join(raw)
     return f"""WITH clean AS ({clean}), usable AS (SELECT * FROM clean WHERE {name} <> '' OR {url} <> ''),
-        once AS (SELECT DISTINCT {kept} FROM usable)
-      SELECT 1 AS seq, '{label}' AS dataset, 'rows loaded' AS metric, (SELECT count(*) FROM clean) AS value
-      UNION ALL SELECT 2, '{label}', 'unusable rows dropped', (SELECT count(*) FROM clean) - (SELECT count(*) FROM usable)
-      UNION ALL SELECT 3, '{label}', 'exact duplicates removed', (SELECT count(*) FROM usable) - (SELECT count(*) FROM once)
-      UNION ALL SELECT 4, '{label}', 'rows written', (SELECT count(*) FROM once)"""
+        once AS (SELECT DISTINCT {kept} FROM usable), n AS (SELECT (SELECT count(*) FROM clean) AS loaded,
+          (SELECT count(*) FROM usable) AS usable, (SELECT count(*) FROM once) AS once)
+      {loaded}
+      UNION ALL SELECT 100, '{label}: dropped ' || (loaded - usable) || ' unusable row(s).' FROM n
+      UNION ALL SELECT 101, '{label}: removed ' || (usable - once) || ' exact duplicate row(s).' FROM n
+      UNION ALL SELECT 102, 'WROTE {table} (' || once || ' rows x {width} cols)' FROM n"""
+
 
+_PROJECTS_LOADED = """SELECT 0 AS seq, 'CDF projects: loaded projects seed (' || count(*) || ' rows)' AS line FROM customer
+      UNION ALL SELECT 1, 'CDF projects: loaded activities seed (' || count(*) || ' rows)' FROM supplier"""
 
-@registered(_log_sql(_PROJECT_CLEAN, _PROJECT_COLUMNS, "CDF projects", "project_name_clean", "source_url_clean"))
+
+@registered(
+    _log_sql(_PROJECT_CLEAN, _PROJECT_COLUMNS, "CDF projects", "cdf_projects", "project_name_clean", "source_url_clean",
+             _PROJECTS_LOADED, 1 + 12 + len(_PROJECT_COLUMNS))
+)
 def run_log_projects(spark: SparkSession, folder: str) -> DataFrame:
-    sources = project_sources(spark, folder)
-    return curation_log(sources, projects_spec(PLACE), curate(sources, projects_spec(PLACE)))
+    projects, activities = project_sources(spark, folder)
+    return log_lines({"projects seed": projects, "activities seed": activities}, projects_spec(PLACE))
 
 
-@registered(_log_sql(_RESOURCE_CLEAN, list(RESOURCES), "Council resources", "document_title_clean", "document_url_clean"))
+@registered(
+    _log_sql(_RESOURCE_CLEAN, list(RESOURCES), "Council resources", "council_resources", "document_title_clean",
+             "document_url_clean", "SELECT 0 AS seq, 'Council resources: loaded ' || count(*) || ' rows.' AS line FROM orders",
+             1 + 8 + len(RESOURCES))
+)
 def run_log_resources(spark: SparkSession, folder: str) -> DataFrame:
-    sources = resource_sources(spark, folder)
-    return curation_log(sources, resources_spec(PLACE), curate(sources, resources_spec(PLACE)))
+    return log_lines({"resources": resource_sources(spark, folder)[0]}, resources_spec(PLACE))
 
 
-@registered(_log_sql(_NEWS_CLEAN, list(NEWS), "News", "title_clean", "article_url_clean"))
+@registered(
+    _log_sql(_NEWS_CLEAN, list(NEWS), "News", "news", "title_clean", "article_url_clean",
+             "SELECT 0 AS seq, 'News: loaded ' || count(*) || ' rows.' AS line FROM documents", 1 + 10 + len(NEWS))
+)
 def run_log_news(spark: SparkSession, folder: str) -> DataFrame:
-    sources = news_sources(spark, folder)
-    return curation_log(sources, news_spec(PLACE), curate(sources, news_spec(PLACE)))
+    return log_lines({"news": news_sources(spark, folder)[0]}, news_spec(PLACE))
 
 
 PREVIEW = ["record_id", "record_kind", "ward_clean", "project_name_clean", "status_clean", "year_clean", "amount_zmw"]

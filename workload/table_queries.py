@@ -45,7 +45,7 @@ _LINK = D.norm_sql(D.pick_sql("doc_id // 2", BLANKS, v="source"))
     WHERE title_clean <> '' OR source_url_clean <> ''"""
 )
 def drop_unusable(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     key = F.col("doc_id")
     records = docs.select(
         key,
@@ -126,13 +126,13 @@ _STOP = "strpos(text, '###') > 0"
 
 
 @registered(
-    f"""SELECT conv_id, turn, role FROM conversations c WHERE turn < 10 AND NOT EXISTS
-      (SELECT 1 FROM conversations s WHERE s.conv_id = c.conv_id AND s.turn <= c.turn AND s.turn < 10
+    f"""SELECT conv_id, turn, role FROM conversations c WHERE NOT EXISTS
+      (SELECT 1 FROM conversations s WHERE s.conv_id = c.conv_id AND s.turn <= c.turn
         AND {_STOP.replace('text', 's.text')})"""
 )
 def take_while(spark: SparkSession, folder: str) -> DataFrame:
     turns = D.table(spark, folder, "conversations")
-    kept = listing.take_while(turns, "conv_id", "turn", F.contains("text", F.lit("###")), max_pages=9)
+    kept = listing.take_while(turns, "conv_id", "turn", F.contains("text", F.lit("###")))
     return kept.select("conv_id", "turn", "role")
 
 
@@ -140,13 +140,13 @@ _LOG = """SELECT CAST(conv_id AS VARCHAR) AS listing, CAST(turn + 1 AS INTEGER)
       length(text) - length(replace(text, chr(10), '')) AS n_records, (conv_id + turn) % 11 = 3 AS failed FROM conversations"""
 
 
-@registered(
-    f"""SELECT listing, page, n_records FROM
+def _paged_sql(bound: str) -> str:
+    return f"""SELECT listing, page, n_records FROM
       (SELECT *, min(CASE WHEN n_records = 0 OR failed THEN page END) OVER (PARTITION BY listing) AS stop
-       FROM ({_LOG}) WHERE page <= 10)
-    WHERE stop IS NULL OR page < stop"""
-)
-def paged_listing(spark: SparkSession, folder: str) -> DataFrame:
+       FROM ({_LOG}) {bound}) WHERE stop IS NULL OR page < stop"""
+
+
+def _paged(spark: SparkSession, folder: str, max_pages: int | None) -> DataFrame:
     turns = D.table(spark, folder, "conversations")
     log = turns.select(
         F.col("conv_id").cast("string").alias("listing"),
@@ -154,7 +154,18 @@ def paged_listing(spark: SparkSession, folder: str) -> DataFrame:
         (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit("")))).cast("long").alias("n_records"),
         ((F.col("conv_id") + F.col("turn")) % 11 == 3).alias("failed"),
     )
-    return listing.listing_pages(log, max_pages=10).select("listing", "page", "n_records")
+    return listing.listing_pages(log, max_pages).select("listing", "page", "n_records")
+
+
+@registered(_paged_sql(""))
+def paged_listing(spark: SparkSession, folder: str) -> DataFrame:
+    return _paged(spark, folder, None)
+
+
+@registered(_paged_sql("WHERE page <= 3"))
+def bounded_paging(spark: SparkSession, folder: str) -> DataFrame:
+    """The bounded form: listings are read up to a given page."""
+    return _paged(spark, folder, 3)
 
 
 _SEGMENT = "split_part(rtrim(url, '/'), '/', -1)"
@@ -189,14 +200,14 @@ def enrich_left(spark: SparkSession, folder: str) -> DataFrame:
     WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"""
 )
 def skewed_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders to nations, with a threshold so low that every nation counts as hot."""
+    """Orders to nations: a lookup in which each key has very many rows."""
     customer = D.table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")
     )
     orders = D.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     placed = joins.lookup_join(orders, customer, "o_custkey")
     nations = D.table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("nation"))
-    named = joins.lookup_join(placed, nations, "n_nationkey", hot_rows=100)
+    named = joins.lookup_join(placed, nations, "n_nationkey")
     return named.select("o_orderkey", "nation", "o_orderpriority")
 
 
@@ -231,7 +242,7 @@ _FIGURE = D.amount_sql(D.pick_sql("o_orderkey", FIGURES, k="o_custkey"))
 )
 def numeric_summary(spark: SparkSession, folder: str) -> DataFrame:
     raw = D.pick(F.col("o_orderkey"), FIGURES, k=F.col("o_custkey"))
-    parsed = D.table(spark, folder, "orders", heavy=True).select(text.plain_number(amounts.parse_amount(raw)).alias("amount_zmw"))
+    parsed = D.table(spark, folder, "orders").select(text.plain_number(amounts.parse_amount(raw)).alias("amount_zmw"))
     return summary.numeric_summary(parsed, F.col("amount_zmw"))
 
 

@@ -17,7 +17,7 @@ GAPS = [" ", "  ", " ", "\u000b\u0085\t", "    "]
     FROM (SELECT doc_id, {D.norm_sql(f"replace(text, ' ', {D.pick_sql('doc_id', GAPS)})")} AS t FROM documents)"""
 )
 def norm_whitespace(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     noisy = F.replace(F.col("text"), F.lit(" "), D.pick(F.col("doc_id"), GAPS))
     clean = docs.select("doc_id", text.norm_ws(noisy).alias("t"))
     return clean.select("doc_id", F.length("t").alias("n_chars_clean"), F.md5("t").alias("digest"))
@@ -32,7 +32,7 @@ _STATUS_RAW = D.pick_sql("o_orderkey", STATUSES, s="o_orderstatus")
 
 @registered(f"SELECT o_orderkey, {D.status_sql(_STATUS_RAW)} AS status_clean FROM orders")
 def status_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    orders = D.table(spark, folder, "orders", heavy=True)
+    orders = D.table(spark, folder, "orders")
     raw = D.pick(F.col("o_orderkey"), STATUSES, s=F.col("o_orderstatus"))
     return orders.select("o_orderkey", vocab.status(raw).alias("status_clean"))
 
@@ -75,7 +75,7 @@ _CATEGORY_CLEAN = D.norm_sql(_CATEGORY_RAW)
       lower({_CATEGORY_CLEAN}) AS category_lower FROM orders"""
 )
 def category_title(spark: SparkSession, folder: str) -> DataFrame:
-    orders = D.table(spark, folder, "orders", heavy=True)
+    orders = D.table(spark, folder, "orders")
     raw = D.pick(F.col("o_orderkey"), CATEGORIES, p=F.col("o_orderpriority"))
     return orders.select(
         "o_orderkey", text.category_label(raw).alias("category_clean"), text.lower_tidy(raw).alias("category_lower")
@@ -86,7 +86,7 @@ def category_title(spark: SparkSession, folder: str) -> DataFrame:
     f"""SELECT doc_id, md5({D.title_sql("regexp_replace(text, '[ßẞ]', 'ss', 'g')")}) AS digest FROM documents"""
 )
 def title_case_text(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     return docs.select("doc_id", F.md5(text.title_case(F.regexp_replace("text", "[ßẞ]", "ss"))).alias("digest"))
 
 
@@ -103,7 +103,7 @@ _AMOUNT_RAW = D.pick_sql("o_orderkey", AMOUNTS, k="o_custkey")
     FROM (SELECT o_orderkey, {_AMOUNT_RAW} AS raw FROM orders)"""
 )
 def parse_amount(spark: SparkSession, folder: str) -> DataFrame:
-    orders = D.table(spark, folder, "orders", heavy=True)
+    orders = D.table(spark, folder, "orders")
     raw = D.pick(F.col("o_orderkey"), AMOUNTS, k=F.col("o_custkey"))
     return orders.select(
         "o_orderkey", text.norm_ws(raw).alias("amount_zmw_raw_kept"), amounts.parse_amount(raw).alias("amount_zmw")
@@ -131,7 +131,7 @@ _YEAR_TEXT = f"text || {D.pick_sql('doc_id', YEARS)}"
 
 @registered(f"SELECT doc_id, {D.year_sql(_YEAR_TEXT)} AS year_clean FROM documents")
 def first_year(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     return docs.select(
         "doc_id", text.first_year(F.concat("text", D.pick(F.col("doc_id"), YEARS))).alias("year_clean")
     )
@@ -142,7 +142,7 @@ def first_year(spark: SparkSession, folder: str) -> DataFrame:
     AS year_raw FROM documents"""
 )
 def bounded_year(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     return docs.select(
         "doc_id", text.bounded_year(F.concat("text", D.pick(F.col("doc_id"), YEARS))).alias("year_raw")
     )
@@ -162,7 +162,7 @@ _DATE_RAW = D.pick_sql(
 
 @registered(f"SELECT o_orderkey, {D.date_sql('raw')} AS date_clean FROM (SELECT o_orderkey, {_DATE_RAW} AS raw FROM orders)")
 def date_iso(spark: SparkSession, folder: str) -> DataFrame:
-    orders = D.table(spark, folder, "orders", heavy=True)
+    orders = D.table(spark, folder, "orders")
     day = F.col("o_orderdate")
     name = F.element_at(F.array(*[F.lit(m) for m in text.MONTHS]), F.month(day))
     raw = D.pick(
@@ -183,7 +183,7 @@ _MINUTES = "(CASE event_id % 7 WHEN 2 THEN -120 WHEN 3 THEN 330 WHEN 5 THEN -570
     FROM events"""
 )
 def timestamp_iso(spark: SparkSession, folder: str) -> DataFrame:
-    events = D.table(spark, folder, "events", heavy=True)
+    events = D.table(spark, folder, "events")
     local = F.translate(F.substring(F.col("ts").cast("string"), 1, 19), " ", "T")
     raw = F.concat(local, D.pick(F.col("event_id"), OFFSETS))
     return events.select("event_id", dates.timestamp_iso(raw).alias("retrieved_at_utc_clean"))
@@ -202,12 +202,12 @@ _LEAD = "'Bridge opened ' || CAST(doc_id % 90 AS VARCHAR)"
     f"""SELECT doc_id, trim(replace(regexp_extract(t,
         '(?:Published\\s+)?(?:{D.MONTH_NAMES})\\s+[0-9]{{1,2}},\\s+20[0-9]{{2}}', 0, 'i'), 'Published', ''))
         AS published_date_raw,
-      md5(left(CASE WHEN starts_with(lower(t), lower(title)) THEN trim(t[length(title) + 1:]) ELSE t END, 2000))
+      md5(CASE WHEN starts_with(lower(t), lower(title)) THEN trim(t[length(title) + 1:]) ELSE t END)
         AS excerpt_digest
     FROM (SELECT doc_id, {_BODY} AS t, {_LEAD} AS title FROM documents)"""
 )
 def published_date_excerpt(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+    docs = D.table(spark, folder, "documents")
     number = F.col("doc_id") % 90
     head = D.pick(F.col("doc_id"), HEADS, k=number, d=1 + F.col("doc_id") % 28)
     titled = docs.select(
@@ -215,7 +215,7 @@ def published_date_excerpt(spark: SparkSession, folder: str) -> DataFrame:
         text.norm_ws(F.concat(head, F.col("text"))).alias("t"),
         F.concat(F.lit("Bridge opened "), number.cast("string")).alias("title"),
     )
-    excerpt = text.head_chars(text.without_leading(F.col("t"), F.col("title")), 2000)
+    excerpt = text.without_leading(F.col("t"), F.col("title"))
     return titled.select(
         "doc_id", text.published_date(F.col("t")).alias("published_date_raw"), F.md5(excerpt).alias("excerpt_digest")
     )
@@ -251,7 +251,7 @@ def first_non_empty(spark: SparkSession, folder: str) -> DataFrame:
         ELSE '.75' END) AS quarter_text FROM orders"""
 )
 def plain_amount_text(spark: SparkSession, folder: str) -> DataFrame:
-    orders = D.table(spark, folder, "orders", heavy=True)
+    orders = D.table(spark, folder, "orders")
     key = F.col("o_custkey").cast("double")
     return orders.select(
         "o_orderkey",
@@ -295,7 +295,7 @@ def url_functions(spark: SparkSession, folder: str) -> DataFrame:
         urls.file_type(url).alias("file_type"),
         urls.looks_like_document(url).alias("is_document"),
         urls.in_domain(url, "example.com").alias("in_domain"),
-        urls.safe_filename(url, F.concat(F.lit("Plan "), key.cast("string"))).alias("target_name"),
+        urls.safe_filename(url, F.concat(F.lit("Plan "), key.cast("string")), 60, 10).alias("target_name"),
     )
 
 
@@ -322,11 +322,21 @@ def url_join_shapes(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", urls.url_join(urls.url_parts(F.col("url")), href).alias("link_url"))
 
 
-@registered(
-    """SELECT doc_id, left(trim(regexp_replace(source || ' / ' || text, '[^A-Za-z0-9_-]+', '_', 'g'), '_'), 100)
-      AS stem FROM documents"""
-)
-def safe_stem(spark: SparkSession, folder: str) -> DataFrame:
-    docs = D.table(spark, folder, "documents", heavy=True)
+_STEM = "trim(regexp_replace(source || ' / ' || text, '[^A-Za-z0-9_-]+', '_', 'g'), '_')"
+
+
+def _stem(spark: SparkSession, folder: str, length: int | None) -> DataFrame:
+    docs = D.table(spark, folder, "documents")
     name = F.concat(F.col("source"), F.lit(" / "), F.col("text"))
-    return docs.select("doc_id", text.safe_stem(name).alias("stem"))
+    return docs.select("doc_id", text.safe_stem(name, length).alias("stem"))
+
+
+@registered(f"SELECT doc_id, {_STEM} AS stem FROM documents")
+def safe_stem(spark: SparkSession, folder: str) -> DataFrame:
+    return _stem(spark, folder, None)
+
+
+@registered(f"SELECT doc_id, left({_STEM}, 100) AS stem FROM documents")
+def bounded_stem(spark: SparkSession, folder: str) -> DataFrame:
+    """The bounded form: stems cut to a given length."""
+    return _stem(spark, folder, 100)
