@@ -71,6 +71,7 @@ def _url_counts(table: Collected) -> DataFrame:
     )
 
 
+# Fixed values below: names of the checks, severities and wording of the details.
 def audit_table(spark: SparkSession, table: Collected) -> DataFrame:
     """Issues of one table. A missing file, missing columns or no rows end the checks."""
     name = table.file_name

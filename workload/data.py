@@ -48,6 +48,7 @@ SPACES = (
     r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# Month names, and the currency words in the patterns below.
 MONTH_NAMES = "January|February|March|April|May|June|July|August|September|October|November|December"
 
 
