@@ -18,22 +18,24 @@ def components(edges: DataFrame) -> DataFrame:
     now = settle(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
-    seen = None
-    while (mark := _mark(now)) != seen:
-        seen = mark
+    while not _stars(now):
         now = _small(_large(now))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         now.select("v", "v").distinct()
     )
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Does every node either point to one other or is pointed at?"""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    each = ends.groupBy("x").agg(F.sum("out").alias("out"), F.sum("into").alias("into"))
+    return each.where("out > 1 or (out > 0 and into > 0)").isEmpty()
 
 
 def _large(edges: DataFrame) -> DataFrame:
-    both = settle(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = settle(both.groupBy("u").agg(F.min("v").alias("m")))
     pointed = both.join(least, "u").where("v > u").select("v", F.least("u", "m").alias("m"))
     return settle(pointed.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())

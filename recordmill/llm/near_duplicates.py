@@ -8,12 +8,12 @@ threshold stay together on a path of k tokens with probability ``similarity ** k
 so the number of trees sets the recall of the search: a pair at the threshold is
 missed by all 16 trees of three tokens with probability 1e-5.
 
-Nodes of up to ``limit`` classes are compared exhaustively on short sketches
-inside the join. A larger node is first compared with two of its members
+Classes that share a node with another get a sketch of 1,024 bits. Nodes of up to
+``limit`` classes are compared exhaustively on the sketches inside the join. A larger node is first compared with two of its members
 (pivots), by key, whatever its size. What these links leave apart in it is
-branched further; a node that one component fills is finished. Nodes that are
-still large at the deepest level compare the classes outside the component of
-their pivot with all others, so no bound on a node drops a pair.
+compared further: its few classes outside its largest component with all
+others or, if they are many, in the children that more tokens make of it. At the
+deepest level all of them are compared, so no bound on a node drops a pair.
 
 Every candidate pair is confirmed on the full sets of both texts. Links between
 classes, not between all copies, go to the connected components.
@@ -36,15 +36,18 @@ from pyspark.sql import functions as F
 from recordmill.llm.components import components
 from recordmill.llm.shared import DOCUMENT, hashed_words, hinted, mixed, pick, settle, shingle_hashes, slices
 
-#: Minwise tokens per document: 64 of 32 bits; the sketch holds 4 bits of each.
+#: Minwise tokens per document, of 32 bits, to branch on.
 TOKENS = 64
-_SKETCH = [f"s{i}" for i in range(4)]
-_SETS = "doc_id long, n_shingles long, f1 long, f2 long, s0 long, s1 long, s2 long, s3 long, tokens binary"
+#: Bits of the sketch of a document that shares a node with another: the last bit of as many other minwise values.
+BITS = 1024
+_SKETCH = [f"s{i}" for i in range(BITS // 64)]
+_SETS = "doc_id long, n_shingles long, f1 long, f2 long, tokens binary"
+_SKETCHES = ", ".join(["doc_id long", *[f"{s} long" for s in _SKETCH]])
 
 
 @functools.lru_cache
-def _factors() -> np.ndarray:
-    return mixed(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) | np.uint64(1)
+def _factors(n: int, seed: int) -> np.ndarray:
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(seed)) | np.uint64(1)
 
 
 def shingled(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -68,22 +71,31 @@ def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
             f2[i] = mixed(own).sum(dtype=np.uint64)
         tokens = np.zeros((n, TOKENS), np.uint32)
         full = np.flatnonzero(counts)
-        if len(full):
-            for k, factor in enumerate(_factors()):
-                tokens[full, k] = np.minimum.reduceat(hashes * factor >> np.uint64(32), starts[full])
-        sketch = [np.zeros(n, np.uint64) for _ in _SKETCH]
-        for k in range(TOKENS):
-            sketch[k % 4] |= (tokens[:, k].astype(np.uint64) & np.uint64(15)) << np.uint64(k // 4 * 4)
+        for k, factor in enumerate(_factors(TOKENS, 1) if len(full) else ()):
+            tokens[full, k] = np.minimum.reduceat(hashes * factor, starts[full]) >> np.uint64(32)
         raw = pa.array([row.tobytes() for row in tokens], pa.binary())
-        columns = [batch.column(0), pa.array(counts), *map(_signed, (f1, f2, *sketch)), raw]
+        columns = [batch.column(0), pa.array(counts), *map(_signed, (f1, f2)), raw]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SETS.split(", ")])
 
 
-def _step(path: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """The child each member goes to: the path chooses a token, its value the child."""
-    chosen = (mixed(path + np.uint64(0x632BE59BD9B4E019)) % np.uint64(TOKENS)).astype(np.int64)
-    value = tokens[np.arange(len(path)), chosen].astype(np.uint64)
-    return mixed(path * np.uint64(0x9E3779B97F4A7C15) + (chosen.astype(np.uint64) << np.uint64(32)) + value)
+def _sketches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, limit=4 << 20):
+        hashes, starts = shingled(batch.column(1), size)
+        full = np.flatnonzero(np.diff(starts))
+        sketch = [np.zeros(batch.num_rows, np.uint64) for _ in _SKETCH]
+        for k, factor in enumerate(_factors(BITS, 2) if len(full) else ()):
+            low = np.minimum.reduceat(hashes * factor, starts[full]) >> np.uint64(32)
+            sketch[k % len(sketch)][full] |= (low & np.uint64(1)) << np.uint64(k // len(sketch))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *map(_signed, sketch)], ["doc_id", *_SKETCH])
+
+
+def _walk(path: np.ndarray, tokens: np.ndarray, steps: int) -> np.ndarray:
+    """The node each member reaches: in each step the path chooses a token, its value the child."""
+    for _ in range(steps):
+        chosen = (mixed(path + np.uint64(0x632BE59BD9B4E019)) % np.uint64(TOKENS)).astype(np.int64)
+        value = tokens[np.arange(len(path)), chosen].astype(np.uint64)
+        path = mixed(path * np.uint64(0x9E3779B97F4A7C15) + (chosen.astype(np.uint64) << np.uint64(32)) + value)
+    return path
 
 
 def _token_rows(column: pa.Array) -> np.ndarray:
@@ -95,36 +107,30 @@ def _plant(batches: Iterable[pa.RecordBatch], trees: int, first: int) -> Iterato
         if not batch.num_rows:
             continue
         tokens = _token_rows(batch.column("tokens"))
-        rest = [batch.column(c) for c in ("doc_id", *_SKETCH)]
         for tree in range(trees):
-            path = mixed(np.full(batch.num_rows, tree + 1, np.uint64))
-            for _ in range(first):
-                path = _step(path, tokens)
-            yield pa.RecordBatch.from_arrays([_signed(path), *rest], ["path", "doc_id", *_SKETCH])
+            path = _walk(mixed(np.full(batch.num_rows, tree + 1, np.uint64)), tokens, first)
+            yield pa.RecordBatch.from_arrays([_signed(path), batch.column("doc_id")], ["path", "doc_id"])
 
 
-def _branch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _branch(batches: Iterable[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         path = batch.column("path").to_numpy().view(np.uint64)
-        rest = [batch.column(c) for c in ("doc_id", *_SKETCH, "root")]
-        new = _signed(_step(path, _token_rows(batch.column("tokens"))))
-        yield pa.RecordBatch.from_arrays([new, *rest], ["path", "doc_id", *_SKETCH, "root"])
+        rest = [batch.column(c) for c in ("doc_id", "root")]
+        new = _signed(_walk(path, _token_rows(batch.column("tokens")), steps))
+        yield pa.RecordBatch.from_arrays([new, *rest], ["path", "doc_id", "root"])
 
 
 def _alike(similarity: float) -> Column:
     """Sketches of rows ``a`` and ``b`` that a pair at the similarity has but for 4.5 deviations."""
-    p = similarity + (1 - similarity) / 16
-    differing = int(TOKENS * (1 - p) + 4.5 * (TOKENS * p * (1 - p)) ** 0.5)
-    total = None
+    p = (1 + similarity) / 2
+    most = int(BITS * (1 - p) + 4.5 * (BITS * p * (1 - p)) ** 0.5)
+    differing = None
     for s in _SKETCH:
-        x = F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}"))
-        two = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        four = two.bitwiseOR(F.shiftrightunsigned(two, 2))
-        n = F.bit_count(four.bitwiseAND(F.lit(0x1111111111111111)))
-        total = n if total is None else total + n
-    return total <= differing
+        n = F.bit_count(F.col(f"a.{s}").bitwiseXOR(F.col(f"b.{s}")))
+        differing = n if differing is None else differing + n
+    return differing <= most
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -137,11 +143,18 @@ def _sized(rows: DataFrame) -> DataFrame:
     return settle(rows.join(settle(sizes.where("members > 1")), "path"))
 
 
-def _pairs_in(small: DataFrame, alike: Column, apart: bool) -> DataFrame:
-    """Pairs of each node, all of them; only pairs of two components if ``apart``."""
+def _parted(rows: DataFrame) -> DataFrame:
+    """Nodes of two components or more: size, largest component (``main``) and members ``outside`` it."""
+    parts = rows.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("path").agg(
+        F.sum("n").alias("members"), F.max_by("root", "n").alias("main"), (F.sum("n") - F.max("n")).alias("outside")
+    )
+    return settle(rows.join(settle(sizes.where("outside > 0")), "path"))
+
+
+def _pairs_in(small: DataFrame, alike: Column) -> DataFrame:
+    """All pairs of each node."""
     on = (F.col("a.path") == F.col("b.path")) & (F.col("a.doc_id") < F.col("b.doc_id")) & alike
-    if apart:
-        on &= F.col("a.root") != F.col("b.root")
     return small.alias("a").join(small.alias("b"), on).select(
         F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b")
     )
@@ -195,26 +208,29 @@ def near_duplicates(
     trees: int = 16,
     first: int = 3,
     limit: int = 32,
-    deepest: int = 8,
+    deepest: int = 3,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
     ``size``: words of a shingle; ``percent``: least intersection of a link in
     hundredths of the union; ``trees`` independent trees branch on ``first``
-    tokens before nodes are compared; nodes over ``limit`` classes branch on, up
-    to ``deepest`` more tokens.
+    tokens before nodes are compared; nodes over ``limit`` classes branch on,
+    ``first`` more tokens at a time, up to ``deepest`` times.
     """
     texts = pick(docs, "doc_id", "text")
     sets = settle(texts.mapInArrow(lambda batches: _sets(batches, size), _SETS))
     known = settle(classes(sets))
     members = sets.join(hinted(known.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
-    members = settle(members.dropDuplicates(["doc_id"]).select("doc_id", *_SKETCH, "tokens"))
+    members = settle(members.dropDuplicates(["doc_id"]).select("doc_id", "tokens"))
     alike = _alike(percent / 100)
-    schema = "path long, doc_id long, s0 long, s1 long, s2 long, s3 long"
-    rows = settle(members.mapInArrow(lambda batches: _plant(batches, trees, first), schema))
-    nodes = _sized(rows)
+    rows = settle(members.mapInArrow(lambda batches: _plant(batches, trees, first), "path long, doc_id long"))
+    shared = _sized(rows)
+    ids = settle(shared.select("doc_id").distinct())
+    near = texts.join(hinted(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sketches = settle(near.mapInArrow(lambda batches: _sketches(batches, size), _SKETCHES))
+    nodes = settle(shared.join(sketches, "doc_id"))
     large = nodes.where(F.col("members") > limit)
-    pairs = _pairs_in(nodes.where(F.col("members") <= limit), alike, False)
+    pairs = _pairs_in(nodes.where(F.col("members") <= limit), alike)
     any_large = not large.isEmpty()
     if any_large:
         pairs = pairs.union(_pairs_with_pivots(large, alike))
@@ -222,9 +238,9 @@ def near_duplicates(
     links = confirmed(pairs, texts, size, percent)
     roots = settle(components(links))
     if any_large:
-        more = _apart(large, roots, members, alike, limit, deepest)
-        if more is not None:
-            more = settle(more.distinct().join(pairs, ["a", "b"], "left_anti"))
+        more = _apart(large, roots, members, sketches, alike, limit, deepest, first)
+        more = settle(more.distinct().join(pairs, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
             links = links.union(confirmed(more, texts, size, percent))
             roots = settle(components(links))
     placed = (
@@ -262,39 +278,44 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     return kept.join(hinted(again), "doc_id", "left_anti").select(*DOCUMENT).union(once)
 
 
-def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the nodes that more than one component shares, with their component."""
-    found = rows.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "root", F.coalesce("root", "doc_id")
-    )
-    return _several(settle(found))
-
+def _apart(
+    large: DataFrame,
+    roots: DataFrame,
+    members: DataFrame,
+    sketches: DataFrame,
+    alike: Column,
+    limit: int,
+    deepest: int,
+    steps: int,
+) -> DataFrame:
+    """Candidate pairs of different components inside the large nodes.
 
-def _several(rows: DataFrame) -> DataFrame:
-    mixed_nodes = rows.groupBy("path").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return rows.join(settle(mixed_nodes.select("path")), "path", "left_semi")
+    Where at most ``limit`` members of a node are outside its largest component,
+    these are compared with all others, which is linear in the node. The other
+    nodes branch on ``steps`` more tokens; nodes that one component fills are
+    left out. At the deepest level every member outside is compared.
+    """
+    keys = ["path", "doc_id", "root"]
+    own = large.select("path", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    now = _parted(settle(own.withColumn("root", F.coalesce("root", "doc_id"))))
+    found, tokens = None, members.select("doc_id", "tokens")
+    for level in range(deepest + 1):
+        linear = F.lit(True) if level == deepest else F.col("outside") <= limit
+        here = settle(now.where(linear).join(sketches, "doc_id"))
+        pairs = _pairs_across(here.where("root <> main"), here, alike)
+        found = pairs if found is None else found.union(pairs)
+        if level == deepest:
+            return found
+        rest = now.where(~linear).select(*keys)
+        if rest.isEmpty():
+            return found
+        branched = rest.join(tokens, "doc_id").mapInArrow(lambda b: _branch(b, steps), "path long, doc_id long, root long")
+        now = _parted(settle(branched))
 
 
-def _apart(large: DataFrame, roots: DataFrame, members: DataFrame, alike: Column, limit: int, deepest: int):
-    """Candidate pairs of different components inside the large nodes, or None."""
-    schema = "path long, doc_id long, s0 long, s1 long, s2 long, s3 long, root long"
-    now = settle(_rooted(large.select("path", "doc_id", *_SKETCH), roots))
-    found = None
-    tokens = members.select("doc_id", "tokens")
-    for _ in range(deepest):
-        if now.isEmpty():
-            return found
-        children = settle(now.join(tokens, "doc_id").mapInArrow(_branch, schema))
-        nodes = _sized(settle(_several(children)))
-        pairs = _pairs_in(nodes.where(F.col("members") <= limit), alike, True)
-        found = pairs if found is None else found.union(pairs)
-        now = settle(nodes.where(F.col("members") > limit).select("path", "doc_id", *_SKETCH, "root"))
-    if now.isEmpty():
-        return found
-    main = settle(now.groupBy("path").agg(F.expr("min_by(root, doc_id)").alias("main")))
-    outside = now.join(main, "path").where("root <> main").drop("main")
+def _pairs_across(outside: DataFrame, members: DataFrame, alike: Column) -> DataFrame:
+    """Members outside the main component of their node with all of another component."""
     on = (F.col("a.path") == F.col("b.path")) & (F.col("a.root") != F.col("b.root")) & alike
-    pairs = outside.alias("a").join(now.alias("b"), on)
-    return found.union(
-        pairs.select(F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b"))
+    return outside.alias("a").join(members.alias("b"), on).select(
+        F.least("a.doc_id", "b.doc_id").alias("a"), F.greatest("a.doc_id", "b.doc_id").alias("b")
     )
