@@ -52,12 +52,13 @@ def write_index(df: DataFrame, path: str, columns: list[str], mode: str = "error
     df.select(*columns).write.mode(mode).parquet(path)
 
 
-def write_table_cells(cells: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Extracted tables as pipe text without a header row, a folder per table file.
+def write_table_cells(cells: DataFrame, path: str, by_file: bool = False, mode: str = "errorifexists") -> None:
+    """Extracted tables as pipe text without a header row, the rows of a table in their order.
 
-    ``cells`` has ``(source_file, table_file, row_number, cells)``; the rows of a
-    table are of one width and keep their order. Tables of all widths go into one
-    text column, already delimited and quoted as ``write_pipe_csv`` does.
+    ``cells`` has ``(source_file, table_file, row_number, cells)``. Each line begins
+    with its table file and row number, so that the number of output files is that
+    of the tasks; ``by_file`` gives each table a folder of its own and lines of cells
+    alone. Lines are delimited and quoted as ``write_pipe_csv`` does.
     """
     quote = lambda c: F.when(
         F.rlike(c, F.lit(r'[|"\r\n]')), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
@@ -65,7 +66,10 @@ def write_table_cells(cells: DataFrame, path: str, mode: str = "errorifexists")
     text = F.array_join(F.transform("cells", lambda c: quote(F.coalesce(c, F.lit("")))), "|")
     rows = cells.select("table_file", "row_number", text.alias("value"))
     dealt = rows.repartitionByRange("table_file", "row_number").sortWithinPartitions("table_file", "row_number")
-    dealt.drop("row_number").write.mode(mode).partitionBy("table_file").text(path)
+    if by_file:
+        dealt.drop("row_number").write.mode(mode).partitionBy("table_file").text(path)
+    else:
+        dealt.select(F.concat_ws("|", "table_file", "row_number", "value").alias("value")).write.mode(mode).text(path)
 
 
 def resave(df: DataFrame, folder: str, name: str, version: str, columns: list[str] | None = None) -> str:

@@ -83,7 +83,10 @@ def test_table_cells_are_headerless_text(spark, tmp_path):
         [("a.pdf", "a_t1.csv", 2, ["x", None]), ("a.pdf", "a_t1.csv", 1, ['q"r', "a|b"]), ("a.pdf", "a_t2.csv", 1, [None])],
         "source_file string, table_file string, row_number int, cells array<string>",
     )
-    sinks.write_table_cells(cells, str(tmp_path / "c"))
+    sinks.write_table_cells(cells, str(tmp_path / "long"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "long")).collect()]
+    assert sorted(lines) == ['a_t1.csv|1|"q""r"|"a|b"', "a_t1.csv|2|x|", "a_t2.csv|1|"]
+    sinks.write_table_cells(cells, str(tmp_path / "c"), by_file=True)
     (part,) = (tmp_path / "c" / "table_file=a_t1.csv").glob("part-*")
     with part.open(encoding="utf-8", newline="") as stream:
         assert list(csv.reader(stream, delimiter="|")) == [['q"r', "a|b"], ["x", ""]]

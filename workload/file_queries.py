@@ -117,12 +117,13 @@ def resaved_index(spark: SparkSession, folder: str) -> DataFrame:
     FROM (SELECT doc_id, table_number, width, unnest(cells) AS r FROM wide) GROUP BY ALL"""
 )
 def table_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Headerless text of every extracted table, a folder per table: lines and delimiters per file."""
+    """Headerless text of every extracted table: lines and delimiters of cells per table."""
     place = workplace(spark)
     sinks.write_table_cells(O.table_cells(document_tables(spark, folder)), place)
     text = spark.read.text(place)
-    bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit("")))
-    return text.groupBy("table_file").agg(F.count("*").alias("n_rows"), F.sum(bars).alias("n_bars"))
+    bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit(""))) - 2
+    file = F.substring_index("value", "|", 1).alias("table_file")
+    return text.groupBy(file).agg(F.count("*").alias("n_rows"), F.sum(bars).alias("n_bars"))
 
 
 @registered("SELECT doc_id, true AS stamped FROM documents")
