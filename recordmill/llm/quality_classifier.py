@@ -78,7 +78,7 @@ class Sparse:
         return np.bincount(self.row, self.value * weight[self.at], self.n) + bias
 
     def take(self, rows: np.ndarray) -> Sparse:
-        place = np.full(self.n, -1)
+        place = np.full(self.n, -1, np.int32)
         place[rows] = np.arange(len(rows))
         inside = place[self.row] >= 0
         return Sparse(place[self.row[inside]], self.at[inside], self.value[inside], len(rows))
@@ -166,9 +166,9 @@ def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stack(ats: list[bytes], values: list[bytes] | None) -> Sparse:
     lengths = np.array([len(x) // 4 for x in ats], np.int64)
-    at = np.frombuffer(b"".join(ats), np.int32).astype(np.int64)
-    value = np.ones(len(at)) if values is None else np.frombuffer(b"".join(values), np.float32).astype(float)
-    return Sparse(np.repeat(np.arange(len(ats)), lengths), at, value, len(ats))
+    at = np.frombuffer(b"".join(ats), np.int32)
+    value = np.ones(len(at), np.float32) if values is None else np.frombuffer(b"".join(values), np.float32)
+    return Sparse(np.repeat(np.arange(len(ats), dtype=np.int32), lengths), at, value, len(ats))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -249,7 +249,7 @@ def co_train(views: list[Sparse], quality: np.ndarray, held: np.ndarray, rounds:
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, labelled: int = 6000, pool: int = 6000, rounds: int = 4, growth: int = 400
+    docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 3000, rounds: int = 4, growth: int = 200
 ) -> Model | None:
     """The model, fitted on at most ``labelled`` labelled and ``pool`` other documents."""
     mark = F.xxhash64("doc_id", F.lit(2))
@@ -262,10 +262,17 @@ def train(
         others.select("doc_id", F.lit(-1), F.lit(-1))
     )
     # at most labelled + pool rows of three numbers
-    rows = pick(docs, *DOCUMENT).join(F.broadcast(sample), "doc_id").mapInArrow(_extract, _FEATURES).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    views = [_stack(list(rows.text_at), list(rows.text_value)), _stack(list(rows.meta_at), None)]
-    return co_train(views, rows.quality.to_numpy(), rows.role.to_numpy() == 0, rounds, growth)
+    found = settle(pick(docs, *DOCUMENT).join(F.broadcast(sample), "doc_id").mapInArrow(_extract, _FEATURES))
+    rows = {r.doc_id: r for r in found.toLocalIterator()}
+    order = sorted(rows)
+    quality = np.array([rows[i].quality for i in order])
+    held = np.array([rows[i].role == 0 for i in order], bool)
+    views = [
+        _stack([bytes(rows[i].text_at) for i in order], [bytes(rows[i].text_value) for i in order]),
+        _stack([bytes(rows[i].meta_at) for i in order], None),
+    ]
+    del rows
+    return co_train(views, quality, held, rounds, growth)
 
 
 def _judged(batch: pa.RecordBatch, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
