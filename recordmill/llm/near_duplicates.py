@@ -9,11 +9,12 @@ so the number of trees sets the recall of the search: a pair at the threshold is
 missed by all 16 trees of three tokens with probability 1e-5.
 
 Classes that share a node with another get a sketch of 1,024 bits. Nodes of up to
-``limit`` classes are compared exhaustively on the sketches inside the join. A larger node is first compared with two of its members
-(pivots), by key, whatever its size. What these links leave apart in it is
-compared further: its few classes outside its largest component with all
-others or, if they are many, in the children that more tokens make of it. At the
-deepest level all of them are compared, so no bound on a node drops a pair.
+``limit`` classes are compared exhaustively on the sketches inside the join. The
+members of a larger node are first compared with two of them (pivots), by key,
+whatever its size. What these links leave apart in it is compared further: its few
+classes outside its largest component with all others or, if they are many, in the
+children that more tokens make of it. At the deepest level all of them are
+compared, so no bound on a node drops a pair.
 
 Every candidate pair is confirmed on the full sets of both texts. Links between
 classes, not between all copies, go to the connected components.
