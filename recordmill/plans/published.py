@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from recordmill.functions.amounts import mentioned_amount, parse_amount
 from recordmill.functions.dates import date_iso, timestamp_iso

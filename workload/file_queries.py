@@ -15,8 +15,8 @@ from recordmill.session import shared_folder
 from recordmill.sources import catalog, pipe_csv, sinks
 from workload import registered
 from workload import data as D
-from workload.curation_queries import _NEWS_CLEAN, _RESOURCE_CLEAN, PLACE, RESOURCES, _numbered, raw_resources
-from workload.document_queries import _FILE, _TABLES, _TABLE_FILE, document_tables
+from workload.curation_queries import _RESOURCE_CLEAN, PLACE, RESOURCES, _numbered, raw_resources
+from workload.document_queries import _TABLE_FILE, _TABLES, document_tables
 
 
 def workplace(spark: SparkSession) -> str:
