@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,10 +29,17 @@ def build_session(master: str | None = None, app_name: str = "recordmill", **con
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; every executor has to reach it."""
+    """The folder that ``spark.checkpoint.dir`` names; every executor has to reach it.
+
+    Where it is unset, a session of one process (master ``local[n]``) gets a
+    folder of its own; any other session is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = Path(tempfile.mkdtemp(prefix="recordmill-")).as_uri()
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
