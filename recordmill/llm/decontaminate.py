@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import DOCUMENT, hashed_words, mixed, pick, settle, shingle_hashes, slices
+from recordmill.llm.shared import DOCUMENT, hashed_words, kept_by, mixed, pick, settle, shingle_hashes, slices
 
 SHINGLE, VALUES, LEAST_CLASS = 5, 48, 8
 _RESULT = "doc_id long, item_id long, n_item_shingles long, n_shared long"
-_MAP_BITS = 18
+_MAP_BITS = 16
 
 
 @functools.lru_cache
@@ -47,6 +47,7 @@ def _factors() -> np.ndarray:
 
 
 def shingled(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    kept_by("decontaminate")
     words, starts = hashed_words(texts, lower=True, bare=True)
     return shingle_hashes(words, starts, SHINGLE, whole=False)
 
@@ -144,7 +145,7 @@ def hits(texts: pa.Array, block: Block, classes: list[Class], percent: int) -> l
 
 def _search(batches: Iterable[pa.RecordBatch], block: Block, percent: int) -> Iterator[pa.RecordBatch]:
     classes = block.classes()
-    for batch in slices(batches, limit=4 << 20):
+    for batch in slices(batches, limit=1 << 20):
         ids = batch.column(0).to_pylist()
         rows = [(ids[d], block.ids[i], len(block.sets[i]), n) for d, i, n in hits(batch.column(1), block, classes, percent)]
         columns = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
@@ -156,7 +157,7 @@ def _clean(batches: Iterable[pa.RecordBatch], block: Block, percent: int) -> Ite
     for batch in batches:
         at = 0
         held = np.zeros(batch.num_rows, bool)
-        for part in slices([batch], limit=4 << 20):
+        for part in slices([batch], limit=1 << 20):
             held[[at + d for d, _, _ in hits(part.column(part.schema.get_field_index("text")), block, classes, percent)]] = True
             at += part.num_rows
         yield batch.filter(pa.array(~held))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordmill.llm.components import components
-from recordmill.llm.shared import DOCUMENT, hashed_words, hinted, mixed, pick, settle, shingle_hashes, slices
+from recordmill.llm.shared import DOCUMENT, hashed_words, hinted, kept_by, mixed, pick, settle, shingle_hashes, slices
 
 #: Minwise tokens per document, of 32 bits, to branch on.
 TOKENS = 64
@@ -53,6 +53,7 @@ def _factors(n: int, seed: int) -> np.ndarray:
 
 def shingled(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of texts lower-cased in A-Z, with boundaries."""
+    kept_by("near_duplicates")
     words, starts = hashed_words(texts, lower=True)
     return shingle_hashes(words, starts, size)
 
@@ -62,7 +63,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=4 << 20):
+    for batch in slices(batches, limit=2 << 20):
         hashes, starts = shingled(batch.column(1), size)
         n = batch.num_rows
         counts, f1, f2 = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
@@ -80,7 +81,7 @@ def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 
 def _sketches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=4 << 20):
+    for batch in slices(batches, limit=2 << 20):
         hashes, starts = shingled(batch.column(1), size)
         full = np.flatnonzero(np.diff(starts))
         sketch = [np.zeros(batch.num_rows, np.uint64) for _ in _SKETCH]
@@ -171,7 +172,7 @@ def _pairs_with_pivots(large: DataFrame, alike: Column) -> DataFrame:
 
 
 def _confirm(batches: Iterable[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text_b", 4 << 20):
+    for batch in slices(batches, "text_b", 2 << 20):
         (left, at), (right, bt) = shingled(batch.column("text_a"), size), shingled(batch.column("text_b"), size)
         good, known, one = np.zeros(batch.num_rows, bool), None, None
         ids = batch.column("a").to_numpy()

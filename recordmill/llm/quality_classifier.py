@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import DOCUMENT, mixed, owners, pick, settle, slices, sums, words_of
+from recordmill.llm.shared import DOCUMENT, kept_by, mixed, owners, pick, settle, slices, sums, words_of
 
 #: Dimensions: hashed words and pairs, hashed shapes, and one for a word that repeats the one before.
 GRAMS, SHAPES = 1 << 14, 1 << 9
@@ -86,6 +86,7 @@ class Sparse:
 
 def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
     """Both views of a batch of documents, and their numbers of words."""
+    kept_by("quality_classifier")
     texts, n = batch.column("text"), batch.num_rows
     words = words_of(texts)
     raw = [w.encode() for w in words.strings()]
@@ -148,7 +149,7 @@ def _category(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=4 << 20):
+    for batch in slices(batches, limit=1 << 20):
         content, page, _ = features(batch)
         bounds = np.searchsorted(content.row, np.arange(batch.num_rows + 1))
         own = [slice(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
@@ -286,7 +287,7 @@ def _judged(batch: pa.RecordBatch, model: Model | None) -> tuple[np.ndarray, np.
 
 
 def _score(batches: Iterable[pa.RecordBatch], model: Model | None, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=4 << 20):
+    for batch in slices(batches, limit=1 << 20):
         p = _judged(batch, model)
         columns = [batch.column("doc_id"), *map(pa.array, p), pa.array(p[2] >= least)]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SCORES.split(", ")])
@@ -294,7 +295,7 @@ def _score(batches: Iterable[pa.RecordBatch], model: Model | None, least: float)
 
 def _accept(batches: Iterable[pa.RecordBatch], model: Model | None, least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = [_judged(part, model)[2] >= least for part in slices([batch], limit=4 << 20)]
+        kept = [_judged(part, model)[2] >= least for part in slices([batch], limit=1 << 20)]
         yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
 
 

@@ -16,19 +16,20 @@ from pyspark.sql import functions as F
 #: Columns of the documents table.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 #: Set while a table is settled: shuffle files go with the query, Python gets small batches of long texts.
-_WHILE_SETTLING = {
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-}
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_WHILE_SETTLING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", _BATCH: "1000"}
 
 
 def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     """The columns with exactly these names (``renamed``: new name = old name).
 
     Columns are taken by position, so further columns may clash with them, also
-    in everything but case; of columns with the same name the first counts.
+    in everything but case; of columns with the same name the first counts. Where
+    texts are among them, the session's Arrow batches are held to 1,000 rows.
     """
     have = df.columns
+    if "text" in names and int(df.sparkSession.conf.get(_BATCH)) > 1000:
+        df.sparkSession.conf.set(_BATCH, "1000")
     plain = df.toDF(*[f"c{i}" for i in range(len(have))])
     wanted = {n: n for n in names} | renamed
     return plain.select(*[F.col(f"c{have.index(old)}").alias(new) for new, old in wanted.items()])
@@ -92,6 +93,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             begin = end
 
 
+#: What operators keep between the batches of a worker, by operator.
+KEPT: dict[str, dict] = {}
+
+
+def kept_by(operator: str) -> dict:
+    """The operator's own store; what others left in a reused worker is dropped."""
+    for other in [name for name in KEPT if name != operator]:
+        del KEPT[other]
+    return KEPT.setdefault(operator, {})
+
+
 @dataclass
 class Words:
     """Words of several texts: ``codes`` into ``vocabulary``; text i has codes[starts[i]:starts[i + 1]]."""

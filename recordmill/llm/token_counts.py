@@ -23,7 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from recordmill.llm.shared import pick, slices, sums, words_of
+from recordmill.llm.shared import kept_by, pick, slices, sums, words_of
 
 #: Counts of words kept between batches by a Python worker.
 KEPT_WORDS = 1_000_000
@@ -152,12 +152,9 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-_kept: dict[str, dict[str, int]] = {}
-
-
 def word_counts(words: list[str], path: str) -> np.ndarray:
     """Tokens of each word; counts of up to ``KEPT_WORDS`` words are kept by the worker."""
-    known = _kept.setdefault(path, {})
+    known = kept_by("token_counts").setdefault(path, {})
     new = [w for w in words if w not in known]
     if new:
         if len(known) + len(new) > KEPT_WORDS:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import gather, new_folder, pick, settle, slices, sums, words_of
+from recordmill.llm.shared import gather, kept_by, new_folder, pick, settle, slices, sums, words_of
 
 #: Constant added to a rotated checksum.
 MASK = 0xA282EAD8
@@ -84,13 +84,17 @@ class Encoder:
         #: Characters of plain ASCII text behind an id.
         self.widths = np.array([len(x.removesuffix(end)) for x in names], np.int64)
         self.specials = [t["content"] for t in content.get("added_tokens", [])]
-        self.known: dict[str, bytes] = {}
+
+    @property
+    def known(self) -> dict[str, bytes]:
+        return kept_by("token_records")
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
         """Plain ASCII words go to the library many at a time; the characters behind the ids part them again."""
+        known = self.known
         alone = [w for w in words if not w.isascii() or any(s in w for s in self.specials)]
         special = set(alone)
         plain = [w for w in words if w not in special]
@@ -102,11 +106,11 @@ class Encoder:
                 cuts = np.searchsorted(reached, ends) + 1
                 raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
                 for word, begin, stop in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
-                    self.known[word] = raw[begin * size : stop * size]
+                    known[word] = raw[begin * size : stop * size]
             else:
                 alone += group
         for word, got in zip(alone, self.ids(alone), strict=True):
-            self.known[word] = np.array(got, self.dtype).tobytes()
+            known[word] = np.array(got, self.dtype).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the boundaries of the texts in them.
@@ -116,13 +120,14 @@ class Encoder:
         """
         words = words_of(texts)
         strings = words.strings()
-        new = [w for w in strings if w not in self.known]
+        known = self.known
+        new = [w for w in strings if w not in known]
         if new:
-            if len(self.known) + len(new) > KEPT_WORDS:
-                self.known.clear()
+            if len(known) + len(new) > KEPT_WORDS:
+                known.clear()
                 new = strings
             self.learn(new)
-        raw = [self.known[w] for w in strings]
+        raw = [known[w] for w in strings]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
         flat = np.frombuffer(b"".join(raw), self.dtype)
         begins = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
