@@ -77,14 +77,30 @@ def hinted(settled: DataFrame, rows: int = 1_000_000) -> DataFrame:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut into pieces of about ``limit`` bytes of text, a row at least; nulls read as ''."""
+    """The rows in pieces of about ``limit`` bytes of text, a row at least; nulls read as ''.
+
+    Small batches are put together, large ones are cut.
+    """
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        at = batch.schema.get_field_index(column)
-        texts = pc.fill_null(batch.column(at), "")
-        batch = batch.set_column(at, pa.field(column, texts.type), texts)
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        if batch.num_rows:
+            at = batch.schema.get_field_index(column)
+            texts = pc.fill_null(batch.column(at), "")
+            held.append(batch.set_column(at, pa.field(column, texts.type), texts))
+            size += int(pc.sum(pc.binary_length(texts)).as_py())
+        if size >= limit:
+            yield from _cut(held, column, limit)
+            held, size = [], 0
+    if held:
+        yield from _cut(held, column, limit)
+
+
+def _cut(held: list[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    whole = held if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()
+    for batch in whole:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index(column)))
+        ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
         begin = 0
         while begin < batch.num_rows:
             done = ends[begin - 1] if begin else 0
