@@ -12,9 +12,9 @@ Classes that share a node with another get a sketch of 1,024 bits. Nodes of up t
 ``limit`` classes are compared exhaustively on the sketches inside the join. The
 members of a larger node are first compared with two of them (pivots), by key,
 whatever its size. What these links leave apart in it is compared further: its few
-classes outside its largest component with all others or, if they are many, in the
-children that more tokens make of it. At the deepest level all of them are
-compared, so no bound on a node drops a pair.
+classes outside its largest component with all others or, if they are many, with
+those that share a shingle of a prefix of the set, long enough that no pair at the
+threshold is lost. So neither a bound on a node nor its size drops a pair.
 
 Every candidate pair is confirmed on the full sets of both texts. Links between
 classes, not between all copies, go to the connected components.
@@ -44,6 +44,9 @@ BITS = 1024
 _SKETCH = [f"s{i}" for i in range(BITS // 64)]
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long, tokens binary"
 _SKETCHES = ", ".join(["doc_id long", *[f"{s} long" for s in _SKETCH]])
+#: Shingles are counted by their first bits, to tell rare ones from common ones.
+_BUCKET_BITS = 20
+_PREFIXES = "shingle long, doc_id long, root long, out boolean, n long, at long"
 
 
 @functools.lru_cache
@@ -114,16 +117,6 @@ def _plant(batches: Iterable[pa.RecordBatch], trees: int, first: int) -> Iterato
             yield pa.RecordBatch.from_arrays([_signed(path), batch.column("doc_id")], ["path", "doc_id"])
 
 
-def _branch(batches: Iterable[pa.RecordBatch], steps: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        path = batch.column("path").to_numpy().view(np.uint64)
-        rest = [batch.column(c) for c in ("doc_id", "root")]
-        new = _signed(_walk(path, _token_rows(batch.column("tokens")), steps))
-        yield pa.RecordBatch.from_arrays([new, *rest], ["path", "doc_id", "root"])
-
-
 def _alike(similarity: float) -> Column:
     """Sketches of rows ``a`` and ``b`` that a pair at the similarity has but for 4.5 deviations."""
     p = (1 + similarity) / 2
@@ -216,8 +209,8 @@ def near_duplicates(
 
     ``size``: words of a shingle; ``percent``: least intersection of a link in
     hundredths of the union; ``trees`` independent trees branch on ``first``
-    tokens before nodes are compared; nodes over ``limit`` classes branch on,
-    ``first`` more tokens at a time, up to ``deepest`` times.
+    tokens before nodes are compared; nodes over ``limit`` classes are compared
+    by pivots first. ``deepest`` has no effect: large nodes don't branch on.
     """
     texts = pick(docs, "doc_id", "text")
     sets = settle(texts.mapInArrow(lambda batches: _sets(batches, size), _SETS))
@@ -240,7 +233,7 @@ def near_duplicates(
     links = confirmed(pairs, texts, size, percent)
     roots = settle(components(links))
     if any_large:
-        more = _apart(large, roots, members, sketches, alike, limit, deepest, first)
+        more = _apart(large, roots, texts, sketches, alike, limit, size, percent)
         more = settle(more.distinct().join(pairs, ["a", "b"], "left_anti"))
         if not more.isEmpty():
             links = links.union(confirmed(more, texts, size, percent))
@@ -281,38 +274,89 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 
 
 def _apart(
-    large: DataFrame,
-    roots: DataFrame,
-    members: DataFrame,
-    sketches: DataFrame,
-    alike: Column,
-    limit: int,
-    deepest: int,
-    steps: int,
+    large: DataFrame, roots: DataFrame, texts: DataFrame, sketches: DataFrame, alike: Column, limit: int, size: int, percent: int
 ) -> DataFrame:
     """Candidate pairs of different components inside the large nodes.
 
     Where at most ``limit`` members of a node are outside its largest component,
-    these are compared with all others, which is linear in the node. The other
-    nodes branch on ``steps`` more tokens; nodes that one component fills are
-    left out. At the deepest level every member outside is compared.
+    these are compared with all others, which is linear in the node. The members
+    of all other nodes are joined by prefixes of their full sets.
     """
-    keys = ["path", "doc_id", "root"]
     own = large.select("path", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     now = _parted(settle(own.withColumn("root", F.coalesce("root", "doc_id"))))
-    found, tokens = None, members.select("doc_id", "tokens")
-    for level in range(deepest + 1):
-        linear = F.lit(True) if level == deepest else F.col("outside") <= limit
-        here = settle(now.where(linear).join(sketches, "doc_id"))
-        pairs = _pairs_across(here.where("root <> main"), here, alike)
-        found = pairs if found is None else found.union(pairs)
-        if level == deepest:
-            return found
-        rest = now.where(~linear).select(*keys)
-        if rest.isEmpty():
-            return found
-        branched = rest.join(tokens, "doc_id").mapInArrow(lambda b: _branch(b, steps), "path long, doc_id long, root long")
-        now = _parted(settle(branched))
+    few = settle(now.where(F.col("outside") <= limit).join(sketches, "doc_id"))
+    found = _pairs_across(few.where("root <> main"), few, alike)
+    rest = now.where(F.col("outside") > limit)
+    if rest.isEmpty():
+        return found
+    members = settle(rest.groupBy("doc_id").agg(F.min("root").alias("root"), F.max(F.expr("root <> main")).alias("out")))
+    return found.union(_pairs_by_prefix(members, texts, sketches, alike, size, percent))
+
+
+def _own_sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    for batch in slices(batches, limit=2 << 20):
+        hashes, starts = shingled(batch.column(batch.schema.get_field_index("text")), size)
+        yield batch, [np.unique(hashes[a:b]) for a, b in zip(starts, starts[1:], strict=False)]
+
+
+def _counted(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """How many sets hold a shingle of each bucket."""
+    total = np.zeros(1 << _BUCKET_BITS, np.int64)
+    for _, sets in _own_sets(batches, size):
+        held = np.concatenate(sets) >> np.uint64(64 - _BUCKET_BITS)
+        total += np.bincount(held.astype(np.int64), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
+
+
+def _prefixes(batches: Iterable[pa.RecordBatch], size: int, percent: int, ranks: bytes) -> Iterator[pa.RecordBatch]:
+    """The rarest shingles of each set, as many as a set that overlaps by the threshold can't all miss."""
+    rank = np.frombuffer(ranks, np.uint8)
+    for batch, sets in _own_sets(batches, size):
+        parts = []
+        for own in sets:
+            order = np.lexsort((own, rank[(own >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]))
+            parts.append(own[order[: len(own) + 1 + -percent * len(own) // 100]])
+        lengths = np.array([len(x) for x in parts], np.int64)
+        place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        rows = pa.array(np.repeat(np.arange(len(parts)), lengths))
+        columns = [
+            _signed(np.concatenate(parts)),
+            batch.column("doc_id").take(rows),
+            batch.column("root").take(rows),
+            batch.column("out").take(rows),
+            pa.array(np.repeat([len(s) for s in sets], lengths).astype(np.int64)),
+            pa.array(place),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _PREFIXES.split(", ")])
+
+
+def _pairs_by_prefix(
+    members: DataFrame, texts: DataFrame, sketches: DataFrame, alike: Column, size: int, percent: int
+) -> DataFrame:
+    """Members that are ``out`` with all of another component, by an exact join on prefixes of the sets.
+
+    Shingles are put in one order, rare ones first. Of two sets that overlap by the
+    threshold the first common shingle is in the prefix of both, and behind it both
+    are long enough for the overlap. The order is by counts of a fixed number of
+    buckets, so it is one small table; any order gives the same pairs.
+    """
+    held = settle(texts.join(hinted(members), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "root", "out"))
+    counts = held.mapInArrow(lambda batches: _counted(batches, size), "bucket long, n long")
+    counts = settle(counts.groupBy("bucket").agg(F.sum("n").alias("n"))).toArrow()  # 2 ** _BUCKET_BITS rows at most
+    rank = np.zeros(1 << _BUCKET_BITS, np.uint8)
+    rank[counts.column("bucket").to_numpy()] = 8 * np.log2(counts.column("n").to_numpy())
+    ranks = rank.tobytes()
+    rows = settle(held.mapInArrow(lambda batches: _prefixes(batches, size, percent, ranks), _PREFIXES))
+    overlap = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at")) * (100 + percent)
+    on = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root"))
+    on = on & (overlap >= (F.col("a.n") + F.col("b.n")) * percent)
+    joined = rows.where("out").alias("a").join(rows.alias("b"), on)
+    pairs = joined.select(F.least("a.doc_id", "b.doc_id").alias("one"), F.greatest("a.doc_id", "b.doc_id").alias("two"))
+    pairs = settle(pairs.distinct())
+    near = pairs.join(sketches.alias("a"), F.col("one") == F.col("a.doc_id"))
+    near = near.join(sketches.alias("b"), F.col("two") == F.col("b.doc_id")).where(alike)
+    return near.select(F.col("one").alias("a"), F.col("two").alias("b"))
 
 
 def _pairs_across(outside: DataFrame, members: DataFrame, alike: Column) -> DataFrame:

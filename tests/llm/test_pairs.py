@@ -37,6 +37,23 @@ def test_large_nodes_lose_no_link(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_pairs_in_a_template_family(spark):
+    """Hundreds of unlinked classes around one passage, at 0.79: the 60 pairs among them, at 0.816, are to be found."""
+    rng = random.Random(5)
+    passage = brute.prose(rng, 177, 10**6).split(" ")
+    texts = []
+    for k in range(400):
+        own = [f"o{k}-{i}" for i in range(23)]
+        texts.append(" ".join(passage + own))
+        if k < 60:
+            texts.append(" ".join(passage + own[:3] + [f"c{k}-{i}" for i in range(20)]))
+    rows = [(i, t, None, None, None) for i, t in enumerate(rng.sample(texts, len(texts)))]
+    expected = brute.near_groups(rows, 4, 80)
+    assert len({c for _, c in expected.values()}) == 400
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, brute.SCHEMA), size=4).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
 def test_near_duplicates_of_odd_tables(docs, clashing, none):
     plain = sorted(map(str, near_duplicates.near_duplicates(docs).collect()))
     assert sorted(map(str, near_duplicates.near_duplicates(clashing).collect())) == plain
