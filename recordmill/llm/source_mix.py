@@ -5,11 +5,11 @@ block j the release time floor(j / w) and the deadline ceil((j + 1) / w); in eac
 slot the released block with the earliest deadline goes next. Every prefix of the
 mixture then holds w * slots blocks of the source, but for less than one block.
 
-Weights are counted in parts of a ``period`` of slots, so the schedule repeats:
-after ``period`` slots every source has had its whole number of blocks and all
-windows start again. One period is scheduled on the driver, its size being a
-parameter; the slot of any block follows by arithmetic, and documents are numbered
-by source in one range shuffle, however unevenly the sources are filled.
+Weights are exact fractions, not rounded to slots of a period, so the bound holds
+however long the mixture is. The earliest deadline is found slot by slot on the
+driver, which holds an entry per source and writes the schedule in pieces of
+``_PIECE`` slots; documents are numbered by source in one range shuffle, however
+unevenly the sources are filled, and joined with the slots of their blocks.
 
 No document is dropped: the mixture is long enough for the slowest source to pass
 through once, and sources that end before begin again (``epoch``).
@@ -22,51 +22,66 @@ id are placed each. An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Sequence
-from math import floor
-
-from pyspark.sql import Column, DataFrame, Window
+import itertools
+from collections.abc import Iterator, Sequence
+from fractions import Fraction
+from math import lcm
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import DOCUMENT, hinted, pick, settle
+from recordmill.llm.shared import DOCUMENT, hinted, new_folder, pick, settle
 
 _PLACE_BITS = 33
+#: Slots that the driver holds before it writes them.
+_PIECE = 500_000
+_SLOTS = "mix_group long, epoch long, block long, release long, deadline long, slot long"
+
+
+def shares(weights: dict[str, float], period: int) -> dict[str, Fraction]:
+    """Slots per source in ``period`` slots: exact, not whole."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    total = sum(exact.values())
+    return {s: w / total * period for s, w in exact.items()}
 
 
-def shares(weights: dict[str, float], period: int) -> dict[str, int]:
-    """Slots of a period per source: one at least, ``period`` in all, by largest remainder."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    whole = {s: max(1, floor(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (whole[s] - exact[s], s))
-    k = 0
-    while sum(whole.values()) < period:
-        whole[order[k % len(order)]] += 1
-        k += 1
-    while sum(whole.values()) > period:
-        largest = max(whole, key=lambda s: (whole[s], s))
-        whole[largest] -= 1
-    return whole
-
-
-def schedule(slots: dict[str, int]) -> dict[str, list[int]]:
-    """Slot of each of a source's blocks in one period, earliest deadline first among the released."""
-    period = sum(slots.values())
-    ready: list[tuple[int, str, int]] = []
-    waiting = [(0, s, 0) for s in sorted(slots)]
-    heapq.heapify(waiting)
-    placed: dict[str, list[int]] = {s: [] for s in slots}
-    for now in range(period):
+def schedule(weights: Sequence[Fraction], blocks: Sequence[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """``source, number, release, deadline, slot`` of one block after the other, earliest deadline first.
+
+    Ends when each source has had its number of ``blocks``; until then sources go on.
+    """
+    scale = lcm(*[w.denominator for w in weights])
+    parts = [int(w * scale) for w in weights]
+    total, left, now = sum(parts), len(parts), 0
+    ready: list[tuple[int, int, int, int]] = []
+    waiting = [(0, i, 0) for i in range(len(parts))]
+    while left:
         while waiting and waiting[0][0] <= now:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * period // slots[s]), s, j))
-        deadline, s, j = heapq.heappop(ready)
+            release, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * total // parts[i]), i, j, release))
+        deadline, i, j, release = heapq.heappop(ready)
         if deadline <= now:
             raise AssertionError("a block missed its deadline")
-        placed[s].append(now)
-        if j + 1 < slots[s]:
-            heapq.heappush(waiting, ((j + 1) * period // slots[s], s, j + 1))
-    return placed
+        yield i, j, release, deadline, now
+        heapq.heappush(waiting, ((j + 1) * total // parts[i], i, j + 1))
+        left -= j + 1 == blocks[i]
+        now += 1
+
+
+def _slots(spark: SparkSession, weights: Sequence[Fraction], blocks: Sequence[int]) -> DataFrame:
+    """The schedule as a settled table, with pass (``epoch``) and ``block`` of each block."""
+    folder, rows = new_folder(spark), schedule(weights, blocks) if weights else iter(())
+    while True:
+        piece = np.array(list(itertools.islice(rows, _PIECE)), np.int64).reshape(-1, 5)
+        group, number = piece[:, 0], piece[:, 1]
+        size = np.array(blocks, np.int64)[group]
+        columns = [group, number // size, number % size, piece[:, 2], piece[:, 3], piece[:, 4]]
+        part = pa.table([pa.array(c) for c in columns], [x.split()[0] for x in _SLOTS.split(", ")])
+        spark.createDataFrame(part, _SLOTS).write.mode("append").parquet(folder)
+        if len(piece) < _PIECE:
+            return spark.read.schema(_SLOTS).parquet(folder)
 
 
 def numbered(docs: DataFrame, columns: Sequence[str], by: Sequence[str | Column]) -> DataFrame:
@@ -88,7 +103,7 @@ def numbered(docs: DataFrame, columns: Sequence[str], by: Sequence[str | Column]
 
 
 def _groups(docs: DataFrame, targets: dict[str, float] | None, power: float, period: int):
-    """Name, rows and weight of what is scheduled: at most ``period`` groups; None gathers the other sources."""
+    """Name, rows and weight of what is scheduled; None gathers the other sources."""
     counts = settle(docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
     total = counts.agg(F.sum("rows"), F.sum(F.pow("rows", F.lit(power)))).first()
     if not total[0]:
@@ -96,15 +111,18 @@ def _groups(docs: DataFrame, targets: dict[str, float] | None, power: float, per
     if targets is None:
         weighted = counts.withColumn("weight", F.pow("rows", F.lit(power)) / total[1])
         own = weighted.where(F.col("weight") >= 1 / period).collect()
-        found = [(True, r.source, r.rows, r.weight) for r in own]
+        found = [(True, r.source, r.rows, Fraction(float(r.rows) ** power)) for r in own]
+        whole = Fraction(total[1])
     else:
-        if len(targets) > period or any(w <= 0 for w in targets.values()):
-            raise ValueError("targets are positive weights of at most as many sources as a period has slots")
+        exact = {s: Fraction(repr(w)) for s, w in targets.items()}
+        if any(w <= 0 for w in exact.values()):
+            raise ValueError("targets are positive weights")
         own = counts.where(F.col("source").isin(list(targets))).collect()
-        found = [(True, r.source, r.rows, targets[r.source]) for r in own]
+        found = [(True, r.source, r.rows, exact[r.source]) for r in own]
+        whole = 1 - sum(exact.values()) + sum(g[3] for g in found)
     rest = total[0] - sum(g[2] for g in found)
     if rest:
-        weight = 1 - sum(g[3] for g in found) if targets is None else 1 - sum(targets.values())
+        weight = whole - sum(g[3] for g in found)
         if weight <= 0:
             raise ValueError("targets that add up to 1 must name every source")
         found.append((False, None, rest, weight))
@@ -123,52 +141,24 @@ def source_mix(
 
     ``targets``: weight by source; what they leave to 1 goes to the other sources.
     Without them a source weighs its number of documents to the ``power``. Slots
-    follow each other; ``place`` orders the documents of a slot.
+    follow each other; ``place`` orders the documents of a slot. Sources below
+    1 / ``period`` of the weight are scheduled together.
     """
     rows = pick(docs, *dict.fromkeys([*columns, "doc_id", "source"]))
     groups = _groups(rows.select("source"), targets, power, period)
-    keys = [f"g{i}" for i in range(len(groups))]
-    slots = shares({k: g[3] for k, g in zip(keys, groups, strict=True)}, period) if groups else {}
     spark, kinds = docs.sparkSession, rows.select(*columns).schema
-    names = "key string, named boolean, name string, mix_group int"
-    plan_schema = "mix_group int, blocks long, per_period int, pattern array<int>, length long"
-    plan = []
-    if groups:
-        pattern = schedule(slots)
-        blocks = {k: -(-g[2] // block) for k, g in zip(keys, groups, strict=True)}
-        ends = [(blocks[k] - 1) // slots[k] * period + pattern[k][(blocks[k] - 1) % slots[k]] + 1 for k in keys]
-        whole, part = divmod(max(ends), period)
-        for i, k in enumerate(keys):
-            length = whole * slots[k] + sum(1 for s in pattern[k] if s < part)
-            plan.append((i, blocks[k], slots[k], pattern[k], length))
-    named = spark.createDataFrame([(k, g[0], g[1], i) for i, (k, g) in enumerate(zip(keys, groups, strict=True))], names)
-    own = F.broadcast(named.where("named").select(F.col("name").alias("own_name"), F.col("mix_group").alias("own_group")))
+    named = [(g[1], i) for i, g in enumerate(groups) if g[0]]
+    named = hinted(settle(spark.createDataFrame(named, "own_name string, own_group long")))
     others = next((i for i, g in enumerate(groups) if not g[0]), None)
-    grouped = rows.join(own, F.col("source").eqNullSafe(F.col("own_name")), "left").select(
-        *rows.columns, F.coalesce("own_group", F.lit(others).cast("int")).alias("mix_group")
+    grouped = rows.join(named, F.col("source").eqNullSafe(F.col("own_name")), "left").select(
+        *rows.columns, F.coalesce("own_group", F.lit(others).cast("long")).alias("mix_group")
     )
     tie = F.xxhash64(*[F.col(c) for c in rows.columns])
     ordered = numbered(grouped, rows.columns, ["source", "doc_id", tie])
-    table = F.broadcast(spark.createDataFrame(plan, plan_schema))
-    j = F.col("epoch") * F.col("blocks") + F.col("block")  # the block's number in its source's row of blocks
-    copies = F.floor((F.col("length") - 1 - F.col("block")) / F.col("blocks"))
-    spread = (
-        ordered.withColumn("block", F.floor(F.col("number") / block))
-        .withColumn("place", F.col("number") % block)
-        .join(table, "mix_group")
-        .withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), copies)))
-        .withColumn("j", j)
-    )
-    turn = F.floor(F.col("j") / F.col("per_period"))
-    at = F.get("pattern", (F.col("j") % F.col("per_period")).cast("int"))
-    return spread.select(
-        *[F.col(f.name) for f in kinds],
-        "epoch",
-        "block",
-        F.floor(F.col("j") * period / F.col("per_period")).alias("release"),
-        F.ceil((F.col("j") + 1) * period / F.col("per_period")).alias("deadline"),
-        (turn * period + at).alias("slot"),
-        "place",
+    slots = _slots(spark, [g[3] for g in groups], [-(-g[2] // block) for g in groups])
+    placed = ordered.withColumn("block", F.floor(F.col("number") / block)).withColumn("place", F.col("number") % block)
+    return placed.join(hinted(slots), ["mix_group", "block"]).select(
+        *[F.col(f.name) for f in kinds], "epoch", "block", "release", "deadline", "slot", "place"
     )
 
 

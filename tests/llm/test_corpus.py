@@ -86,6 +86,18 @@ def test_every_prefix_is_within_one_block(spark, sizes, targets):
     assert set(copies.values()) == {1}
 
 
+def test_prefixes_follow_the_true_targets(spark):
+    """Targets that no whole number of slots of a period meets, over several periods."""
+    targets = {"a": 0.0145, "b": 0.1337, "c": 0.8518}
+    got = mixture(spark, {"a": 60, "b": 250, "c": 900}, targets=targets, block=1, period=100)
+    order = dict(sorted({r.slot: r.source for r in got}.items()))
+    done = Counter()
+    assert len(order) > 4000
+    for t, source in order.items():
+        done[source] += 1
+        assert all(abs(done[s] - (t + 1) * w) < 1 for s, w in targets.items())
+
+
 def test_small_sources_are_scheduled_together(spark):
     got = mixture(spark, {"big": 900} | {f"s{i:02}": 1 for i in range(60)}, period=20, block=4)
     assert {r.doc_id for r in got} == set(range(960))
