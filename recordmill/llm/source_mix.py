@@ -14,8 +14,7 @@ unevenly the sources are filled, and joined with the slots of their blocks.
 No document is dropped: the mixture is long enough for the slowest source to pass
 through once, and sources that end before begin again (``epoch``).
 
-Sources that would get less than one slot of a period are scheduled together as
-one. Null is a source of its own, a null id is numbered first, rows that repeat an
+Null is a source of its own, a null id is numbered first, rows that repeat an
 id are placed each. An empty table gives an empty result.
 """
 
@@ -102,31 +101,21 @@ def numbered(docs: DataFrame, columns: Sequence[str], by: Sequence[str | Column]
     )
 
 
-def _groups(docs: DataFrame, targets: dict[str, float] | None, power: float, period: int):
-    """Name, rows and weight of what is scheduled; None gathers the other sources."""
-    counts = settle(docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows")))
-    total = counts.agg(F.sum("rows"), F.sum(F.pow("rows", F.lit(power)))).first()
-    if not total[0]:
-        return []
-    if targets is None:
-        weighted = counts.withColumn("weight", F.pow("rows", F.lit(power)) / total[1])
-        own = weighted.where(F.col("weight") >= 1 / period).collect()
-        found = [(True, r.source, r.rows, Fraction(float(r.rows) ** power)) for r in own]
-        whole = Fraction(total[1])
-    else:
-        exact = {s: Fraction(repr(w)) for s, w in targets.items()}
-        if any(w <= 0 for w in exact.values()):
-            raise ValueError("targets are positive weights")
-        own = counts.where(F.col("source").isin(list(targets))).collect()
-        found = [(True, r.source, r.rows, exact[r.source]) for r in own]
-        whole = 1 - sum(exact.values()) + sum(g[3] for g in found)
-    rest = total[0] - sum(g[2] for g in found)
-    if rest:
-        weight = whole - sum(g[3] for g in found)
-        if weight <= 0:
+def _groups(docs: DataFrame, targets: dict[str, float] | None, power: float) -> list[tuple[str, int, Fraction]]:
+    """Source, rows and exact weight of what is scheduled: every source, however small."""
+    counts = settle(docs.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))).toArrow()
+    # an entry per source, not per document
+    rows = dict(sorted(zip(*(counts.column(c).to_pylist() for c in ("source", "rows"))), key=lambda r: (r[0] is not None, r[0])))
+    exact = {s: Fraction(repr(w)) for s, w in (targets or {}).items()}
+    if any(w <= 0 for w in exact.values()):
+        raise ValueError("targets are positive weights")
+    others = {s: Fraction(float(n) ** power) for s, n in rows.items() if s not in exact}
+    if others:
+        left, total = 1 - sum(exact.values()), sum(others.values())
+        if left <= 0:
             raise ValueError("targets that add up to 1 must name every source")
-        found.append((False, None, rest, weight))
-    return found
+        exact |= {s: w * left / total for s, w in others.items()}
+    return [(s, n, exact[s]) for s, n in rows.items()]
 
 
 def source_mix(
@@ -139,23 +128,21 @@ def source_mix(
 ) -> DataFrame:
     """``columns`` of each document and its place: ``epoch, block, release, deadline, slot, place``.
 
-    ``targets``: weight by source; what they leave to 1 goes to the other sources.
+    ``targets``: weight by source; what they leave to 1 goes to the other
+    sources by their number of documents to the ``power``.
     Without them a source weighs its number of documents to the ``power``. Slots
-    follow each other; ``place`` orders the documents of a slot. Sources below
-    1 / ``period`` of the weight are scheduled together.
+    follow each other; ``place`` orders the documents of a slot. ``period`` has no
+    effect: no weight is rounded to it, and no source is too small for its own slots.
     """
     rows = pick(docs, *dict.fromkeys([*columns, "doc_id", "source"]))
-    groups = _groups(rows.select("source"), targets, power, period)
+    groups = _groups(rows.select("source"), targets, power)
     spark, kinds = docs.sparkSession, rows.select(*columns).schema
-    named = [(g[1], i) for i, g in enumerate(groups) if g[0]]
-    named = hinted(settle(spark.createDataFrame(named, "own_name string, own_group long")))
-    others = next((i for i, g in enumerate(groups) if not g[0]), None)
-    grouped = rows.join(named, F.col("source").eqNullSafe(F.col("own_name")), "left").select(
-        *rows.columns, F.coalesce("own_group", F.lit(others).cast("long")).alias("mix_group")
-    )
+    named = [(g[0], i) for i, g in enumerate(groups)]
+    named = hinted(settle(spark.createDataFrame(named, "own_name string, mix_group long")))
+    grouped = rows.join(named, F.col("source").eqNullSafe(F.col("own_name"))).select(*rows.columns, "mix_group")
     tie = F.xxhash64(*[F.col(c) for c in rows.columns])
     ordered = numbered(grouped, rows.columns, ["source", "doc_id", tie])
-    slots = _slots(spark, [g[3] for g in groups], [-(-g[2] // block) for g in groups])
+    slots = _slots(spark, [g[2] for g in groups], [-(-g[1] // block) for g in groups])
     placed = ordered.withColumn("block", F.floor(F.col("number") / block)).withColumn("place", F.col("number") % block)
     return placed.join(hinted(slots), ["mix_group", "block"]).select(
         *[F.col(f.name) for f in kinds], "epoch", "block", "release", "deadline", "slot", "place"

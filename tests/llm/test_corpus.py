@@ -103,6 +103,22 @@ def test_small_sources_are_scheduled_together(spark):
     assert {r.doc_id for r in got} == set(range(960))
 
 
+@pytest.mark.parametrize("targets", [None, {"big": 0.6}])
+def test_small_sources_are_mixed_by_their_own_weight(spark, targets):
+    """Each source of a long tail, far below a slot of a period, keeps to its weight in every prefix."""
+    sizes = {"big": 400} | {f"s{i:03}": 1 + i % 5 for i in range(120)}
+    got = mixture(spark, sizes, targets=targets, block=2, period=20)
+    assert {r.doc_id for r in got} == set(range(sum(sizes.values())))
+    raw = {s: n**0.9 for s, n in sizes.items() if not targets or s not in targets}
+    weights = {s: w / sum(raw.values()) * (1 - sum((targets or {}).values())) for s, w in raw.items()} | (targets or {})
+    blocks = {(r.slot, r.source) for r in got}
+    assert sorted(slot for slot, _ in blocks) == list(range(len(blocks)))
+    done = Counter()
+    for slot, source in sorted(blocks):
+        done[source] += 1
+        assert all(abs(done[s] - (slot + 1) * w) < 1 + 1e-9 for s, w in weights.items())
+
+
 def test_mixture_of_odd_tables(rows, docs, clashing, none):
     got = source_mix.mixed_documents(docs).collect()
     assert {r.doc_id for r in got} == {r[0] for r in rows} and len(got) >= len(rows)
