@@ -6,7 +6,8 @@ the classes: at a node, the node's path chooses one of the minwise tokens, and
 members with the same token go to the same child. Classes that overlap by the
 threshold stay together on a path of k tokens with probability ``similarity ** k``,
 so the number of trees sets the recall of the search: a pair at the threshold is
-missed by all 16 trees of three tokens with probability 1e-5.
+missed by all 16 trees of three tokens with probability 1.6e-4 (1e-5 if the trees
+were independent; they draw on the same 64 tokens).
 
 Classes that share a node with another get a sketch of 1,024 bits. Nodes of up to
 ``limit`` classes are compared exhaustively on the sketches inside the join. The
