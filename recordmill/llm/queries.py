@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordmill.llm import (
+    byte_pairs,
     decontaminate,
     near_duplicates,
     quality_classifier,
@@ -71,6 +72,14 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), word_vocabulary())
 
 
+@query
+def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_pairs.round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

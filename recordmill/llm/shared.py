@@ -146,6 +146,42 @@ def words_of(texts: pa.Array) -> Words:
     return Words(codes, starts, coded.dictionary)
 
 
+def chunks_of(texts: pa.Array) -> Words:
+    """Pieces of texts that follow each other without a gap: a new one begins at each space behind no white space.
+
+    A space at the very end of a text stays with what is before it. Texts are not null; '' has one empty piece.
+    """
+    if not len(texts):
+        return Words(np.zeros(0, np.int64), np.zeros(1, np.int64), pa.array([], pa.string()))
+    lists = pc.split_pattern(texts, " ")
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+    codes, starts = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
+    parts = coded.dictionary.to_pylist()
+    n = len(parts)
+    open_end = np.fromiter((not p or p[-1].isspace() for p in parts), bool, n)
+    empty = np.fromiter((not p for p in parts), bool, n)
+    glued = np.append(False, open_end[codes[:-1]])
+    ends = starts[1:] - 1
+    glued[ends] |= empty[codes[ends]]
+    glued[starts[:-1]] = False
+    first = np.zeros(len(codes), bool)
+    first[starts[:-1]] = True
+    heads = np.flatnonzero(~glued)
+    sizes = np.diff(np.append(heads, len(codes)))
+    found = np.where(first[heads], codes[heads] + n, codes[heads])
+    extra: dict[str, int] = {}
+    for k in np.flatnonzero(sizes > 1).tolist():
+        at = int(heads[k])
+        joined = " ".join([parts[c] for c in codes[at : at + int(sizes[k])]])
+        found[k] = extra.setdefault(joined if first[at] else f" {joined}", 2 * n + len(extra))
+    used = np.zeros(2 * n + len(extra), bool)
+    used[found] = True
+    strings = [f" {parts[u]}" if u < n else parts[u - n] for u in np.flatnonzero(used[: 2 * n]).tolist()]
+    vocabulary = pa.array(strings + list(extra), pa.string())
+    return Words((np.cumsum(used) - 1)[found], np.searchsorted(heads, starts), vocabulary)
+
+
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum per text of an integer per word."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
