@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from recordmill.llm import (
     byte_pairs,
     decontaminate,
     near_duplicates,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     secret_scan,
@@ -80,6 +82,20 @@ def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def repeating_tail(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """A tenth of the documents, by the checksum of their id, end in repeats of a stretch; a null id alters nothing."""
+    if doc_id is None or not n or (value := zlib.crc32(str(doc_id).encode())) % 10:
+        return None
+    begin = value // 10 % n
+    return begin, 1 + (n - begin) // (3 + value // 10 % 8)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, folder, "documents"), tail=repeating_tail)
+    return periodic_runs.report(found)
+
+
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
