@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recordmill.llm import (
     byte_pairs,
+    cross_alignment,
     decontaminate,
     near_duplicates,
     periodic_runs,
@@ -82,6 +83,14 @@ def op11_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return byte_pairs.round_trip(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query
+def op12_cross_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    first, second = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return cross_alignment.cross_alignment(table(spark, folder, "documents"), first, second)
+
+
 def repeating_tail(doc_id: int | None, n: int) -> tuple[int, int] | None:
     """A tenth of the documents, by the checksum of their id, end in repeats of a stretch; a null id alters nothing."""
     if doc_id is None or not n or (value := zlib.crc32(str(doc_id).encode())) % 10:
