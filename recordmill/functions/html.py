@@ -8,10 +8,14 @@ decoded after the tags are gone.
 
 from __future__ import annotations
 
+import itertools
+import re
 from html.entities import name2codepoint
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from recordmill.functions.staging import let, literal_map
 from recordmill.functions.text import norm_ws, text_or_empty
@@ -126,6 +130,11 @@ def anchors(html: Column) -> Column:
     return F.transform(_linked(html), _read_link)
 
 
+def hrefs(html: Column) -> Column:
+    """Targets of the links of a ``visible`` fragment, in order, without reading their texts."""
+    return F.transform(_linked(html), lambda a: decode_entities(_unquoted(a["href"])))
+
+
 def first_anchor(html: Column) -> Column:
     """The first link of a fragment as (href, text); null where it has none."""
     return F.get(F.transform(F.slice(_linked(html), 1, 1), _read_link), F.lit(0))
@@ -140,9 +149,13 @@ def first_block(html: Column, names: str) -> Column:
 _VOID = (
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
 )
-_OPEN = "array<struct<name:string,at:int>>"
-_FOUND = "array<struct<heading:boolean,at:int,node:int,own_end:int,node_end:int>>"
-_STATE = f"struct<at:int,open:{_OPEN},found:{_FOUND}>"
+_NODES = ArrayType(
+    StructType([StructField("heading", BooleanType()), *(StructField(n, IntegerType()) for n in ("at", "node", "own_end", "node_end"))])
+)
+_FIELDS = [("heading", pa.bool_()), *((name, pa.int32()) for name in ("at", "node", "own_end", "node_end"))]
+_OPENING = re.compile("</?([A-Za-z][A-Za-z0-9]*)")
+_ALONE = re.compile(r"""<[A-Za-z](?:[^>=]++|=[ \t\n\x0b\f\r]*+"[^"]*+"|=[ \t\n\x0b\f\r]*+'[^']*+'|=)*+(?<=/)>""")
+_HEADINGS = ("h2", "h3", "h4")
 
 
 def _segments(html: Column) -> Column:
@@ -150,69 +163,58 @@ def _segments(html: Column) -> Column:
     return F.split(html, "(?=</?[A-Za-z])")
 
 
-def _nodes(segments: Column) -> Column:
-    """Every ``article``, and every ``h2``-``h4`` with the element around it, by segment.
+def _matched(page: str) -> list[tuple]:
+    """The rows of ``nodes`` for one page.
+
+    Open elements are on a stack, and by name the places they have there, so that
+    every element is put and taken once: time is linear in the page.
+    """
+    found, ends, stack, places = [], {}, [], {}
+    segment, tags = 0, list(_OPENING.finditer(page))
+    for tag, behind in zip(tags, [*(t.start() for t in tags[1:]), len(page)], strict=False):
+        segment += tag.start() > 0
+        name = tag[1].lower()
+        if name in _VOID:
+            continue
+        if page.startswith("</", tag.start()):
+            if places.get(name):
+                keep = places[name][-1]
+                for gone, at in stack[keep:]:
+                    places[gone].pop()
+                    ends[at] = segment
+                del stack[keep:]
+        elif not _ALONE.match(page, tag.start(), behind):
+            if name in _HEADINGS:
+                found.append((True, segment, stack[-1][1] if stack else -1))
+            elif name == "article":
+                found.append((False, segment, segment))
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, segment))
+    return [(heading, at, node, ends.get(at), ends.get(node)) for heading, at, node in found]
+
+
+@F.arrow_udf(_NODES)
+def _nodes(pages: pa.Array) -> pa.Array:
+    found = [_matched(page or "") for page in pages.to_pylist()]
+    every = [node for own in found for node in own]
+    arrays = [pa.array([node[k] for node in every], kind) for k, (_, kind) in enumerate(_FIELDS)]
+    items = pa.StructArray.from_arrays(arrays, fields=[pa.field(*f) for f in _FIELDS])
+    ends = list(itertools.accumulate(map(len, found), initial=0))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)
+
+
+def nodes(html: Column) -> Column:
+    """Every ``article``, and every ``h2``-``h4`` with the element around it, by segment of a ``visible`` page.
 
     ``node`` is the article, or what encloses the heading (-1: the page);
     ``node_end`` and ``own_end`` are the segments behind the two, null where they
-    are never closed. The open elements are kept on a stack; a closing tag ends
-    what was opened since its own opening tag, and nothing if it has none.
+    are never closed. A closing tag ends what was opened since its own opening
+    tag, and nothing if it has none. A stack is the one thing here that column
+    expressions can't hold without copying it at each tag, so this is a function
+    over Arrow batches; it may not be used inside a lambda. Pages without such an
+    element are not sent.
     """
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_OPEN).alias("open"), F.array().cast(_FOUND).alias("found"))
-
-    def closed(state: Column, name: Column) -> Column:
-        same = F.transform(state["open"], lambda e: e["name"] == name)
-        place = F.size(same) - F.array_position(F.reverse(same), True).cast("int") + 1
-
-        def end(at: Column) -> Column:
-            gone = F.transform(F.slice(state["open"], at, F.size(state["open"])), lambda e: e["at"])
-            found = F.transform(
-                state["found"],
-                lambda f: F.struct(
-                    f["heading"].alias("heading"),
-                    f["at"].alias("at"),
-                    f["node"].alias("node"),
-                    F.coalesce(f["own_end"], F.when(F.array_contains(gone, f["at"]), state["at"])).alias("own_end"),
-                    F.coalesce(f["node_end"], F.when(F.array_contains(gone, f["node"]), state["at"])).alias("node_end"),
-                ),
-            )
-            left = F.slice(state["open"], F.lit(1), at - 1)
-            return F.struct((state["at"] + 1).alias("at"), left.alias("open"), found.alias("found")).cast(_STATE)
-
-        return F.when(F.exists(same, lambda x: x), let(place, end)).otherwise(passed(state))
-
-    def passed(state: Column) -> Column:
-        return F.struct((state["at"] + 1).alias("at"), state["open"].alias("open"), state["found"].alias("found")).cast(_STATE)
-
-    def opened(state: Column, name: Column) -> Column:
-        heading = name.isin("h2", "h3", "h4")
-        around = F.coalesce(F.get(state["open"], F.size(state["open"]) - 1)["at"], F.lit(-1))
-        unknown = F.lit(None).cast("int")
-        one = F.struct(
-            heading.alias("heading"),
-            state["at"].alias("at"),
-            F.when(heading, around).otherwise(state["at"]).alias("node"),
-            unknown.alias("own_end"),
-            unknown.alias("node_end"),
-        )
-        found = F.when(heading | (name == "article"), F.concat(state["found"], F.array(one).cast(_FOUND))).otherwise(state["found"])
-        entry = F.array(F.struct(name.alias("name"), state["at"].alias("at"))).cast(_OPEN)
-        return F.struct(
-            (state["at"] + 1).alias("at"), F.concat(state["open"], entry).alias("open"), found.alias("found")
-        ).cast(_STATE)
-
-    def step(state: Column, segment: Column) -> Column:
-        tag = F.lower(F.regexp_extract(segment, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
-        alone = F.rlike(segment, F.lit(rf"(?s)^<[A-Za-z](?:[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+(?<=/)>"))
-        return let(
-            tag,
-            lambda name: F.when((name == "") | name.isin(*_VOID), passed(state))
-            .when(F.startswith(segment, F.lit("</")), closed(state, name))
-            .when(alone, passed(state))
-            .otherwise(opened(state, name)),
-        )
-
-    return F.aggregate(segments, start.cast(_STATE), step)["found"]
+    return F.coalesce(_nodes(F.when(F.rlike(html, F.lit("(?i)<(?:article|h[2-4])")), html)), F.array().cast(_NODES))
 
 
 def _joined(segments: Column, begin: Column, end: Column) -> Column:
@@ -221,39 +223,34 @@ def _joined(segments: Column, begin: Column, end: Column) -> Column:
     return F.array_join(F.slice(segments, first + 1, F.coalesce(end, F.size(segments)) - first), "")
 
 
-def _with_nodes(html: Column, use) -> Column:
-    return let(
-        _segments(html),
-        lambda segments: let(
-            F.struct(segments.alias("segments"), _nodes(segments).alias("nodes")),
-            lambda page: use(page["segments"], page["nodes"]),
-        ),
-    )
+def _with_segments(html: Column, found: Column | None, use) -> Column:
+    """``use(segments, nodes)``; the nodes are matched here unless a column holds them."""
+    parts = F.struct(_segments(html).alias("segments"), (nodes(html) if found is None else found).alias("nodes"))
+    return let(parts, lambda page: use(page["segments"], page["nodes"]))
 
 
-def articles(html: Column) -> Column:
-    """Every ``article`` element, nested ones inside the outer one and again by themselves."""
-    found = _with_nodes(
+def articles(html: Column, found: Column | None = None) -> Column:
+    """Every ``article`` element, nested ones inside the outer one and again by themselves. ``found``: its ``nodes``."""
+    return _with_segments(
         html,
-        lambda segments, nodes: F.transform(
-            F.filter(nodes, lambda n: ~n["heading"]), lambda n: _joined(segments, n["node"], n["node_end"])
+        found,
+        lambda segments, every: F.transform(
+            F.filter(every, lambda n: ~n["heading"]), lambda n: _joined(segments, n["node"], n["node_end"])
         ),
     )
-    return F.when(F.rlike(html, F.lit("(?i)<article")), found).otherwise(F.array().cast("array<string>"))
 
 
-def around_linked_headings(html: Column) -> Column:
-    """The elements around ``h2``-``h4`` headings that hold a link, each once."""
+def around_linked_headings(html: Column, found: Column | None = None) -> Column:
+    """The elements around ``h2``-``h4`` headings that hold a link, each once. ``found``: the page's ``nodes``."""
 
-    def use(segments: Column, nodes: Column) -> Column:
+    def use(segments: Column, every: Column) -> Column:
         linked = F.filter(
-            nodes, lambda n: n["heading"] & first_anchor(_joined(segments, n["at"], n["own_end"])).isNotNull()
+            every, lambda n: n["heading"] & first_anchor(_joined(segments, n["at"], n["own_end"])).isNotNull()
         )
         around = F.array_distinct(F.transform(linked, lambda n: F.struct(n["node"], n["node_end"])))
         return F.transform(around, lambda n: _joined(segments, n["node"], n["node_end"]))
 
-    found = _with_nodes(html, use)
-    return F.when(F.rlike(html, F.lit("(?i)<h[2-4]")), found).otherwise(F.array().cast("array<string>"))
+    return _with_segments(html, found, use)
 
 
 def _balanced(piece: Column, name: Column) -> Column:

@@ -136,14 +136,25 @@ def listed_articles(
     page = U.url_parts(F.col("url"))
     prepared = pages.select(
         *keep, F.col("url").alias("source_listing_page"), page.alias("_page"), H.visible(F.col("html")).alias("_html")
-    )
-    found = _records(F.col("_page"), H.articles(F.col("_html")), domain, excerpt_length)
+    ).withColumn("_nodes", H.nodes(F.col("_html")))
+    html, nodes = F.col("_html"), F.col("_nodes")
+    found = _records(F.col("_page"), H.articles(html, nodes), domain, excerpt_length)
     if fallback:
-        around = _records(F.col("_page"), H.around_linked_headings(F.col("_html")), domain, excerpt_length)
+        around = _records(F.col("_page"), H.around_linked_headings(html, nodes), domain, excerpt_length)
         found = let(found, lambda marked: F.when(F.size(marked) == 0, around).otherwise(marked))
     return prepared.select(*keep, "source_listing_page", found.alias("articles"))
 
 
+def may_list_articles(url: Column, html: Column, domain: str) -> Column:
+    """False only for pages in which ``listed_articles`` finds nothing: no HTML, no element of an article, no link into the domain.
+
+    It looks for tags and link targets; no element is matched and no text is read.
+    """
+    shown = F.rlike(html, F.lit(r"(?i)<(?:article|h[2-4])[\s>/]")) & F.rlike(html, F.lit(r"(?i)<a[\s/]"))
+    inside = let(U.url_parts(url), lambda page: F.exists(H.hrefs(H.visible(html)), lambda h: U.in_domain(U.url_join(page, h), domain)))
+    return F.coalesce(F.when(shown, inside), F.lit(False))
+
+
 def article_rows(
     listed: DataFrame, council: Column, keep: list[str], retrieved_at: Column | None = None
 ) -> DataFrame:

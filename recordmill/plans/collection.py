@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from recordmill.functions.urls import DOCUMENT_EXTENSIONS, DOCUMENT_PATHS
 from recordmill.operators.filters import up_to_page
 from recordmill.operators.listing import take_while
-from recordmill.operators.pages import article_details, article_rows, articles_with_details, listed_articles
+from recordmill.operators.pages import article_details, article_rows, articles_with_details, listed_articles, may_list_articles
 from recordmill.session import settle
 
 
@@ -29,14 +29,16 @@ def collect_news(
 
     ``listings`` has ``(listing, page, url, html)``; a page without HTML failed.
     Each listing is read up to its first page that failed or has no article, and
-    no further than ``max_pages`` if given. Pages are parsed once: what was found
-    in them is settled before the stops are known. ``articles`` has ``(page_id, url, html)``;
+    no further than ``max_pages`` if given. First a cheap test finds pages that can't
+    have an article; only pages before the first of these are parsed, once, and what was
+    found in them is settled before the exact stops are known. ``articles`` has ``(page_id, url, html)``;
     only those that a listing names are parsed. ``excerpt_length`` and
     ``text_length`` cut the texts; whole by default.
     """
     order = ["listing", "page"]
     read = listings if max_pages is None else up_to_page(listings, "page", max_pages)
-    found = settle(listed_articles(read, domain, order, excerpt_length=excerpt_length))
+    hopeful = take_while(read, "listing", "page", ~may_list_articles(F.col("url"), F.col("html"), domain))
+    found = settle(listed_articles(hopeful, domain, order, excerpt_length=excerpt_length))
     counted = take_while(found, "listing", "page", F.size("articles") == 0)
     rows = article_rows(counted, council, order, retrieved_at)
     named = rows.select(F.col("article_url").alias("url")).distinct()

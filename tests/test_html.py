@@ -107,6 +107,65 @@ def test_elements_around_linked_headings(apply):
     assert apply(H.around_linked_headings, list(pages)) == list(pages.values())
 
 
+def test_every_element_is_matched_once():
+    """Time of a page of unclosed tags grows as the page does."""
+    import time
+
+    def seconds(n):
+        page = "<div><p><i>" * (n // 3) + "<section><h2><a href=/1>A</a></h2></section>" * 20 + "</b></p></div>" * (n // 3)
+        start = time.process_time()
+        found = H._matched(page)
+        return time.process_time() - start, found
+
+    small = min(seconds(4_000)[0] for _ in range(5))
+    large, found = min((seconds(40_000) for _ in range(3)), key=lambda x: x[0])
+    assert len(found) == 20 and all(own[3] and own[4] for own in found)
+    assert large < 20 * small
+
+
+def test_pages_of_unclosed_tags(apply):
+    page = "<p><span>" * 20_000 + "<h3><a href=/1>A</a></h3><h3>no link</h3>" + "x" * 10
+    (around,) = apply(H.around_linked_headings, [page])
+    assert around == [page[page.rindex("<span>") :]]
+    (inside,) = apply(H.articles, ["<article>" + "<p><h2>" * 20_000])
+    assert [len(x) for x in inside] == [len("<article>") + 140_000]
+
+
+def brute_nodes(page):
+    """Elements as a list of open ones, searched from its end at each closing tag."""
+    found, opened, at = [], [], 0
+    for k, tag in enumerate(re.finditer(r"</?([A-Za-z][A-Za-z0-9]*)[^<]*", page)):
+        at += bool(k) or tag.start() > 0
+        name = tag[1].lower()
+        if name in H._VOID or tag[0].rstrip("x ").endswith("/>"):
+            continue
+        if tag[0][1] == "/":
+            same = [i for i, (n, _) in enumerate(opened) if n == name]
+            if same:
+                for _, begin in opened[same[-1] :]:
+                    for f in found:
+                        f[3:] = [at if f[1] == begin else f[3], at if f[2] == begin else f[4]]
+                opened = opened[: same[-1]]
+            continue
+        if name in ("h2", "h3", "h4", "article"):
+            around = opened[-1][1] if opened else -1
+            found.append([name != "article", at, at if name == "article" else around, None, None])
+        opened.append((name, at))
+    return [tuple(f) for f in found]
+
+
+def test_matching_against_a_plain_search():
+    import random
+
+    rng = random.Random(3)
+    names = ["div", "p", "h2", "H3", "article", "br", "b"]
+    for _ in range(300):
+        page = rng.choice(["", "x "]) + "".join(
+            rng.choice(["<%s>", "</%s>", "<%s>x ", "</%s>", "<%s/>"]) % rng.choice(names) for _ in range(rng.randrange(30))
+        )
+        assert H._matched(page) == brute_nodes(page), page
+
+
 def test_main_content(apply):
     pages = {
         '<div><div class="a entry-content b"><div>one</div><p>two</p></div>after</div>': "<div>one</div><p>two</p>",

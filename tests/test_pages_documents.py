@@ -98,6 +98,24 @@ def test_collect_news(spark):
     assert {(r.page, r.article_url.removeprefix(SITE), r.article_text_raw) for r in bare.collect()} == {(1, "/?p=10", ""), (1, "/?p=12", "")}
 
 
+def test_pages_behind_a_hopeless_one_are_not_parsed(spark, monkeypatch):
+    from recordmill.plans import collection
+
+    article = "<article><h2><a href=/n{}>News {}</a></h2></article>"
+    page = lambda k: article.format(k, k)
+    bodies = [page(1), page(2), "<article><h2>none</h2></article><a href=/x>x</a>", page(4), "<p>nothing</p>", page(6), page(7), None, page(9)]
+    rows = [(1, n + 1, f"https://river.example/list/{n}", html) for n, html in enumerate(bodies)]
+    rows += [(2, 1, "https://river.example/two", page(11)), (3, 1, "https://other.example/three", page(12)), (3, 2, "https://river.example/b", page(13))]
+    listings = spark.createDataFrame(rows, "listing int, page int, url string, html string")
+    parsed, settle = [], collection.settle
+    monkeypatch.setattr(collection, "settle", lambda df: parsed.append(settle(df)) or parsed[-1])
+    articles = spark.createDataFrame([], "page_id int, url string, html string")
+    news = collect_news(listings, articles, F.lit("C"), "river.example", fetch_details=False)
+    assert sorted(r.title_raw for r in news.collect()) == ["News 1", "News 11", "News 2"]
+    # listing 1 is parsed up to the page without a heading or article, listing 3 not at all
+    assert sorted((r.listing, r.page) for r in parsed[0].collect()) == [(1, 1), (1, 2), (1, 3), (1, 4), (2, 1)]
+
+
 def test_download_manifest(spark):
     links = spark.createDataFrame(
         [(f"{SITE}/a/x.pdf", "t"), (f"{SITE}/b/x.pdf", "t"), (f"{SITE}/y z.pdf", "t"), (f"{SITE}/?p=1", "T")],
