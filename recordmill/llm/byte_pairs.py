@@ -13,9 +13,11 @@ place, which no merge can cross.
 Decoding joins ids with their bytes and aggregates these in order, a document in
 runs of at most ``RUN`` ids.
 
-Each distinct word is encoded once by a worker, which keeps up to ``KEPT_WORDS``
-pieces of text. DuckDB runs in memory with one thread and a fixed limit, spills
-nowhere, and gets about ``BATCH`` bytes of words at a time (one piece may exceed it).
+A worker keeps the ids of the pieces of text and of the words it met lately, up to
+``KEPT`` of each in two generations. DuckDB runs in memory with one thread and a fixed
+limit, spills nowhere, and gets about ``BATCH`` bytes of words at a time (one piece may
+exceed it). Short pieces are contracted pair by pair, and all their steps are kept
+until the last; of longer ones only the latest state of each position is kept.
 
 Null texts count as empty: no ids, the hashes of nothing. Special strings are plain
 text. A null id stays null, repeated rows give repeated rows, an empty table gives
@@ -25,6 +27,7 @@ none, further columns are ignored whatever their names. Texts are never cut shor
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 from collections.abc import Iterable, Iterator
@@ -33,16 +36,42 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from recordmill.llm.shared import chunks_of, gather, kept_by, pick, slices, sums
+from recordmill.llm.shared import Recent, chunks_of, gather, kept_by, pick, slices, sums
 
-KEPT_WORDS = 300_000
+KEPT = 250_000
 BATCH = 100_000
 CUT = 48
 RUN = 1 << 16
 MEMORY = "600MB"
 _SLICE = 4 << 20
 
-_ENCODE = """
+#: For pieces of at most ``CUT`` bytes.
+_ENCODE_SHORT = """
+WITH RECURSIVE s(w, i, t, size, step) AS (
+  SELECT w, i, t, 1, 0 FROM symbols
+  UNION ALL
+  (
+  WITH pairs AS (
+    SELECT a.w, a.i, a.t, a.size, a.step, m.made, a.i + a.size AS j, a.size + b.size AS joined
+    FROM s a
+    LEFT JOIN s b ON b.w = a.w AND b.i = a.i + a.size
+    LEFT JOIN merges m ON m.l = a.t AND m.r = b.t
+  ), lowest AS (
+    SELECT w, arg_min({'i': i, 'j': j, 'made': made, 'joined': joined}, made::BIGINT << 32 | i) AS pair
+    FROM pairs WHERE made IS NOT NULL GROUP BY w
+  )
+  SELECT p.w, p.i, CASE WHEN p.i = o.pair.i THEN o.pair.made ELSE p.t END,
+         CASE WHEN p.i = o.pair.i THEN o.pair.joined ELSE p.size END, p.step + 1
+  FROM pairs p JOIN lowest o ON o.w = p.w WHERE p.i <> o.pair.j
+  )
+), ended AS (
+  SELECT w, max(step) AS step FROM s GROUP BY w
+)
+SELECT w, list(t ORDER BY i) AS ids FROM s SEMI JOIN ended e ON e.w = s.w AND e.step = s.step GROUP BY w ORDER BY w
+"""
+
+#: For longer ones.
+_ENCODE_LONG = """
 WITH RECURSIVE s(w, i, t, size, step) USING KEY (w, i) AS (
   SELECT w, i, t, 1, 0 FROM symbols
   UNION
@@ -114,8 +143,6 @@ class Ranks:
 
     def parted(self, word: bytes) -> list[bytes]:
         """A long word in pieces: cut where no id of the vocabulary spans the place."""
-        if len(word) <= CUT:
-            return [word]
         reach, cuts = 0, []
         for i in range(len(word)):
             if i and reach <= i:
@@ -129,9 +156,9 @@ class Ranks:
                 end += 1
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
-    def merged(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct pieces, about ``BATCH`` bytes of them at a time."""
-        found: dict[bytes, list[int]] = {}
+    def merged(self, pieces: list[bytes], query: str) -> dict[bytes, bytes]:
+        """Ids of distinct pieces as little-endian numbers, about ``BATCH`` bytes of pieces at a time."""
+        found: dict[bytes, bytes] = {}
         held, size = [], 0
         for k, piece in enumerate(pieces):
             held.append(piece)
@@ -147,18 +174,24 @@ class Ranks:
                     }
                 )
                 self.base.register("symbols", symbols)
-                got = self.base.sql(_ENCODE).to_arrow_table()
+                got = self.base.sql(query).to_arrow_table().column("ids").combine_chunks()
                 self.base.unregister("symbols")
-                found.update(zip(held, got.column("ids").to_pylist(), strict=True))
+                raw, ends = got.flatten().to_numpy().astype("<u4").tobytes(), (4 * np.cumsum(got.value_lengths())).tolist()
+                found.update(zip(held, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
                 held, size = [], 0
         return found
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        parts = {w: self.parted(w) for w in set(words) if w and w not in self.ranks}
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words as little-endian numbers."""
+        found = {w: self.ranks[w].to_bytes(4, "little") if w else b"" for w in words if not w or w in self.ranks}
+        short = [w for w in words if len(w) <= CUT and w not in found]
+        parts = {w: self.parted(w) for w in words if len(w) > CUT and w not in found}
         # of about equal length together, so that they end in about as many steps
-        merged = self.merged(sorted({p for own in parts.values() for p in own}, key=len))
-        whole = {w: [t for p in own for t in merged[p]] for w, own in parts.items()}
-        return [[] if not w else [self.ranks[w]] if w in self.ranks else whole[w] for w in words]
+        pieces = sorted({*short, *(p for own in parts.values() for p in own)}, key=len)
+        longer = bisect.bisect_right(pieces, CUT, key=len)
+        found |= self.merged(pieces[:longer], _ENCODE_SHORT) | self.merged(pieces[longer:], _ENCODE_LONG)
+        found |= {w: b"".join([found[p] for p in own]) for w, own in parts.items()}
+        return [found[w] for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the boundaries of the texts in them.
@@ -168,17 +201,18 @@ class Ranks:
         """
         chunks = chunks_of(texts)
         strings = chunks.strings()
-        known = kept_by("byte_pairs")
-        new = [c for c in strings if c not in known]
+        store = kept_by("byte_pairs")
+        pieces, words = (store.setdefault(name, Recent(KEPT)) for name in ("pieces", "words"))
+        new = pieces.missing(strings)
         if new:
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = strings
             split = [[w.encode() for w in self.words.findall(c)] for c in new]
-            got = iter(self.encode_words([w for own in split for w in own]))
+            every = list(dict.fromkeys(w for own in split for w in own))
+            unknown = words.missing(every)
+            words.newer.update(zip(unknown, self.encode_words(unknown), strict=True))
+            own_ids = dict(zip(every, words.values(every), strict=True))
             for c, own in zip(new, split, strict=True):
-                known[c] = np.array([t for _ in own for t in next(got)], "<u4").tobytes()
-        raw = [known[c] for c in strings]
+                pieces.newer[c] = b"".join([own_ids[w] for w in own])
+        raw = pieces.values(strings)
         lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
         begins = np.cumsum(lengths) - lengths
         ids = gather(np.frombuffer(b"".join(raw), "<u4"), begins[chunks.codes], lengths[chunks.codes])

@@ -120,6 +120,31 @@ def kept_by(operator: str) -> dict:
     return KEPT.setdefault(operator, {})
 
 
+class Recent:
+    """Values of keys met lately, in two generations: when the newer is full, the older is dropped."""
+
+    def __init__(self, limit: int):
+        self.limit, self.newer, self.older = limit, {}, {}
+
+    def missing(self, keys: list) -> list:
+        """Keys without a value; the others are held in the newer generation from now on."""
+        newer, older, found = self.newer, self.older, []
+        for key in keys:
+            if key not in newer:
+                if key in older:
+                    newer[key] = older[key]
+                else:
+                    found.append(key)
+        return found
+
+    def values(self, keys: list) -> list:
+        """Values of keys that ``missing`` was asked for and that were put since; may start a new generation."""
+        found = [self.newer[key] for key in keys]
+        if len(self.newer) > self.limit:
+            self.older, self.newer = self.newer, {}
+        return found
+
+
 @dataclass
 class Words:
     """Words of several texts: ``codes`` into ``vocabulary``; text i has codes[starts[i]:starts[i + 1]]."""
@@ -129,7 +154,7 @@ class Words:
     vocabulary: pa.Array
 
     def strings(self) -> list[str]:
-        return self.vocabulary.to_pylist()
+        return self.vocabulary.to_numpy(zero_copy_only=False).tolist()
 
 
 def words_of(texts: pa.Array) -> Words:
@@ -146,6 +171,10 @@ def words_of(texts: pa.Array) -> Words:
     return Words(codes, starts, coded.dictionary)
 
 
+#: Characters that any of the tokenizers takes for white space, at the end of a text.
+_WHITE_END = r"[\s\x0B\x1C-\x1F\x{85}\p{Z}]$"
+
+
 def chunks_of(texts: pa.Array) -> Words:
     """Pieces of texts that follow each other without a gap: a new one begins at each space behind no white space.
 
@@ -157,10 +186,9 @@ def chunks_of(texts: pa.Array) -> Words:
     offsets = lists.offsets.to_numpy().astype(np.int64)
     coded = lists.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
     codes, starts = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets - offsets[0]
-    parts = coded.dictionary.to_pylist()
-    n = len(parts)
-    open_end = np.fromiter((not p or p[-1].isspace() for p in parts), bool, n)
-    empty = np.fromiter((not p for p in parts), bool, n)
+    parts, n = coded.dictionary, len(coded.dictionary)
+    empty = pc.equal(pc.binary_length(parts), 0).to_numpy(zero_copy_only=False)
+    open_end = empty | pc.match_substring_regex(parts, _WHITE_END).to_numpy(zero_copy_only=False)
     glued = np.append(False, open_end[codes[:-1]])
     ends = starts[1:] - 1
     glued[ends] |= empty[codes[ends]]
@@ -173,12 +201,12 @@ def chunks_of(texts: pa.Array) -> Words:
     extra: dict[str, int] = {}
     for k in np.flatnonzero(sizes > 1).tolist():
         at = int(heads[k])
-        joined = " ".join([parts[c] for c in codes[at : at + int(sizes[k])]])
+        joined = " ".join(parts.take(pa.array(codes[at : at + int(sizes[k])])).to_pylist())
         found[k] = extra.setdefault(joined if first[at] else f" {joined}", 2 * n + len(extra))
     used = np.zeros(2 * n + len(extra), bool)
     used[found] = True
-    strings = [f" {parts[u]}" if u < n else parts[u - n] for u in np.flatnonzero(used[: 2 * n]).tolist()]
-    vocabulary = pa.array(strings + list(extra), pa.string())
+    every = pa.chunked_array([pc.binary_join_element_wise(" ", parts, ""), parts, pa.array(list(extra), pa.string())])
+    vocabulary = every.filter(pa.array(used)).combine_chunks()
     return Words((np.cumsum(used) - 1)[found], np.searchsorted(heads, starts), vocabulary)
 
 
