@@ -5,10 +5,10 @@ piece vocabulary (B, of sentencepiece, which puts the space in front). Places wh
 of both end cut the tokens into groups; tokens of A and B whose byte ranges overlap are
 linked, one link for each stretch between neighbouring token ends.
 
-Both vocabularies end a token at each space behind no white space, so texts are cut there
-and each distinct piece is encoded and aligned once by a worker, which keeps up to
-``KEPT_WORDS`` of them. A text with a piece that its tokens do not give back is judged as a
-whole; if its tokens do not give it back either, it has none.
+Both vocabularies end a token at each space behind no white space, so texts are cut there.
+A worker keeps the alignment of the pieces it met lately, up to ``KEPT`` of them in two
+generations. A text with a piece that its tokens do not give back is judged as a whole; if
+its tokens do not give it back either, it has none.
 
 Counting is external. A slice of texts makes records ``pair, document, times``, sorted by
 pair with the B id first, dealt to ``radix`` partitions by B id and packed as zstd runs,
@@ -29,6 +29,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -39,14 +40,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import chunks_of, gather, kept_by, mixed, owners, pick, settle, slices, sums
+from recordmill.llm.shared import Recent, chunks_of, gather, kept_by, mixed, owners, pick, settle, slices, sums
 
-KEPT_WORDS = 200_000
+KEPT = 150_000
 RADIX = 8
 #: Slices of a split, records of a frame.
 SLICES, FRAME = 32, 1 << 16
+_SLICE = 4 << 20
+_BATCH = 50_000
+#: Bits of a document's number in its split; a pair has the others.
+_DOCUMENT = 28
 _HEAD = struct.Struct("<III")
-_SHIFT, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
+_SHIFT, _LOW = np.uint64(_DOCUMENT), np.uint64((1 << _DOCUMENT) - 1)
 Frame = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -65,17 +70,29 @@ def piece_bytes(piece: str) -> bytes:
 
 
 class Side:
-    """Ids of texts and the bytes of each id."""
+    """Bytes of each id, and its decimal with each of two marks behind it."""
 
-    def __init__(self, tokens: list[bytes]):
-        self.lengths = np.array([len(t) for t in tokens], np.int64)
-        self.begins = np.cumsum(self.lengths) - self.lengths
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+    def __init__(self, tokens: list[bytes], last: str):
+        self.data, self.begins, self.lengths = self._flat(tokens)
+        names = [f"{i}{mark}".encode() for mark in (",", last) for i in range(len(tokens))]
+        self.names, self.name_begins, self.name_lengths = self._flat(names)
+        self.size = len(tokens)
+
+    @staticmethod
+    def _flat(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lengths = np.array([len(p) for p in parts], np.int64)
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(lengths) - lengths, lengths
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         return gather(self.data, self.begins[ids], self.lengths[ids])
 
 
+#: Numbers of a piece: ids of A, ids of B, groups, links.
+_NUMBERS = np.dtype("<u4")
+_NOTHING = (b"\0" * 16, b"", b"")
+Piece = tuple[bytes, bytes, bytes]
+
+
 class Aligner:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -86,58 +103,74 @@ class Aligner:
         self.second = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of, size = byte_characters(), self.first.get_vocab_size(with_added_tokens=True)
         names = [self.first.id_to_token(i) or "" for i in range(size)]
-        self.a = Side([bytes(map(of.__getitem__, n)) if all(c in of for c in n) else n.encode() for n in names])
+        self.a = Side([bytes(map(of.__getitem__, n)) if all(c in of for c in n) else n.encode() for n in names], "|")
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
-        self.b = Side([piece_bytes(p) for p in pieces])
+        self.b = Side([piece_bytes(p) for p in pieces], ";")
+        if self.a.size * self.b.size >= 1 << 64 - _DOCUMENT:
+            raise ValueError("the vocabularies are too large for one number of a pair")
 
-    def aligned(self, texts: list[str]) -> list[tuple]:
-        """``ids of A, ids of B, groups, links, bytes of the pairs, text of the groups`` of texts that begin with a space.
+    def aligned(self, texts: list[str]) -> list[Piece | None]:
+        """``numbers, pairs, groups`` as bytes, of texts that begin with a space.
 
+        A pair is ``id of B * size of A + id of A``; the groups' text ends with ';'.
         None for a text that its tokens do not give back; '' has no tokens.
         """
         ids_a = [x.ids for x in self.first.encode_batch_fast(texts, add_special_tokens=False)]
         ids_b = self.second.encode([t[1:] for t in texts], num_threads=1)
         raw = [t.encode() for t in texts]
         data = np.frombuffer(b"".join(raw), np.uint8)
-        flat_a, flat_b = (np.array([i for own in ids for i in own], np.int64) for ids in (ids_a, ids_b))
-        if not all(np.array_equal(side.bytes_of(flat), data) for side, flat in ((self.a, flat_a), (self.b, flat_b))):
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (
+            np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(n.sum())) for ids, n in ((ids_a, n_a), (ids_b, n_b))
+        )
+        if not (np.array_equal(self.a.bytes_of(flat_a), data) and np.array_equal(self.b.bytes_of(flat_b), data)):
             if len(texts) == 1:
                 return [None]
             half = len(texts) // 2
             return self.aligned(texts[:half]) + self.aligned(texts[half:])
         ends_a, ends_b = np.cumsum(self.a.lengths[flat_a]), np.cumsum(self.b.lengths[flat_b])
-        ends = np.union1d(ends_a, ends_b)
-        pairs = flat_b[np.searchsorted(ends_b, ends)].astype(np.uint64) << _SHIFT
-        pairs |= flat_a[np.searchsorted(ends_a, ends)].astype(np.uint64)
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        names_a, names_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        upto_a, upto_b = (np.searchsorted(x, cuts, side="right").tolist() for x in (ends_a, ends_b))
-        groups = [
-            f"{','.join(names_a[w:x])}|{','.join(names_b[y:z])}"
-            for w, x, y, z in zip([0, *upto_a], upto_a, [0, *upto_b], upto_b, strict=False)
-        ]
+        ending = np.zeros(len(data) + 1, np.uint8)  # by byte: 1 where a token of A ends, 2 of B, 3 of both
+        ending[ends_a] = 1
+        ending[ends_b] += 2
+        of_a, of_b = np.cumsum(ending & 1, dtype=np.int64), np.cumsum(ending >> 1, dtype=np.int64)
+        ends, cuts = np.flatnonzero(ending), np.flatnonzero(ending == 3)
+        before = ending[ends].astype(np.int64)
+        pairs = flat_b[of_b[ends] - (before >> 1)] * self.a.size + flat_a[of_a[ends] - (before & 1)]
         text_ends = np.cumsum([len(r) for r in raw])
-        cut = np.searchsorted(cuts, text_ends, side="right").tolist()
-        link = np.searchsorted(ends, text_ends, side="right").tolist()
-        packed = pairs.tobytes()
+        groups, links = (np.searchsorted(x, text_ends, side="right") for x in (cuts, ends))
+        # tokens in the order of the groups' text, those of A before those of B, the last of each with another mark
+        tokens, places = [], []
+        for side, flat, upto, shift in ((self.a, flat_a, of_a[cuts], 0), (self.b, flat_b, of_b[cuts], 1)):
+            last = np.zeros(len(flat), np.int64)
+            last[upto - 1] = side.size
+            group = np.repeat(np.arange(len(upto)), np.diff(upto, prepend=0))
+            tokens.append((flat + last, side.name_lengths[flat + last]))
+            places.append(2 * group + shift)
+        order = np.argsort(np.concatenate(places), kind="stable")
+        names = np.concatenate([self.a.names, self.b.names])
+        begins = np.concatenate([self.a.name_begins[tokens[0][0]], len(self.a.names) + self.b.name_begins[tokens[1][0]]])[order]
+        sizes = np.concatenate([tokens[0][1], tokens[1][1]])[order]
+        written = gather(names, begins, sizes).tobytes()
+        counts = np.diff(np.stack([groups, links]), axis=1, prepend=0)
+        numbers = np.stack([n_a, n_b, *counts], axis=1).astype(_NUMBERS).tobytes()
+        packed = pairs.astype("<u8").tobytes()
+        text_at = np.append(0, np.cumsum(sizes))[np.cumsum(n_a + n_b)].tolist()
+        link = (8 * links).tolist()
         return [
-            (len(a), len(b), g1 - g0, l1 - l0, packed[8 * l0 : 8 * l1], ";".join(groups[g0:g1]))
-            for a, b, g0, g1, l0, l1 in zip(ids_a, ids_b, [0, *cut], cut, [0, *link], link, strict=False)
+            (numbers[16 * k : 16 * k + 16], packed[l0:l1], written[t0:t1])
+            for k, (l0, l1, t0, t1) in enumerate(zip([0, *link], link, [0, *text_at], text_at, strict=False))
         ]
 
-    def pieces(self, texts: pa.Array) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    def pieces(self, texts: pa.Array) -> tuple[list[Piece], np.ndarray, np.ndarray]:
         """Aligned pieces, and which of them follow each other in each text."""
         spaced = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise(" ", texts, ""))
         chunks = chunks_of(spaced)
-        strings = chunks.strings()
-        known = kept_by("cross_alignment")
-        new = [c for c in strings if c not in known]
-        if new:
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = strings
-            known.update(zip(new, self.aligned(new), strict=True))
-        found, codes, starts = [known[c] for c in strings], chunks.codes, chunks.starts
+        strings, codes, starts = chunks.strings(), chunks.codes, chunks.starts
+        known = kept_by("cross_alignment").setdefault("pieces", Recent(KEPT))
+        new = known.missing(strings)
+        for k in range(0, len(new), _BATCH):
+            known.newer.update(zip(new[k : k + _BATCH], self.aligned(new[k : k + _BATCH]), strict=True))
+        found = known.values(strings)
         lost = np.fromiter((x is None for x in found), bool, len(found))
         if lost.any():
             own = owners(starts)
@@ -150,7 +183,7 @@ class Aligner:
             sizes[whole] = 1
             starts = np.concatenate([[0], np.cumsum(sizes)])
             found += [self.aligned([spaced[i].as_py()])[0] for i in whole.tolist()]
-        return [x or (0, 0, 0, 0, b"", "") for x in found], codes, starts
+        return [x or _NOTHING for x in found], codes, starts
 
 
 @functools.lru_cache(maxsize=1)
@@ -230,31 +263,38 @@ def _row(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, _NAMES)
 
 
+def _texts(found: list[Piece], codes: np.ndarray, starts: np.ndarray) -> Iterator[bytes]:
+    """The groups' text of each document."""
+    written, places = [x[2] for x in found], starts.tolist()
+    for a, b in zip(places, places[1:], strict=False):
+        yield b"".join([written[c] for c in codes[a:b].tolist()])[:-1]
+
+
 def _encode(batches: Iterable[pa.RecordBatch], path_a: str, path_b: str, radix: int) -> Iterator[pa.RecordBatch]:
     model, task, begun = aligner(path_a, path_b), TaskContext.get().partitionId(), 0
-    for k, batch in enumerate(slices(batches)):
+    for k, batch in enumerate(slices(batches, limit=_SLICE)):
         split = task << 32 | k // SLICES
         begun = begun if k % SLICES else 0
         found, codes, starts = model.pieces(batch.column(1))
-        number = [np.fromiter((x[c] for x in found), np.int64, len(found)) for c in range(4)]
+        number = np.frombuffer(b"".join([x[0] for x in found]), _NUMBERS).reshape(-1, 4).T.astype(np.int64)
         n_a, n_b, n_groups, n_links = (sums(x[codes], starts) for x in number)
-        texts, hashes = [x[5] for x in found], []
-        for i, (a, b) in enumerate(zip(starts.tolist(), starts[1:].tolist(), strict=False)):
-            own = ";".join([texts[c] for c in codes[a:b].tolist()]) if n_a[i] else None
-            hashes.append("" if own is None else hashlib.sha256(own.encode()).hexdigest())
+        hashes = [hashlib.sha256(t).hexdigest() if t else "" for t in _texts(found, codes, starts)]
         documents = begun + np.arange(batch.num_rows)
+        if documents[-1] >> _DOCUMENT:
+            raise ValueError("a split has too many documents")
         yield _row(
             batch.num_rows, split=np.full(batch.num_rows, split), document=documents, doc_id=batch.column(0),
             n_a=n_a, n_b=n_b, n_groups=n_groups, n_links=n_links, groups_sha256=hashes,
         )
-        pairs, places = np.unique(np.frombuffer(b"".join(x[4] for x in found), np.uint64), return_inverse=True)
         lengths = number[3]
-        linked = gather(places, (np.cumsum(lengths) - lengths)[codes], lengths[codes]).astype(np.uint64)
-        linked = np.sort(linked << _SHIFT | np.repeat(documents, n_links).astype(np.uint64))
+        pairs = np.frombuffer(b"".join([x[1] for x in found]), "<u8")
+        linked = gather(pairs << _SHIFT, (np.cumsum(lengths) - lengths)[codes], lengths[codes])
+        linked |= np.repeat(documents, n_links).astype(np.uint64)
+        linked.sort()
         heads = np.flatnonzero(np.append(True, linked[1:] != linked[:-1])) if len(linked) else np.zeros(0, np.int64)
         times, linked = np.diff(np.append(heads, len(linked))), linked[heads]
-        pairs, documents = pairs[(linked >> _SHIFT).astype(np.int64)], linked & _LOW
-        of = (mixed(pairs >> _SHIFT) % np.uint64(radix)).astype(np.uint16)
+        pairs, documents = linked >> _SHIFT, linked & _LOW
+        of = (mixed(pairs // np.uint64(model.a.size)) % np.uint64(radix)).astype(np.uint16)
         order = np.argsort(of, kind="stable")
         ends = np.cumsum(np.bincount(of, minlength=radix)).tolist()
         runs = [(r, order[a:b]) for r, (a, b) in enumerate(zip([0, *ends], ends, strict=False)) if b > a]
@@ -269,7 +309,7 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, radix: int = RADIX) -> Da
     return settle(pick(docs, "doc_id", "text").mapInArrow(lambda batches: _encode(batches, path_a, path_b, radix), _MADE))
 
 
-_COUNTED = "split long, radix int, b int, a int, n long"
+_COUNTED = "split long, radix int, pair long, n long"
 
 
 def _count(key: tuple, table: pa.Table) -> pa.Table:
@@ -289,27 +329,26 @@ def _count(key: tuple, table: pa.Table) -> pa.Table:
         {
             "split": np.full(len(found), key[0].as_py()),
             "radix": np.full(len(found), key[1].as_py(), np.int32),
-            "b": (found >> _SHIFT).astype(np.int32),
-            "a": (found & _LOW).astype(np.int32),
+            "pair": found.astype(np.int64),
             "n": n,
         }
     )
 
 
 def counted(made: DataFrame) -> DataFrame:
-    """``split, radix, b, a, n``: links of each pair in each split."""
+    """``split, radix, pair, n``: links of each pair in each split."""
     runs = made.where("radix IS NOT NULL").select("split", "radix", "run")
     return settle(runs.groupBy("split", "radix").applyInArrow(_count, _COUNTED))
 
 
-def totals(counts: DataFrame) -> DataFrame:
-    """``b, a, count, best``: corpus-wide links of a pair, and whether no other pair of its B id has more.
+def totals(counts: DataFrame, size_a: int) -> DataFrame:
+    """``pair, count, best``: corpus-wide links of a pair, and whether no other pair of its B id has more.
 
     The highest counts are a row per B id, that is at most the size of that vocabulary, and so are broadcast.
     """
-    found = counts.groupBy("b", "a").agg(F.sum("n").alias("count"))
+    found = counts.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("b", F.expr(f"pair div {size_a}"))
     highest = found.groupBy("b").agg(F.max("count").alias("highest"))
-    return found.join(F.broadcast(highest), "b").select("b", "a", "count", (F.col("count") == F.col("highest")).alias("best"))
+    return found.join(F.broadcast(highest), "b").select("pair", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
 _SHARE = "split long, document long, n_best long, count_sum long"
@@ -317,7 +356,7 @@ _SHARE = "split long, document long, n_best long, count_sum long"
 
 def _share(key: tuple, runs: pa.Table, counts: pa.Table) -> pa.Table:
     """Counts of the split's pairs in the order of the merged runs, given back to its documents."""
-    pairs = counts.column("b").to_numpy().astype(np.uint64) << _SHIFT | counts.column("a").to_numpy().astype(np.uint64)
+    pairs = counts.column("pair").to_numpy().astype(np.uint64)
     order = np.argsort(pairs)
     pairs, count = pairs[order], counts.column("count").to_numpy()[order]
     best = counts.column("best").to_numpy().astype(np.int64)[order]
@@ -345,7 +384,8 @@ def cross_alignment(docs: DataFrame, path_a: str, path_b: str, radix: int = RADI
     """
     made = encoded(docs, path_a, path_b, radix)
     counts = counted(made)
-    marks = counts.select("split", "radix", "b", "a").join(totals(counts), ["b", "a"]).select("split", "radix", "b", "a", "count", "best")
+    found = totals(counts, aligner(path_a, path_b).a.size)
+    marks = counts.select("split", "radix", "pair").join(found, "pair").select("split", "radix", "pair", "count", "best")
     runs = made.where("radix IS NOT NULL").select("split", "radix", "run")
     shares = runs.groupBy("split", "radix").cogroup(marks.groupBy("split", "radix")).applyInArrow(_share, _SHARE)
     shares = shares.groupBy("split", "document").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
@@ -359,15 +399,15 @@ def cross_alignment(docs: DataFrame, path_a: str, path_b: str, radix: int = RADI
 
 def pair_counts(docs: DataFrame, path_a: str, path_b: str, radix: int = RADIX) -> DataFrame:
     """``b, a, count, best`` of every linked pair of ids."""
-    return totals(counted(encoded(docs, path_a, path_b, radix)))
+    size = aligner(path_a, path_b).a.size
+    found = totals(counted(encoded(docs, path_a, path_b, radix)), size)
+    return found.select(F.expr(f"pair div {size}").alias("b"), F.expr(f"pair % {size}").alias("a"), "count", "best")
 
 
 def _groups(batches: Iterable[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[pa.RecordBatch]:
     model = aligner(path_a, path_b)
-    for batch in slices(batches):
-        found, codes, starts = model.pieces(batch.column(1))
-        texts = [x[5] for x in found]
-        own = [";".join([t for c in codes[a:b].tolist() if (t := texts[c])]) for a, b in zip(starts, starts[1:], strict=False)]
+    for batch in slices(batches, limit=_SLICE):
+        own = [t.decode() for t in _texts(*model.pieces(batch.column(1)))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.string())], ["doc_id", "groups"])
 
 

@@ -75,9 +75,9 @@ def test_pieces_are_those_of_whole_texts(texts):
     for text, a, b in zip(texts, starts, starts[1:]):
         own = [found[c] for c in codes[a:b]]
         groups, links = plain(model, text)
-        assert ";".join(x[5] for x in own if x[5]) == ";".join(groups)
-        got = np.frombuffer(b"".join(x[4] for x in own), np.uint64).tolist()
-        assert [(x & 0xFFFFFFFF, x >> 32) for x in got] == links
+        assert b"".join(x[2] for x in own) == "".join(f"{g};" for g in groups).encode()
+        got = np.frombuffer(b"".join(x[1] for x in own), np.uint64).tolist()
+        assert [(x % model.a.size, x // model.a.size) for x in got] == links
 
 
 def test_alignment(spark, rows, docs, none, clashing, model):
@@ -104,7 +104,7 @@ def test_many_splits_runs_and_frames(spark, model, monkeypatch):
     monkeypatch.setattr(cross_alignment, "FRAME", 5)
     runs, every = [], []
     for _ in range(7):
-        own = sorted((rng.choice([3 << 32 | 4, rng.randrange(6) << 32 | rng.randrange(4)]), rng.randrange(50), rng.randrange(1, 4)) for _ in range(rng.randrange(1, 60)))
+        own = sorted((rng.choice([34, rng.randrange(60)]), rng.randrange(50), rng.randrange(1, 4)) for _ in range(rng.randrange(1, 60)))
         every += own
         pairs, documents, times = (np.array(x, np.uint64) for x in zip(*own))
         runs.append(cross_alignment.packed(pairs, documents, times))
@@ -115,8 +115,8 @@ def test_many_splits_runs_and_frames(spark, model, monkeypatch):
     total = Counter()
     for pair, _, times in every:
         total[pair] += times
-    assert {b << 32 | a: n for b, a, n in zip(table["b"], table["a"], table["n"])} == total and len(table["n"]) == len(total)
-    marks = pa.table({"b": pa.array(table["b"], pa.int32()), "a": pa.array(table["a"], pa.int32()), "count": table["n"], "best": [n % 2 == 0 for n in table["n"]]})
+    assert dict(zip(table["pair"], table["n"])) == total and len(table["n"]) == len(total)
+    marks = pa.table({"pair": table["pair"], "count": table["n"], "best": [n % 2 == 0 for n in table["n"]]})
     shares = cross_alignment._share(key, pa.table({"run": pa.array(runs, pa.binary())}), marks).to_pydict()
     want, best = Counter(), Counter()
     for pair, document, times in every:
@@ -129,8 +129,9 @@ def test_many_splits_runs_and_frames(spark, model, monkeypatch):
 def test_small_slices_and_caches(spark, rows, docs, model, monkeypatch):
     """Many slices and splits in one task give the same rows."""
     monkeypatch.setattr(cross_alignment, "SLICES", 2)
-    monkeypatch.setattr(cross_alignment, "KEPT_WORDS", 50)
-    monkeypatch.setattr(cross_alignment, "slices", lambda batches: slices(batches, limit=3000))
+    monkeypatch.setattr(cross_alignment, "KEPT", 50)
+    monkeypatch.setattr(cross_alignment, "_BATCH", 30)
+    monkeypatch.setattr(cross_alignment, "slices", lambda batches, limit: slices(batches, limit=3000))
     texts = [(r[0], r[1]) for r in rows if len(r[1] or "") < 5000]
     batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([t[0] for t in texts], pa.int64()), "text": [t[1] for t in texts]})
     monkeypatch.setattr(cross_alignment.TaskContext, "get", classmethod(lambda cls: type("T", (), {"partitionId": lambda self: 3})()))
