@@ -90,13 +90,15 @@ def table_manifest(pages: DataFrame, files: DataFrame, terms: tuple[str, ...] =
     )
 
 
+def tables_by_file(pages: DataFrame) -> DataFrame:
+    """``(source_file, table_file, cells)``: one row per table of ``pages(source_file, page, tables)``."""
+    name = table_file(F.col("source_file"), F.col("page"), F.col("table_number"))
+    return page_tables(pages).select("source_file", name.alias("table_file"), "cells")
+
+
 def table_cells(pages: DataFrame) -> DataFrame:
     """One row per table row, padded to the table's width, with the file it belongs to."""
-    tables = page_tables(pages).select(
-        "source_file",
-        table_file(F.col("source_file"), F.col("page"), F.col("table_number")).alias("table_file"),
-        padded(F.col("cells")).alias("_rows"),
-    )
+    tables = tables_by_file(pages).select("source_file", "table_file", padded(F.col("cells")).alias("_rows"))
     return numbered_items(tables, F.col("_rows"), "row_number", "cells", ["source_file", "table_file"])
 
 

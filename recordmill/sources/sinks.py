@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType
 
+from recordmill.functions.staging import let
 from recordmill.functions.text import plain_number
+from recordmill.operators.documents import table_width
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -52,24 +59,109 @@ def write_index(df: DataFrame, path: str, columns: list[str], mode: str = "error
     df.select(*columns).write.mode(mode).parquet(path)
 
 
-def write_table_cells(cells: DataFrame, path: str, by_file: bool = False, mode: str = "errorifexists") -> None:
-    """Extracted tables as pipe text without a header row, the rows of a table in their order.
+def table_lines(cells: Column) -> Column:
+    """The lines of a table as delimited text without a header, as ``write_pipe_csv`` quotes them.
 
-    ``cells`` has ``(source_file, table_file, row_number, cells)``. Each line begins
-    with its table file and row number, so that the number of output files is that
-    of the tasks; ``by_file`` gives each table a folder of its own and lines of cells
-    alone. Lines are delimited and quoted as ``write_pipe_csv`` does.
+    Short rows, and null ones, end in as many delimiters as they miss cells to the
+    table's width; a row of one empty cell is a pair of quotes, so that it is no
+    blank line. A table without any cell has blank lines.
     """
-    quote = lambda c: F.when(
+    quoted = lambda c: F.when(
         F.rlike(c, F.lit(r'[|"\r\n]')), F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     ).otherwise(c)
-    text = F.array_join(F.transform("cells", lambda c: quote(F.coalesce(c, F.lit("")))), "|")
-    rows = cells.select("table_file", "row_number", text.alias("value"))
-    dealt = rows.repartitionByRange("table_file", "row_number").sortWithinPartitions("table_file", "row_number")
-    if by_file:
-        dealt.drop("row_number").write.mode(mode).partitionBy("table_file").text(path)
-    else:
-        dealt.select(F.concat_ws("|", "table_file", "row_number", "value").alias("value")).write.mode(mode).text(path)
+
+    def line(row: Column, width: Column) -> Column:
+        have = F.coalesce(F.size(row), F.lit(0))
+        text = F.coalesce(F.array_join(F.transform(row, lambda c: quoted(F.coalesce(c, F.lit("")))), "|"), F.lit(""))
+        missing = width - F.greatest(have, F.lit(1))
+        return F.when((width == 1) & (text == ""), F.lit('""')).otherwise(
+            F.concat(text, F.repeat(F.lit("|"), F.greatest(missing, F.lit(0))))
+        )
+
+    return let(table_width(cells), lambda width: F.transform(cells, lambda row: line(row, width)))
+
+
+_INDEX = pa.schema(
+    [("table_file", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("n_rows", pa.int32()), ("width", pa.int32())]
+)
+
+
+def _place(path: str) -> tuple:
+    """A folder's file system and its path there."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub("^([a-z0-9]+):/+(?=[^/])", r"\1:///", path) if path.startswith("file:") else path)
+
+
+def _write_files(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """A file per name, of the last row that has it (rows come ordered by name).
+
+    A file gets its name when it is whole, so a task that runs again just writes it again.
+    """
+    system, root = _place(path)
+
+    def written(name: str, text: str) -> int:
+        data = f"{text}\n".encode()
+        begun = f"{root}/.{name}.{uuid.uuid4().hex}"
+        with system.open_output_stream(begun) as out:
+            out.write(data)
+        system.move(begun, f"{root}/{name}")
+        return len(data)
+
+    def index(rows: list[dict]) -> pa.RecordBatch:
+        made = [r | {"path": f"{path}/{r['table_file']}", "length": written(r["table_file"], r.pop("value"))} for r in rows]
+        return pa.RecordBatch.from_pylist(made, _INDEX)
+
+    held = None
+    for batch in batches:
+        rows = batch.to_pylist()
+        before = [held, *rows] if held else rows
+        last = [r for r, after in zip(before, before[1:], strict=False) if r["table_file"] != after["table_file"]]
+        held = before[-1] if before else None
+        if last:
+            yield index(last)
+    if held:
+        yield index([held])
+
+
+def write_table_files(tables: DataFrame, path: str) -> DataFrame:
+    """One headerless pipe text per table, named as the table, all in the new folder ``path``; returns the file index.
+
+    ``tables`` has ``(table_file, cells)``, a row per table. A table's text is made in
+    that row, so no row of a table is shuffled, sorted or padded with cells; the tables
+    are dealt by name, and of tables that share a name the longest stays. Spark's own text sink makes a folder for each name and can't name
+    files, so a function over Arrow batches writes them, by the file systems that Arrow
+    knows (local, HDFS, S3, GCS). The index ``(table_file, path, length, n_rows, width)``
+    is written behind the files to ``_index`` in the folder, where readers of the folder
+    do not see it; it names whole files only.
+    """
+    system, root = _place(path)
+    from pyarrow import fs
+
+    if system.get_file_info(root).type != fs.FileType.NotFound:
+        raise FileExistsError(path)
+    system.create_dir(root, recursive=True)
+    text = F.array_join(table_lines(F.col("cells")), "\n")
+    rows = tables.select(
+        "table_file", text.alias("value"), F.size("cells").alias("n_rows"), table_width(F.col("cells")).alias("width")
+    )
+    dealt = rows.repartition("table_file").sortWithinPartitions("table_file", "n_rows", F.xxhash64("value"))
+    schema = "table_file string, path string, length long, n_rows int, width int"
+    index = dealt.mapInArrow(lambda batches: _write_files(batches, path), schema)
+    index.write.parquet(f"{path}/_index")
+    return table_file_index(tables.sparkSession, path)
+
+
+def table_file_index(spark: SparkSession, path: str) -> DataFrame:
+    """The files that ``write_table_files`` wrote to a folder."""
+    return spark.read.parquet(f"{path}/_index")
+
+
+def write_table_lines(tables: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """All tables as pipe text in as many files as there are tasks: each line begins with its table and row number."""
+    rows = F.posexplode_outer(table_lines(F.col("cells"))).alias("_at", "_line")
+    lines = tables.select("table_file", rows).select(F.concat_ws("|", "table_file", F.col("_at") + 1, "_line").alias("value"))
+    lines.write.mode(mode).text(path)
 
 
 def resave(df: DataFrame, folder: str, name: str, version: str, columns: list[str] | None = None) -> str:

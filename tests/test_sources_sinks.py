@@ -78,18 +78,42 @@ def test_index_keeps_columns_without_rows(spark, tmp_path):
     assert spark.read.parquet(path).dtypes == [("a", "string"), ("n", "int")]
 
 
-def test_table_cells_are_headerless_text(spark, tmp_path):
-    cells = spark.createDataFrame(
-        [("a.pdf", "a_t1.csv", 2, ["x", None]), ("a.pdf", "a_t1.csv", 1, ['q"r', "a|b"]), ("a.pdf", "a_t2.csv", 1, [None])],
-        "source_file string, table_file string, row_number int, cells array<string>",
-    )
-    sinks.write_table_cells(cells, str(tmp_path / "long"))
-    lines = [r.value for r in spark.read.text(str(tmp_path / "long")).collect()]
-    assert sorted(lines) == ['a_t1.csv|1|"q""r"|"a|b"', "a_t1.csv|2|x|", "a_t2.csv|1|"]
-    sinks.write_table_cells(cells, str(tmp_path / "c"), by_file=True)
-    (part,) = (tmp_path / "c" / "table_file=a_t1.csv").glob("part-*")
-    with part.open(encoding="utf-8", newline="") as stream:
-        assert list(csv.reader(stream, delimiter="|")) == [['q"r', "a|b"], ["x", ""]]
+TABLES = {
+    "a_t1.csv": [['q"r', "a|b"], ["x"], None, ["line\nbreak", None]],
+    "a_t2.csv": [[None], [], ["z"]],
+    "word.csv": [None],  # a document of one word: rows without any cell
+    "b.csv": [["", "", ""]],
+}
+
+
+def tables_of(spark):
+    rows = [("a.pdf", name, cells) for name, cells in TABLES.items()]
+    return spark.createDataFrame(rows, "source_file string, table_file string, cells array<array<string>>")
+
+
+def test_each_table_has_a_headerless_file(spark, tmp_path):
+    index = sinks.write_table_files(tables_of(spark), str(tmp_path / "t")).collect()
+    assert sorted(r.table_file for r in index) == sorted(TABLES)
+    for row in index:
+        assert row.path == str(tmp_path / "t" / row.table_file)
+        with open(row.path, encoding="utf-8", newline="") as stream:
+            got = list(csv.reader(stream, delimiter="|"))
+        width = max(len(r or []) for r in TABLES[row.table_file])
+        filled = [[c or "" for c in [*(r or []), *[None] * width][:width]] for r in TABLES[row.table_file]]
+        assert got == filled and (row.n_rows, row.width) == (len(TABLES[row.table_file]), width)
+    with pytest.raises(FileExistsError):
+        sinks.write_table_files(tables_of(spark), str(tmp_path / "t"))
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["_index", *sorted(TABLES)]
+    twice = sinks.write_table_files(tables_of(spark).withColumn("table_file", F.lit("same.csv")), str(tmp_path / "s")).collect()
+    assert [(r.table_file, r.n_rows) for r in twice] == [("same.csv", 4)]
+    none = sinks.write_table_files(tables_of(spark).limit(0), str(tmp_path / "none"))
+    assert none.collect() == []
+
+
+def test_tables_share_files_by_lines(spark, tmp_path):
+    sinks.write_table_lines(tables_of(spark).filter("table_file <> 'a_t1.csv'"), str(tmp_path / "t"))
+    lines = [r.value for r in spark.read.text(str(tmp_path / "t")).collect()]
+    assert sorted(lines) == ['a_t2.csv|1|""', 'a_t2.csv|2|""', "a_t2.csv|3|z", "b.csv|1|||", "word.csv|1|"]
 
 
 def test_large_files_are_split(spark, tmp_path):

@@ -108,18 +108,30 @@ def resaved_index(spark: SparkSession, folder: str) -> DataFrame:
     return pipe_csv.read_pipe_csv(spark, second, [])
 
 
-@registered(
-    f"""WITH {_TABLES}, wide AS (SELECT doc_id, table_number, cells,
-        list_max(list_transform(cells, lambda r: coalesce(len(r), 0))) AS width FROM tables)
-    SELECT {_TABLE_FILE} AS table_file, count(*) AS n_rows,
-      sum(width - 1) + sum(len(coalesce(array_to_string(r, ''), '')) - len(replace(coalesce(array_to_string(r, ''), ''), '|', '')))
-        AS n_bars
-    FROM (SELECT doc_id, table_number, width, unnest(cells) AS r FROM wide) GROUP BY ALL"""
-)
+_WIDE = f"""WITH {_TABLES}, wide AS (SELECT doc_id, table_number, cells,
+        list_max(list_transform(cells, lambda r: coalesce(len(r), 0))) AS width FROM tables),
+      rows AS (SELECT doc_id, table_number, width, coalesce(array_to_string(r, ''), '') AS r,
+        array_to_string(r, '|') AS plain FROM (SELECT doc_id, table_number, width, unnest(cells) AS r FROM wide))"""
+_BARS = "sum(greatest(width - 1, 0)) + sum(len(r) - len(replace(r, '|', '')))"
+
+
+@registered(f"{_WIDE} SELECT {_TABLE_FILE} AS table_file, count(*) AS n_rows, {_BARS} AS n_bars, true AS as_indexed FROM rows GROUP BY ALL")
 def table_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Headerless text of every extracted table: lines and delimiters of cells per table."""
+    """One headerless file per extracted table, read back by the file index: lines and delimiters of each."""
+    place = workplace(spark)
+    index = sinks.write_table_files(O.tables_by_file(document_tables(spark, folder)), place)
+    bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit("")))
+    text = spark.read.text(place).select("value", F.col("_metadata.file_name").alias("table_file"))
+    read = text.groupBy("table_file").agg(F.count("*").alias("n_rows"), F.sum(bars).alias("n_bars"))
+    same = (F.col("n_rows") == F.col("rows_written")).alias("as_indexed")
+    return index.select("table_file", F.col("n_rows").alias("rows_written")).join(read, "table_file").select(*read.columns, same)
+
+
+@registered(f"{_WIDE} SELECT {_TABLE_FILE} AS table_file, count(*) AS n_rows, {_BARS} AS n_bars FROM rows GROUP BY ALL")
+def table_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All extracted tables packed into shared files, a line per row with its table's name in front."""
     place = workplace(spark)
-    sinks.write_table_cells(O.table_cells(document_tables(spark, folder)), place)
+    sinks.write_table_lines(O.tables_by_file(document_tables(spark, folder)), place)
     text = spark.read.text(place)
     bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit(""))) - 2
     file = F.substring_index("value", "|", 1).alias("table_file")
