@@ -4,10 +4,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from recordmill.plans.curation import ORDER, collected, curate, log_lines
+from recordmill.plans.curation import ORDER, collected, curate, curate_with_log, log_lines
 from recordmill.operators.columns import merge_by_name
 from recordmill.operators.dedupe import distinct_rows
-from recordmill.plans.publish import audit_folder, audit_report, default_sources, gate_folder, publish, raw_frames
+from recordmill.plans.publish import audit_folder, audit_report, default_sources, frames_of, gate_folder, publish, raw_frames, raw_tables
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
 from recordmill.sources.pipe_csv import read_pipe_csv
 
@@ -139,6 +139,69 @@ def test_tables_with_an_error_are_not_published(spark, raw, tmp_path):
     assert {p.name for p in (tmp_path / "out").iterdir()} == {"council_resources", "cleaning_log"}
 
 
+def test_raw_files_that_fail_their_contract_are_left_out_by_default(spark, raw, tmp_path):
+    (tmp_path / "news.csv").write_text(NEWS.replace("article_url", "address"), encoding="utf-8")
+    (tmp_path / "resource_index.csv").write_text(RESOURCES, encoding="utf-8")
+    log = [r.line for r in publish(spark, str(tmp_path), str(tmp_path / "out"), PLACE).orderBy("seq").collect()]
+    assert log[-1] == "GATE news: left out, news.csv: Missing: article_url"
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"council_resources", "cleaning_log"}
+    publish(spark, str(tmp_path), str(tmp_path / "all"), PLACE, gate=False)
+    assert {p.name for p in (tmp_path / "all").iterdir()} == {"council_resources", "news", "cleaning_log"}
+
+
+def test_seed_rows_stand_in_for_missing_live_rows(spark, tmp_path):
+    head = RESOURCES.splitlines()[0].split("|")
+    place = {n: k for k, n in enumerate(head)}
+
+    def lines(*rows):
+        made = []
+        for title, url in rows:
+            cells = [""] * len(head)
+            cells[place["document_title_raw"]], cells[place["document_url"]] = title, url
+            made.append("|".join(cells))
+        return "\n".join(["|".join(head), *made]) + "\n"
+
+    (tmp_path / "resource_index.csv").write_text(lines(("Live", "u1"), ("No url", "")), encoding="utf-8")
+    (tmp_path / "resource_index_seed.csv").write_text(lines(("Old", "u1"), ("Seed", "u2"), ("Unproven", "")), encoding="utf-8")
+
+    def titles(out, **options):
+        log = publish(spark, str(tmp_path), str(tmp_path / out), PLACE, **options)
+        path = tmp_path / out / "council_resources"
+        rows = read_pipe_csv(spark, str(path), []).orderBy("record_id").collect() if path.exists() else []
+        return [r.document_title_clean for r in rows], [r.line for r in log.collect() if "loaded" in r.line]
+
+    assert titles("a")[0] == ["Live", "No url"]
+    assert titles("b", seed_fallback=True) == (["Live", "No url", "Seed"], ["Council resources: loaded 3 rows."])
+    (tmp_path / "resource_index.csv").write_text(lines(), encoding="utf-8")
+    assert titles("c", seed_fallback=True)[0] == ["Old", "Seed"]
+    (tmp_path / "resource_index.csv").unlink()
+    assert titles("d", seed_fallback=True)[0] == ["Old", "Seed"] and titles("e")[0] == []
+
+
+def test_publishing_reads_each_raw_file_once(spark, raw, tmp_path, monkeypatch):
+    from recordmill.plans import publish as plan
+
+    settled, real = [], plan.settle
+    monkeypatch.setattr(plan, "settle", lambda df: settled.append(df.inputFiles()) or real(df))
+    publish(spark, raw, str(tmp_path / "out"), PLACE)
+    files = [f for own in settled for f in own]
+    assert len(files) == len(set(files)) == 4
+    # what follows reads settled tables alone
+    tables = raw_tables(spark, raw, ["news"])
+    table, log = curate_with_log(frames_of(tables, default_sources(PLACE)["news"]), default_sources(PLACE)["news"].spec)
+    assert not any(f.endswith(".csv") for f in [*table.inputFiles(), *log.inputFiles()])
+
+
+def test_the_first_records_come_from_the_first_ranges(spark):
+    base = spark.range(5000).select("id", F.concat(F.lit("T "), F.col("id").cast("string")).alias("document_title_raw"), F.lit("").alias("document_url"))
+    raw_rows = collected(base.repartition(20), F.col("id")).drop("id")
+    few = curate([raw_rows], resources_spec(PLACE), first=10)
+    assert sorted((r.record_id, r.document_title_clean) for r in few.collect()) == [(f"RES{i + 1:04d}", f"T {i}") for i in range(10)]
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "_range" in plan
+    assert curate([raw_rows.limit(0)], resources_spec(PLACE), first=10).collect() == []
+
+
 def test_audit_of_a_folder(spark, raw):
     found = {(r.file_name, r.severity, r.check): r.details for r in audit_folder(spark, raw).collect()}
     assert found[("resource_index.csv", "warning", "duplicate_url")] == "1 repeated document_url value(s)"

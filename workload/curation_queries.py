@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordmill.operators import summary
 from recordmill.plans.curation import collected, curate, log_lines
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
 from workload import registered
@@ -203,4 +202,5 @@ PREVIEW = ["record_id", "record_kind", "ward_clean", "project_name_clean", "stat
       "source_url_clean", "_source * 10000000000 + _id")}) ORDER BY length(record_id), record_id LIMIT 10"""
 )
 def curated_preview(spark: SparkSession, folder: str) -> DataFrame:
-    return summary.preview(curated_projects(spark, folder), PREVIEW)
+    """The first ten records: only they are read of the numbered table, and cleaned."""
+    return curate(project_sources(spark, folder), projects_spec(PLACE), first=10).select(*PREVIEW)
