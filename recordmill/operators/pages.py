@@ -10,7 +10,7 @@ from recordmill.functions import text as T
 from recordmill.functions import urls as U
 from recordmill.functions.dates import retrieval_stamp
 from recordmill.functions.staging import let
-from recordmill.operators.dedupe import first_by_key
+from recordmill.operators.dedupe import first_by_key, first_by_long_key
 from recordmill.operators.joins import enrich, lookup_join
 from recordmill.operators.reshape import numbered_items
 from recordmill.session import settle
@@ -214,7 +214,7 @@ def article_details(
         T.head_chars(H.text_of(F.col("_content")), text_length).alias("article_text_raw"),
         F.array_join(F.array_sort(documents), ";").alias("linked_document_urls"),
     )
-    return first_by_key(detailed, "article_url", list(order)).drop(*order)
+    return first_by_long_key(detailed, "article_url", list(order)).drop(*order)
 
 
 def articles_with_details(listed: DataFrame, details: DataFrame, order: list[str]) -> DataFrame:

@@ -45,6 +45,29 @@ def test_first_by_key_drops_blank_keys(spark):
     assert rows(dedupe.repeated_keys(df, F.coalesce("url", F.lit("")))) == [(1,)]
 
 
+LONG = [(1, "a", None), (2, "b", "x"), (3, "a", None), (4, None, "a"), (5, "b", "x"), (6, "c", "y"), (7, "", "z"), (8, None, "a"), (9, "b", "w")]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_long_rows_by_digest(spark, collide, monkeypatch):
+    df = spark.createDataFrame(LONG, "o int, s string, t string").repartition(3)
+    same = (lambda names: [F.lit(0).cast("long"), F.lit(0).cast("long")]) if collide else dedupe.digest_128
+    first = sorted((r.o, r.s, r.t) for r in dedupe.distinct_long_rows(df, "o", same).collect())
+    assert first == [(1, "a", None), (2, "b", "x"), (4, None, "a"), (6, "c", "y"), (7, "", "z"), (9, "b", "w")]
+    keyed = sorted((r.o, r.s) for r in dedupe.first_by_long_key(df, "s", ["o"], same).collect())
+    assert keyed == [(1, "a"), (2, "b"), (6, "c")]
+    monkeypatch.setattr(dedupe, "SENT_DIGESTS", 0)
+    assert dedupe.distinct_long_rows(df, "o", same).count() == 6
+
+
+def test_rows_that_are_alone_are_not_shuffled(spark):
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 50).alias("pad"), (F.col("id") % 97).cast("string").alias("text"))
+    alone, shared = dedupe._parted(df, ["text"], dedupe.digest_128)
+    assert (alone.count(), shared.count()) == (94, 6)
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
 def test_first_by_key_limits_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     plan = dedupe.first_by_key(df, "k", ["id"])._jdf.queryExecution().executedPlan().toString()

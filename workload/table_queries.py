@@ -59,7 +59,7 @@ def drop_unusable(spark: SparkSession, folder: str) -> DataFrame:
 @registered("SELECT md5(text) AS digest, lang, min(doc_id) AS first_doc FROM documents GROUP BY text, lang")
 def exact_distinct(spark: SparkSession, folder: str) -> DataFrame:
     docs = D.table(spark, folder, "documents").select("text", "lang", "doc_id")
-    kept = dedupe.distinct_rows(docs, "doc_id")
+    kept = dedupe.distinct_long_rows(docs, "doc_id")
     return kept.select(F.md5("text").alias("digest"), "lang", F.col("doc_id").alias("first_doc"))
 
 
@@ -78,7 +78,7 @@ def distinct_delta(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered("SELECT md5(text) AS digest, min(doc_id) AS doc_id FROM documents WHERE text <> '' GROUP BY text")
 def dedupe_first_by_text(spark: SparkSession, folder: str) -> DataFrame:
-    first = dedupe.first_by_key(D.table(spark, folder, "documents").select("doc_id", "text"), "text", ["doc_id"])
+    first = dedupe.first_by_long_key(D.table(spark, folder, "documents").select("doc_id", "text"), "text", ["doc_id"])
     return first.select(F.md5("text").alias("digest"), "doc_id")
 
 
