@@ -107,6 +107,91 @@ def audit(spark: SparkSession, tables: list[Collected]) -> DataFrame:
     return merge_by_name([audit_table(spark, table) for table in tables]).select(*ISSUE_COLUMNS)
 
 
+def contract_table(spark: SparkSession, contract: dict[str, tuple[str, ...]], prefix: str = "") -> DataFrame:
+    """The contract as a table: a row per kind of file, in checking order, with what is asked of it."""
+    rows = [
+        (
+            place, kind, f"{prefix}{kind}.csv", list(required), "warning" if kind.endswith("_seed") else "error",
+            "resource_index" in kind or "news" in kind,
+        )
+        for place, (kind, required) in enumerate(contract.items())
+    ]
+    schema = "place int, kind string, expected_file string, required array<string>, empty_severity string, urls_are_unique boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+def file_headers(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """``file_name, names``: the column names of each listed file, none where it has no line.
+
+    ``lines`` has ``(file_name, at, value)``, ``at`` ordering the lines of a file.
+    """
+    first = lines.groupBy("file_name").agg(F.min_by("value", "at").alias("header"))
+    cells = F.split(F.regexp_replace("header", r"^\x{feff}", ""), r"\|")
+    names = F.transform(cells, lambda c: F.regexp_replace(c, '^"(.*)"$', "$1"))
+    return files.join(first, "file_name", "left").select("file_name", F.coalesce(names, F.array().cast("array<string>")).alias("names"))
+
+
+def file_contracts(headers: DataFrame, contract: DataFrame, prefix: str = "") -> DataFrame:
+    """Each kind's files with what they lack and the place of their URL column; a kind without a file has one row, unread."""
+    kind = F.regexp_extract("file_name", rf"^{prefix}(.+?)(?:[-_.]\d+)?\.csv$", 1)
+    url = F.get(F.filter(F.array(*map(F.lit, URL_COLUMNS)), lambda u: F.array_contains("names", u)), F.lit(0))
+    named = headers.withColumns({"kind": kind, "url": url})
+    found = F.broadcast(contract).join(named, "kind", "left")  # the contract has a row per kind
+    return found.select(
+        "place",
+        F.coalesce("file_name", "expected_file").alias("file_name"),
+        F.col("file_name").isNotNull().alias("is_there"),
+        F.array_sort(F.array_except("required", F.coalesce("names", F.array().cast("array<string>")))).alias("missing"),
+        "empty_severity",
+        "urls_are_unique",
+        "url",
+        (F.array_position("names", F.col("url")) - 1).cast("int").alias("url_at"),
+    )
+
+
+def file_counts(rows: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Per file: rows, rows without a URL, URLs that occur more than once. ``rows`` has ``(file_name, cells)``.
+
+    Files whose URLs may repeat are counted by blank and filled alone.
+    """
+    wanted = contracts.filter("is_there AND size(missing) = 0").select("file_name", "urls_are_unique", "url_at")
+    cell = F.when(F.col("url_at").isNull(), F.lit(None)).otherwise(strip_ws(F.coalesce(F.get("cells", F.col("url_at")), F.lit(""))))
+    key = F.when(F.col("urls_are_unique") | (cell == ""), cell).otherwise(F.lit("filled"))
+    by_url = rows.join(wanted, "file_name").groupBy("file_name", "urls_are_unique", key.alias("u")).agg(F.count("*").alias("c"))
+    return by_url.groupBy("file_name").agg(
+        F.sum("c").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("u") == "", F.col("c"))), F.lit(0)).alias("blank"),
+        F.count_if(F.col("urls_are_unique") & (F.col("u") != "") & (F.col("c") > 1)).alias("repeated"),
+    )
+
+
+# As in ``audit_table``.
+def contract_issues(contracts: DataFrame, counts: DataFrame) -> DataFrame:
+    """The issue table of any number of files, from one row per file."""
+    zero = F.lit(0).cast("long")
+    every = contracts.join(counts, "file_name", "left").select(
+        *contracts.columns, *[F.coalesce(c, zero).alias(c) for c in ("n", "blank", "repeated")]
+    )
+
+    def issue(severity: Column | str, check: str, details: Column | str) -> Column:
+        text = lambda v: F.lit(v) if isinstance(v, str) else v
+        return F.struct(text(severity).alias("severity"), F.lit(check).alias("check"), text(details).alias("details"))
+
+    found = F.array(
+        F.when(F.col("blank") > 0, issue("warning", "provenance_url", F.format_string("%d/%d rows have no %s", "blank", "n", "url"))),
+        F.when(F.col("repeated") > 0, issue("warning", "duplicate_url", F.format_string("%d repeated %s value(s)", "repeated", "url"))),
+        issue("pass", "row_count", F.format_string("%d data row(s) read with pipe delimiter", "n")),
+    )
+    missing = F.concat(F.lit("Missing: "), F.array_join("missing", ", "))
+    checks = (
+        F.when(~F.col("is_there"), F.array(issue("error", "file_exists", "Expected file is missing")))
+        .when(F.size("missing") > 0, F.array(issue("error", "required_columns", missing)))
+        .when(F.col("n") == 0, F.array(issue(F.col("empty_severity"), "row_count", "No data rows found")))
+        .otherwise(F.filter(found, lambda i: i.isNotNull()))
+    )
+    return every.select("file_name", F.inline(checks)).select(*ISSUE_COLUMNS)
+
+
 def audit_exit(issues: DataFrame) -> DataFrame:
     """One row: errors, warnings, and the exit flag 1 where there is any error."""
     error = F.col("severity") == "error"

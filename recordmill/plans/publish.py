@@ -14,6 +14,11 @@ from recordmill.operators.audit import (
     Published,
     audit,
     audit_exit,
+    contract_issues,
+    contract_table,
+    file_contracts,
+    file_counts,
+    file_headers,
     publication_gate,
 )
 from recordmill.operators.columns import merge_by_name
@@ -22,7 +27,15 @@ from recordmill.plans.curation import CurationSpec, collected, curate_with_log,
 from recordmill.plans.published import Place, news_spec, projects_spec, resources_spec
 from recordmill.session import release, settle, settled_tables
 from recordmill.sources.catalog import read_catalog
-from recordmill.sources.pipe_csv import FILE_ORDER, header_line, read_pipe_csv, try_read_pipe_csv
+from recordmill.sources.pipe_csv import (
+    FILE_ORDER,
+    first_lines,
+    header_line,
+    listed_tables,
+    read_all_tables,
+    read_pipe_csv,
+    try_read_pipe_csv,
+)
 from recordmill.sources.sinks import write_pipe_csv, write_unless_empty
 
 
@@ -54,15 +67,37 @@ def default_sources(place: Place) -> dict[str, Sources]:
     }
 
 
+def audit_files(
+    spark: SparkSession,
+    pattern: str,
+    contract: dict[str, tuple[str, ...]] = REQUIRED_COLUMNS,
+    prefix: str = "",
+    **read_options,
+) -> DataFrame:
+    """Issue table over all files that match a path pattern, any number of each kind of the contract.
+
+    A file is of the kind its name says: ``prefix``, the kind, a number if there are several,
+    ``.csv``. Files of no kind are not audited, a kind without a file is an issue. The headers
+    come from one scan of the files' first blocks, the counts from one scan of all rows, so
+    the plan is the same for one file and for very many. The headers are settled.
+    """
+    asked = contract_table(spark, contract, prefix)
+    files = listed_tables(spark, pattern)
+    if files is None:
+        none = spark.createDataFrame([], "file_name string, names array<string>")
+        return contract_issues(file_contracts(none, asked, prefix), spark.createDataFrame([], _COUNTS))
+    headers = settle(file_headers(files, first_lines(spark, pattern)))
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0  # one number
+    contracts = file_contracts(headers, asked, prefix)
+    return contract_issues(contracts, file_counts(read_all_tables(spark, pattern, width, **read_options), contracts))
+
+
+_COUNTS = "file_name string, n long, blank long, repeated long"
+
+
 def audit_folder(spark: SparkSession, folder: str, prefix: str = "", **read_options) -> DataFrame:
-    """Issue table over every expected file of a raw folder; file names begin with ``prefix``."""
-    return audit(
-        spark,
-        [
-            Collected(f"{prefix}{name}.csv", try_read_pipe_csv(spark, f"{folder}/{prefix}{name}.csv", **read_options), required)
-            for name, required in REQUIRED_COLUMNS.items()
-        ],
-    )
+    """Issue table over the expected files of a raw folder; file names begin with ``prefix``."""
+    return audit_files(spark, f"{folder}/{prefix}*.csv", prefix=prefix, **read_options)
 
 
 def audit_report(spark: SparkSession, folder: str, report: str, prefix: str = "", **read_options) -> int:
@@ -106,7 +141,7 @@ def raw_frames(
     return frames_of(raw_tables(spark, folder, datasets, prefix, **read_options), sources, seed_fallback)
 
 
-def contract_issues(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> DataFrame:
+def issues_of(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> DataFrame:
     """The audit of raw tables already read."""
     return audit(
         spark,
@@ -154,7 +189,7 @@ def publish(
         datasets += [sources.seed[0] for _, sources in wanted.values() if sources.seed]
     tables = raw_tables(spark, raw_folder, datasets, prefix, **read_options)
     if gate and issues is None and tables:
-        failed = failed_files(contract_issues(spark, tables, prefix).filter(F.col("check") != "row_count"))
+        failed = failed_files(issues_of(spark, tables, prefix).filter(F.col("check") != "row_count"))
     for name, (rank, sources) in wanted.items():
         bad = [file for dataset, _, _ in sources.inputs if (file := f"{prefix}{dataset}.csv") in failed]
         if bad:

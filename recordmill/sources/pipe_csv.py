@@ -57,6 +57,48 @@ def try_read_pipe_csv(
     return raw.select(*cells, *([_file_order(raw).alias(FILE_ORDER)] if file_order else []))
 
 
+def listed_tables(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """``file_name`` of each text table that matches a path pattern, a file or a folder of part files; None without any.
+
+    Folders may be named ``key=name``, as partitioned writers do. The names come from the
+    reader's own listing, which has files without a byte as well.
+    """
+    try:
+        listed = spark.read.text(pattern).inputFiles()
+    except AnalysisException as error:
+        if _path_missing(error):
+            return None
+        raise
+    files = spark.createDataFrame([(path,) for path in listed], "path string")
+    return files.select(_table_name("path").alias("file_name")).distinct()
+
+
+def _table_name(path: str) -> Column:
+    return F.regexp_extract(path, r"/(?:[^/=]+=)?([^/]+?\.csv)(?:/[^/]+)?$", 1)
+
+
+def first_lines(spark: SparkSession, pattern: str) -> DataFrame:
+    """``(file_name, at, value)``: the lines of the first block of each file, ``at`` ordering those of a table."""
+    lines = spark.read.text(pattern).filter(F.col("_metadata.file_block_start") == 0)
+    at = F.struct(F.col("_metadata.file_path"), F.monotonically_increasing_id())
+    return lines.select(_table_name("_metadata.file_path").alias("file_name"), at.alias("at"), "value")
+
+
+def read_all_tables(
+    spark: SparkSession, pattern: str, width: int, multi_line: bool = False, missing_texts: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(file_name, cells)`` of every row behind the header of all tables that match, in one scan."""
+    schema = StructType([StructField(f"c{k}", StringType()) for k in range(max(width, 1))])
+    rows = spark.read.options(
+        sep="|", header=True, quote='"', escape='"', encoding="UTF-8", multiLine=multi_line,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, enforceSchema=True,
+    ).schema(schema).csv(pattern)
+    cells = [F.coalesce(F.col(name), F.lit("")) for name in schema.names]
+    if missing_texts:
+        cells = [F.when(cell.isin(*missing_texts), F.lit("")).otherwise(cell) for cell in cells]
+    return rows.select(_table_name("_metadata.file_path").alias("file_name"), F.array(*cells).alias("cells"))
+
+
 def _file_order(raw: DataFrame) -> Column:
     """One whole number per row: 10 digits of file, 14 of split, 10 of the row in its task."""
     # both sides without the optional slashes of an empty host

@@ -14,6 +14,7 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType
 from recordmill.functions.staging import let
 from recordmill.functions.text import plain_number
 from recordmill.operators.documents import table_width
+from recordmill.sources.pipe_csv import empty_table, read_pipe_csv
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -164,8 +165,44 @@ def write_table_lines(tables: DataFrame, path: str, mode: str = "errorifexists")
     lines.write.mode(mode).text(path)
 
 
-def resave(df: DataFrame, folder: str, name: str, version: str, columns: list[str] | None = None) -> str:
-    """Write a table again under a version of its own, so that readers of the old one are not disturbed."""
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    """The Java path, its configuration and file system."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, conf, place.getFileSystem(conf)
+
+
+def save_version(df: DataFrame, folder: str, name: str, columns: list[str] | None = None) -> str:
+    """Write a table as a new version under ``folder/name`` and make it the current one; returns its path.
+
+    The version has a folder of its own. Only when it is whole is the pointer file
+    ``current`` replaced, by one rename, so a reader gets the old table or the new
+    one and never a part of either, and a write that fails changes nothing.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
     path = f"{folder}/{name}/{version}"
     write_pipe_csv(df, path, columns)
+    begun, conf, system = _hadoop(spark, f"{folder}/{name}/.current-{version}")
+    out = system.create(begun, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    pointer, _, _ = _hadoop(spark, f"{folder}/{name}/current")
+    rename = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark._sc._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), conf).rename(begun, pointer, options)
     return path
+
+
+def current_version(spark: SparkSession, folder: str, name: str) -> str | None:
+    """Path of the current version; None before the first."""
+    pointer, _, system = _hadoop(spark, f"{folder}/{name}/current")
+    if not system.exists(pointer):
+        return None
+    return f"{folder}/{name}/{spark.read.text(f'{folder}/{name}/current').first().value}"
+
+
+def read_current(spark: SparkSession, folder: str, name: str, columns: list[str], **options) -> DataFrame:
+    """The current version of a table as ``read_pipe_csv`` reads it; without one an empty table with ``columns``."""
+    path = current_version(spark, folder, name)
+    return empty_table(spark, columns) if path is None else read_pipe_csv(spark, path, columns, **options)

@@ -71,3 +71,47 @@ def test_publication_gate(spark):
     assert not got["bad"]["no_exported_index"] and not got["bad"]["pipe_delimiter"]
     assert tuple(A.gate_passes(gate).first()) == (False, False, False, False)
     assert tuple(A.gate_passes(gate.filter("dataset = 'good'")).first()) == (True, True, True, True)
+
+
+def test_many_files_are_audited_by_one_plan(spark, tmp_path):
+    from recordmill.plans.publish import audit_files
+
+    head = "council|category|document_title_raw|document_url|source_page"
+    texts = {
+        "resource_index.csv": "\ufeff" + head + '\nc|k|"a|""b"|u1|p\nc|k|t| u1 |p\nc|k|t||p\n',
+        "resource_index_01.csv": "source_page|document_url|document_title_raw|category|council\np|u1|t|k|c\n",
+        "resource_index_02.csv": "council|category\nc|k\n",
+        "resource_index_seed.csv": head + "\n",
+        "resource_index-7.csv": "",
+        "cdf_projects_seed.csv": "council|ward_raw|project_name_raw|source_url\nc|w|p|u\nc|w|q|u\nc|w|r|  \n",
+        "news.csv": "council|title_raw|article_url|source_listing_page\nc|t|u|l\n\n",
+        "notes.csv": "a\n1\n",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    got = sorted(tuple(r) for r in audit_files(spark, f"{tmp_path}/*.csv").collect())
+    every = "Missing: category, council, document_title_raw, document_url, source_page"
+    assert got == sorted([
+        ("resource_index.csv", "warning", "provenance_url", "1/3 rows have no document_url"),
+        ("resource_index.csv", "warning", "duplicate_url", "1 repeated document_url value(s)"),
+        ("resource_index.csv", "pass", "row_count", "3 data row(s) read with pipe delimiter"),
+        ("resource_index_01.csv", "pass", "row_count", "1 data row(s) read with pipe delimiter"),
+        ("resource_index_02.csv", "error", "required_columns", "Missing: document_title_raw, document_url, source_page"),
+        ("resource_index-7.csv", "error", "required_columns", every),
+        ("resource_index_seed.csv", "warning", "row_count", "No data rows found"),
+        ("cdf_projects_seed.csv", "warning", "provenance_url", "1/3 rows have no source_url"),
+        ("cdf_projects_seed.csv", "pass", "row_count", "3 data row(s) read with pipe delimiter"),
+        ("news.csv", "pass", "row_count", "1 data row(s) read with pipe delimiter"),
+        ("news_seed.csv", "error", "file_exists", "Expected file is missing"),
+        ("cdf_activities_seed.csv", "error", "file_exists", "Expected file is missing"),
+    ])
+
+    def nodes():
+        plan = audit_files(spark, f"{tmp_path}/*.csv")._jdf.queryExecution().optimizedPlan().toString()
+        return len(plan.splitlines())
+
+    few = nodes()
+    for k in range(40):
+        (tmp_path / f"news_{k}.csv").write_text(texts["news.csv"], encoding="utf-8")
+    assert nodes() == few
+    assert audit_files(spark, f"{tmp_path / 'none'}/*.csv").count() == 6

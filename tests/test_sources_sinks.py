@@ -116,6 +116,21 @@ def test_tables_share_files_by_lines(spark, tmp_path):
     assert sorted(lines) == ['a_t2.csv|1|""', 'a_t2.csv|2|""', "a_t2.csv|3|z", "b.csv|1|||", "word.csv|1|"]
 
 
+def test_a_version_becomes_current_when_it_is_whole(spark, tmp_path):
+    place = str(tmp_path)
+    assert sinks.read_current(spark, place, "index", ["a"]).columns == ["a"]
+    first = sinks.save_version(spark.range(3), place, "index")
+    bad = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("lost"))).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.save_version(bad, place, "index")
+    assert sinks.current_version(spark, place, "index") == first
+    assert sorted(r.id for r in sinks.read_current(spark, place, "index", []).collect()) == ["0", "1", "2"]
+    reader = sinks.read_current(spark, place, "index", [])
+    second = sinks.save_version(spark.range(5), place, "index")
+    assert sinks.current_version(spark, place, "index") == second != first
+    assert reader.count() == 3 and sinks.read_current(spark, place, "index", []).count() == 5
+
+
 def test_large_files_are_split(spark, tmp_path):
     path = write_raw(tmp_path / "big.csv", "k|v\n" + "".join(f"{i}|y\n" for i in range(5000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from recordmill.functions.dates import retrieval_stamp
 from recordmill.functions.text import norm_ws
+from recordmill.operators import columns
 from recordmill.operators import documents as O
-from recordmill.plans.publish import audit_report, gate_folder, publish
+from recordmill.operators.pages import with_downloads
+from recordmill.plans.publish import audit_files, audit_report, gate_folder, publish
 from recordmill.session import shared_folder
 from recordmill.sources import catalog, pipe_csv, sinks
 from workload import registered
@@ -93,19 +95,96 @@ def audit_report_file(spark: SparkSession, folder: str) -> DataFrame:
     return report.union(spark.createDataFrame([("exit", "flag", "", str(flag))], report.schema))
 
 
+_MANY = 200
+_MANY_FILE = f"'resource_index_' || lpad(CAST(_id % {_MANY} AS VARCHAR), 3, '0') || '.csv'"
+
+
 @registered(
-    """SELECT CAST(page_id AS VARCHAR) AS page_id, url, 'downloads/' || md5(url) AS downloaded_local_path FROM pages"""
+    f"""WITH r AS (SELECT {_MANY_FILE} AS file_name, document_url_clean AS u FROM ({_RESOURCE_CLEAN})),
+      n AS (SELECT file_name, count(*) AS n, count(*) FILTER (WHERE u = '') AS blank FROM r GROUP BY 1),
+      d AS (SELECT file_name, count(*) AS repeated FROM
+        (SELECT file_name, u FROM r WHERE u <> '' GROUP BY 1, 2 HAVING count(*) > 1) GROUP BY 1)
+    SELECT kind || '.csv' AS file_name, 'error' AS severity, 'file_exists' AS "check", 'Expected file is missing' AS details
+      FROM (VALUES ('resource_index_seed'), ('news'), ('news_seed'), ('cdf_projects_seed'), ('cdf_activities_seed')) t(kind)
+    UNION ALL SELECT file_name, 'pass', 'row_count', n || ' data row(s) read with pipe delimiter' FROM n
+    UNION ALL SELECT file_name, 'warning', 'provenance_url', blank || '/' || n || ' rows have no document_url' FROM n WHERE blank > 0
+    UNION ALL SELECT file_name, 'warning', 'duplicate_url', repeated || ' repeated document_url value(s)' FROM d"""
 )
+def many_files_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Two hundred files of one kind under audit, with one scan of their headers and one of their rows."""
+    place = workplace(spark)
+    number = F.lpad((F.col("_id") % _MANY).cast("string"), 3, "0")
+    rows = raw_resources(spark, folder).withColumn("dataset", F.concat(F.lit("resource_index_"), number, F.lit(".csv")))
+    sinks.write_pipe_csv(rows.repartition("dataset").drop("_id"), place, partition_by=["dataset"])
+    return audit_files(spark, f"{place}/dataset=*")
+
+
+_DOWNLOADED = "CASE WHEN length(url) % 4 = 0 THEN '' ELSE 'downloads/' || md5(url) END"
+
+
+@registered(f"SELECT CAST(page_id AS VARCHAR) AS page_id, url AS document_url, {_DOWNLOADED} AS downloaded_local_path FROM pages")
 def resaved_index(spark: SparkSession, folder: str) -> DataFrame:
-    """A table without the extra column is written, enriched, written again as a new version and read."""
+    """An index is saved, joined with the outcome of its downloads, saved as the next version and read as the current one."""
     place = workplace(spark)
-    pages = D.table(spark, folder, "pages").select("page_id", "url")
-    first = sinks.resave(pages, place, "index", "v1")
-    enriched = pipe_csv.read_pipe_csv(spark, first, []).withColumn(
-        "downloaded_local_path", F.concat(F.lit("downloads/"), F.md5("url"))
+    pages = D.table(spark, folder, "pages").select("page_id", F.col("url").alias("document_url"))
+    sinks.save_version(pages, place, "index")
+    index = sinks.read_current(spark, place, "index", [])
+    loaded = index.filter(F.length("document_url") % 4 != 0).select(
+        "document_url", F.concat(F.lit("downloads/"), F.md5("document_url")).alias("downloaded_local_path")
     )
-    second = sinks.resave(enriched, place, "index", "v2", ["page_id", "url", "downloaded_local_path"])
-    return pipe_csv.read_pipe_csv(spark, second, [])
+    sinks.save_version(with_downloads(index, loaded), place, "index", ["page_id", "document_url", "downloaded_local_path"])
+    return sinks.read_current(spark, place, "index", [])
+
+
+_GAPS = ["{k}", "NA", "n/a", "", "null", "{k} NA", "None", "-NaN", "nil"]
+
+
+@registered(
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN v IN ('NA', 'n/a', 'null', 'None', '-NaN') THEN '' ELSE v END AS value
+    FROM (SELECT o_orderkey, {D.pick_sql("o_orderkey", _GAPS, k="o_custkey")} AS v FROM orders)"""
+)
+def filled_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells that a tabular reader takes for a missing value are read as ''."""
+    place = workplace(spark)
+    orders = D.table(spark, folder, "orders")
+    value = D.pick(F.col("o_orderkey"), _GAPS, k=F.col("o_custkey")).alias("value")
+    sinks.write_pipe_csv(orders.select(F.col("o_orderkey").alias("id"), value), place)
+    return pipe_csv.read_pipe_csv(spark, place, [], missing_texts=pipe_csv.MISSING_TEXTS)
+
+
+@registered(
+    """SELECT lang, count(*) > 0 AS written, count(*) AS n_rows, 2 AS n_columns FROM documents GROUP BY lang
+    UNION ALL SELECT 'none', false, 0, 2"""
+)
+def unless_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of each language, and of one that has none, written unless empty and read back."""
+    place = workplace(spark)
+    docs = D.table(spark, folder, "documents").select("doc_id", "lang")
+    found = []
+    for lang in [*(r.lang for r in docs.select("lang").distinct().collect()), "none"]:
+        written = sinks.write_unless_empty(docs.filter(F.col("lang") == lang), f"{place}/{lang}")
+        read = pipe_csv.read_pipe_csv(spark, f"{place}/{lang}", ["doc_id", "lang"])
+        count = read.agg(F.lit(lang).alias("lang"), F.lit(written).alias("written"), F.count("*").alias("n_rows"))
+        found.append(count.withColumn("n_columns", F.lit(len(read.columns))))
+    return columns.merge_by_name(found)
+
+
+@registered(
+    """SELECT 'found' AS index_name, count(*) AS n_rows, 'source_file,page,text' AS names FROM documents WHERE contains(text, 'token')
+    UNION ALL SELECT 'none', 0, 'source_file,page,text'"""
+)
+def empty_index(spark: SparkSession, folder: str) -> DataFrame:
+    """An index with rows, and one without, which keeps its columns when it is read back."""
+    place = workplace(spark)
+    file = F.concat(F.col("doc_id").cast("string"), F.lit(".html")).alias("source_file")
+    docs = D.table(spark, folder, "documents").select(file, F.col("doc_id").alias("page"), "text")
+    found = []
+    for name, kept in (("found", F.contains(F.col("text"), F.lit("token"))), ("none", F.col("text").isNull())):
+        sinks.write_index(docs.filter(kept), f"{place}/{name}", ["source_file", "page", "text"])
+        read = spark.read.parquet(f"{place}/{name}")
+        names = F.lit(",".join(read.columns)).alias("names")
+        found.append(read.agg(F.lit(name).alias("index_name"), F.count("*").alias("n_rows"), names))
+    return columns.merge_by_name(found)
 
 
 _WIDE = f"""WITH {_TABLES}, wide AS (SELECT doc_id, table_number, cells,
