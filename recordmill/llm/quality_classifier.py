@@ -3,26 +3,33 @@
 One view reads the content of a text (hashed words, word pairs, word shapes,
 immediate repeats), the other what a crawl records about a page (source,
 language, size, lines, shares of capitals, marks, digits and distinct words).
-Each is a logistic regression. Both start from labelled rows. In every round each
-view labels the pool rows that it is surest of, in the proportion of the classes,
-for the other one to train on. On held-out labelled rows each view's margins are
-calibrated; the calibrated log odds are added, less the prior that both contain,
-and score every document.
-
-What is fitted on is bounded: at most ``labelled`` labelled and ``pool`` other
-rows, chosen by a hash of their ids. Their hashed features go to the driver. All
-documents are scored where they are read.
-
-Null texts and texts without a word are rejected with score 0. Null metadata is a
-value of its own. Rows with a null id are scored but not fitted on; repeated rows
-are scored each. Without labels of both classes every other text gets 0.5 and is
-kept. Texts are never cut.
+Each is a logistic regression. Both start from labelled rows, at most ``labelled`` of
+them, chosen by a hash of their ids, whose hashed features the driver holds; a
+quarter of these is held out.
+
+In every round both views give a margin to every document. The documents that a view is
+surest of, by quantiles of all its margins in the proportion of the classes, are labelled
+for the other view; their share of all documents grows by ``growth`` a round and has no
+other bound. Both are fitted on: each step sums the slopes of the pseudo-labelled rows on
+Spark, in whole numbers, so that their order does not matter, and adds those of the
+labelled rows. Only weights, sums by weight and a histogram of margins pass the driver.
+
+On the held-out rows each view's margins are calibrated; the calibrated log odds are
+added, less the prior that both contain, and score every document where it is read.
+
+Null texts and texts without a word are rejected with score 0 and not fitted on. Null
+metadata is a value of its own. Rows with a null id are scored but not fitted on. Rows
+that repeat an id are scored each; a label counts for the first of them by their content,
+and they are pseudo-labelled by their least margins together. Of several labels of an id
+the smallest counts. Without labels of both classes every other text gets 0.5 and is kept.
+Texts are never cut.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -33,13 +40,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import DOCUMENT, kept_by, mixed, owners, pick, settle, slices, sums, words_of
+from recordmill.llm.shared import DOCUMENT, Recent, hinted, kept_by, mixed, owners, pick, settle, slices, sums, words_of
 
 #: Dimensions: hashed words and pairs, hashed shapes, and one for a word that repeats the one before.
 GRAMS, SHAPES = 1 << 14, 1 << 9
 TEXT_WIDTH = GRAMS + SHAPES + 1
 SOURCES, LANGS, BINS, MEASURES = 256, 32, 16, 7
 META_WIDTH = SOURCES + LANGS + BINS * MEASURES
+#: Words of which a worker keeps what it needs, in each of two generations; bytes of text handled at once.
+KEPT_WORDS, _SLICE = 150_000, 2 << 20
+#: Steps of a margin in the histogram, and its largest margin.
+_STEP, _FAR = 64, 32
+#: Slopes are summed in multiples of this.
+_UNIT = 2.0**-40
 _FEATURES = "doc_id long, quality int, role int, text_at binary, text_value binary, meta_at binary"
 _SCORES = "doc_id long, p_text double, p_meta double, score double, kept boolean"
 
@@ -86,12 +99,14 @@ class Sparse:
 
 def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
     """Both views of a batch of documents, and their numbers of words."""
-    kept_by("quality_classifier")
     texts, n = batch.column("text"), batch.num_rows
     words = words_of(texts)
-    raw = [w.encode() for w in words.strings()]
-    each = np.array([zlib.crc32(w) for w in raw], np.uint64)
-    kinds = np.array([zlib.crc32(shape(w)) % SHAPES for w in raw], np.int64)
+    raw = words.strings()
+    known = kept_by("quality_classifier").setdefault("words", Recent(KEPT_WORDS))
+    new = known.missing(raw)
+    known.newer.update(zip(new, map(_facts, new), strict=True))
+    facts = np.frombuffer(b"".join(known.values(raw)), _FACTS)
+    each, kinds = facts["hash"].astype(np.uint64), facts["kind"].astype(np.int64)
     codes, text, counts = words.codes, owners(words.starts), np.diff(words.starts)
     hashed = mixed(each[codes]) if len(raw) else np.zeros(0, np.uint64)
     paired = text[1:] == text[:-1]
@@ -104,15 +119,14 @@ def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
         np.full(int(again.sum()), TEXT_WIDTH - 1),
     ])
     row = np.concatenate([text, text[1:][paired], text, text[1:][again]])
-    key, number = np.unique(row * TEXT_WIDTH + at, return_counts=True)
+    key = np.sort(row * TEXT_WIDTH + at)
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    number, key = np.diff(np.append(heads, len(key))), key[heads]
     row, value = key // TEXT_WIDTH, np.log1p(number)
     norm = np.sqrt(np.bincount(row, value * value, n))
     content = Sparse(row, key % TEXT_WIDTH, value / np.maximum(norm, 1e-9)[row], n)
 
-    upper = np.array([sum(map(w.count, _UPPER)) if not w.islower() else 0 for w in raw], np.int64)
-    marks = np.array([len(w) - len(w.translate(None, _MARKS)) for w in raw], np.int64)
-    digits = np.array([len(w) - len(w.translate(None, b"0123456789")) for w in raw], np.int64)
-    sizes = np.array([len(w) for w in raw], np.int64)
+    upper, marks, digits, sizes = (facts[name].astype(np.int64) for name in ("upper", "marks", "digits", "size"))
     total = [sums(x[codes] if len(raw) else x, words.starts) for x in (upper, marks, digits, sizes)]
     distinct = np.bincount(np.unique(text * (len(raw) + 1) + codes) // (len(raw) + 1), minlength=n) if len(raw) else counts
     lines = pc.count_substring(texts, "\n").to_numpy(zero_copy_only=False) + 1
@@ -137,8 +151,18 @@ def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
     return content, page, counts
 
 
-_UPPER = [bytes([c]) for c in range(65, 91)]
+_CAPITALS, _DIGITS = bytes(range(65, 91)), b"0123456789"
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: What is kept of a word: hash, hashed shape, capitals, marks, digits, bytes.
+_FACTS = np.dtype([("hash", "<u4"), ("kind", "<u4"), ("upper", "<u4"), ("marks", "<u4"), ("digits", "<u4"), ("size", "<u4")])
+_PACKED = struct.Struct("<6I")
+
+
+def _facts(word: str) -> bytes:
+    raw = word.encode()
+    size = len(raw)
+    without = [size - len(raw.translate(None, some)) for some in (_CAPITALS, _MARKS, _DIGITS)]
+    return _PACKED.pack(zlib.crc32(raw), zlib.crc32(shape(raw)) % SHAPES, *without, size)
 
 
 def _category(column: pa.Array, size: int) -> np.ndarray:
@@ -149,7 +173,7 @@ def _category(column: pa.Array, size: int) -> np.ndarray:
 
 
 def _extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=1 << 20):
+    for batch in slices(batches, limit=_SLICE):
         content, page, _ = features(batch)
         bounds = np.searchsorted(content.row, np.arange(batch.num_rows + 1))
         own = [slice(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
@@ -216,64 +240,130 @@ class Model:
         return [a * x.margins(*view) + b for x, view, (a, b) in both]
 
 
-def co_train(views: list[Sparse], quality: np.ndarray, held: np.ndarray, rounds: int, growth: int) -> Model | None:
-    """Fit on the labelled rows (quality 0 or 1, else -1), calibrate on the held-out ones."""
-    known = np.flatnonzero((quality >= 0) & ~held)
-    tested = np.flatnonzero((quality >= 0) & held)
-    if len(set(quality[known])) < 2 or len(set(quality[tested])) < 2:
-        return None
+def _margins(batches: Iterable[pa.RecordBatch], views: list) -> Iterator[pa.RecordBatch]:
+    """Both margins of each document with a word, in steps of the histogram."""
+    for batch in slices(batches, limit=_SLICE):
+        content, page, counts = features(batch)
+        found = [np.rint(np.clip(x.margins(*view), -_FAR, _FAR) * _STEP) for x, view in zip((content, page), views, strict=True)]
+        kept = pa.array(counts > 0)
+        columns = [batch.column("doc_id"), *[pa.array(m.astype(np.int32)) for m in found]]
+        yield pa.RecordBatch.from_arrays([c.filter(kept) for c in columns], ["doc_id", "m0", "m1"])
+
+
+def _bounds(margins: DataFrame, taken: float, good: float) -> list[tuple[int, int, int, int]]:
+    """Of each view: the highest bad margin, the lowest good one, and how many documents have such margins."""
+    bins = margins.select(F.explode(F.array(*[F.struct(F.lit(k).alias("view"), F.col(f"m{k}").alias("m")) for k in (0, 1)])).alias("b"))
+    number = {(r.view, r.m): r["count"] for r in bins.groupBy("b.view", "b.m").count().collect()}  # a row per step of margin
+    found = []
+    for view in (0, 1):
+        own = sorted((m, n) for (v, m), n in number.items() if v == view)
+        every, ends = sum(n for _, n in own), []
+        for side, share in ((own, 1 - good), (own[::-1], good)):
+            bound, count, sign = None, 0, -1 if side is own else 1
+            for m, n in side:
+                if m * sign <= 0 or count >= taken * share * every:
+                    break
+                bound, count = m, count + n
+            ends.append((sign * (_FAR * _STEP + 1) if bound is None else bound, count))
+        found.append((ends[0][0], ends[1][0], ends[0][1], ends[1][1]))
+    return found
+
+
+_PSEUDO = "doc_id long, quality int, role int, text_at binary, text_value binary, meta_at binary"
+
+
+def _slopes(batches: Iterable[pa.RecordBatch], views: list, shares: list[tuple[float, float]]) -> Iterator[pa.RecordBatch]:
+    """Slopes of a partition's pseudo-labelled rows by weight, in whole units. ``quality`` labels view 0, ``role`` view 1."""
+    sums_ = [np.zeros(TEXT_WIDTH + 1), np.zeros(META_WIDTH + 1)]
+    for batch in batches:
+        stacked = (
+            _stack(batch.column("text_at").to_pylist(), batch.column("text_value").to_pylist()),
+            _stack(batch.column("meta_at").to_pylist(), None),
+        )
+        for k, (x, name) in enumerate(zip(stacked, ("quality", "role"), strict=True)):
+            y = batch.column(name).to_numpy()
+            share = np.where(y == 1, shares[k][1], np.where(y == 0, shares[k][0], 0.0))
+            error = (_sigmoid(x.margins(*views[k])) - y) * share
+            sums_[k][:-1] += np.bincount(x.at, np.rint(x.value * error[x.row] / _UNIT), len(sums_[k]) - 1)
+            sums_[k][-1] += np.rint(error / _UNIT).sum()
+    for k, total in enumerate(sums_):
+        at = np.flatnonzero(total)
+        columns = [pa.array(np.full(len(at), k, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["view", "at", "units"])
+
+
+def _local_slope(x: Sparse, y: np.ndarray, view: tuple, share: np.ndarray, width: int) -> np.ndarray:
+    error = (_sigmoid(x.margins(*view)) - y) * share
+    return np.append(np.bincount(x.at, x.value * error[x.row], width), error.sum())
+
+
+def refit(views: list, known: list[Sparse], y: np.ndarray, pseudo: DataFrame, counts: list[tuple[int, int]], steps: int, ridge: float = 1e-4) -> list:
+    """Both views fitted on from where they are, on labelled rows (here) and pseudo-labelled ones (on Spark); classes weigh the same."""
     widths = (TEXT_WIDTH, META_WIDTH)
-    share = float(quality[known].mean())
-    labels = [{int(i): int(quality[i]) for i in known} for _ in views]
-    pool = np.flatnonzero(quality < 0)
-    fitted = []
-    for turn in range(rounds + 1):
-        fitted = []
-        for x, own, width in zip(views, labels, widths, strict=True):
-            rows = np.array(sorted(own), np.int64)
-            fitted.append(fit(x.take(rows), np.array([own[i] for i in rows.tolist()]), width))
-        if turn == rounds or not len(pool):
-            break
-        taken = set()
-        for k, x in enumerate(views):
-            margins = x.margins(*fitted[k])[pool]
-            order = np.argsort(margins, kind="stable")
-            bad, good = order[: round(growth * (1 - share))], order[::-1][: round(growth * share)]
-            for places, label in ((bad, 0), (good, 1)):
-                for i in pool[places[(margins[places] > 0) == bool(label)]].tolist():
-                    labels[1 - k][i] = label
-                    taken.add(i)
-        pool = np.array([i for i in pool.tolist() if i not in taken], np.int64)
-    odds = [calibrate(x.margins(*f)[tested], quality[tested]) for x, f in zip(views, fitted, strict=True)]
-    prior = float(quality[tested].mean())
-    return Model(fitted, odds, float(np.log(prior / (1 - prior))))
-
-
-def train(
-    docs: DataFrame, labels: DataFrame, labelled: int = 3000, pool: int = 3000, rounds: int = 4, growth: int = 200
-) -> Model | None:
-    """The model, fitted on at most ``labelled`` labelled and ``pool`` other documents."""
+    shares = [(0.5 / max(1, bad + int((y == 0).sum())), 0.5 / max(1, good + int((y == 1).sum()))) for bad, good in counts]
+    state = [[np.zeros(w + 1), np.zeros(w + 1)] for w in widths]
+    for step in range(1, steps + 1):
+        sent = list(views)
+        slopes = pseudo.mapInArrow(lambda batches, sent=sent: _slopes(batches, sent, shares), "view int, at int, units long")
+        summed = slopes.groupBy("view", "at").agg(F.sum("units").alias("units")).toArrow()  # a row per weight
+        view, at, units = (summed.column(name).to_numpy() for name in ("view", "at", "units"))
+        for k, width in enumerate(widths):
+            weight, bias = views[k]
+            share = np.where(y == 1, shares[k][1], shares[k][0])
+            slope = _local_slope(known[k], y, views[k], share, width)
+            slope[at[view == k]] += units[view == k] * _UNIT
+            slope[:-1] += ridge * weight
+            m, v = state[k]
+            m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope * slope
+            state[k] = [m, v]
+            move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+            views[k] = (weight - move[:-1], bias - move[-1])
+    return views
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled: int = 3000, rounds: int = 2, growth: float = 0.01, steps: int = 15) -> Model | None:
+    """The model: fitted on at most ``labelled`` labelled documents, then on what both views label among all others."""
     mark = F.xxhash64("doc_id", F.lit(2))
-    known = pick(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
-    known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    chosen = settle(known.orderBy(mark, "doc_id").limit(labelled))
-    ids = pick(docs, "doc_id").where("doc_id is not null").join(known.select("doc_id"), "doc_id", "left_anti")
-    others = settle(ids.distinct().orderBy(mark, "doc_id").limit(pool))
-    sample = chosen.select("doc_id", "quality", F.pmod(mark, F.lit(4)).cast("int").alias("role")).union(
-        others.select("doc_id", F.lit(-1), F.lit(-1))
-    )
-    # at most labelled + pool rows of three numbers
-    found = settle(pick(docs, *DOCUMENT).join(F.broadcast(sample), "doc_id").mapInArrow(_extract, _FEATURES))
-    rows = {r.doc_id: r for r in found.toLocalIterator()}
+    every = pick(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
+    every = settle(every.groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")))
+    chosen = every.orderBy(mark, "doc_id").limit(labelled)
+    sample = chosen.select("doc_id", "quality", F.pmod(mark, F.lit(4)).cast("int").alias("role"))
+    texts = pick(docs, *DOCUMENT)
+    # at most ``labelled`` rows of three numbers
+    found = settle(texts.join(F.broadcast(settle(sample)), "doc_id").mapInArrow(_extract, _FEATURES))
+    rows: dict = {}
+    for r in found.toLocalIterator():
+        if r.doc_id not in rows or bytes(r.text_at) < bytes(rows[r.doc_id].text_at):
+            rows[r.doc_id] = r
     order = sorted(rows)
-    quality = np.array([rows[i].quality for i in order])
+    quality = np.array([rows[i].quality for i in order], np.int64)
     held = np.array([rows[i].role == 0 for i in order], bool)
-    views = [
+    seen = [
         _stack([bytes(rows[i].text_at) for i in order], [bytes(rows[i].text_value) for i in order]),
         _stack([bytes(rows[i].meta_at) for i in order], None),
     ]
     del rows
-    return co_train(views, quality, held, rounds, growth)
+    known, tested = np.flatnonzero(~held), np.flatnonzero(held)
+    if len(set(quality[known])) < 2 or len(set(quality[tested])) < 2:
+        return None
+    own, y, widths = [x.take(known) for x in seen], quality[known], (TEXT_WIDTH, META_WIDTH)
+    views, good = [fit(x, y, width) for x, width in zip(own, widths, strict=True)], float(y.mean())
+    for turn in range(1, rounds + 1):
+        sent = list(views)
+        judged = texts.where("doc_id is not null").mapInArrow(lambda batches, sent=sent: _margins(batches, sent), "doc_id long, m0 int, m1 int")
+        least = settle(judged).groupBy("doc_id").agg(F.min("m0").alias("m0"), F.min("m1").alias("m1"))
+        margins = settle(least.join(every, "doc_id", "left_anti"))
+        (bad0, good0, n_bad0, n_good0), (bad1, good1, n_bad1, n_good1) = _bounds(margins, growth * turn, good)
+        if not n_bad0 + n_good0 + n_bad1 + n_good1:
+            break
+        label = lambda m, low, high: F.when(F.col(m) >= high, 1).when(F.col(m) <= low, 0).otherwise(-1)
+        sure = margins.select("doc_id", label("m1", bad1, good1).alias("quality"), label("m0", bad0, good0).alias("role"))
+        sure = settle(sure.where("quality >= 0 OR role >= 0"))
+        pseudo = settle(texts.join(hinted(sure), "doc_id").mapInArrow(_extract, _PSEUDO))
+        views = refit(views, own, y, pseudo, [(n_bad1, n_good1), (n_bad0, n_good0)], steps)
+    odds = [calibrate(x.margins(*f)[tested], quality[tested]) for x, f in zip(seen, views, strict=True)]
+    prior = float(quality[tested].mean())
+    return Model(views, odds, float(np.log(prior / (1 - prior))))
 
 
 def _judged(batch: pa.RecordBatch, model: Model | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -287,7 +377,7 @@ def _judged(batch: pa.RecordBatch, model: Model | None) -> tuple[np.ndarray, np.
 
 
 def _score(batches: Iterable[pa.RecordBatch], model: Model | None, least: float) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, limit=1 << 20):
+    for batch in slices(batches, limit=_SLICE):
         p = _judged(batch, model)
         columns = [batch.column("doc_id"), *map(pa.array, p), pa.array(p[2] >= least)]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SCORES.split(", ")])
@@ -295,17 +385,17 @@ def _score(batches: Iterable[pa.RecordBatch], model: Model | None, least: float)
 
 def _accept(batches: Iterable[pa.RecordBatch], model: Model | None, least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        kept = [_judged(part, model)[2] >= least for part in slices([batch], limit=1 << 20)]
+        kept = [_judged(part, model)[2] >= least for part in slices([batch], limit=_SLICE)]
         yield batch.filter(pa.array(np.concatenate(kept) if kept else np.zeros(0, bool)))
 
 
-def score(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds: int) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds) -> DataFrame:
     """``doc_id, p_text, p_meta, score, kept`` of every document."""
     model = train(docs, labels, **bounds)
     return pick(docs, *DOCUMENT).mapInArrow(lambda batches: _score(batches, model, least), _SCORES)
 
 
-def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds: int) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, **bounds) -> DataFrame:
     """The documents of good quality, in the columns of documents."""
     model, texts = train(docs, labels, **bounds), pick(docs, *DOCUMENT)
     return texts.mapInArrow(lambda batches: _accept(batches, model, least), texts.schema)

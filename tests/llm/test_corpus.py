@@ -33,14 +33,65 @@ def test_classifier_on_held_out_documents(spark):
     rows, labels = judged(900)
     docs = spark.createDataFrame(rows, brute.SCHEMA)
     known = spark.createDataFrame(labels[:300], "doc_id long, quality int")
-    got = {r.doc_id: r for r in quality_classifier.score(docs, known, labelled=300, pool=300).collect()}
+    got = {r.doc_id: r for r in quality_classifier.score(docs, known, labelled=300, growth=0.2).collect()}
     right = sum(got[i].kept == bool(q) for i, q in labels[300:])
     assert len(got) == 900 and right >= 0.98 * 600
     assert all(0 <= r.score <= 1 and r.kept == (r.score >= 0.5) for r in got.values())
-    kept = quality_classifier.accepted(docs, known, labelled=300, pool=300).collect()
+    kept = quality_classifier.accepted(docs, known, labelled=300, growth=0.2).collect()
     assert {r.doc_id for r in kept} == {i for i, r in got.items() if r.kept}
 
 
+def test_all_other_documents_are_labelled_for_the_other_view(spark, monkeypatch):
+    """Quantiles are those of all margins, whatever their number, and slopes are those of one plain sum."""
+    rows, labels = judged(600)
+    docs = spark.createDataFrame(rows, brute.SCHEMA)
+    known = spark.createDataFrame(labels[:100], "doc_id long, quality int")
+    bounds, slopes = [], []
+    real_bounds, real_refit = quality_classifier._bounds, quality_classifier.refit
+
+    def seen_bounds(margins, taken, good):
+        found = real_bounds(margins, taken, good)
+        bounds.append((margins.toPandas(), taken, good, found))
+        return found
+
+    def seen_refit(views, own, y, pseudo, counts, steps):
+        slopes.append((list(views), pseudo.toArrow().to_batches(), counts))
+        return real_refit(views, own, y, pseudo, counts, steps)
+
+    monkeypatch.setattr(quality_classifier, "_bounds", seen_bounds)
+    monkeypatch.setattr(quality_classifier, "refit", seen_refit)
+    quality_classifier.train(docs, known, rounds=2, growth=0.1, steps=2)
+    assert [len(b[0]) for b in bounds] == [500, 500] and [b[1] for b in bounds] == [0.1, 0.2]
+    for table, taken, good, found in bounds:
+        for view, (low, high, n_bad, n_good) in enumerate(found):
+            m = table[f"m{view}"]
+            assert (int((m <= low).sum()), int((m >= high).sum())) == (n_bad, n_good)
+            assert n_good >= min(taken * good * 500, (m > 0).sum()) and n_bad >= min(taken * (1 - good) * 500, (m < 0).sum())
+            assert low < 0 < high
+    views, batches, counts = slopes[0]
+    shares = [(0.5 / (1 + b), 0.5 / (1 + g)) for b, g in counts]
+    whole = list(quality_classifier._slopes(batches, views, shares))
+    parts = [list(quality_classifier._slopes([batch.slice(k, 1)], views, shares)) for batch in batches for k in range(batch.num_rows)]
+    total = Counter()
+    for part in parts:
+        for b in part:
+            for r in b.to_pylist():
+                total[r["view"], r["at"]] += r["units"]
+    assert {(r["view"], r["at"]): r["units"] for b in whole for r in b.to_pylist()} == {k: v for k, v in total.items() if v}
+    assert sum(len(b) for b in batches) == len({i for b in batches for i in b.column("doc_id").to_pylist()}) > 80
+
+
+def test_repeated_ids_and_labels_have_one_result(spark):
+    rows, labels = judged(200)
+    again = [(i, rows[(i + 1) % 200][1], *rows[i][2:]) for i in range(0, 200, 5)]
+    known = spark.createDataFrame(labels[:120] + [(i, 0) for i in range(0, 120, 7)], "doc_id long, quality int")
+    got = [
+        sorted(map(str, quality_classifier.score(spark.createDataFrame(t, brute.SCHEMA).repartition(n), known, growth=0.1).collect()))
+        for t, n in ((rows + again, 2), (again[::-1] + rows[::-1], 5))
+    ]
+    assert got[0] == got[1] and len(got[0]) == 240
+
+
 def test_classifier_of_odd_tables(spark, rows, docs, clashing, none):
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (41, None)], "doc_id long, quality int")
     one = sorted(map(str, quality_classifier.score(docs, labels).collect()))
