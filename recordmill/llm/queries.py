@@ -110,6 +110,28 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+_BARE = r"""regexp_extract_all(translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[a-z0-9\x{{80}}-\x{{10FFFF}}]+')"""
+ORACLES["op3_decontaminate"] = f"""
+WITH i AS (SELECT row_number() OVER () AS n, item_id, w, least(len(w), 5) AS z
+  FROM (SELECT DISTINCT item_id, text, {_BARE.format(t="text")} AS w FROM benchmark) WHERE len(w) > 0
+), s AS (
+  SELECT DISTINCT n, item_id, z, array_to_string(w[k:k + z - 1], ' ') AS x FROM (SELECT *, unnest(range(1, len(w) - z + 2)) AS k FROM i)
+), d AS (
+  SELECT doc_id, {_BARE.format(t="text")} AS w FROM documents
+), t AS (
+  SELECT DISTINCT doc_id, z, array_to_string(w[k:k + z - 1], ' ') AS x
+  FROM (SELECT doc_id, w, z, unnest(range(1, len(w) - z + 2)) AS k FROM d, (SELECT DISTINCT z FROM i))
+), c AS (
+  SELECT n, any_value(item_id) AS item_id, count(*) AS n_item_shingles FROM s GROUP BY n
+), h AS (
+  SELECT t.doc_id, s.n, count(*) AS n_shared FROM t JOIN s USING (z, x) GROUP BY ALL
+)
+SELECT doc_id, item_id, n_item_shingles, n_shared, n_shared / n_item_shingles AS containment
+FROM h JOIN c USING (n) WHERE 100 * n_shared >= 80 * n_item_shingles
+"""
+
+
 @query
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -90,22 +90,30 @@ def substring(rows: list[tuple], window: int = 13) -> dict:
     return found
 
 
-def shingles5(text) -> set:
-    words = re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", lower(text))
-    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+def bare_words(text) -> list:
+    return re.findall(r"(?:[a-z0-9]|[^\x00-\x7f])+", lower(text))
+
+
+def shingles(text, size: int = 5) -> set:
+    words = bare_words(text)
+    return {tuple(words[k : k + size]) for k in range(len(words) - size + 1)}
 
 
 def contained(rows: list[tuple], items: list[tuple], percent: int = 80) -> set:
-    holders = defaultdict(list)
-    sets = {i: shingles5(t) for i, t in items}
-    for i, s in sets.items():
-        for x in s:
-            holders[x].append(i)
+    """Items below five words are one shingle, of their own size."""
+    holders, sets = defaultdict(list), []
+    for n, (i, t) in enumerate(items):
+        size = min(5, len(bare_words(t)))
+        sets.append((i, size, shingles(t, size) if size else set()))
+        for x in sets[-1][2]:
+            holders[x].append(n)
+    sizes = {size for _, size, s in sets if s}
     found = set()
     for doc_id, text, *_ in rows:
-        for i, n in Counter(i for x in shingles5(text) for i in holders[x]).items():
-            if 100 * n >= percent * len(sets[i]):
-                found.add((doc_id, i, len(sets[i]), n))
+        own = [x for size in sizes for x in shingles(text, size)]
+        for n, shared in Counter(n for x in own for n in holders[x]).items():
+            if 100 * shared >= percent * len(sets[n][2]):
+                found.add((doc_id, sets[n][0], len(sets[n][2]), shared))
     return found
 
 

@@ -123,7 +123,7 @@ def items_of(rows):
     rng = random.Random(9)
     long = next(r for r in rows if r[1] and len(r[1]) > 100_000)
     words = long[1].split(" ")
-    items = [(0, " ".join(words[20_000:20_014])), (1, " ".join(words[5:95])), (2, "four words are short"), (3, None), (4, "")]
+    items = [(0, " ".join(words[20_000:20_014])), (1, " ".join(words[5:95])), (2, " ".join(words[50:53])), (3, None), (4, "")]
     items += [(5, ", ".join(words[777:800]).upper() + "!"), (6, brute.prose(rng, 40, 10**6))]
     items += [(7, " ".join([*words[100:120], *words[9000:9020]])), (8, brute.edited(rng, " ".join(words[3000:3060]), 2))]
     return [*items, (9, items[0][1]), (10, " ".join(words[:400]))]
@@ -143,6 +143,46 @@ def test_items_in_documents(spark, rows, docs, clashing, block):
     assert sorted(map(str, (tuple(r) for r in clean))) == sorted(str(r) for r in rows if r[0] not in held)
 
 
+def test_items_of_one_to_twelve_words(spark):
+    rng = random.Random(12)
+    texts = [brute.prose(rng, 120, 60) for _ in range(150)] + [None, "", "w1", "w1 w2"]
+    rows = [(i % 140, t, "en", "s", 1) for i, t in enumerate(texts)]  # ids that repeat with another text
+    words = [t.split(" ") for t in texts if t]
+    items = []
+    for n in range(1, 13):
+        for k in range(12):
+            own = rng.choice(words[:150])
+            at = rng.randrange(len(own) - n)
+            part = own[at : at + n]
+            if k % 3 == 2:
+                part[rng.randrange(n)] = "x"
+            items.append((len(items), " ".join(part)))
+    items += [(999, "..."), (1000, "w1 w1 w1 w1 w1 w1 w1 w1")]
+    docs, table = spark.createDataFrame(rows, brute.SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    expected = brute.contained(rows, items)
+    assert {len(items[i][1].split(" ")) for _, i, *_ in expected} >= set(range(1, 13))
+    assert {tuple(r)[:4] for r in decontaminate.contaminated(docs, table).collect()} == expected
+    # a document goes by its own text, also where another row has its id
+    some = [(i, t) for i, t in items if len(t.split(" ")) > 6]
+    clean = [r for r in rows if not brute.contained([r], some)]
+    got = decontaminate.decontaminate(docs, spark.createDataFrame(some, "item_id long, text string")).collect()
+    assert 20 < len(clean) < 150 and sorted(map(str, map(tuple, got))) == sorted(map(str, clean))
+
+
+def test_many_items_go_in_blocks(spark):
+    rng = random.Random(13)
+    texts = [brute.prose(rng, 300, 10**6) for _ in range(40)]
+    items = [(k, brute.prose(rng, rng.randrange(1, 30), 10**6)) for k in range(25_000)]
+    for k in range(0, 25_000, 500):
+        own = texts[k // 500 % 40].split(" ")
+        items[k] = (k, " ".join(own[k // 500 : k // 500 + 20]))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    docs, table = spark.createDataFrame(rows, brute.SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(decontaminate.item_blocks(table, 10_000))
+    assert len(blocks) == 3 and sum(len(b.ids) for b in blocks) == 25_000 and max(len(b.ids) for b in blocks) < 9000
+    assert {tuple(r)[:4] for r in decontaminate.contaminated(docs, table).collect()} == brute.contained(rows, items)
+
+
 def test_no_items_and_no_documents(spark, rows, docs, none):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(docs, empty).collect() == []
