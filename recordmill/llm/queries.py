@@ -54,6 +54,21 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("kept_text", "factors")
 
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+ORACLES["op5_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+n AS (SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d)),
+f AS (SELECT x, min(doc_id) AS first FROM n GROUP BY x),
+gone AS (SELECT DISTINCT doc_id, k + o AS p FROM n JOIN f USING (x), range(13) t(o) WHERE first < doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words
+  FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
+
 @query
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = table(spark, folder, "labels").where("quality = 1")
@@ -70,6 +85,24 @@ def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
 
 
+_FOLDED = _WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+ORACLES["op9_near_duplicates"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_FOLDED} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[k:k + 3], ' ') AS x
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (x) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), near AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN near l ON l.a = r.b),
+least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN n USING (doc_id)
+"""
+
+
 @query
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), word_vocabulary())

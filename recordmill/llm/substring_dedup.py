@@ -22,8 +22,8 @@ asking all of them; no document meets a block that can't match.
 Windows are judged on the input, not on what is left of it.
 
 Null texts have no words. Rows with a null id are no reference and lose nothing.
-Rows that repeat an id should repeat its text; if they don't, the spans of either
-hold for both, cut at their ends. Texts of fewer words than a window stay whole.
+Rows that repeat an id are judged by their own text, told apart by its 64-bit hash, and
+are no reference for each other. Texts of fewer words than a window stay whole.
 """
 
 from __future__ import annotations
@@ -42,9 +42,9 @@ from recordmill.llm.shared import gather, hashed_words, hinted, mixed, pick, ran
 #: Words of a seed.
 SEED = 6
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ENTRIES = "seed long, entry long, doc_id long, start int, n int"
+_ENTRIES = "seed long, entry long, doc_id long, text_hash long, start int, n int"
 _MATCHES = "array<struct<start:int,n:int,ref:long,ref_start:int>>"
-_WINDOWS = "w1 long, w2 long, doc_id long, start int"
+_WINDOWS = "w1 long, w2 long, doc_id long, text_hash long, start int"
 _FACTORS = "array<struct<start:int,n:int,ref:long,ref_start:int>>"
 
 
@@ -86,17 +86,18 @@ def _entries(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             pa.array(seed.view(np.int64)),
             pa.array(entry.view(np.int64)),
             batch.column(0).take(pa.array(text)),
+            batch.column(2).take(pa.array(text)),
             pa.array(begin.astype(np.int32)),
             pa.array(n.astype(np.int32)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["seed", "entry", "doc_id", "start", "n"])
+        yield pa.RecordBatch.from_arrays(columns, ["seed", "entry", "doc_id", "text_hash", "start", "n"])
 
 
 def _windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Every window of the open entries by itself."""
     for batch in slices(batches, limit=2 << 20):
         words, starts = hashed_words(batch.column(1))
-        lists = batch.column(2)
+        lists = batch.column(3)
         counts = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten()
         begin, n = (flat.field(name).to_numpy().astype(np.int64) for name in ("start", "n"))
@@ -112,9 +113,10 @@ def _windows(batches: Iterable[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             pa.array(one.view(np.int64)),
             pa.array(two.view(np.int64)),
             batch.column(0).take(pa.array(text)),
+            batch.column(2).take(pa.array(text)),
             pa.array((every - starts[text]).astype(np.int32)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["w1", "w2", "doc_id", "start"])
+        yield pa.RecordBatch.from_arrays(columns, ["w1", "w2", "doc_id", "text_hash", "start"])
 
 
 def _firsts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -131,21 +133,22 @@ def _firsts(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def matches(docs: DataFrame, window: int) -> DataFrame:
-    """``doc_id, start, n, ref, ref_start``: windows ``start`` to ``start + n - 1`` are in document ``ref`` from window
+    """``doc_id, text_hash, start, n, ref, ref_start``: windows ``start`` to ``start + n - 1`` are in document ``ref`` from window
     ``ref_start`` on. Every window of which a smaller id holds a copy is in one of them."""
     entries = docs.where("doc_id is not null").mapInArrow(lambda batches: _entries(batches, window), _ENTRIES)
     shared = _firsts(entries, "seed")
     found = entries.join(hinted(shared).hint("shuffle_hash"), "seed").where("open or ref < doc_id")
     found = settle(found)
-    columns = ["doc_id", "start", "n", "ref", "ref_start"]
+    columns = ["doc_id", "text_hash", "start", "n", "ref", "ref_start"]
     # of equal entries the first one is looked up, window by window; the others are copies of it
-    unsure = found.where("open").select("seed", "entry", "doc_id", "start", "n")
+    unsure = found.where("open").select("seed", "entry", "doc_id", "text_hash", "start", "n")
     once = unsure.groupBy("seed", "entry").agg(
         F.min("doc_id").alias("ref"), F.expr("min_by(start, doc_id)").alias("ref_start")
     )
     opened = settle(unsure.join(settle(once), ["seed", "entry"]).select(*columns))
-    leading = opened.where("ref = doc_id").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("open"))
-    texts = docs.join(leading, "doc_id").select("doc_id", "text", "open")
+    own = opened.where("ref = doc_id").groupBy("doc_id", "text_hash")
+    leading = own.agg(F.collect_list(F.struct("start", "n")).alias("open"))
+    texts = docs.join(leading, ["doc_id", "text_hash"]).select("doc_id", "text", "text_hash", "open")
     windows = settle(texts.mapInArrow(lambda batches: _windows(batches, window), _WINDOWS))
     known = _firsts(windows, "w1", "w2").drop("open")
     alone = windows.join(hinted(known).hint("shuffle_hash"), ["w1", "w2"]).where("ref < doc_id")
@@ -228,12 +231,12 @@ def substring_dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     """
     if window < SEED:
         raise ValueError(f"a window has at least {SEED} words")
-    texts = pick(docs, "doc_id", "text")
+    texts = pick(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     found = matches(texts, window)
-    spans = found.groupBy("doc_id").agg(
+    spans = found.groupBy("doc_id", "text_hash").agg(
         F.collect_list(F.struct("start", "n", "ref", "ref_start")).cast(_MATCHES).alias("matches")
     )
     empty = F.array().cast(_MATCHES)
-    both = texts.join(spans, "doc_id", "left").select("doc_id", "text", F.coalesce("matches", empty).alias("matches"))
+    both = texts.join(spans, ["doc_id", "text_hash"], "left").select("doc_id", "text", F.coalesce("matches", empty).alias("matches"))
     schema = f"doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string, factors {_FACTORS}"
     return both.mapInArrow(lambda batches: _parsed(batches, window), schema)

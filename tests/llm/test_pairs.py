@@ -119,6 +119,18 @@ def test_substrings_of_few_words(spark, texts):
     assert got == brute.substring(rows)
 
 
+def test_rows_that_repeat_an_id_keep_their_own_words(spark):
+    rng = random.Random(21)
+    first, other = brute.prose(rng, 60, 10**6), brute.prose(rng, 70, 10**6)
+    tail = brute.prose(rng, 9, 10**6)
+    rows = [(1, first), (5, f"{first} {tail}"), (5, other), (7, other), (7, f"{tail} {first}"), (5, other), (None, first), (7, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.substring_dedup(table).collect())
+    assert got == sorted([
+        (1, 60, 0, first), (5, 69, 60, tail), (5, 70, 0, other), (5, 70, 0, other), (7, 70, 70, ""), (7, 69, 60, tail), (-1, 60, 0, first), (7, 0, 0, ""),
+    ])
+
+
 def items_of(rows):
     rng = random.Random(9)
     long = next(r for r in rows if r[1] and len(r[1]) > 100_000)
