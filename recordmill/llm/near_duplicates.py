@@ -22,7 +22,8 @@ classes, not between all copies, go to the connected components.
 
 A document without words has the empty set and is linked with nothing. Null text
 counts as no words. A row with a null id is judged alone (component null, kept).
-Rows that repeat an id are judged each by their own words.
+Rows that repeat an id are judged each by their own words: the search goes by classes,
+and where one id stands for several of them all but one get a number behind the largest id.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ TOKENS = 64
 #: Bits of the sketch of a document that shares a node with another: the last bit of as many other minwise values.
 BITS = 1024
 _SKETCH = [f"s{i}" for i in range(BITS // 64)]
-_SETS = "doc_id long, n_shingles long, f1 long, f2 long, tokens binary"
+_SETS = "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, tokens binary"
 _SKETCHES = ", ".join(["doc_id long", *[f"{s} long" for s in _SKETCH]])
 #: Shingles are counted by their first bits, to tell rare ones from common ones.
 _BUCKET_BITS = 20
@@ -80,7 +81,7 @@ def _sets(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         for k, factor in enumerate(_factors(TOKENS, 1) if len(full) else ()):
             tokens[full, k] = np.minimum.reduceat(hashes * factor, starts[full]) >> np.uint64(32)
         raw = pa.array([row.tobytes() for row in tokens], pa.binary())
-        columns = [batch.column(0), pa.array(counts), *map(_signed, (f1, f2)), raw]
+        columns = [batch.column(0), batch.column(2), pa.array(counts), *map(_signed, (f1, f2)), raw]
         yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _SETS.split(", ")])
 
 
@@ -191,10 +192,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
 
 def classes(sets: DataFrame) -> DataFrame:
-    """``n_shingles, f1, f2, rep``: the smallest id of the documents with one set."""
-    return sets.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "f1", "f2").agg(
-        F.min("doc_id").alias("rep")
-    )
+    """``n_shingles, f1, f2, rep, text_hash``: the smallest id of the documents with one set, and a text of that id."""
+    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
+    found = sets.where("n_shingles > 0 and doc_id is not null").groupBy("n_shingles", "f1", "f2").agg(first)
+    return found.select("n_shingles", "f1", "f2", F.col("first.doc_id").alias("rep"), "first.text_hash")
+
+
+def named_apart(known: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Classes with a ``node`` each where an id stands for several; None where none does."""
+    several = settle(known.groupBy("rep").agg(F.count(F.lit(1)).alias("n"), F.min("text_hash").alias("least")).where("n > 1"))
+    if several.isEmpty():
+        return None
+    behind = sets.agg(F.max("doc_id")).first()[0] + 1
+    own = F.col("least").isNull() | (F.col("text_hash") == F.col("least"))
+    node = F.when(own, F.col("rep")).otherwise(F.monotonically_increasing_id() + F.lit(behind))
+    return settle(known.join(several.drop("n"), "rep", "left").withColumn("node", node).drop("least"))
 
 
 def near_duplicates(
@@ -204,19 +216,29 @@ def near_duplicates(
     trees: int = 16,
     first: int = 3,
     limit: int = 32,
-    deepest: int = 3,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document.
 
     ``size``: words of a shingle; ``percent``: least intersection of a link in
     hundredths of the union; ``trees`` independent trees branch on ``first``
     tokens before nodes are compared; nodes over ``limit`` classes are compared
-    by pivots first. ``deepest`` has no effect: large nodes don't branch on.
+    by pivots first.
     """
-    texts = pick(docs, "doc_id", "text")
+    texts = pick(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
     sets = settle(texts.mapInArrow(lambda batches: _sets(batches, size), _SETS))
     known = settle(classes(sets))
-    members = sets.join(hinted(known.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
+    apart = named_apart(known, sets)
+    if apart is None:
+        members = sets.join(hinted(known.select(F.col("rep").alias("doc_id"))), "doc_id", "left_semi")
+        texts = texts.drop("text_hash")
+    else:  # one row of each class, under the class's own number
+        known = apart
+        number = known.select(F.col("rep").alias("doc_id"), "text_hash", "node")
+        members, texts = (
+            rows.join(number, ["doc_id", "text_hash"]).drop("doc_id", "text_hash").withColumnRenamed("node", "doc_id")
+            for rows in (sets, texts)
+        )
+        texts = settle(texts.select("doc_id", "text"))
     members = settle(members.dropDuplicates(["doc_id"]).select("doc_id", "tokens"))
     alike = _alike(percent / 100)
     rows = settle(members.mapInArrow(lambda batches: _plant(batches, trees, first), "path long, doc_id long"))
@@ -239,9 +261,14 @@ def near_duplicates(
         if not more.isEmpty():
             links = links.union(confirmed(more, texts, size, percent))
             roots = settle(components(links))
+    if apart is not None:  # back from numbers to ids: the smallest of a component's classes
+        nodes_of = known.select("rep", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        least = nodes_of.groupBy("root").agg(F.min("rep").alias("least"))
+        roots = settle(nodes_of.join(least, "root").select("node", F.col("least").alias("root")))
+        known = known.drop("rep").withColumnRenamed("node", "rep")
     placed = (
         sets.select("doc_id", "n_shingles", "f1", "f2")
-        .join(known, ["n_shingles", "f1", "f2"], "left")
+        .join(known.drop("text_hash"), ["n_shingles", "f1", "f2"], "left")
         .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     )
     component = F.coalesce("root", "rep", "doc_id")

@@ -33,7 +33,7 @@ def test_large_nodes_lose_no_link(spark):
     rows = [(i, t, None, None, None) for i, t in enumerate(rng.sample(texts, len(texts)))]
     table = spark.createDataFrame(rows, brute.SCHEMA)
     expected = brute.near_groups(rows, 4, 80)
-    got = near_duplicates.near_duplicates(table, size=4, limit=8, deepest=2).collect()
+    got = near_duplicates.near_duplicates(table, size=4, limit=8).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
@@ -54,6 +54,26 @@ def test_pairs_in_a_template_family(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
 
 
+def test_near_duplicates_of_rows_that_repeat_an_id(spark):
+    """Every row by its own words: rows are numbered for the brute force, groups named by their smallest id."""
+    rng = random.Random(6)
+    bases = [brute.prose(rng, 90, 10**6) for _ in range(30)]
+    rows = []
+    for k, base in enumerate(bases):
+        rows += [(k, base), (200 + k, brute.edited(rng, base, 2)), (200 + (k + 1) % 30, base), (k, brute.edited(rng, bases[(k + 7) % 30], 1))]
+    rows += [(3, rows[12][1]), (50, "alone"), (50, "by itself"), (51, None), (51, ""), (52, None), (52, bases[0])]
+    groups = brute.near_groups([(n, t) for n, (_, t) in enumerate(rows)], 4, 80)
+    least = {}
+    for n, (size, c) in groups.items():
+        if size:
+            least[c] = min(least.get(c, 10**9), rows[n][0])
+    expected = sorted((rows[n][0], size, least[c] if size else rows[n][0]) for n, (size, c) in groups.items())
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates.near_duplicates(table, size=4, limit=8).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
 def test_near_duplicates_of_odd_tables(docs, clashing, none):
     plain = sorted(map(str, near_duplicates.near_duplicates(docs).collect()))
     assert sorted(map(str, near_duplicates.near_duplicates(clashing).collect())) == plain
