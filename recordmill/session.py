@@ -56,18 +56,24 @@ def settle(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _settled.append(path)
+    to_release(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def to_release(path: str) -> None:
+    """Have ``release`` delete a table or folder that was written on the way."""
+    _settled.append(path)
+
+
 def settled_tables() -> int:
     """How many settled tables there are, for ``release`` to delete only later ones."""
     return len(_settled)
 
 
-def release(spark: SparkSession, begun: int = 0) -> None:
-    """Delete the tables that ``settle`` has written; call it when the outputs made of them are written."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    while len(_settled) > begun:
-        path = hadoop(_settled.pop())
+def release(spark: SparkSession, begun: int = 0, newest: int = 0) -> None:
+    """Delete the tables settled since there were ``begun``, but for the ``newest``; call it when what was made of them is written."""
+    hadoop, kept = spark._jvm.org.apache.hadoop.fs.Path, len(_settled) - newest
+    gone, _settled[begun:] = _settled[begun:kept], _settled[max(begun, kept) :]
+    for name in gone:
+        path = hadoop(name)
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
