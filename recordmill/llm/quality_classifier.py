@@ -48,7 +48,7 @@ TEXT_WIDTH = GRAMS + SHAPES + 1
 SOURCES, LANGS, BINS, MEASURES = 256, 32, 16, 7
 META_WIDTH = SOURCES + LANGS + BINS * MEASURES
 #: Words of which a worker keeps what it needs, in each of two generations; bytes of text handled at once.
-KEPT_WORDS, _SLICE = 150_000, 2 << 20
+KEPT_WORDS, _SLICE = 250_000, 4 << 20
 #: Steps of a margin in the histogram, and its largest margin.
 _STEP, _FAR = 64, 32
 #: Slopes are summed in multiples of this.
@@ -70,14 +70,10 @@ def _shape_table() -> bytes:
     return bytes(kinds)
 
 
+#: ``Heesble,`` has the shape ``Aa,`` and ``the&&&`` has ``a&``.
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
-def shape(word: bytes) -> bytes:
-    """``Heesble,`` is ``Aa,`` and ``the&&&`` is ``a&``."""
-    return _RUN.sub(rb"\1", word.translate(_shape_table()))
-
-
 @dataclass
 class Sparse:
     """Rows of (column, value) pairs; ``row`` ascends."""
@@ -128,7 +124,8 @@ def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
 
     upper, marks, digits, sizes = (facts[name].astype(np.int64) for name in ("upper", "marks", "digits", "size"))
     total = [sums(x[codes] if len(raw) else x, words.starts) for x in (upper, marks, digits, sizes)]
-    distinct = np.bincount(np.unique(text * (len(raw) + 1) + codes) // (len(raw) + 1), minlength=n) if len(raw) else counts
+    held = np.sort(text * (len(raw) + 1) + codes)
+    distinct = np.bincount(held[np.append(True, held[1:] != held[:-1])] // (len(raw) + 1), minlength=n) if len(raw) else counts
     lines = pc.count_substring(texts, "\n").to_numpy(zero_copy_only=False) + 1
     chars = np.maximum(total[3], 1)
     several = np.maximum(counts, 1)
@@ -151,18 +148,23 @@ def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
     return content, page, counts
 
 
-_CAPITALS, _DIGITS = bytes(range(65, 91)), b"0123456789"
 _MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 #: What is kept of a word: hash, hashed shape, capitals, marks, digits, bytes.
 _FACTS = np.dtype([("hash", "<u4"), ("kind", "<u4"), ("upper", "<u4"), ("marks", "<u4"), ("digits", "<u4"), ("size", "<u4")])
 _PACKED = struct.Struct("<6I")
 
 
+@functools.lru_cache(maxsize=1 << 16)
+def _kind(shaped: bytes) -> int:
+    return zlib.crc32(_RUN.sub(rb"\1", shaped)) % SHAPES
+
+
 def _facts(word: str) -> bytes:
     raw = word.encode()
-    size = len(raw)
-    without = [size - len(raw.translate(None, some)) for some in (_CAPITALS, _MARKS, _DIGITS)]
-    return _PACKED.pack(zlib.crc32(raw), zlib.crc32(shape(raw)) % SHAPES, *without, size)
+    size, shaped = len(raw), raw.translate(_shape_table())
+    upper, digits = shaped.count(b"A"), shaped.count(b"9")
+    marks = 0 if shaped.count(b"a") + upper + digits == size else size - len(raw.translate(None, _MARKS))
+    return _PACKED.pack(zlib.crc32(raw), _kind(shaped), upper, marks, digits, size)
 
 
 def _category(column: pa.Array, size: int) -> np.ndarray:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -13,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordmill.session import shared_folder, to_release
+
 #: Columns of the documents table.
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 #: Set while a table is settled: shuffle files go with the query, Python gets small batches of long texts.
@@ -35,19 +36,11 @@ def pick(df: DataFrame, *names: str, **renamed: str) -> DataFrame:
     return plain.select(*[F.col(f"c{have.index(old)}").alias(new) for new, old in wanted.items()])
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a local session without it gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.conf.get("spark.master", "local").startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = f"file://{tempfile.mkdtemp(prefix='recordmill-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    """A folder name of its own, which ``recordmill.session.release`` deletes."""
+    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
+    to_release(path)
+    return path
 
 
 def settle(df: DataFrame) -> DataFrame:

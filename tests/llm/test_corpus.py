@@ -116,7 +116,7 @@ def mixture(spark, sizes, **options):
 )
 def test_every_prefix_is_within_one_block(spark, sizes, targets):
     period, block = 100, 8
-    got = mixture(spark, sizes, targets=targets, block=block, period=period)
+    got = mixture(spark, sizes, targets=targets, block=block)
     assert {r.doc_id for r in got} == set(range(sum(sizes.values())))
     slots = defaultdict(set)
     for r in got:
@@ -140,7 +140,7 @@ def test_every_prefix_is_within_one_block(spark, sizes, targets):
 def test_prefixes_follow_the_true_targets(spark):
     """Targets that no whole number of slots of a period meets, over several periods."""
     targets = {"a": 0.0145, "b": 0.1337, "c": 0.8518}
-    got = mixture(spark, {"a": 60, "b": 250, "c": 900}, targets=targets, block=1, period=100)
+    got = mixture(spark, {"a": 60, "b": 250, "c": 900}, targets=targets, block=1)
     order = dict(sorted({r.slot: r.source for r in got}.items()))
     done = Counter()
     assert len(order) > 4000
@@ -150,7 +150,7 @@ def test_prefixes_follow_the_true_targets(spark):
 
 
 def test_small_sources_are_scheduled_together(spark):
-    got = mixture(spark, {"big": 900} | {f"s{i:02}": 1 for i in range(60)}, period=20, block=4)
+    got = mixture(spark, {"big": 900} | {f"s{i:02}": 1 for i in range(60)}, block=4)
     assert {r.doc_id for r in got} == set(range(960))
 
 
@@ -158,7 +158,7 @@ def test_small_sources_are_scheduled_together(spark):
 def test_small_sources_are_mixed_by_their_own_weight(spark, targets):
     """Each source of a long tail, far below a slot of a period, keeps to its weight in every prefix."""
     sizes = {"big": 400} | {f"s{i:03}": 1 + i % 5 for i in range(120)}
-    got = mixture(spark, sizes, targets=targets, block=2, period=20)
+    got = mixture(spark, sizes, targets=targets, block=2)
     assert {r.doc_id for r in got} == set(range(sum(sizes.values())))
     raw = {s: n**0.9 for s, n in sizes.items() if not targets or s not in targets}
     weights = {s: w / sum(raw.values()) * (1 - sum((targets or {}).values())) for s, w in raw.items()} | (targets or {})
@@ -239,3 +239,28 @@ def test_pipeline_by_stage(spark):
     mixed = [tuple(r) for r in corpus_pipeline.mixed_sources(spark, three, FOLDER).collect()]
     assert set(mixed) == set(clean)
     assert corpus_pipeline.run(spark, FOLDER).count() == len(mixed)
+
+
+def test_pipeline_of_odd_and_empty_tables(spark, rows, docs, clashing, none):
+    for source in (docs, clashing, none):
+        made = source
+        for name, stage in corpus_pipeline.STAGES:
+            before = made
+            made = stage(spark, before, FOLDER)
+            if name != "token-ID / binary output":
+                assert made.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+                made = spark.createDataFrame(made.collect(), brute.SCHEMA)
+        ids = [r.doc_id for r in made.collect()]
+        assert sorted(map(str, ids)) == sorted(str(r.doc_id) for r in before.collect())
+        texts = {r[0]: r[1] for r in rows}
+        assert all(brute.WORD.findall(texts[i] or "") for i in ids) and bool(ids) == (source is not none)
+
+
+def test_pipeline_leaves_one_stage_behind(spark):
+    from recordmill.session import release, settled_tables
+
+    begun = settled_tables()
+    left = corpus_pipeline.run(spark, FOLDER)
+    assert settled_tables() - begun <= 6  # the last stage's input, its records and their index
+    assert left.count() > 0
+    release(spark, begun)
