@@ -2,6 +2,13 @@
 
 Each stage takes the documents that the stage before kept. All but the last give
 documents; the last writes the token records and gives what it read back of them.
+
+Null and empty texts have no word, so the classifier rejects them. Rows with a null id
+are judged by their text alone and stay through the near-duplicate stage. Of rows that
+repeat an id, the classifier judges each; those of one group of near duplicates leave one
+row, and an id that stays has one row behind that stage. Empty tables pass as empty
+tables. The mixture repeats blocks of sources that end early. Further columns of
+``documents`` are left out.
 """
 
 from __future__ import annotations
@@ -11,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from recordmill.llm import decontaminate, near_duplicates, quality_classifier, source_mix, token_records
 from recordmill.llm.queries import table, word_vocabulary
 from recordmill.llm.shared import DOCUMENT, settle
+from recordmill.session import release, settled_tables
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +59,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written and read again."""
+    """All stages over ``documents``, each result written and read again; what a stage wrote on the way is deleted behind it."""
     docs = table(spark, sf_dir, "documents").select(*DOCUMENT)
+    begun = settled_tables()
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
+        release(spark, begun, newest=1)
     return STAGES[-1][1](spark, docs, sf_dir)
