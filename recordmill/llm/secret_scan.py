@@ -10,6 +10,12 @@ are decoded and read as
 * a signed token: three parts whose first two decode to JSON objects, the first
   naming its algorithm.
 
+Keys in a PEM frame may have escaped line ends and header lines; an encrypted one of the
+older form is told by its cipher header and whole cipher blocks. Without a frame, lines of
+base64 that follow each other are one candidate, and a key may begin inside a run of base64
+letters (behind a path, say), at a place whose decoded head gives the length that is left.
+Hex may stand behind 0x.
+
 Whatever does not parse is not reported, so random base64 or a public key is not.
 
 A first pass by automaton over the Arrow column finds the texts that hold any
@@ -40,9 +46,14 @@ _ASSIGN = re.compile(
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[^-]|-(?!-))+)-----END \1PRIVATE KEY-----")
+_LINE_END = re.compile(r"\\r\\n|\\[nr]|\r\n|[\n\r]")
+_HEADER = re.compile(r"[A-Za-z0-9-]+: ")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-_ANY_HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{64,}(?![0-9A-Za-z])")
+_LINES = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{40,}+(?:\r?\n|\\n)[\x20\t]*)+[A-Za-z0-9+/]+={0,2}")
+_ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:0[xX])?([0-9A-Fa-f]{64,})(?![0-9A-Za-z])")
+#: Where a DER sequence of two or three bytes of length, or an OpenSSH key, begins in base64.
+_INSIDE = re.compile(r"(?=(MI[E-P]|b3BlbnNzaC1rZXktdjEA))")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e[A-Za-z0-9_-]{9,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
 #: A text that matches none of these holds no candidate.
 _FIRST = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-fA-F]{32}|[A-Za-z0-9+/_-]{40}|PRIVATE KEY-----|e[A-Za-z0-9_-]{9,}\.[A-Za-z0-9_-]{2,}\."
@@ -146,6 +157,30 @@ def _key_kind(data: bytes | None) -> str | None:
     return "der_key" if private_der(data) else "ssh_key" if private_ssh(data) else None
 
 
+def _framed(body: str) -> str | None:
+    """Kind of the key between the marks of a PEM block."""
+    lines = [line.strip() for line in _LINE_END.split(body)]
+    heads = [line for line in lines if _HEADER.match(line)]
+    data = decoded("".join(line for line in lines if not _HEADER.match(line)))
+    if any(h.startswith("Proc-Type: 4,ENCRYPTED") for h in heads) and any(h.startswith("DEK-Info: ") for h in heads):
+        return "der_key" if data and len(data) % 8 == 0 else None
+    return _key_kind(data)
+
+
+def _begun_inside(run: str) -> tuple[int, str] | None:
+    """Place and kind of a key that ends with this run of base64 but begins inside it."""
+    for m in _INSIDE.finditer(run):
+        at, left = m.start(), len(run.rstrip("=")) - m.start()
+        if m[1][0] == "M":
+            head = decoded(run[at : at + 8])
+            size = head[1] & 0x7F if head and head[1] > 0x80 else 0
+            if not 1 <= size <= 3 or 2 + size + int.from_bytes(head[2 : 2 + size], "big") != left * 3 // 4:
+                continue
+        if kind := _key_kind(decoded(run[at:])):
+            return at, kind
+    return None
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     found = [(m.start(), m.end(), "assign") for m in _ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(m.start(), m.end(), "access") for m in _ACCESS.finditer(text) if len(m[0]) >= 16]
@@ -154,16 +189,28 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def added_spans(text: str) -> list[tuple[int, int, str]]:
     found, blocks = [], []
+
+    def outside(m: re.Match) -> bool:
+        return not any(a <= m.start() < b for a, b in blocks)
+
     for m in _PEM.finditer(text):
-        if kind := _key_kind(decoded(m[2])):
+        if kind := _framed(m[2]):
+            found.append((m.start(), m.end(), kind))
+            blocks.append(m.span())
+    for m in _LINES.finditer(text):
+        if outside(m) and (kind := _key_kind(decoded("".join(_LINE_END.split(m[0]))))):
             found.append((m.start(), m.end(), kind))
             blocks.append(m.span())
     for m in _BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in blocks) and (kind := _key_kind(decoded(m[0]))):
+        if not outside(m):
+            continue
+        if kind := _key_kind(decoded(m[0])):
             found.append((m.start(), m.end(), kind))
+        elif inside := _begun_inside(m[0]):
+            found.append((m.start() + inside[0], m.end(), inside[1]))
     for m in _ANY_HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and (kind := _key_kind(bytes.fromhex(m[0]))):
-            found.append((m.start(), m.end(), kind))
+        if len(m[1]) % 2 == 0 and (kind := _key_kind(bytes.fromhex(m[1]))):
+            found.append((m.start(1), m.end(1), kind))
     return found + [(m.start(), m.end(), "signed_token") for m in _TOKEN.finditer(text) if signed_token(m[0])]
 
 

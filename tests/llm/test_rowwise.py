@@ -193,6 +193,36 @@ def test_only_structures_are_added():
             assert [(k, a) for a, _, k in found] == ([] if kind is None else [(kind, 4)]), text
 
 
+def test_other_forms_of_keys():
+    """Escaped line ends, header lines, lines without a frame, a path in front, 0x in front; and what only looks like them."""
+    rng = random.Random(8)
+    rsa = base64.b64decode(secrets_text()["der_key"][0])
+    ssh = base64.b64decode(secrets_text()["ssh_key"][0])
+    lines = lambda raw, n=64: [x[k : k + n] for x in [base64.b64encode(raw).decode()] for k in range(0, len(x), n)]
+    pem = lambda body, kind="RSA ": f"-----BEGIN {kind}PRIVATE KEY-----{body}-----END {kind}PRIVATE KEY-----"
+    head = "\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF\n\n"
+    plain = base64.b64encode(rsa).decode()
+    cases = [
+        (pem("\\n" + "\\n".join(lines(rsa)) + "\\n"), "der_key", 0),
+        (pem("\n" + "\r\n".join(lines(rsa)) + "\n"), "der_key", 0),
+        (pem("\nComment: mine\n" + "\n".join(lines(ssh)) + "\n", "OPENSSH "), "ssh_key", 0),
+        (pem(head + "\n".join(lines(rng.randbytes(160))) + "\n"), "der_key", 0),
+        ("\n".join(lines(rsa)), "der_key", 0),
+        ("\r\n".join(lines(ssh, 70)), "ssh_key", 0),
+        (f"/etc/keys/{plain}", "der_key", 10),
+        (f"x/{base64.b64encode(ssh).decode()}", "ssh_key", 2),
+        (f"0x{rsa.hex()}", "der_key", 2),
+        (pem(head + "\n".join(lines(rng.randbytes(161))) + "\n"), None, 0),
+        (pem("\\n" + "\\n".join(lines(rng.randbytes(160))) + "\\n"), None, 0),
+        ("\n".join(lines(rng.randbytes(200))), None, 0),
+        (f"/etc/keys/{plain[:-8]}", None, 0),
+        ("/MIIB" + base64.b64encode(rng.randbytes(90)).decode(), None, 0),
+    ]
+    for text, kind, at in cases:
+        got = secret_scan.added_spans(f"é {text} end")
+        assert got == ([] if kind is None else [(2 + at, 2 + len(text), kind)]), text
+
+
 def test_secrets(spark, none):
     texts = [None, "", "token:token:abcdefgh password = 'abc.def-12' PassWord=short ſecret=abcdefghij", "AKIA" + "A" * 12 + " AKIA" + "B" * 11,
              "x" + "0f" * 16 + "g " + "ab" * 15, "api_key: " + "a" * 50_000, *[f"😀 {t}" for ts in secrets_text().values() for t in ts]]
