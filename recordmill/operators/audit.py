@@ -152,12 +152,13 @@ def file_contracts(headers: DataFrame, contract: DataFrame, prefix: str = "") ->
 def file_counts(rows: DataFrame, contracts: DataFrame) -> DataFrame:
     """Per file: rows, rows without a URL, URLs that occur more than once. ``rows`` has ``(file_name, cells)``.
 
-    Files whose URLs may repeat are counted by blank and filled alone.
+    Files whose URLs may repeat are counted by blank and filled alone. What is asked of
+    the files, a row each, goes to the rows: these are dealt by file and URL, never by file.
     """
     wanted = contracts.filter("is_there AND size(missing) = 0").select("file_name", "urls_are_unique", "url_at")
     cell = F.when(F.col("url_at").isNull(), F.lit(None)).otherwise(strip_ws(F.coalesce(F.get("cells", F.col("url_at")), F.lit(""))))
     key = F.when(F.col("urls_are_unique") | (cell == ""), cell).otherwise(F.lit("filled"))
-    by_url = rows.join(wanted, "file_name").groupBy("file_name", "urls_are_unique", key.alias("u")).agg(F.count("*").alias("c"))
+    by_url = rows.join(F.broadcast(wanted), "file_name").groupBy("file_name", "urls_are_unique", key.alias("u")).agg(F.count("*").alias("c"))
     return by_url.groupBy("file_name").agg(
         F.sum("c").alias("n"),
         F.coalesce(F.sum(F.when(F.col("u") == "", F.col("c"))), F.lit(0)).alias("blank"),

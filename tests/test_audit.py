@@ -115,3 +115,20 @@ def test_many_files_are_audited_by_one_plan(spark, tmp_path):
         (tmp_path / f"news_{k}.csv").write_text(texts["news.csv"], encoding="utf-8")
     assert nodes() == few
     assert audit_files(spark, f"{tmp_path / 'none'}/*.csv").count() == 6
+
+
+def test_rows_of_one_file_are_dealt_by_url(spark):
+    rows = spark.range(0, 1000, 1, 8).selectExpr("if(id % 2 = 0, 'x_news.csv', 'x_news_seed.csv') AS file_name", "array(concat('u', id % 400)) AS cells")
+    headers = spark.createDataFrame([("x_news.csv", ["article_url"]), ("x_news_seed.csv", ["article_url"])], "file_name string, names array<string>")
+    asked = {"news": ("article_url",), "news_seed": ("article_url",)}
+    contracts = A.file_contracts(headers, A.contract_table(spark, asked, "x_"), "x_")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = A.file_counts(rows, contracts)
+        assert sorted(tuple(r) for r in counts.collect()) == [("x_news.csv", 500, 0, 200), ("x_news_seed.csv", 500, 0, 200)]
+        plan = counts._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in plan.split("== Physical Plan ==")[1].splitlines() if "Join" in line and "Inner" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
