@@ -88,7 +88,7 @@ _INDEX = pa.schema(
 
 
 def _place(path: str) -> tuple:
-    """A folder's file system and its path there."""
+    """The file system of a path and the path there."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(re.sub("^([a-z0-9]+):/+(?=[^/])", r"\1:///", path) if path.startswith("file:") else path)
@@ -158,6 +158,45 @@ def table_file_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/_index")
 
 
+_LINES = pa.schema([("table_file", pa.string()), ("value", pa.string())])
+#: Bytes of text that a task reads before it passes their lines on.
+_READ = 4 << 20
+
+
+def _read_files(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines of the files named, ended as Spark's text source ends them."""
+    for batch in batches:
+        names, lines, size = [], [], 0
+        for row in batch.to_pylist():
+            system, place = _place(row["path"])
+            with system.open_input_stream(place) as file:
+                data = file.read()
+            own = data.removeprefix(b"\xef\xbb\xbf").splitlines()
+            names += [row["table_file"]] * len(own)
+            lines += own
+            size += len(data)
+            if size >= _READ:
+                yield _lines(names, lines)
+                names, lines, size = [], [], 0
+        if lines:
+            yield _lines(names, lines)
+
+
+def _lines(names: list[str], lines: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(lines, pa.binary()).cast(pa.string())], schema=_LINES)
+
+
+def read_table_files(index: DataFrame) -> DataFrame:
+    """``(table_file, value)``: the lines of the files that an index of ``write_table_files`` names.
+
+    The index is dealt over the tasks, and each opens the files of its rows. Nothing lists
+    the folder, and no task is made for a few files, as Spark's text source does.
+    """
+    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = index.select("table_file", "path").repartition(n, "path")
+    return dealt.mapInArrow(_read_files, "table_file string, value string")
+
+
 def write_table_lines(tables: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """All tables as pipe text in as many files as there are tasks: each line begins with its table and row number."""
     rows = F.posexplode_outer(table_lines(F.col("cells"))).alias("_at", "_line")

@@ -110,6 +110,17 @@ def test_each_table_has_a_headerless_file(spark, tmp_path):
     assert none.collect() == []
 
 
+def test_table_files_are_read_by_their_index(spark, tmp_path):
+    many = spark.range(300).selectExpr("concat(id, '.csv') AS table_file", "array(array(string(id), 'a'), array('b'), null) AS cells")
+    index = sinks.write_table_files(many.union(tables_of(spark).drop("source_file")), str(tmp_path / "t"))
+    read = sinks.read_table_files(index)
+    plain = spark.read.text(str(tmp_path / "t")).select(F.col("_metadata.file_name").alias("table_file"), "value")
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, plain.collect()))
+    assert read.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (tmp_path / "t" / "stray.csv").write_text("x\n")  # not in the index
+    assert read.filter("table_file = 'stray.csv'").isEmpty()
+
+
 def test_tables_share_files_by_lines(spark, tmp_path):
     sinks.write_table_lines(tables_of(spark).filter("table_file <> 'a_t1.csv'"), str(tmp_path / "t"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "t")).collect()]

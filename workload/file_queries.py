@@ -200,7 +200,7 @@ def table_files(spark: SparkSession, folder: str) -> DataFrame:
     place = workplace(spark)
     index = sinks.write_table_files(O.tables_by_file(document_tables(spark, folder)), place)
     bars = F.length("value") - F.length(F.replace("value", F.lit("|"), F.lit("")))
-    text = spark.read.text(place).select("value", F.col("_metadata.file_name").alias("table_file"))
+    text = sinks.read_table_files(index)
     read = text.groupBy("table_file").agg(F.count("*").alias("n_rows"), F.sum(bars).alias("n_bars"))
     same = (F.col("n_rows") == F.col("rows_written")).alias("as_indexed")
     return index.select("table_file", F.col("n_rows").alias("rows_written")).join(read, "table_file").select(*read.columns, same)
