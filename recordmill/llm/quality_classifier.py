@@ -48,7 +48,7 @@ TEXT_WIDTH = GRAMS + SHAPES + 1
 SOURCES, LANGS, BINS, MEASURES = 256, 32, 16, 7
 META_WIDTH = SOURCES + LANGS + BINS * MEASURES
 #: Words of which a worker keeps what it needs, in each of two generations; bytes of text handled at once.
-KEPT_WORDS, _SLICE = 250_000, 4 << 20
+KEPT_WORDS, _SLICE = 150_000, 2 << 20
 #: Steps of a margin in the histogram, and its largest margin.
 _STEP, _FAR = 64, 32
 #: Slopes are summed in multiples of this.
@@ -98,9 +98,10 @@ def features(batch: pa.RecordBatch) -> tuple[Sparse, Sparse, np.ndarray]:
     texts, n = batch.column("text"), batch.num_rows
     words = words_of(texts)
     raw = words.strings()
-    known = kept_by("quality_classifier").setdefault("words", Recent(KEPT_WORDS))
+    kept = kept_by("quality_classifier")
+    known, shapes = kept.setdefault("words", Recent(KEPT_WORDS)), kept.setdefault("shapes", {})
     new = known.missing(raw)
-    known.newer.update(zip(new, map(_facts, new), strict=True))
+    known.newer.update((word, _facts(word, shapes)) for word in new)
     facts = np.frombuffer(b"".join(known.values(raw)), _FACTS)
     each, kinds = facts["hash"].astype(np.uint64), facts["kind"].astype(np.int64)
     codes, text, counts = words.codes, owners(words.starts), np.diff(words.starts)
@@ -154,17 +155,22 @@ _FACTS = np.dtype([("hash", "<u4"), ("kind", "<u4"), ("upper", "<u4"), ("marks",
 _PACKED = struct.Struct("<6I")
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _kind(shaped: bytes) -> int:
-    return zlib.crc32(_RUN.sub(rb"\1", shaped)) % SHAPES
+def _kind(shaped: bytes, kinds: dict[bytes, int]) -> int:
+    """The hashed shape of a word; ``kinds`` keeps those met, and begins anew when it is full."""
+    kind = kinds.get(shaped)
+    if kind is None:
+        if len(kinds) >= 1 << 15:
+            kinds.clear()
+        kind = kinds[shaped] = zlib.crc32(_RUN.sub(rb"\1", shaped)) % SHAPES
+    return kind
 
 
-def _facts(word: str) -> bytes:
+def _facts(word: str, kinds: dict[bytes, int]) -> bytes:
     raw = word.encode()
     size, shaped = len(raw), raw.translate(_shape_table())
     upper, digits = shaped.count(b"A"), shaped.count(b"9")
     marks = 0 if shaped.count(b"a") + upper + digits == size else size - len(raw.translate(None, _MARKS))
-    return _PACKED.pack(zlib.crc32(raw), _kind(shaped), upper, marks, digits, size)
+    return _PACKED.pack(zlib.crc32(raw), _kind(shaped, kinds), upper, marks, digits, size)
 
 
 def _category(column: pa.Array, size: int) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -107,12 +109,24 @@ KEPT: dict[str, dict] = {}
 
 
 def kept_by(operator: str) -> dict:
-    """The operator's own store; what others left in a reused worker is dropped."""
-    for other in [name for name in KEPT if name != operator]:
+    """The operator's own store; what others left in a reused worker is dropped and its memory given back."""
+    others = [name for name in KEPT if name != operator]
+    for other in others:
         del KEPT[other]
+    if others:
+        give_back()
     return KEPT.setdefault(operator, {})
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system; Python, Arrow and the C library would hold much of it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only in glibc
+    if trim is not None:
+        trim(0)
+
+
 class Recent:
     """Values of keys met lately, in two generations: when the newer is full, the older is dropped."""
 
@@ -262,7 +276,8 @@ def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int, whole: bool
 
 _BASE = 0x9E3779B97F4A7C15
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
-_BLOCK = 4 << 20
+#: Bytes of text hashed at once; a worker keeps as many powers.
+_BLOCK = 1 << 19
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -19,7 +19,7 @@ an empty index. Texts are never cut.
 
 from __future__ import annotations
 
-import functools
+import itertools
 import json
 import struct
 import uuid
@@ -32,12 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recordmill.llm.shared import gather, kept_by, new_folder, pick, settle, slices, sums, words_of
+from recordmill.llm.shared import Recent, gather, kept_by, new_folder, pick, settle, slices, sums, words_of
 
 #: Constant added to a rotated checksum.
 MASK = 0xA282EAD8
-#: Encoded words kept between batches by a Python worker.
-KEPT_WORDS = 1_000_000
+#: Encoded words that a worker keeps, in each of two generations; bytes of text encoded at once.
+KEPT_WORDS, _SLICE = 200_000, 2 << 20
+#: Plain words that go to the library as one text.
+_GROUP = 16
 _LENGTH, _SUM, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?q")
 _BLOCK = 8 << 20
 INDEX = "doc_id long, shard int, path string, record long, offset long, length long, n_tokens long"
@@ -86,29 +88,38 @@ class Encoder:
         self.specials = [t["content"] for t in content.get("added_tokens", [])]
 
     @property
-    def known(self) -> dict[str, bytes]:
-        return kept_by("token_records")
+    def known(self) -> Recent:
+        return kept_by("token_records").setdefault("words", Recent(KEPT_WORDS))
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
         """Plain ASCII words go to the library many at a time; the characters behind the ids part them again."""
-        known = self.known
+        known = self.known.newer
         alone = [w for w in words if not w.isascii() or any(s in w for s in self.specials)]
         special = set(alone)
         plain = [w for w in words if w not in special]
-        groups = [plain[k : k + 16] for k in range(0, len(plain), 16)]
-        for group, got in zip(groups, self.ids([" ".join(g) for g in groups]), strict=True):
-            ids = np.array(got, np.int64)
-            reached, ends = np.cumsum(self.widths[ids]), np.cumsum([len(w) for w in group])
-            if len(ids) and reached[-1] == ends[-1] and np.isin(ends, reached).all():
-                cuts = np.searchsorted(reached, ends) + 1
-                raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-                for word, begin, stop in zip(group, [0, *cuts[:-1].tolist()], cuts.tolist(), strict=True):
-                    known[word] = raw[begin * size : stop * size]
-            else:
-                alone += group
+        got = self.ids([" ".join(plain[k : k + _GROUP]) for k in range(0, len(plain), _GROUP)])
+        sizes, lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (got, plain))
+        ids = np.fromiter(itertools.chain.from_iterable(got), np.int64, int(sizes.sum()))
+        if not len(ids):
+            alone, plain = alone + plain, []
+        group, owner = np.arange(len(plain)) // _GROUP, np.repeat(np.arange(len(got)), sizes)
+        widths = self.widths[ids]
+        good = (sizes > 0) & (np.bincount(owner, widths, len(got)) == np.bincount(group, lengths[: len(plain)], len(got)))
+        if plain:  # the groups in one row, those whose characters don't add up without any
+            reached, ends = np.cumsum(widths * good[owner]), np.cumsum(lengths * good[group])
+            at = np.minimum(np.searchsorted(reached, ends), len(reached) - 1)
+            good &= np.bincount(group, reached[at] != ends, len(got)) == 0
+            begins = np.concatenate([[0], at[:-1] + 1])
+            begins[::_GROUP] = np.cumsum(sizes) - sizes
+            raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+            for word, fits, begin, stop in zip(plain, good[group].tolist(), (begins * size).tolist(), ((at + 1) * size).tolist(), strict=True):
+                if fits:
+                    known[word] = raw[begin:stop]
+                else:
+                    alone.append(word)
         for word, got in zip(alone, self.ids(alone), strict=True):
             known[word] = np.array(got, self.dtype).tobytes()
 
@@ -121,13 +132,9 @@ class Encoder:
         words = words_of(texts)
         strings = words.strings()
         known = self.known
-        new = [w for w in strings if w not in known]
-        if new:
-            if len(known) + len(new) > KEPT_WORDS:
-                known.clear()
-                new = strings
+        if new := known.missing(strings):
             self.learn(new)
-        raw = [known[w] for w in strings]
+        raw = known.values(strings)
         lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
         flat = np.frombuffer(b"".join(raw), self.dtype)
         begins = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
@@ -137,9 +144,13 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(sums(lengths[words.codes], words.starts))])
 
 
-@functools.lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    """The worker's encoder of a vocabulary, dropped with what else this operator keeps."""
+    kept = kept_by("token_records")
+    if kept.get("path") != path:
+        kept.clear()
+        kept.update(path=path, encoder=Encoder(path))
+    return kept["encoder"]
 
 
 def open_folder(path: str):
@@ -156,7 +167,7 @@ def _write(batches: Iterable[pa.RecordBatch], vocabulary: str, folder: str, end_
     end = np.array([end_id], model.dtype).tobytes()
     at, record, out = 0, 0, None
     try:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=_SLICE):
             if out is None:
                 out = system.open_output_stream(f"{root}/{name}")
                 head = frame(json.dumps({"version": 1, "id_bytes": model.dtype.itemsize}).encode())

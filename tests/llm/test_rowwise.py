@@ -237,3 +237,13 @@ def test_secrets(spark, none):
         assert row.n_assign + row.n_access + row.n_hex == len([s for s in base.split(",") if s])
     assert sum("der_key" in r.spans for r in got) == 5 and sum("ssh_key" in r.spans for r in got) == 2
     assert secret_scan.secret_scan(none).collect() == []
+
+
+def test_a_worker_drops_what_another_operator_kept():
+    from recordmill.llm import shared
+
+    model = token_records.encoder(PATH)
+    model.encode(pa.array(["some words"], pa.string()))
+    assert token_records.encoder(PATH) is model and "words" in shared.KEPT["token_records"]
+    shared.kept_by("near_duplicates")
+    assert list(shared.KEPT) == ["near_duplicates"] and token_records.encoder(PATH) is not model
