@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import itertools
 import uuid
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -136,17 +137,16 @@ class Recent:
     def missing(self, keys: list) -> list:
         """Keys without a value; the others are held in the newer generation from now on."""
         newer, older, found = self.newer, self.older, []
-        for key in keys:
-            if key not in newer:
-                if key in older:
-                    newer[key] = older[key]
-                else:
-                    found.append(key)
+        for key in itertools.filterfalse(newer.__contains__, keys):
+            if key in older:
+                newer[key] = older[key]
+            else:
+                found.append(key)
         return found
 
     def values(self, keys: list) -> list:
         """Values of keys that ``missing`` was asked for and that were put since; may start a new generation."""
-        found = [self.newer[key] for key in keys]
+        found = list(map(self.newer.__getitem__, keys))
         if len(self.newer) > self.limit:
             self.older, self.newer = self.newer, {}
         return found

@@ -21,6 +21,9 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
+import re
+import string
 import struct
 import uuid
 import zlib
@@ -28,6 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,10 +40,24 @@ from recordmill.llm.shared import Recent, gather, kept_by, new_folder, pick, set
 
 #: Constant added to a rotated checksum.
 MASK = 0xA282EAD8
-#: Encoded words that a worker keeps, in each of two generations; bytes of text encoded at once.
+#: Encoded pieces of words that a worker keeps, in each of two generations; bytes of text encoded at once.
 KEPT_WORDS, _SLICE = 200_000, 2 << 20
-#: Plain words that go to the library as one text.
-_GROUP = 16
+#: Folded pieces that go to the library as one text.
+_GROUP = 128
+#: Words that can be folded, and the parts of a vocabulary file for which this holds.
+_PLAIN = "^[!-~À-ÖØ-öø-ÿ]+$"
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _PATTERN}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 _LENGTH, _SUM, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<?q")
 _BLOCK = 8 << 20
 INDEX = "doc_id long, shard int, path string, record long, offset long, length long, n_tokens long"
@@ -71,11 +89,19 @@ def payload_of(body: bytes, length: int) -> bytes:
 
 
 class Encoder:
-    """Ids of words as the tokenizers library gives them."""
+    """Ids of words as the tokenizers library gives them.
+
+    Words of ASCII and Latin-1 letters are normalised here, all of a slice at once:
+    NFC leaves them alone and lower case is character by character. The library
+    gets them lower-cased, without its normalizer, and the marks behind a word
+    apart from it, since its pattern never joins marks to a letter or a digit in
+    front of them. All other words go through the whole library, one by one.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark keeps every core busy; threads on top only wait
         self.library = Tokenizer.from_file(path)
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -83,45 +109,81 @@ class Encoder:
             content = json.load(file)
         end = content["model"].get("end_of_word_suffix") or ""
         names = [self.library.id_to_token(i) or "" for i in range(size)]
-        #: Characters of plain ASCII text behind an id.
+        #: Bytes of text behind an id.
         self.widths = np.array([len(x.removesuffix(end)) for x in names], np.int64)
-        self.specials = [t["content"] for t in content.get("added_tokens", [])]
+        self.foldable = (content["normalizer"], content["pre_tokenizer"]) == (_NORMALIZER, _PRE_TOKENIZER)
+        specials = [re.escape(t["content"]) for t in content.get("added_tokens", [])]
+        #: Special strings in any case, as folding makes "<|X|>" the special "<|x|>", which the library does not.
+        self.special = "|".join(specials) or None
+        self.folded = Tokenizer.from_str(json.dumps(content | {"normalizer": None, "added_tokens": []}))
 
     @property
     def known(self) -> Recent:
         return kept_by("token_records").setdefault("words", Recent(KEPT_WORDS))
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        return [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]) -> None:
-        """Plain ASCII words go to the library many at a time; the characters behind the ids part them again."""
-        known = self.known.newer
-        alone = [w for w in words if not w.isascii() or any(s in w for s in self.specials)]
-        special = set(alone)
-        plain = [w for w in words if w not in special]
-        got = self.ids([" ".join(plain[k : k + _GROUP]) for k in range(0, len(plain), _GROUP)])
-        sizes, lengths = (np.fromiter(map(len, x), np.int64, len(x)) for x in (got, plain))
+    def parts(self, vocabulary: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]:
+        """Folded pieces, other words, and the places of each word's first and second piece among both.
+
+        A folded word has a body and the marks behind it, either of which may be empty; another word is its own first piece.
+        """
+        plain = pc.match_substring_regex(vocabulary, _PLAIN) if self.foldable else pa.array(np.zeros(len(vocabulary), bool))
+        if self.special and self.foldable:
+            plain = pc.and_not(plain, pc.match_substring_regex(vocabulary, self.special, ignore_case=True))
+        folds = plain.to_numpy(zero_copy_only=False)
+        lowered = pc.utf8_lower(vocabulary.filter(plain))
+        bodies = pc.ascii_rtrim(lowered, characters=string.punctuation)
+        cut, whole = (pc.binary_length(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in (bodies, lowered))
+        offsets, data = np.frombuffer(lowered.buffers()[1], np.int32), lowered.buffers()[2]
+        begins = offsets[lowered.offset : lowered.offset + len(lowered)] + cut
+        marks = gather(np.frombuffer(data or b"", np.uint8), begins, whole - cut)
+        ends = np.concatenate([[0], np.cumsum(whole - cut)]).astype(np.int32)
+        tails = pa.StringArray.from_buffers(len(lowered), pa.py_buffer(ends), pa.py_buffer(marks))
+        coded = pa.concat_arrays([bodies, tails, pa.array([""])]).dictionary_encode()
+        places, n = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), len(coded.dictionary)
+        first, second = np.zeros(len(folds), np.int64), np.full(len(folds), places[-1])
+        first[folds], second[folds] = places[: len(bodies)], places[len(bodies) : -1]
+        first[~folds] = n + np.arange(len(folds) - len(bodies))
+        return coded.dictionary, vocabulary.filter(pa.array(~folds)), first, second
+
+    def ids(self, library, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, folded: list[str]) -> list[bytes]:
+        """Ids of folded pieces, which go to the library many at a time; the bytes behind the ids part them again."""
+        got = self.ids(self.folded, [" ".join(folded[k : k + _GROUP]) for k in range(0, len(folded), _GROUP)])
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        lengths = pc.binary_length(pa.array(folded, pa.string())).to_numpy(zero_copy_only=False).astype(np.int64)
         ids = np.fromiter(itertools.chain.from_iterable(got), np.int64, int(sizes.sum()))
         if not len(ids):
-            alone, plain = alone + plain, []
-        group, owner = np.arange(len(plain)) // _GROUP, np.repeat(np.arange(len(got)), sizes)
+            return [self.raw(x) for x in self.ids(self.folded, folded)]
+        group, owner = np.arange(len(folded)) // _GROUP, np.repeat(np.arange(len(got)), sizes)
         widths = self.widths[ids]
-        good = (sizes > 0) & (np.bincount(owner, widths, len(got)) == np.bincount(group, lengths[: len(plain)], len(got)))
-        if plain:  # the groups in one row, those whose characters don't add up without any
-            reached, ends = np.cumsum(widths * good[owner]), np.cumsum(lengths * good[group])
-            at = np.minimum(np.searchsorted(reached, ends), len(reached) - 1)
-            good &= np.bincount(group, reached[at] != ends, len(got)) == 0
-            begins = np.concatenate([[0], at[:-1] + 1])
-            begins[::_GROUP] = np.cumsum(sizes) - sizes
-            raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
-            for word, fits, begin, stop in zip(plain, good[group].tolist(), (begins * size).tolist(), ((at + 1) * size).tolist(), strict=True):
-                if fits:
-                    known[word] = raw[begin:stop]
-                else:
-                    alone.append(word)
-        for word, got in zip(alone, self.ids(alone), strict=True):
-            known[word] = np.array(got, self.dtype).tobytes()
+        good = (sizes > 0) & (np.bincount(owner, widths, len(got)) == np.bincount(group, lengths, len(got)))
+        # the groups in one row, those whose bytes don't add up without any
+        reached, ends = np.cumsum(widths * good[owner]), np.cumsum(lengths * good[group])
+        at = np.minimum(np.searchsorted(reached, ends), len(reached) - 1)
+        good &= np.bincount(group, reached[at] != ends, len(got)) == 0
+        begins = np.concatenate([[0], at[:-1] + 1])
+        begins[::_GROUP] = np.cumsum(sizes) - sizes
+        raw, size = ids.astype(self.dtype).tobytes(), self.dtype.itemsize
+        found = [raw[begin:stop] for begin, stop in zip((begins * size).tolist(), ((at + 1) * size).tolist(), strict=True)]
+        alone = np.flatnonzero(~good[group]).tolist()
+        for k, own in zip(alone, self.ids(self.folded, [folded[k] for k in alone]), strict=True):
+            found[k] = self.raw(own)
+        return found
+
+    def raw(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def looked_up(self, folded: list[str], others: list[str]) -> list[bytes]:
+        """Ids of all pieces."""
+        known = self.known
+        known.newer[""] = b""
+        new = known.missing(folded)
+        known.newer.update(zip(new, self.learn(new), strict=True))
+        new = known.missing(others)
+        known.newer.update(zip(new, map(self.raw, self.ids(self.library, new)), strict=True))
+        return known.values(folded + others)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts and the boundaries of the texts in them.
@@ -130,16 +192,16 @@ class Encoder:
         ids are those of its words in turn.
         """
         words = words_of(texts)
-        strings = words.strings()
-        known = self.known
-        if new := known.missing(strings):
-            self.learn(new)
-        raw = known.values(strings)
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(raw), self.dtype)
-        begins = np.concatenate([[0], np.cumsum(lengths)])[:-1].astype(np.int64)
         if not len(words.codes):
-            return flat[:0], np.zeros(len(words.starts), np.int64)
+            return np.zeros(0, self.dtype), np.zeros(len(words.starts), np.int64)
+        folded, others, first, second = self.parts(words.vocabulary)
+        raw = self.looked_up(*(x.to_numpy(zero_copy_only=False).tolist() for x in (folded, others)))
+        each = np.fromiter(map(len, raw), np.int64, len(raw)) // self.dtype.itemsize
+        begins = np.cumsum(each) - each
+        pairs = np.column_stack([first, second]).ravel()
+        flat = gather(np.frombuffer(b"".join(raw), self.dtype), begins[pairs], each[pairs])
+        lengths = each[first] + each[second]
+        begins = np.cumsum(lengths) - lengths
         ids = gather(flat, begins[words.codes], lengths[words.codes])
         return ids, np.concatenate([[0], np.cumsum(sums(lengths[words.codes], words.starts))])
 

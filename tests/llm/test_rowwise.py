@@ -59,6 +59,40 @@ def test_any_text_is_counted_and_encoded_as_the_library_does(text):
     assert encoded([text]) == [expected]
 
 
+def test_words_that_differ_in_case_and_marks_go_to_the_library_once(monkeypatch):
+    sent, ids = [], token_records.Encoder.ids
+    monkeypatch.setattr(token_records.Encoder, "ids", lambda *args: sent.extend(args[-1]) or ids(*args))
+    shared.KEPT.clear()
+    encoded(["Été the The THE the. the, THE, the!! The...", "été, ÉTÉ. Été!! the"])
+    assert sorted(" ".join(sent).split()) == sorted(["été", "the", ".", ",", "!!", "..."])
+
+
+def test_folded_words_have_the_ids_of_the_library(library):
+    letters = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))]
+    draw = random.Random(1)
+    texts = [f"{c} x{c} {c}X x{c}. {c}{c}'S, {c}\u0301. {c}”." for c in letters]
+    texts += [" ".join("".join(draw.choices(letters, k=draw.randint(1, 9))) for _ in range(300)) for _ in range(20)]
+    texts += ["<|ENDOFTEXT|> <|endoftext|> <|endoftext|>. x<|EndOfText|>!", "H\u0331 h\u0331 I\u0307. It'S 'tis' DON'T. 1st."]
+    shared.KEPT.clear()
+    for _ in range(2):
+        assert encoded(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("part", ["normalizer", "pre_tokenizer"])
+def test_other_vocabularies_fold_no_words(tmp_path, part):
+    with open(PATH, encoding="utf-8") as file:
+        content = json.load(file)
+    parts = content[part]["normalizers" if part == "normalizer" else "pretokenizers"]
+    parts.pop() if part == "normalizer" else parts[0].update(pattern={"Regex": r"\S+"})
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(content, file)
+    texts = ["The THE the. Été, <|endoftext|> x", *ODD]
+    ids, starts = token_records.encoder(path).encode(pa.array(texts, pa.string()))
+    expected = [x.ids for x in token_records.encoder(path).library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == expected
+
+
 def test_words_are_those_of_the_pattern(rows):
     texts = [r[1] for r in rows]
     words = shared.words_of(pa.array(texts))
